@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, pieces
+from . import decontam, langid, pieces
+from .oracle import ORACLE
 
 #: A public vocabulary; it stays where it is.
 PIECES_FILE = "/opt/tokenizers/piece_bpe_32k.model"
@@ -25,9 +26,15 @@ def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(docs, pieces.load(PIECES_FILE)).drop("text")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontam.verdicts(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_language_id, op7_pieces)}
+    return {f.__name__: f for f in (op5_language_id, op7_pieces, op9_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return ORACLE
