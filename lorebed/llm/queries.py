@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, fingerprints, langid, pieces
+from . import decontam, fingerprints, langid, pieces, toxicity
 from .oracle import ORACLE
 
 #: A public vocabulary; it stays where it is.
@@ -17,6 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).drop("text")
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint(table(spark, sf_dir, "documents"))
 
@@ -37,7 +43,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_fingerprints, op5_language_id, op7_pieces, op9_decontamination)}
+    return {f.__name__: f for f in (op2_toxicity, op3_fingerprints, op5_language_id, op7_pieces, op9_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
