@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from . import licences
+
 ORACLE: dict[str, str] = {}
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -29,3 +31,5 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated, coalesce(longest, 0)::BIGINT AS longest
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id) LEFT JOIN best USING (doc_id)
 """
+
+ORACLE["op8_licences"] = licences.duckdb_sql()

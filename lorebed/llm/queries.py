@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, fingerprints, langid, pieces, toxicity
+from . import decontam, fingerprints, langid, licences, pieces, toxicity
 from .oracle import ORACLE
 
 #: A public vocabulary; it stays where it is.
@@ -36,6 +36,10 @@ def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(docs, pieces.load(PIECES_FILE)).drop("text")
 
 
+def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontam.verdicts(docs, table(spark, sf_dir, "benchmark"))
@@ -43,7 +47,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_toxicity, op3_fingerprints, op5_language_id, op7_pieces, op9_decontamination)}
+    return {f.__name__: f for f in (op2_toxicity, op3_fingerprints, op5_language_id, op7_pieces, op8_licences, op9_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
