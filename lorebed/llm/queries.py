@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, fingerprints, langid, licences, pieces, toxicity
+from . import decontam, fingerprints, langid, licences, pieces, toxicity, urlfilter
 from .oracle import ORACLE
 
 #: A public vocabulary; it stays where it is.
@@ -46,8 +46,12 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "longest")
 
 
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_toxicity, op3_fingerprints, op5_language_id, op7_pieces, op8_licences, op9_decontamination)}
+    return {f.__name__: f for f in (op2_toxicity, op3_fingerprints, op5_language_id, op7_pieces, op8_licences, op9_decontamination, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
