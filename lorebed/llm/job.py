@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -35,12 +36,20 @@ def stored(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/lorebed-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    release(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Column:
-    """A 64-bit key of a row by its id and text: rows that share an id stay apart unless their texts are equal too."""
-    return F.xxhash64(F.col(id_col), F.col(text_col))
+def keyed(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """A 128-bit key of a row by its id and text: rows that share an id stay apart unless their texts are equal too."""
+    mark = F.when(F.col(id_col).isNull(), "0").otherwise("1")
+    return F.unhex(F.md5(F.concat_ws("\x00", mark, F.col(id_col).cast("string"), F.when(F.col(text_col).isNull(), "0").otherwise("1"), F.col(text_col))))
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished steps now: it does so when nothing refers to them any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def text_or_empty(name: str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import licences, urlfilter
+from . import licences, linededup, urlfilter
 
 ORACLE: dict[str, str] = {}
 
@@ -35,3 +35,5 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id) LEFT JOIN best
 ORACLE["op8_licences"] = licences.duckdb_sql()
 
 ORACLE["op10_url_filter"] = urlfilter.duckdb_sql()
+
+ORACLE["op4_line_dedup"] = linededup.duckdb_sql()

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontam, fingerprints, langid, licences, pieces, toxicity, urlfilter
+from . import decontam, fingerprints, langid, licences, linededup, pieces, substrings, toxicity, urlfilter
 from .oracle import ORACLE
 
 #: A public vocabulary; it stays where it is.
@@ -27,10 +28,19 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint(table(spark, sf_dir, "documents"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup_substrings(table(spark, sf_dir, "documents"), digest=True)
+
+
 def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pieces.encode(docs, pieces.load(PIECES_FILE)).drop("text")
@@ -51,7 +61,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_toxicity, op3_fingerprints, op5_language_id, op7_pieces, op8_licences, op9_decontamination, op10_url_filter)}
+    return {f.__name__: f for f in (op2_toxicity, op3_fingerprints, op4_line_dedup, op5_language_id, op6_substring_dedup, op7_pieces, op8_licences, op9_decontamination, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
