@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, fingerprints, langid, licences, linededup, pieces, substrings, toxicity, urlfilter
+from . import chosenpath, decontam, fingerprints, langid, licences, linededup, pieces, substrings, toxicity, urlfilter
 from .oracle import ORACLE
 
 #: A public vocabulary; it stays where it is.
@@ -18,6 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = chosenpath.near_classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_links", "n_text_links")
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -61,7 +66,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_toxicity, op3_fingerprints, op4_line_dedup, op5_language_id, op6_substring_dedup, op7_pieces, op8_licences, op9_decontamination, op10_url_filter)}
+    return {f.__name__: f for f in (op1_jaccard_join, op2_toxicity, op3_fingerprints, op4_line_dedup, op5_language_id, op6_substring_dedup, op7_pieces, op8_licences, op9_decontamination, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
