@@ -1,3 +1,440 @@
-"""Registered queries."""
+"""The registered queries: the knowledge pipeline's operators over the given tables."""
 
-QUERIES = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import records as R
+from ..functions import text as X
+from ..functions import urls as U
+from ..operators import candidates, dedupe, discovery, entities, export, frontier, reports, validate
+from ..sources import search, tables
+from ..vocabulary import ENTITY_TYPES
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+
+#: Patterns for the hosts that the given pages have.
+TEST_RULES = {"skip": ["blog."], "high": [".org"], "medium": ["m."], "low": [".net"]}
+AS_OF = "2001-08-01"
+
+
+def query(f: Query) -> Query:
+    QUERIES[f.__name__] = f
+    return f
+
+
+def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as url candidates, in the order of their ids."""
+    title = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
+    rows = _read(spark, sf_dir, "pages").select(F.col("page_id").alias("_ord"), "url", title.alias("title"))
+    return rows.select("_ord", "url", U.normalize_url(F.col("url")).alias("normalized_url"), U.get_host(F.col("url")).alias("domain"), "title", F.lit("new").alias("status"))
+
+
+def _first_line(c: str) -> Column:
+    return F.split_part(F.coalesce(F.col(c), F.lit("")), F.lit("\n"), F.lit(1))
+
+
+def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A claim for each document: two of three quote their own page's first line, the third that of the page before."""
+    docs = _read(spark, sf_dir, "documents")
+    lines = docs.select((F.col("doc_id") + 1).alias("next_id"), _first_line("text").alias("other"))
+    rows = docs.join(lines, docs.doc_id == lines.next_id, "left")
+    k = F.col("doc_id") % 7
+    kinds = F.array(*[F.lit(x) for x in [*ENTITY_TYPES, "not_a_type"]])
+    return rows.select(
+        F.col("doc_id").alias("_ord"), X.page_id(F.col("doc_id")).alias("page_id"), F.concat(F.lit("https://"), F.col("source"), F.lit(".example.com/")).alias("source_url"), F.split_part(_first_line("text"), F.lit(" "), F.lit(1)).alias("entity_name"),
+        F.when(k == 3, F.lit("")).when(F.col("doc_id") % 3 == 0, F.coalesce("other", F.lit(""))).otherwise(_first_line("text")).alias("evidence_text"), F.get(kinds, (F.col("doc_id") % 14).cast("int")).alias("entity_type"),
+        F.when(k == 5, "no_category").otherwise("logistics").alias("supply_chain_category"), F.when(k == 6, "cancelled").otherwise("announced").alias("claim_status"), (F.col("n_chars") / 1000).cast("string").alias("confidence_score"),
+        F.array().cast("array<string>").alias("rejection_reasons"), F.lit("").alias("validation_status"), F.array(_first_line("text")).alias("key_facts"), F.lit("").alias("publication_date"),
+    )
+
+
+def _page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read(spark, sf_dir, "documents").select(X.page_id(F.col("doc_id")).alias("page_id"), F.col("text").alias("page_markdown"))
+
+
+def _entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as entities: each turn is a source, the first turn's text the overview."""
+    turns = _read(spark, sf_dir, "conversations")
+    source = F.struct(F.col("turn"), F.concat(F.lit("https://c.example.com/"), F.col("conv_id"), F.lit("/"), F.col("turn")).alias("source_url"), F.col("role").alias("source_title"), F.lit("c.example.com").alias("source_domain"), _first_line("text").alias("evidence_text"))
+    rows = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(source)).alias("sources"), F.min_by(_first_line("text"), "turn").alias("overview"))
+    even = F.col("conv_id") % 2 == 0
+    return rows.select(
+        F.col("conv_id").alias("_ord"), F.format_string("Entity %d", "conv_id").alias("canonical_name"), "sources", "overview", F.when(even, F.array(F.lit("Bryan County"), F.lit("Jackson County"))).otherwise(F.array().cast("array<string>")).alias("locations"),
+        F.lit("announced").alias("claim_status"), F.when(even, "stale").otherwise("fresh").alias("currency"), F.when(F.col("conv_id") % 3 == 0, "2020").otherwise("").alias("publication_date_range"), F.when(even, 0).otherwise(9).alias("source_count"),
+    )
+
+
+def _crawled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled documents as crawled pages: of good quality is a success."""
+    docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
+    return docs.join(labels, "doc_id").select(
+        F.col("doc_id").alias("_ord"), F.col("source").alias("domain"), F.when(F.col("quality") == 1, "success").otherwise("failed").alias("crawl_status"), F.col("lang").alias("language"), F.when(F.col("toxic") == 1, "true").otherwise("false").alias("is_duplicate_content"),
+        X.word_count(F.col("text")).alias("word_count"), F.char_length("text").alias("char_count"),
+    )
+
+
+@query
+def url_normalize(spark, sf_dir):
+    return _read(spark, sf_dir, "pages").select("page_id", U.normalize_url(F.col("url")).alias("normalized_url"))
+
+
+@query
+def url_recompute_changed(spark, sf_dir):
+    rows = _read(spark, sf_dir, "pages").select("page_id", "url", F.col("url").alias("normalized_url"), F.lit("").alias("domain"))
+    return candidates.normalized(rows, native_domain=True).agg(F.count("*").alias("n_rows"), F.count_if("changed").alias("n_changed"), F.count_distinct("normalized_url").alias("n_urls"))
+
+
+@query
+def url_dedupe_label(spark, sf_dir):
+    return dedupe.label_duplicates(_pages(spark, sf_dir), "normalized_url", "_ord").select(F.col("_ord").alias("page_id"), "normalized_url", "status")
+
+
+@query
+def url_host_counts(spark, sf_dir):
+    return reports.most_common(_pages(spark, sf_dir), "domain", "_ord")
+
+
+@query
+def domain_registered(spark, sf_dir):
+    hosts = _read(spark, sf_dir, "pages").groupBy(U.get_host(F.col("url")).alias("host")).agg(F.count("*").alias("n"))
+    return hosts.groupBy(U.get_domain(F.concat(F.lit("https://"), F.col("host"))).alias("domain")).agg(F.sum("n").alias("n"))
+
+
+@query
+def url_priority(spark, sf_dir):
+    rows = candidates.prioritized(_pages(spark, sf_dir), "_ord", TEST_RULES)
+    return rows.select(F.col("_ord").alias("page_id"), "domain", "priority", candidates.priority_rank(F.col("priority")).alias("rank"))
+
+
+@query
+def priority_counts(spark, sf_dir):
+    rows = _pages(spark, sf_dir).withColumn("priority", candidates.classify(F.col("normalized_url"), TEST_RULES))
+    return reports.most_common(rows, "priority", "_ord")
+
+
+@query
+def domain_summary(spark, sf_dir):
+    return candidates.domain_summary(_pages(spark, sf_dir), "_ord", TEST_RULES)
+
+
+@query
+def priority_url_sums(spark, sf_dir):
+    return candidates.domain_summary(_pages(spark, sf_dir), "_ord", TEST_RULES).groupBy("priority").agg(F.sum("url_count").alias("urls"), F.count("*").alias("domains"))
+
+
+@query
+def content_hash_dups(spark, sf_dir):
+    rows = _read(spark, sf_dir, "documents").select("doc_id", X.content_hash(F.col("text")).alias("content_hash"), F.lit("new").alias("status"))
+    return dedupe.label_duplicates(rows, "content_hash", "doc_id")
+
+
+@query
+def distinct_first(spark, sf_dir):
+    rows = _read(spark, sf_dir, "documents").select("doc_id", "source", X.content_hash(F.col("text")).alias("content_hash"))
+    return dedupe.first_of(rows, ["content_hash"], "doc_id")
+
+
+@query
+def crawl_status_report(spark, sf_dir):
+    return reports.crawl_report(_crawled(spark, sf_dir))
+
+
+@query
+def lang_top10(spark, sf_dir):
+    return reports.most_common(_crawled(spark, sf_dir).where("crawl_status = 'success'"), "language", "_ord", 10)
+
+
+@query
+def failed_domains_top10(spark, sf_dir):
+    return reports.most_common(_crawled(spark, sf_dir).where("crawl_status = 'failed'"), "domain", "_ord", 10)
+
+
+@query
+def value_counts(spark, sf_dir):
+    return reports.value_counts(_read(spark, sf_dir, "documents"), "source")
+
+
+@query
+def status_pivot(spark, sf_dir):
+    return reports.pivot_counts(_read(spark, sf_dir, "events").withColumn("bucket", F.col("user_id") % 10), "bucket", "event_type", ["view", "click", "signup", "error", "purchase"])
+
+
+@query
+def describe_lengths(spark, sf_dir):
+    return reports.described(_crawled(spark, sf_dir), ["word_count", "char_count"])
+
+
+@query
+def success_columns(spark, sf_dir):
+    return _crawled(spark, sf_dir).where("crawl_status = 'success' AND word_count >= 20").select("_ord", "domain", "language", "char_count")
+
+
+def _seeds(spark, sf_dir):
+    none = spark.createDataFrame([], "_ord long, query string, source_type string")
+    domains = _read(spark, sf_dir, "pages").groupBy(U.get_host(F.col("url")).alias("domain")).agg(F.min("page_id").alias("_ord")).withColumn("use_site_queries", F.when(F.col("_ord") % 2 == 0, " TRUE ").otherwise("no"))
+    locations = _read(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("_ord"), F.concat(F.lit(" "), F.col("n_name"), F.lit("\t")).alias("location"))
+    companies = _read(spark, sf_dir, "part").groupBy(F.col("p_name").alias("company")).agg(F.min("p_partkey").alias("_ord"))
+    return none, domains, locations, companies
+
+
+@query
+def query_expand(spark, sf_dir):
+    return discovery.expand(discovery.general_queries(spark), *_seeds(spark, sf_dir)).select("branch", F.col("_ord").alias("seed"), "t", "query", "source_type")
+
+
+def _queries(spark, sf_dir, low, high):
+    """The part names in a range of keys as queries, of which some differ in case only."""
+    rows = _read(spark, sf_dir, "part").where((F.col("p_partkey") % 100 >= low) & (F.col("p_partkey") % 100 < high))
+    name = F.when(F.col("p_partkey") % 3 == 0, F.upper("p_name")).otherwise(F.col("p_name"))
+    return rows.select(F.col("p_partkey").alias("_ord"), F.concat("p_brand", F.lit(" "), name).alias("query"), F.col("p_type").alias("source_type"))
+
+
+@query
+def query_upsert(spark, sf_dir):
+    old = _queries(spark, sf_dir, 0, 40).withColumns({"iteration": F.lit("0"), "status": F.lit("done")})
+    return discovery.upsert_queries(old, _queries(spark, sf_dir, 30, 80)).select("part", F.col("_ord").alias("n"), "query", "source_type", "iteration", "status")
+
+
+def _found_entities(spark, sf_dir):
+    return _read(spark, sf_dir, "part").select(F.col("p_partkey").alias("_ord"), F.col("p_name").alias("entity"), F.when(F.col("p_size") > 10, "company").otherwise("facility").alias("entity_type"))
+
+
+@query
+def query_followup(spark, sf_dir):
+    return discovery.followups(_found_entities(spark, sf_dir)).select(F.col("_ord").alias("entity"), "t", "query", "source_type")
+
+
+@query
+def query_merge_cap(spark, sf_dir):
+    new = _queries(spark, sf_dir, 0, 90).withColumn("t", F.lit(0))
+    return discovery.merge_new(new, _queries(spark, sf_dir, 0, 10), 1)
+
+
+@query
+def query_known_keys(spark, sf_dir):
+    a, b = (_queries(spark, sf_dir, *r).select(X.casefold(F.col("query")).alias("key")) for r in ((0, 40), (30, 80)))
+    both = a.join(b.distinct(), "key", "left_semi").distinct().select("key", F.lit("both").alias("part"))
+    return both.unionByName(a.distinct().join(b, "key", "left_anti").select("key", F.lit("first").alias("part")))
+
+
+def _search_results(spark, sf_dir):
+    fixture = [{"title": f"Result {k}", "url": "" if k == 2 else f"https://r{k}.example.com/", "snippet": str(k)} for k in range(5)]
+    return search.search(_queries(spark, sf_dir, 0, 5), [search.mock(fixture)])
+
+
+@query
+def search_mock_candidates(spark, sf_dir):
+    kinds = dedupe.first_of(_queries(spark, sf_dir, 0, 5), ["query"], "_ord")
+    return search.candidates(_search_results(spark, sf_dir), "2024-01-01", kinds).select("url", "title", "snippet", "query_used", "search_engine", "rank", "source_type", "status")
+
+
+def _frontier(spark, sf_dir, low, high, status=None):
+    rows = candidates.prioritized(_pages(spark, sf_dir), "_ord", TEST_RULES).where((F.col("_ord") % 10 >= low) & (F.col("_ord") % 10 < high))
+    rows = rows.withColumns({"priority": F.when(F.col("_ord") % 7 == 0, "").otherwise(F.col("priority")), "source_type": F.lit("seed"), "discovered_date": F.lit("2024-01-01"), "query_used": F.lit(""), "notes": F.lit("")})
+    made = frontier.from_candidates(rows, "_ord")
+    if status is None:
+        return made
+    old = dedupe.first_of(made, ["normalized_url"], "_ord")
+    return old.withColumns({"status": F.when(F.col("_ord") % 3 == 0, "failed").otherwise("crawled"), "retry_count": (F.col("_ord") % 5).cast("int"), "frontier_id": F.col("_ord")}).drop("_ord")
+
+
+@query
+def frontier_build(spark, sf_dir):
+    return _frontier(spark, sf_dir, 0, 10).select(F.col("_ord").alias("page_id"), "normalized_url", "priority", "status", "discovered_from", "retry_count")
+
+
+@query
+def frontier_upsert(spark, sf_dir):
+    merged = frontier.upsert(_frontier(spark, sf_dir, 0, 6, "old"), _frontier(spark, sf_dir, 4, 10))
+    return merged.select("normalized_url", "priority", "status", "retry_count", "inserted")
+
+
+@query
+def frontier_requeue(spark, sf_dir):
+    return frontier.requeue_failed(_frontier(spark, sf_dir, 0, 10, "old")).select("normalized_url", "status", "retry_count", "requeued")
+
+
+@query
+def frontier_counts(spark, sf_dir):
+    return frontier.counts(_frontier(spark, sf_dir, 0, 10))
+
+
+@query
+def frontier_next_batch(spark, sf_dir):
+    return frontier.crawlable(frontier.requeue_failed(_frontier(spark, sf_dir, 0, 10, "old"))).select("frontier_id", "normalized_url", "priority")
+
+
+@query
+def grounding_exact(spark, sf_dir):
+    rows = _records(spark, sf_dir).join(_page_texts(spark, sf_dir), "page_id", "left")
+    return validate.grounded(rows, fuzzy=False).select("page_id", "is_grounded")
+
+
+@query
+def grounding_fuzzy(spark, sf_dir):
+    rows = _records(spark, sf_dir).join(_page_texts(spark, sf_dir), "page_id", "left").withColumn("page_markdown", X.prefix(F.col("page_markdown"), 600))
+    return validate.grounded(rows).select("page_id", "is_grounded")
+
+
+@query
+def fact_dedupe(spark, sf_dir):
+    kept, dropped = dedupe.dedupe_facts(_records(spark, sf_dir), "_ord")
+    return kept.unionByName(dropped).select("page_id", "validation_status", F.array_join("rejection_reasons", ";").alias("reasons"))
+
+
+def _validated(spark, sf_dir):
+    return validate.validate(_records(spark, sf_dir), _page_texts(spark, sf_dir), fuzzy=False)
+
+
+@query
+def record_validate_reasons(spark, sf_dir):
+    return _validated(spark, sf_dir).select("page_id", "validation_status", F.array_join("rejection_reasons", ";").alias("reasons"), F.round("confidence_score", 6).alias("confidence"))
+
+
+@query
+def reasons_explode_counts(spark, sf_dir):
+    return reports.exploded_counts(_validated(spark, sf_dir), "rejection_reasons")
+
+
+@query
+def validation_totals(spark, sf_dir):
+    passed, failed = validate.split(_validated(spark, sf_dir))
+    return passed.unionByName(failed).agg(F.count_if(F.col("validation_status") == "passed").alias("passed"), F.count_if(F.col("validation_status") == "failed").alias("failed"), F.count("*").alias("records"))
+
+
+@query
+def entity_demotion(spark, sf_dir):
+    found = _entities(spark, sf_dir).withColumn("conflicts_or_uncertainties", F.array().cast("array<string>"))
+    turns = _read(spark, sf_dir, "conversations").where("turn % 2 = 0")
+    pages = turns.select(F.concat(F.lit("https://c.example.com/"), F.col("conv_id"), F.lit("/"), F.col("turn")).alias("source_url"), F.col("text").alias("page_markdown"), F.lit("p").alias("path"))
+    return validate.demote_ungrounded(found, pages, fuzzy=False).select("canonical_name", "kept", F.array_join("conflicts_or_uncertainties", ";").alias("notes"), F.size("sources").alias("n_sources"))
+
+
+@query
+def currency_bucket(spark, sf_dir):
+    rows = _read(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 10 == 0, "").when(F.col("o_orderkey") % 10 == 1, F.date_format("o_orderdate", "yyyy-MM")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("published"))
+    return rows.select("o_orderkey", R.currency(R.published(F.col("published")), F.lit(AS_OF).cast("date")).alias("currency"), R.date_precision(F.col("published")).alias("precision"))
+
+
+@query
+def confidence_clamp(spark, sf_dir):
+    rows = _read(spark, sf_dir, "events")
+    raw = F.when(F.col("event_id") % 11 == 0, "n/a").when(F.col("event_id") % 13 == 0, "-3").when(F.col("event_id") % 17 == 0, None).otherwise((F.col("value") / 40).cast("string"))
+    return rows.select("event_id", F.round(R.confidence(raw), 9).alias("confidence"))
+
+
+@query
+def event_keys(spark, sf_dir):
+    return _read(spark, sf_dir, "events").groupBy("event_type").agg(F.sum(F.get_json_object("props", "$.k").cast("long")).alias("k_sum"), F.count("*").alias("n"))
+
+
+@query
+def page_id_format(spark, sf_dir):
+    return _read(spark, sf_dir, "documents").select("doc_id", X.page_id(F.col("doc_id")).alias("page_id"), X.page_id(F.col("doc_id") + 123456789).alias("long_id"))
+
+
+@query
+def wiki_id(spark, sf_dir):
+    return _records(spark, sf_dir).select("page_id", R.wiki_id(F.col("source_url"), F.col("entity_name"), F.col("evidence_text")).alias("wiki_id"))
+
+
+@query
+def text_metrics(spark, sf_dir):
+    return _read(spark, sf_dir, "documents").select("doc_id", X.word_count(F.col("text")).cast("long").alias("words"), F.char_length("text").cast("long").alias("chars"), X.slug(_first_line("text")).alias("slug"))
+
+
+@query
+def sources_explode(spark, sf_dir):
+    return export.sources(_entities(spark, sf_dir)).select("canonical_name", F.col("place").cast("long").alias("place"), "source_url", "source_title", "source_domain", "evidence_text", "claim_status")
+
+
+@query
+def sources_rollup(spark, sf_dir):
+    rows = _entities(spark, sf_dir)
+    return rows.select("canonical_name", export.source_count(rows).cast("long").alias("source_count"), F.array_join(F.filter(F.transform("sources", lambda s: s["source_url"]), lambda u: F.endswith(u, F.lit("1"))), ", ").alias("urls"))
+
+
+@query
+def final_wiki_rows(spark, sf_dir):
+    rows = export.final_wiki(_entities(spark, sf_dir))
+    return rows.select("canonical_name", "overview", F.col("source_count").cast("long").alias("source_count"), "locations", "aliases", "currency", F.size(F.from_json("sources", "array<struct<source_url string>>")).cast("long").alias("n_sources"))
+
+
+@query
+def finetune_examples(spark, sf_dir):
+    return export.finetuning(_entities(spark, sf_dir)).select(F.col("_ord").alias("conv_id"), "k", "instruction", "output")
+
+
+@query
+def wiki_listing(spark, sf_dir):
+    rows = _entities(spark, sf_dir).select("canonical_name", "overview", F.lit("logistics").alias("category"), F.get("locations", F.lit(0)).alias("county"))
+    return export.wiki_lines(rows).select("canonical_name", "line")
+
+
+@query
+def name_normalize(spark, sf_dir):
+    rows = _read(spark, sf_dir, "part")
+    name = F.concat(F.initcap("p_name"), F.when(F.col("p_partkey") % 3 == 0, ", Inc.").when(F.col("p_partkey") % 3 == 1, " LLC").otherwise(""))
+    return rows.select("p_partkey", R.normalize_name(name).alias("name"))
+
+
+def _names(spark, sf_dir):
+    return _read(spark, sf_dir, "part").select(F.col("p_partkey").alias("_ord"), R.normalize_name(F.when(F.col("p_partkey") % 5 == 0, F.concat("p_name", F.lit("s"))).otherwise(F.col("p_name"))).alias("name"), F.lit("").alias("location"))
+
+
+@query
+def name_cluster(spark, sf_dir):
+    return entities.cluster(_names(spark, sf_dir))[0]
+
+
+@query
+def name_review_pairs(spark, sf_dir):
+    return entities.cluster(_names(spark, sf_dir))[1].select("a", "b", F.round("score", 6).alias("score"))
+
+
+@query
+def name_aliases(spark, sf_dir):
+    known = {"Widget Works": ["red widget", "blue widget"]}
+    return entities.canonical(_read(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("name")), entities.aliases(spark, known)).select("p_partkey", "canonical_name")
+
+
+@query
+def entity_profiles(spark, sf_dir):
+    rows = _records(spark, sf_dir)
+    made = entities.profiles(rows, rows.select(F.col("entity_name").alias("name"), F.lower("entity_name").alias("cluster")).distinct())
+    return made.select("canonical_name", F.array_join("aliases", ";").alias("aliases"), "entity_type", F.size("sources").cast("long").alias("n_sources"), F.size("key_facts").cast("long").alias("n_facts"))
+
+
+@query
+def rollup_counts(spark, sf_dir):
+    rows = _read(spark, sf_dir, "part").select(F.col("p_type").alias("category"), F.col("p_brand").alias("county"), (F.col("p_size") % 4).alias("facilities"), F.col("p_name").alias("source_url"))
+    return reports.rollup_counts(rows)
+
+
+@query
+def markdown_round_trip(spark, sf_dir):
+    rows = _records(spark, sf_dir)
+    pages = rows.select(F.col("entity_name").alias("title"), "entity_type", "supply_chain_category", "page_id", F.lit("").alias("publication_date"), "source_url", F.lit("given").alias("generated_from"), F.array("evidence_text").alias("facts"), F.array().cast("array<string>").alias("links"))
+    back = tables.parse_markdown(tables.render_markdown(pages))
+    return back.select("page_id", "title", "entity_type", F.size("facts").cast("long").alias("n_facts"), F.get("facts", F.lit(0)).alias("fact"))
+
+
+@query
+def shard_sizes(spark, sf_dir):
+    rows = _read(spark, sf_dir, "documents").select(F.col("doc_id").alias("k"))
+    return rows.groupBy((F.col("k") % 16).alias("shard")).agg(F.count("*").alias("n"))
+
+
+@query
+def bag_union(spark, sf_dir):
+    a, b = _records(spark, sf_dir).select("page_id", "entity_name"), _validated(spark, sf_dir).where("validation_status = 'failed'").select("page_id", "validation_status")
+    return tables.union_shards([a, b]).groupBy("page_id").agg(F.count("*").alias("n"), F.max("validation_status").alias("status"))

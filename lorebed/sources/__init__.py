@@ -1 +1 @@
-"""sources"""
+"""Readers, writers, configuration and search providers."""

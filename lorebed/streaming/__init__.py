@@ -1 +1 @@
-"""streaming"""
+"""Incremental runs with Structured Streaming."""
