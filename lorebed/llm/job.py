@@ -11,11 +11,21 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Stored tables by their frames' ids; a frame is kept until it is discarded, so that its id stays its own.
+_tables: dict[int, tuple[DataFrame, str]] = {}
+
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
+#: Bytes of an Arrow batch that a task passes to Python at once, unless the session asks for other than Spark's default.
+BATCH_BYTES = 12 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Lets Python workers import this library where they see the driver's files (elsewhere: ``--py-files``)."""
+    """Lets Python workers import this library where they see the driver's files (elsewhere: ``--py-files``), and bounds their batches."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) in ("67108864b", "64MB", "67108864"):
+        spark.conf.set(name, str(BATCH_BYTES))
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in paths:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
@@ -37,7 +47,18 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark)}/lorebed-{uuid.uuid4().hex}"
     df.write.parquet(path)
     release(spark)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _tables[id(out)] = (out, path)
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes stored tables that nothing reads any more."""
+    for df in tables:
+        _, path = _tables.pop(id(df), (None, None))
+        if path:
+            target = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def keyed(id_col: str = "doc_id", text_col: str = "text") -> Column:

@@ -17,7 +17,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .job import keyed, ship, stored, text_or_empty
+from .job import discard, keyed, ship, stored, text_or_empty
 from .textblocks import SPACED, U64, grams, hash_spans, mix, text_blocks, word_spans
 
 _BLOCK_BITS = 16
@@ -144,6 +144,7 @@ def repeated_spans(rows: DataFrame, window: int = 35, gram: int = 12) -> DataFra
     low, high = F.col("h").bitwiseAND(F.lit(mask)), F.shiftrightunsigned("h", 32).bitwiseAND(F.lit(mask))
     runs = runs.join(busy.where("row = 0").select(F.col("cell").alias("low")), low == F.col("low"), "left_semi").join(busy.where("row = 1").select(F.col("cell").alias("high")), high == F.col("high"), "left_semi")
     runs = stored(runs)
+    discard(busy)
     # Whole runs first: alike in all their windows.
     alike = stored(runs.groupBy("h", "ctx").agg(F.count("*").alias("seen"), F.max("twice").alias("twice"), F.min(F.struct("key", "start", "n")).alias("one")))
     twins = runs.join(alike.where("seen > 1").select("h", "ctx"), ["h", "ctx"]).select("key", "start", "n")
@@ -169,10 +170,12 @@ def repeated_spans(rows: DataFrame, window: int = 35, gram: int = 12) -> DataFra
                 columns = [pa.array(h[run]), pa.array(r.hashes[begin[run] + step].view(np.int64)), pa.array(weight[run].astype(np.int32)), batch.column(0).take(pa.array(first + text[run])), pa.array((start[run] + step).astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(columns, names=["h", "w", "weight", "key", "start"])
 
-    windows = with_runs.mapInArrow(explode, "h long, w long, weight int, key binary, start int")
+    windows = stored(with_runs.mapInArrow(explode, "h long, w long, weight int, key binary, start int"))
     often = windows.groupBy("h", "w").agg(F.sum("weight").alias("seen")).where("seen > 1").select("h", "w")
     found = windows.where("weight = 1").join(often, ["h", "w"]).select("key", "start", F.lit(1).alias("n"))
-    return stored(twins.unionByName(found).distinct())
+    spans = stored(twins.unionByName(found).distinct())
+    discard(runs, alike, windows)
+    return spans
 
 
 def _without(data: np.ndarray, offsets: np.ndarray, starts: pa.Array, sizes: pa.Array, window: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
