@@ -1,3 +1,185 @@
-"""Their SQL."""
+"""DuckDB SQL for the registered queries, written on its own and not from the plans."""
 
-ORACLE = {}
+from __future__ import annotations
+
+from ..vocabulary import (
+    CATEGORIES, COMPANY_TEMPLATES, ENTITY_TYPES, FOLLOWUP_COMPANY_TEMPLATES, FOLLOWUP_LOCATION_TEMPLATES, GENERAL_QUERIES, LEGAL_FORMS, LOCATION_TEMPLATES, PAGE_CLAIM_STATUSES, SITE_TERMS, TRACKING_PARAMETERS,
+)
+
+ORACLE: dict[str, str] = {}
+
+
+def _quoted(values) -> str:
+    return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
+
+
+def _rows(values: list[str]) -> str:
+    return ", ".join(f"({k}, '{v}')" for k, v in enumerate(values))
+
+
+_FOLD = "replace(translate(lower({0}), 'µſς', 'μsσ'), 'ß', 'ss')"
+_HASH = "sha1(" + _FOLD.format(r"trim(regexp_replace(text, '\s+', ' ', 'g'), ' ')") + ")"
+_LINE = "split_part(text, chr(10), 1)"
+
+# A url's parts, and its canonical form, for urls with a scheme and no escapes.
+_URL = f"""
+u0 AS (SELECT page_id, url, html, regexp_extract(url, '^([a-z]+)://([^/?#]*)([^?#]*)(?:\\?([^#]*))?', ['scheme', 'host', 'path', 'query']) AS p FROM pages),
+u1 AS (
+  SELECT *, list_sort(list_distinct(list_transform(list_filter(string_split(p.query, '&'), lambda x: x <> '' AND NOT list_contains([{_quoted(TRACKING_PARAMETERS)}], lower(split_part(x, '=', 1)))),
+    lambda x: {{'k': split_part(x, '=', 1), 'v': split_part(x, '=', 2)}}))) AS q FROM u0
+),
+u AS (
+  SELECT page_id, url, split_part(lower(p.host), ':', 1) AS domain, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title,
+    (CASE p.scheme WHEN 'http' THEN 'https' ELSE p.scheme END) || '://' || regexp_replace(lower(p.host), ':(443|80)$', '') || rtrim(p.path, '/')
+      || CASE WHEN len(q) > 0 THEN '?' || array_to_string(list_transform(q, lambda x: x.k || '=' || x.v), '&') ELSE '' END AS normalized_url
+  FROM u1
+)"""
+_PRIORITY = "CASE WHEN contains(domain, 'blog.') THEN 'skip' WHEN contains(domain, '.org') THEN 'high' WHEN contains(domain, 'm.') THEN 'medium' WHEN contains(domain, '.net') THEN 'low' ELSE 'medium' END"
+_RANK = "CASE priority WHEN 'high' THEN 0 WHEN 'medium' THEN 1 WHEN 'low' THEN 2 WHEN 'skip' THEN 3 ELSE 1 END"
+_SUMMARY = f"""
+summary AS (
+  SELECT domain, count(*) AS url_count, arg_min({_PRIORITY}, page_id) AS priority, min(page_id) AS first,
+    coalesce(array_to_string((list(title ORDER BY page_id) FILTER (title <> ''))[1:3], ' | '), '') AS sample_titles
+  FROM u WHERE domain <> '' GROUP BY 1
+)"""
+
+ORACLE["url_normalize"] = f"WITH {_URL} SELECT page_id, normalized_url FROM u"
+ORACLE["url_recompute_changed"] = f"WITH {_URL} SELECT count(*) AS n_rows, count(*) FILTER (normalized_url <> url OR domain <> '') AS n_changed, count(DISTINCT normalized_url) AS n_urls FROM u"
+ORACLE["url_dedupe_label"] = f"WITH {_URL} SELECT page_id, normalized_url, CASE WHEN row_number() OVER (PARTITION BY normalized_url ORDER BY page_id) = 1 THEN 'new' ELSE 'duplicate' END AS status FROM u"
+ORACLE["url_host_counts"] = f"WITH {_URL} SELECT domain AS value, count(*) AS n FROM u GROUP BY 1"
+ORACLE["domain_registered"] = f"WITH {_URL} SELECT array_to_string(string_split(domain, '.')[-2:], '.') AS domain, count(*)::BIGINT AS n FROM u GROUP BY 1"
+ORACLE["url_priority"] = f"WITH {_URL} SELECT page_id, domain, priority, {_RANK} AS rank FROM (SELECT *, {_PRIORITY} AS priority FROM u)"
+ORACLE["priority_counts"] = f"WITH {_URL} SELECT {_PRIORITY} AS value, count(*) AS n FROM u GROUP BY 1"
+ORACLE["domain_summary"] = f"WITH {_URL}, {_SUMMARY} SELECT domain, url_count, priority, sample_titles FROM summary"
+ORACLE["priority_url_sums"] = f"WITH {_URL}, {_SUMMARY} SELECT priority, sum(url_count)::BIGINT AS urls, count(*) AS domains FROM summary GROUP BY 1"
+ORACLE["content_hash_dups"] = f"SELECT doc_id, content_hash, CASE WHEN row_number() OVER (PARTITION BY content_hash ORDER BY doc_id) = 1 THEN 'new' ELSE 'duplicate' END AS status FROM (SELECT doc_id, {_HASH} AS content_hash FROM documents)"
+ORACLE["distinct_first"] = f"SELECT min(doc_id) AS doc_id, arg_min(source, doc_id) AS source, content_hash FROM (SELECT doc_id, source, {_HASH} AS content_hash FROM documents) GROUP BY content_hash"
+
+_WORDS = r"CASE WHEN trim(regexp_replace(text, '\s+', ' ', 'g'), ' ') = '' THEN 0 ELSE len(string_split(trim(regexp_replace(text, '\s+', ' ', 'g'), ' '), ' ')) END"
+_CRAWLED = f"""c AS (
+  SELECT doc_id, source AS domain, CASE quality WHEN 1 THEN 'success' ELSE 'failed' END AS crawl_status, lang AS language, toxic, ({_WORDS})::BIGINT AS word_count, length(text) AS char_count
+  FROM documents JOIN labels USING (doc_id)
+)"""
+ORACLE["crawl_status_report"] = f"""WITH {_CRAWLED}
+SELECT 'status' AS part, crawl_status AS value, count(*) AS n FROM c GROUP BY 2 UNION ALL SELECT 'language', language, count(*) FROM c WHERE crawl_status = 'success' GROUP BY 2
+UNION ALL SELECT 'failed_domain', domain, count(*) FROM c WHERE crawl_status = 'failed' GROUP BY 2 UNION ALL SELECT 'duplicates', '', count(*) FILTER (toxic = 1) FROM c"""
+ORACLE["lang_top10"] = f"WITH {_CRAWLED} SELECT language AS value, count(*) AS n FROM c WHERE crawl_status = 'success' GROUP BY 1 ORDER BY n DESC, min(doc_id) LIMIT 10"
+ORACLE["failed_domains_top10"] = f"WITH {_CRAWLED} SELECT domain AS value, count(*) AS n FROM c WHERE crawl_status = 'failed' GROUP BY 1 ORDER BY n DESC, min(doc_id) LIMIT 10"
+ORACLE["value_counts"] = "SELECT source AS value, count(*) AS n FROM documents WHERE source IS NOT NULL GROUP BY 1"
+ORACLE["status_pivot"] = "SELECT user_id % 10 AS bucket, " + ", ".join(f"count(*) FILTER (event_type = '{t}') AS {t}" for t in ("view", "click", "signup", "error", "purchase")) + " FROM events GROUP BY 1"
+ORACLE["describe_lengths"] = f"WITH {_CRAWLED} " + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count({c}) AS n, avg({c}) AS mean, stddev_samp({c}) AS std, min({c})::DOUBLE AS min, quantile_cont({c}, 0.25) AS q25, quantile_cont({c}, 0.5) AS q50, quantile_cont({c}, 0.75) AS q75, max({c})::DOUBLE AS max FROM c" for c in ("word_count", "char_count")
+)
+ORACLE["success_columns"] = f"WITH {_CRAWLED} SELECT doc_id AS _ord, domain, language, char_count FROM c WHERE crawl_status = 'success' AND word_count >= 20"
+
+ORACLE["query_expand"] = f"""WITH {_URL},
+domains AS (SELECT domain, min(page_id) AS seed FROM u GROUP BY 1),
+companies AS (SELECT p_name AS company, min(p_partkey) AS seed FROM part GROUP BY 1),
+every AS (
+  SELECT 0 AS branch, t::BIGINT AS seed, 0 AS t, q AS query, 'general' AS source_type FROM (VALUES {_rows(GENERAL_QUERIES)}) g(t, q)
+  UNION ALL SELECT 2, seed, t, 'site:' || domain || ' ' || q, 'site' FROM domains, (VALUES {_rows(SITE_TERMS)}) g(t, q) WHERE seed % 2 = 0
+  UNION ALL SELECT 3, n_nationkey, t, replace(q, '{{location}}', n_name), 'location' FROM nation, (VALUES {_rows(LOCATION_TEMPLATES)}) g(t, q)
+  UNION ALL SELECT 4, seed, t, replace(q, '{{company}}', company), 'company' FROM companies, (VALUES {_rows(COMPANY_TEMPLATES)}) g(t, q)
+)
+SELECT branch, seed, t, query, source_type FROM every QUALIFY row_number() OVER (PARTITION BY lower(query) ORDER BY branch, seed, t) = 1"""
+
+
+def _queries(low: int, high: int) -> str:
+    return f"(SELECT p_partkey AS n, p_brand || ' ' || CASE WHEN p_partkey % 3 = 0 THEN upper(p_name) ELSE p_name END AS query, p_type AS source_type FROM part WHERE p_partkey % 100 >= {low} AND p_partkey % 100 < {high})"
+
+
+ORACLE["query_upsert"] = f"""WITH old AS (SELECT *, lower(query) AS key FROM {_queries(0, 40)}),
+kept AS (SELECT 0 AS part, min(n) AS n, arg_max(query, n) AS query, arg_max(source_type, n) AS source_type, '0' AS iteration, 'done' AS status FROM old GROUP BY key),
+fresh AS (SELECT *, lower(query) AS key FROM {_queries(30, 80)} WHERE lower(query) NOT IN (SELECT key FROM old) QUALIFY row_number() OVER (PARTITION BY lower(query) ORDER BY n) = 1)
+SELECT * FROM kept UNION ALL SELECT 1, n, query, source_type, '0', 'pending' FROM fresh"""
+ORACLE["query_followup"] = f"""WITH e AS (SELECT p_partkey AS entity, p_name, CASE WHEN p_size > 10 THEN 'company' ELSE 'location' END AS source_type FROM part),
+t(kind, t, q) AS (VALUES {", ".join(f"('company', {k}, '{v}')" for k, v in enumerate(FOLLOWUP_COMPANY_TEMPLATES))}, {", ".join(f"('location', {k}, '{v}')" for k, v in enumerate(FOLLOWUP_LOCATION_TEMPLATES))}),
+f AS (SELECT entity, t, replace(replace(q, '{{company}}', p_name), '{{location}}', p_name) AS query, source_type FROM e JOIN t ON kind = source_type)
+SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY lower(query) ORDER BY entity, t) = 1"""
+ORACLE["query_merge_cap"] = f"""WITH f AS (SELECT * FROM {_queries(0, 90)} WHERE lower(query) NOT IN (SELECT lower(query) FROM {_queries(0, 10)}) QUALIFY row_number() OVER (PARTITION BY lower(query) ORDER BY n) = 1)
+SELECT row_number() OVER (ORDER BY n) AS n, query, source_type, '1' AS iteration FROM (SELECT * FROM f ORDER BY n LIMIT 100)"""
+ORACLE["query_known_keys"] = f"""WITH a AS (SELECT DISTINCT lower(query) AS key FROM {_queries(0, 40)}), b AS (SELECT DISTINCT lower(query) AS key FROM {_queries(30, 80)})
+SELECT key, 'both' AS part FROM (SELECT * FROM a INTERSECT SELECT * FROM b) UNION ALL SELECT key, 'first' FROM (SELECT * FROM a EXCEPT SELECT * FROM b)"""
+ORACLE["search_mock_candidates"] = f"""WITH q AS (SELECT * FROM {_queries(0, 5)}), kinds AS (SELECT query, arg_min(source_type, n) AS source_type FROM q GROUP BY 1)
+SELECT 'https://r' || k || '.example.com/' AS url, 'Result ' || k AS title, k::VARCHAR AS snippet, q.query AS query_used, 'mock' AS search_engine, (k + 1)::VARCHAR AS rank, kinds.source_type, 'new' AS status
+FROM q JOIN kinds USING (query), (VALUES (0), (1), (3), (4)) r(k)"""
+
+
+def _made(low: int, high: int) -> str:
+    return f"""(SELECT page_id, normalized_url, priority, CASE priority WHEN 'high' THEN 'queued' WHEN 'medium' THEN 'queued' WHEN 'low' THEN 'needs_review' WHEN 'skip' THEN 'rejected' ELSE 'needs_review' END AS status
+FROM (SELECT page_id, normalized_url, CASE WHEN page_id % 7 = 0 THEN '' ELSE {_PRIORITY} END AS priority FROM u) WHERE page_id % 10 >= {low} AND page_id % 10 < {high})"""
+
+
+def _old(low: int, high: int) -> str:
+    return f"(SELECT page_id, normalized_url, priority, CASE WHEN page_id % 3 = 0 THEN 'failed' ELSE 'crawled' END AS status, page_id % 5 AS retry_count FROM {_made(low, high)} QUALIFY row_number() OVER (PARTITION BY normalized_url ORDER BY page_id) = 1)"
+
+
+ORACLE["frontier_build"] = f"WITH {_URL} SELECT page_id, normalized_url, priority, status, 'seed' AS discovered_from, 0 AS retry_count FROM {_made(0, 10)}"
+ORACLE["frontier_upsert"] = f"""WITH {_URL}, a AS (SELECT * FROM {_old(0, 6)}), b AS (SELECT * FROM {_made(4, 10)} QUALIFY row_number() OVER (PARTITION BY normalized_url ORDER BY page_id) = 1)
+SELECT coalesce(a.normalized_url, b.normalized_url) AS normalized_url, coalesce(b.priority, a.priority) AS priority, coalesce(a.status, b.status) AS status, coalesce(a.retry_count, 0) AS retry_count, a.normalized_url IS NULL AS inserted
+FROM a FULL JOIN b ON a.normalized_url = b.normalized_url"""
+_REQUEUED = f"SELECT *, status = 'failed' AND retry_count < 3 AS requeued FROM {_old(0, 10)}"
+ORACLE["frontier_requeue"] = f"WITH {_URL} SELECT normalized_url, CASE WHEN requeued THEN 'queued' ELSE status END AS status, retry_count + requeued::INT AS retry_count, requeued FROM ({_REQUEUED})"
+ORACLE["frontier_counts"] = f"WITH {_URL} SELECT status, count(*) AS n FROM {_made(0, 10)} GROUP BY 1"
+ORACLE["frontier_next_batch"] = f"WITH {_URL} SELECT page_id AS frontier_id, normalized_url, priority FROM ({_REQUEUED}) WHERE requeued AND priority IN ('high', 'medium') ORDER BY page_id LIMIT 1000"
+
+_FOLDED = lambda c: _FOLD.format(rf"trim(regexp_replace(coalesce({c}, ''), '\s+', ' ', 'g'), ' ')")
+_RECORDS = f"""r AS (
+  SELECT d.doc_id, 'page_' || lpad(d.doc_id::VARCHAR, 6, '0') AS page_id, 'https://' || d.source || '.example.com/' AS source_url, split_part({_LINE.replace("text", "d.text")}, ' ', 1) AS entity_name,
+    CASE WHEN d.doc_id % 7 = 3 THEN '' WHEN d.doc_id % 3 = 0 THEN coalesce({_LINE.replace("text", "o.text")}, '') ELSE {_LINE.replace("text", "d.text")} END AS evidence_text,
+    [{_quoted([*ENTITY_TYPES, "not_a_type"])}][d.doc_id % 14 + 1] AS entity_type, CASE WHEN d.doc_id % 7 = 5 THEN 'no_category' ELSE 'logistics' END AS category, CASE WHEN d.doc_id % 7 = 6 THEN 'cancelled' ELSE 'announced' END AS claim_status,
+    greatest(0.0, least(1.0, d.n_chars / 1000))::DOUBLE AS score, d.text, {_LINE.replace("text", "d.text")} AS fact
+  FROM documents d LEFT JOIN documents o ON d.doc_id = o.doc_id + 1
+),
+g AS (SELECT *, {_FOLDED("evidence_text")} <> '' AND {_FOLDED("text")} <> '' AND contains({_FOLDED("text")}, {_FOLDED("evidence_text")}) AS is_grounded FROM r),
+v AS (
+  SELECT *, list_filter([
+    CASE WHEN trim(entity_name) = '' THEN 'missing_entity_name' END, CASE WHEN trim(evidence_text) = '' THEN 'missing_evidence' END, CASE WHEN entity_type NOT IN ({_quoted(ENTITY_TYPES)}) THEN 'invalid_entity_type' END,
+    CASE WHEN category NOT IN ({_quoted(CATEGORIES)}) THEN 'invalid_category' END, CASE WHEN claim_status NOT IN ({_quoted(PAGE_CLAIM_STATUSES)}) THEN 'invalid_claim_status' END, CASE WHEN score < 0.3 THEN 'low_confidence' END,
+    CASE WHEN trim(evidence_text) <> '' AND NOT is_grounded THEN 'unsupported_claim' END], lambda x: x IS NOT NULL) AS reasons
+  FROM g
+)"""
+ORACLE["grounding_exact"] = f"WITH {_RECORDS} SELECT page_id, is_grounded FROM g"
+ORACLE["fact_dedupe"] = f"""WITH {_RECORDS}
+SELECT page_id, CASE WHEN k > 1 THEN 'failed' ELSE '' END AS validation_status, CASE WHEN k > 1 THEN 'duplicate_record' ELSE '' END AS reasons
+FROM (SELECT page_id, row_number() OVER (PARTITION BY source_url, {_FOLD.format("trim(entity_name)")}, {_FOLDED("evidence_text")} ORDER BY doc_id) AS k FROM r)"""
+ORACLE["record_validate_reasons"] = f"WITH {_RECORDS} SELECT page_id, CASE WHEN len(reasons) = 0 THEN 'passed' ELSE 'failed' END AS validation_status, array_to_string(reasons, ';') AS reasons, round(least(score, 0.95), 6) AS confidence FROM v"
+ORACLE["reasons_explode_counts"] = f"WITH {_RECORDS} SELECT value, count(*) AS n FROM (SELECT unnest(reasons) AS value FROM v) GROUP BY 1"
+ORACLE["validation_totals"] = f"WITH {_RECORDS} SELECT count(*) FILTER (len(reasons) = 0) AS passed, count(*) FILTER (len(reasons) > 0) AS failed, count(*) AS records FROM v"
+ORACLE["wiki_id"] = f"WITH {_RECORDS} SELECT page_id, substr(sha256(source_url || chr(1) || entity_name || chr(1) || evidence_text), 1, 16) AS wiki_id FROM r"
+ORACLE["bag_union"] = f"WITH {_RECORDS} SELECT page_id, 1 + (len(reasons) > 0)::BIGINT AS n, CASE WHEN len(reasons) > 0 THEN 'failed' END AS status FROM v"
+ORACLE["entity_profiles"] = f"""WITH {_RECORDS}
+SELECT lower(entity_name) AS canonical_name, array_to_string(list_sort(list(DISTINCT entity_name)), ';') AS aliases, arg_min(entity_type, doc_id) AS entity_type,
+  count(DISTINCT {{'u': source_url, 'e': evidence_text}}) AS n_sources, count(DISTINCT fact) AS n_facts FROM r GROUP BY 1"""
+ORACLE["markdown_round_trip"] = f"WITH {_RECORDS} SELECT page_id, entity_name AS title, entity_type, 1::BIGINT AS n_facts, evidence_text AS fact FROM r"
+
+_URLS = "'https://c.example.com/' || conv_id || '/' || turn"
+_ENTITIES = f"""e AS (
+  SELECT conv_id, 'Entity ' || conv_id AS canonical_name, list({{'turn': turn, 'url': {_URLS}, 'role': role, 'line': {_LINE}, 'text': text}} ORDER BY turn) AS sources, arg_min({_LINE}, turn) AS overview, conv_id % 2 = 0 AS even,
+    CASE WHEN conv_id % 3 = 0 THEN '2020' ELSE '' END AS span FROM conversations GROUP BY conv_id
+)"""
+ORACLE["sources_explode"] = f"SELECT 'Entity ' || conv_id AS canonical_name, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS place, {_URLS} AS source_url, role AS source_title, 'c.example.com' AS source_domain, {_LINE} AS evidence_text, 'announced' AS claim_status FROM conversations"
+ORACLE["sources_rollup"] = f"WITH {_ENTITIES} SELECT canonical_name, CASE WHEN even THEN len(sources) ELSE 9 END AS source_count, array_to_string(list_filter(list_transform(sources, lambda s: s.url), lambda u: ends_with(u, '1')), ', ') AS urls FROM e"
+ORACLE["final_wiki_rows"] = f"""WITH {_ENTITIES} SELECT canonical_name, overview, CASE WHEN even THEN len(sources) ELSE 9 END AS source_count, CASE WHEN even THEN '["Bryan County","Jackson County"]' ELSE '[]' END AS locations, '[]' AS aliases,
+  CASE WHEN even THEN 'stale' ELSE 'fresh' END AS currency, len(sources) AS n_sources FROM e"""
+_ENDING = "CASE WHEN span <> '' AND even THEN ' (as of 2020; currency: stale)' WHEN span <> '' THEN ' (as of 2020)' WHEN even THEN ' (currency: stale)' ELSE '' END || ' Source: ' || sources[1].url"
+ORACLE["finetune_examples"] = rf"""WITH {_ENTITIES}, x AS (SELECT *, regexp_replace(overview, '^\s+|\s+$', '', 'g') AS o, {_ENDING} AS ending FROM e)
+SELECT conv_id, 0 AS k, 'What does ' || canonical_name || ' do in Georgia''s EV supply chain?' AS instruction, o || ending AS output FROM x WHERE o <> ''
+UNION ALL SELECT conv_id, 1, 'Where does ' || canonical_name || ' operate in Georgia?', canonical_name || ' operates in Bryan County, Jackson County based on the sources.' || ending FROM x WHERE o <> '' AND even"""
+ORACLE["wiki_listing"] = f"WITH {_ENTITIES} SELECT canonical_name, '- [[entity-' || conv_id || '|' || canonical_name || ']]' || CASE WHEN even THEN ' _(Bryan County)_' ELSE '' END || ' — ' || split_part(overview, '.', 1) AS line FROM e"
+ORACLE["entity_demotion"] = f"""WITH {_ENTITIES}, s AS (SELECT canonical_name, unnest(sources) AS s FROM e),
+t AS (SELECT canonical_name, s.turn AS turn, s.url AS url, s.turn % 2 = 0 AND {_FOLDED("s.line")} <> '' AND contains({_FOLDED("s.text")}, {_FOLDED("s.line")}) AS ok FROM s)
+SELECT canonical_name, bool_or(ok) AS kept, coalesce('Ungrounded sources: ' || string_agg(url, ', ' ORDER BY turn) FILTER (NOT ok), '') AS notes, count(*)::INT AS n_sources FROM t GROUP BY 1"""
+
+ORACLE["currency_bucket"] = """WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 1 THEN date_trunc('month', o_orderdate)::DATE WHEN o_orderkey % 10 > 1 THEN o_orderdate::DATE END AS d FROM orders),
+a AS (SELECT *, (2001 - year(d)) * 12 + 8 - month(d) - (day(d) > 1)::INT AS age FROM o)
+SELECT o_orderkey, CASE WHEN d IS NULL THEN 'undated' WHEN age < 12 THEN 'fresh' WHEN age < 24 THEN 'aging' ELSE 'stale' END AS currency, CASE WHEN d IS NULL THEN 'none' WHEN o_orderkey % 10 = 1 THEN 'month' ELSE 'day' END AS precision FROM a"""
+ORACLE["confidence_clamp"] = "SELECT event_id, round(CASE WHEN event_id % 11 = 0 OR event_id % 13 = 0 OR event_id % 17 = 0 THEN 0 ELSE greatest(0, least(1, value / 40)) END, 9) AS confidence FROM events"
+ORACLE["event_keys"] = "SELECT event_type, sum((props->>'$.k')::BIGINT)::BIGINT AS k_sum, count(*) AS n FROM events GROUP BY 1"
+ORACLE["page_id_format"] = "SELECT doc_id, printf('page_%06d', doc_id) AS page_id, printf('page_%06d', doc_id + 123456789) AS long_id FROM documents"
+ORACLE["text_metrics"] = f"""SELECT doc_id, ({_WORDS})::BIGINT AS words, length(text) AS chars,
+  regexp_replace(left(regexp_replace(regexp_replace(lower({_LINE}), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 60), '-+$', '') AS slug FROM documents"""
+ORACLE["name_normalize"] = f"""SELECT p_partkey, regexp_replace(trim(regexp_replace(lower(p_name || CASE p_partkey % 3 WHEN 0 THEN ', Inc.' WHEN 1 THEN ' LLC' ELSE '' END), '[^a-z0-9]+', ' ', 'g')), '( ({"|".join(LEGAL_FORMS)}))+$', '') AS name FROM part"""
+ORACLE["name_aliases"] = "SELECT p_partkey, CASE WHEN p_name IN ('red widget', 'blue widget') THEN 'widget works' ELSE p_name END AS canonical_name FROM part"
+ORACLE["rollup_counts"] = "SELECT p_type AS category, p_brand AS county, count(*) AS entities, sum(p_size % 4)::BIGINT AS facilities, count(DISTINCT p_name) AS sources FROM part GROUP BY ROLLUP (p_type, p_brand)"
+ORACLE["shard_sizes"] = "SELECT doc_id % 16 AS shard, count(*) AS n FROM documents GROUP BY 1"
