@@ -40,8 +40,11 @@ def ratio(a: str, b: str) -> float:
     return 200.0 * int(_common(a, row)[0]) / (len(a) + len(b))
 
 
-def partial_ratio(a: str, b: str) -> float:
-    """The best ratio of the shorter string with a stretch of the longer of its length, or a shorter one at either end."""
+def partial_ratio(a: str, b: str, cutoff: float = 0.0) -> float:
+    """The best ratio of the shorter string with a stretch of the longer of its length, or a shorter one at either end.
+
+    0 if that is below the cutoff, which saves looking at most stretches.
+    """
     if len(a) > len(b):
         a, b = b, a
     if not a:
@@ -51,18 +54,39 @@ def partial_ratio(a: str, b: str) -> float:
     m = len(a)
     points = np.frombuffer(b.encode("utf-32-le"), dtype=np.uint32)
     padded = np.concatenate([np.zeros(m - 1, np.uint32), points, np.zeros(m - 1, np.uint32)])
-    best = 0.0
-    for first in range(0, len(padded) - m + 1, 4096):
-        windows = np.lib.stride_tricks.sliding_window_view(padded[first : first + 4096 + m - 1], m)
-        size = (windows != 0).sum(axis=1)
-        best = max(best, float((200.0 * _common(a, windows) / (m + size)).max()))
-    return best
+    windows = np.lib.stride_tricks.sliding_window_view(padded, m)
+    places = np.arange(len(windows))
+    size = np.minimum(np.minimum(places + 1, m), len(windows) - places)
+    # Windows one place apart have common subsequences that differ by one at most, so a coarse grid bounds what lies between.
+    bound = np.minimum(size, m)
+    known = np.zeros(len(windows), dtype=bool)
+    best, found, stride = max(0.0, cutoff - 1e-9), 0.0, 1 << max(0, (m // 2).bit_length() - 1)
+    while stride:
+        open_ = np.flatnonzero(~known[::stride] & (200.0 * bound[::stride] > best * (m + size[::stride]))) * stride
+        for part in np.array_split(open_, max(1, len(open_) * m >> 21)):
+            if len(part):
+                bound[part] = _common(a, windows[part])
+                known[part] = True
+                found = max(found, float((200.0 * bound[part] / (m + size[part])).max()))
+                best = max(best, found)
+        bound = np.minimum(np.minimum.accumulate(bound - places) + places, np.minimum.accumulate((bound + places)[::-1])[::-1] - places)
+        stride >>= 1
+    return found if found >= cutoff else 0.0
 
 
 def token_sort_ratio(a: str, b: str) -> float:
     return ratio(" ".join(sorted(a.split())), " ".join(sorted(b.split())))
 
 
+def partial_at_least(threshold: float):
+    """A UDF of two texts: whether their partial ratio is the threshold or more."""
+
+    def run(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([x is not None and y is not None and partial_ratio(x, y, threshold) >= threshold for x, y in zip(a, b)], dtype=bool)
+
+    return F.pandas_udf(run, T.BooleanType())
+
+
 def _pairwise(function):
     def run(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([None if x is None or y is None else function(x, y) for x, y in zip(a, b)], dtype="float64")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.fuzzy import partial_ratio_udf
+from ..functions.fuzzy import partial_at_least
 from ..functions.records import confidence
 from ..functions.text import fold_spaces, strip
 from ..vocabulary import CATEGORIES, ENTITY_TYPES, GROUNDING_THRESHOLD, MAX_UNVALIDATED_CONFIDENCE, MIN_CONFIDENCE, PAGE_CLAIM_STATUSES
@@ -34,7 +34,7 @@ def grounded(rows: DataFrame, evidence: str = "evidence_text", page: str = "page
     if not fuzzy:
         return rows
     open_ = ~F.col("is_grounded") & (a != "") & (b != "")
-    close = rows.where(open_).withColumn("is_grounded", partial_ratio_udf(a, b) >= threshold)
+    close = rows.where(open_).withColumn("is_grounded", partial_at_least(threshold)(a, b))
     return rows.where(~open_).unionByName(close)
 
 

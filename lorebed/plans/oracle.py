@@ -85,42 +85,42 @@ SELECT branch, seed, t, query, source_type FROM every QUALIFY row_number() OVER
 
 
 def _queries(low: int, high: int) -> str:
-    return f"(SELECT p_partkey AS n, p_brand || ' ' || CASE WHEN p_partkey % 3 = 0 THEN upper(p_name) ELSE p_name END AS query, p_type AS source_type FROM part WHERE p_partkey % 100 >= {low} AND p_partkey % 100 < {high})"
+    return f"(SELECT p_partkey AS n, p_brand || ' ' || CASE WHEN p_partkey % 3 = 0 THEN upper(p_name) ELSE p_name END AS query, p_type AS source_type FROM part WHERE p_size >= {low} AND p_size < {high})"
 
 
-ORACLE["query_upsert"] = f"""WITH old AS (SELECT *, lower(query) AS key FROM {_queries(0, 40)}),
+ORACLE["query_upsert"] = f"""WITH old AS (SELECT *, lower(query) AS key FROM {_queries(0, 25)}),
 kept AS (SELECT 0 AS part, min(n) AS n, arg_max(query, n) AS query, arg_max(source_type, n) AS source_type, '0' AS iteration, 'done' AS status FROM old GROUP BY key),
-fresh AS (SELECT *, lower(query) AS key FROM {_queries(30, 80)} WHERE lower(query) NOT IN (SELECT key FROM old) QUALIFY row_number() OVER (PARTITION BY lower(query) ORDER BY n) = 1)
+fresh AS (SELECT *, lower(query) AS key FROM {_queries(15, 60)} WHERE lower(query) NOT IN (SELECT key FROM old) QUALIFY row_number() OVER (PARTITION BY lower(query) ORDER BY n) = 1)
 SELECT * FROM kept UNION ALL SELECT 1, n, query, source_type, '0', 'pending' FROM fresh"""
 ORACLE["query_followup"] = f"""WITH e AS (SELECT p_partkey AS entity, p_name, CASE WHEN p_size > 10 THEN 'company' ELSE 'location' END AS source_type FROM part),
 t(kind, t, q) AS (VALUES {", ".join(f"('company', {k}, '{v}')" for k, v in enumerate(FOLLOWUP_COMPANY_TEMPLATES))}, {", ".join(f"('location', {k}, '{v}')" for k, v in enumerate(FOLLOWUP_LOCATION_TEMPLATES))}),
 f AS (SELECT entity, t, replace(replace(q, '{{company}}', p_name), '{{location}}', p_name) AS query, source_type FROM e JOIN t ON kind = source_type)
 SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY lower(query) ORDER BY entity, t) = 1"""
-ORACLE["query_merge_cap"] = f"""WITH f AS (SELECT * FROM {_queries(0, 90)} WHERE lower(query) NOT IN (SELECT lower(query) FROM {_queries(0, 10)}) QUALIFY row_number() OVER (PARTITION BY lower(query) ORDER BY n) = 1)
+ORACLE["query_merge_cap"] = f"""WITH f AS (SELECT * FROM {_queries(0, 60)} WHERE lower(query) NOT IN (SELECT lower(query) FROM {_queries(0, 5)}) QUALIFY row_number() OVER (PARTITION BY lower(query) ORDER BY n) = 1)
 SELECT row_number() OVER (ORDER BY n) AS n, query, source_type, '1' AS iteration FROM (SELECT * FROM f ORDER BY n LIMIT 100)"""
-ORACLE["query_known_keys"] = f"""WITH a AS (SELECT DISTINCT lower(query) AS key FROM {_queries(0, 40)}), b AS (SELECT DISTINCT lower(query) AS key FROM {_queries(30, 80)})
+ORACLE["query_known_keys"] = f"""WITH a AS (SELECT DISTINCT lower(query) AS key FROM {_queries(0, 25)}), b AS (SELECT DISTINCT lower(query) AS key FROM {_queries(15, 60)})
 SELECT key, 'both' AS part FROM (SELECT * FROM a INTERSECT SELECT * FROM b) UNION ALL SELECT key, 'first' FROM (SELECT * FROM a EXCEPT SELECT * FROM b)"""
-ORACLE["search_mock_candidates"] = f"""WITH q AS (SELECT * FROM {_queries(0, 5)}), kinds AS (SELECT query, arg_min(source_type, n) AS source_type FROM q GROUP BY 1)
+ORACLE["search_mock_candidates"] = f"""WITH q AS (SELECT * FROM {_queries(0, 60)}), kinds AS (SELECT query, arg_min(source_type, n) AS source_type FROM q GROUP BY 1)
 SELECT 'https://r' || k || '.example.com/' AS url, 'Result ' || k AS title, k::VARCHAR AS snippet, q.query AS query_used, 'mock' AS search_engine, (k + 1)::VARCHAR AS rank, kinds.source_type, 'new' AS status
 FROM q JOIN kinds USING (query), (VALUES (0), (1), (3), (4)) r(k)"""
 
 
-def _made(low: int, high: int) -> str:
+def _made(without: str = "") -> str:
     return f"""(SELECT page_id, normalized_url, priority, CASE priority WHEN 'high' THEN 'queued' WHEN 'medium' THEN 'queued' WHEN 'low' THEN 'needs_review' WHEN 'skip' THEN 'rejected' ELSE 'needs_review' END AS status
-FROM (SELECT page_id, normalized_url, CASE WHEN page_id % 7 = 0 THEN '' ELSE {_PRIORITY} END AS priority FROM u) WHERE page_id % 10 >= {low} AND page_id % 10 < {high})"""
+FROM (SELECT page_id, normalized_url, CASE WHEN page_id % 7 = 0 THEN '' ELSE {_PRIORITY} END AS priority FROM u) WHERE NOT contains(normalized_url, '{without or '|'}'))"""
 
 
-def _old(low: int, high: int) -> str:
-    return f"(SELECT page_id, normalized_url, priority, CASE WHEN page_id % 3 = 0 THEN 'failed' ELSE 'crawled' END AS status, page_id % 5 AS retry_count FROM {_made(low, high)} QUALIFY row_number() OVER (PARTITION BY normalized_url ORDER BY page_id) = 1)"
+def _old(without: str = "") -> str:
+    return f"(SELECT page_id, normalized_url, priority, CASE WHEN page_id % 3 = 0 THEN 'failed' ELSE 'crawled' END AS status, page_id % 5 AS retry_count FROM {_made(without)} QUALIFY row_number() OVER (PARTITION BY normalized_url ORDER BY page_id) = 1)"
 
 
-ORACLE["frontier_build"] = f"WITH {_URL} SELECT page_id, normalized_url, priority, status, 'seed' AS discovered_from, 0 AS retry_count FROM {_made(0, 10)}"
-ORACLE["frontier_upsert"] = f"""WITH {_URL}, a AS (SELECT * FROM {_old(0, 6)}), b AS (SELECT * FROM {_made(4, 10)} QUALIFY row_number() OVER (PARTITION BY normalized_url ORDER BY page_id) = 1)
+ORACLE["frontier_build"] = f"WITH {_URL} SELECT page_id, normalized_url, priority, status, 'seed' AS discovered_from, 0 AS retry_count FROM {_made()}"
+ORACLE["frontier_upsert"] = f"""WITH {_URL}, a AS (SELECT * FROM {_old("/fr/")}), b AS (SELECT * FROM {_made("/de/")} QUALIFY row_number() OVER (PARTITION BY normalized_url ORDER BY page_id) = 1)
 SELECT coalesce(a.normalized_url, b.normalized_url) AS normalized_url, coalesce(b.priority, a.priority) AS priority, coalesce(a.status, b.status) AS status, coalesce(a.retry_count, 0) AS retry_count, a.normalized_url IS NULL AS inserted
 FROM a FULL JOIN b ON a.normalized_url = b.normalized_url"""
-_REQUEUED = f"SELECT *, status = 'failed' AND retry_count < 3 AS requeued FROM {_old(0, 10)}"
+_REQUEUED = f"SELECT *, status = 'failed' AND retry_count < 3 AS requeued FROM {_old()}"
 ORACLE["frontier_requeue"] = f"WITH {_URL} SELECT normalized_url, CASE WHEN requeued THEN 'queued' ELSE status END AS status, retry_count + requeued::INT AS retry_count, requeued FROM ({_REQUEUED})"
-ORACLE["frontier_counts"] = f"WITH {_URL} SELECT status, count(*) AS n FROM {_made(0, 10)} GROUP BY 1"
+ORACLE["frontier_counts"] = f"WITH {_URL} SELECT status, count(*) AS n FROM {_made()} GROUP BY 1"
 ORACLE["frontier_next_batch"] = f"WITH {_URL} SELECT page_id AS frontier_id, normalized_url, priority FROM ({_REQUEUED}) WHERE requeued AND priority IN ('high', 'medium') ORDER BY page_id LIMIT 1000"
 
 _FOLDED = lambda c: _FOLD.format(rf"trim(regexp_replace(coalesce({c}, ''), '\s+', ' ', 'g'), ' ')")
@@ -168,7 +168,7 @@ SELECT conv_id, 0 AS k, 'What does ' || canonical_name || ' do in Georgia''s EV
 UNION ALL SELECT conv_id, 1, 'Where does ' || canonical_name || ' operate in Georgia?', canonical_name || ' operates in Bryan County, Jackson County based on the sources.' || ending FROM x WHERE o <> '' AND even"""
 ORACLE["wiki_listing"] = f"WITH {_ENTITIES} SELECT canonical_name, '- [[entity-' || conv_id || '|' || canonical_name || ']]' || CASE WHEN even THEN ' _(Bryan County)_' ELSE '' END || ' — ' || split_part(overview, '.', 1) AS line FROM e"
 ORACLE["entity_demotion"] = f"""WITH {_ENTITIES}, s AS (SELECT canonical_name, unnest(sources) AS s FROM e),
-t AS (SELECT canonical_name, s.turn AS turn, s.url AS url, s.turn % 2 = 0 AND {_FOLDED("s.line")} <> '' AND contains({_FOLDED("s.text")}, {_FOLDED("s.line")}) AS ok FROM s)
+t AS (SELECT canonical_name, s.turn AS turn, s.url AS url, s.role = 'user' AND {_FOLDED("s.line")} <> '' AND contains({_FOLDED("s.text")}, {_FOLDED("s.line")}) AS ok FROM s)
 SELECT canonical_name, bool_or(ok) AS kept, coalesce('Ungrounded sources: ' || string_agg(url, ', ' ORDER BY turn) FILTER (NOT ok), '') AS notes, count(*)::INT AS n_sources FROM t GROUP BY 1"""
 
 ORACLE["currency_bucket"] = """WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 1 THEN date_trunc('month', o_orderdate)::DATE WHEN o_orderkey % 10 > 1 THEN o_orderdate::DATE END AS d FROM orders),

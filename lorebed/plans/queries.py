@@ -192,16 +192,16 @@ def query_expand(spark, sf_dir):
 
 
 def _queries(spark, sf_dir, low, high):
-    """The part names in a range of keys as queries, of which some differ in case only."""
-    rows = _read(spark, sf_dir, "part").where((F.col("p_partkey") % 100 >= low) & (F.col("p_partkey") % 100 < high))
+    """The names of the parts in a range of sizes as queries, of which some differ in case only."""
+    rows = _read(spark, sf_dir, "part").where((F.col("p_size") >= low) & (F.col("p_size") < high))
     name = F.when(F.col("p_partkey") % 3 == 0, F.upper("p_name")).otherwise(F.col("p_name"))
     return rows.select(F.col("p_partkey").alias("_ord"), F.concat("p_brand", F.lit(" "), name).alias("query"), F.col("p_type").alias("source_type"))
 
 
 @query
 def query_upsert(spark, sf_dir):
-    old = _queries(spark, sf_dir, 0, 40).withColumns({"iteration": F.lit("0"), "status": F.lit("done")})
-    return discovery.upsert_queries(old, _queries(spark, sf_dir, 30, 80)).select("part", F.col("_ord").alias("n"), "query", "source_type", "iteration", "status")
+    old = _queries(spark, sf_dir, 0, 25).withColumns({"iteration": F.lit("0"), "status": F.lit("done")})
+    return discovery.upsert_queries(old, _queries(spark, sf_dir, 15, 60)).select("part", F.col("_ord").alias("n"), "query", "source_type", "iteration", "status")
 
 
 def _found_entities(spark, sf_dir):
@@ -215,30 +215,32 @@ def query_followup(spark, sf_dir):
 
 @query
 def query_merge_cap(spark, sf_dir):
-    new = _queries(spark, sf_dir, 0, 90).withColumn("t", F.lit(0))
-    return discovery.merge_new(new, _queries(spark, sf_dir, 0, 10), 1)
+    new = _queries(spark, sf_dir, 0, 60).withColumn("t", F.lit(0))
+    return discovery.merge_new(new, _queries(spark, sf_dir, 0, 5), 1)
 
 
 @query
 def query_known_keys(spark, sf_dir):
-    a, b = (_queries(spark, sf_dir, *r).select(X.casefold(F.col("query")).alias("key")) for r in ((0, 40), (30, 80)))
+    a, b = (_queries(spark, sf_dir, *r).select(X.casefold(F.col("query")).alias("key")) for r in ((0, 25), (15, 60)))
     both = a.join(b.distinct(), "key", "left_semi").distinct().select("key", F.lit("both").alias("part"))
     return both.unionByName(a.distinct().join(b, "key", "left_anti").select("key", F.lit("first").alias("part")))
 
 
 def _search_results(spark, sf_dir):
     fixture = [{"title": f"Result {k}", "url": "" if k == 2 else f"https://r{k}.example.com/", "snippet": str(k)} for k in range(5)]
-    return search.search(_queries(spark, sf_dir, 0, 5), [search.mock(fixture)])
+    return search.search(_queries(spark, sf_dir, 0, 60), [search.mock(fixture)])
 
 
 @query
 def search_mock_candidates(spark, sf_dir):
-    kinds = dedupe.first_of(_queries(spark, sf_dir, 0, 5), ["query"], "_ord")
+    kinds = dedupe.first_of(_queries(spark, sf_dir, 0, 60), ["query"], "_ord")
     return search.candidates(_search_results(spark, sf_dir), "2024-01-01", kinds).select("url", "title", "snippet", "query_used", "search_engine", "rank", "source_type", "status")
 
 
-def _frontier(spark, sf_dir, low, high, status=None):
-    rows = candidates.prioritized(_pages(spark, sf_dir), "_ord", TEST_RULES).where((F.col("_ord") % 10 >= low) & (F.col("_ord") % 10 < high))
+def _frontier(spark, sf_dir, without="", status=None):
+    """The pages' frontier, without the urls of one language."""
+    rows = candidates.prioritized(_pages(spark, sf_dir), "_ord", TEST_RULES)
+    rows = rows.where(~F.contains(F.col("normalized_url"), F.lit(without))) if without else rows
     rows = rows.withColumns({"priority": F.when(F.col("_ord") % 7 == 0, "").otherwise(F.col("priority")), "source_type": F.lit("seed"), "discovered_date": F.lit("2024-01-01"), "query_used": F.lit(""), "notes": F.lit("")})
     made = frontier.from_candidates(rows, "_ord")
     if status is None:
@@ -249,28 +251,28 @@ def _frontier(spark, sf_dir, low, high, status=None):
 
 @query
 def frontier_build(spark, sf_dir):
-    return _frontier(spark, sf_dir, 0, 10).select(F.col("_ord").alias("page_id"), "normalized_url", "priority", "status", "discovered_from", "retry_count")
+    return _frontier(spark, sf_dir).select(F.col("_ord").alias("page_id"), "normalized_url", "priority", "status", "discovered_from", "retry_count")
 
 
 @query
 def frontier_upsert(spark, sf_dir):
-    merged = frontier.upsert(_frontier(spark, sf_dir, 0, 6, "old"), _frontier(spark, sf_dir, 4, 10))
+    merged = frontier.upsert(_frontier(spark, sf_dir, "/fr/", "old"), _frontier(spark, sf_dir, "/de/"))
     return merged.select("normalized_url", "priority", "status", "retry_count", "inserted")
 
 
 @query
 def frontier_requeue(spark, sf_dir):
-    return frontier.requeue_failed(_frontier(spark, sf_dir, 0, 10, "old")).select("normalized_url", "status", "retry_count", "requeued")
+    return frontier.requeue_failed(_frontier(spark, sf_dir, "", "old")).select("normalized_url", "status", "retry_count", "requeued")
 
 
 @query
 def frontier_counts(spark, sf_dir):
-    return frontier.counts(_frontier(spark, sf_dir, 0, 10))
+    return frontier.counts(_frontier(spark, sf_dir))
 
 
 @query
 def frontier_next_batch(spark, sf_dir):
-    return frontier.crawlable(frontier.requeue_failed(_frontier(spark, sf_dir, 0, 10, "old"))).select("frontier_id", "normalized_url", "priority")
+    return frontier.crawlable(frontier.requeue_failed(_frontier(spark, sf_dir, "", "old"))).select("frontier_id", "normalized_url", "priority")
 
 
 @query
@@ -281,7 +283,7 @@ def grounding_exact(spark, sf_dir):
 
 @query
 def grounding_fuzzy(spark, sf_dir):
-    rows = _records(spark, sf_dir).join(_page_texts(spark, sf_dir), "page_id", "left").withColumn("page_markdown", X.prefix(F.col("page_markdown"), 600))
+    rows = _records(spark, sf_dir).join(_page_texts(spark, sf_dir), "page_id", "left")
     return validate.grounded(rows).select("page_id", "is_grounded")
 
 
@@ -314,7 +316,7 @@ def validation_totals(spark, sf_dir):
 @query
 def entity_demotion(spark, sf_dir):
     found = _entities(spark, sf_dir).withColumn("conflicts_or_uncertainties", F.array().cast("array<string>"))
-    turns = _read(spark, sf_dir, "conversations").where("turn % 2 = 0")
+    turns = _read(spark, sf_dir, "conversations").where("role = 'user'")
     pages = turns.select(F.concat(F.lit("https://c.example.com/"), F.col("conv_id"), F.lit("/"), F.col("turn")).alias("source_url"), F.col("text").alias("page_markdown"), F.lit("p").alias("path"))
     return validate.demote_ungrounded(found, pages, fuzzy=False).select("canonical_name", "kept", F.array_join("conflicts_or_uncertainties", ";").alias("notes"), F.size("sources").alias("n_sources"))
 
