@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .job import keyed, ship
+from .job import discard, keyed, ship, stored
 
 FIELD = "<*>"
 _SPACE = r"[\x09-\x0D\x20]+"
@@ -36,8 +36,9 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     lines = lines.select("key", "id", "place", F.size("tokens").alias("n"), F.array_join(F.slice("tokens", 1, depth), " ").alias("head"), F.array_join("tokens", " ").alias("line"))
     # A leaf with fewer lines than documents wanted has no recurring template.
     busy = lines.groupBy("n", "head").agg(F.count("*").alias("seen")).where(F.col("seen") >= min_docs).drop("seen")
-    lines = lines.join(busy, ["n", "head"])
-    distinct = lines.groupBy("n", "head", "line").agg(F.count_distinct("key").alias("docs"))
+    # All else concerns the lines of busy leaves, a small part of the text.
+    lines = stored(lines.join(busy, ["n", "head"]))
+    distinct = stored(lines.groupBy("n", "head", "line").agg(F.count_distinct("key").alias("docs")))
     placed = distinct.select("n", "head", "line", "docs", F.posexplode(F.split("line", " ")).alias("at", "token"))
     tail = placed.where(F.col("at") >= depth)
     constant = tail.where(F.col("token") != FIELD).groupBy("n", "head", "at", "token").agg(F.sum("docs").alias("support")).where(F.col("support") >= min_docs)
@@ -46,10 +47,12 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     whole = distinct.select("n", "head", "line").join(tails, ["n", "head", "line"], "left").select("n", "head", "line", F.concat_ws(" ", "head", "tail").alias("template"))
     fixed = F.size(F.filter(F.split("template", " "), lambda t: t != FIELD))
     whole = whole.where(fixed >= F.lit(similarity) * F.col("n"))
-    found = lines.join(whole, ["n", "head", "line"]).select("key", "id", "place", F.xxhash64("n", "template").alias("template"))
+    found = stored(lines.join(whole, ["n", "head", "line"]).select("key", "id", "place", F.md5(F.concat_ws(" ", "n", "template")).alias("template")))
     recurring = found.groupBy("template").agg(F.count_distinct("key").alias("docs"), F.min(F.struct("id", "key")).alias("first")).where(F.col("docs") >= min_docs)
     dropped = found.join(recurring, "template").where(F.col("key") != F.col("first.key"))
-    return dropped.groupBy("key").agg(F.array_sort(F.collect_list("place")).alias("places"))
+    places = stored(dropped.groupBy("key").agg(F.array_sort(F.collect_set("place")).alias("places")))
+    discard(lines, distinct, found)
+    return places
 
 
 def _keep(text: pd.Series, places: pd.Series) -> pd.Series:
