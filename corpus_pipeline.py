@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lorebed.llm import chosenpath, decontam, langid, linededup, pieces
-from lorebed.llm.job import stored
+from lorebed.llm.job import set_apart, stored
 from lorebed.llm.queries import PIECES_FILE, table
 
 #: A document stays if its language is this clear.
@@ -19,15 +19,17 @@ def with_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     """Documents whose language is clear; those without a letter or text go. The model learns from the documents' own lang."""
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
     model = langid.fit(docs.where(fold != 0))
-    found = langid.predict(docs, model)
-    return found.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    apart = set_apart(docs, {"text"})
+    found = langid.predict(apart, model)
+    return found.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)).select(*apart.columns).toDF(*docs.columns)
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines of recurring templates, and without those documents of which nothing is left."""
-    kept = linededup.dedup_lines(docs)
+    apart = set_apart(docs, {"doc_id", "text", "n_chars"})
+    kept = linededup.dedup_lines(apart)
     kept = kept.where((F.col("n_dropped") == 0) | F.col("text").rlike(r"[^\x09-\x0D\x20]"))
-    return kept.withColumn("n_chars", F.when(F.col("n_dropped") == 0, F.col("n_chars")).otherwise(F.char_length("text").cast("long"))).select(*docs.columns)
+    return kept.withColumn("n_chars", F.when(F.col("n_dropped") == 0, F.col("n_chars")).otherwise(F.char_length("text").cast("long"))).select(*apart.columns).toDF(*docs.columns)
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +44,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' pieces in place of their texts."""
-    return pieces.encode(docs, pieces.load(PIECES_FILE)).drop("text")
+    return pieces.encode(docs, pieces.load(PIECES_FILE)).drop("text")  # ids, n_tokens and round_trip replace columns of these names
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .job import ship, stored
+from .job import set_apart, ship, stored
 from .textblocks import LETTERED, LOWER, U64, hash_spans, text_blocks, word_spans
 
 #: Bytes of benchmark text that are searched for, and so broadcast, in one pass.
@@ -248,6 +248,7 @@ def verdicts(docs: DataFrame, items: DataFrame, window: int = 13, least_share: i
     )
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The documents that the benchmark doesn't contaminate, with their own columns."""
-    return verdicts(docs, items, **options).where(~F.col("contaminated")).select(*docs.columns)
+def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", **options) -> DataFrame:
+    """The documents that the benchmark doesn't contaminate, with their own columns, whatever their names."""
+    apart = set_apart(docs, {text_col})
+    return verdicts(apart, items, text_col=text_col, **options).where(~F.col("contaminated")).select(*apart.columns).toDF(*docs.columns)

@@ -10,10 +10,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .job import ship, text_or_empty
+from .chosenpath import ChosenPath, bucket_links, in_parts, near_classes
+from .job import ship, stored, text_or_empty
 from .minhash import MinHash, likeness
 from .neighbours import with_next_in_ranges
-from .textblocks import text_blocks
+from .textblocks import mix, text_blocks
 
 SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
@@ -102,3 +103,32 @@ def _compared(rows: pa.RecordBatch, make: Fingerprinter) -> pa.RecordBatch:
         pa.array(_near(own[:-1], own[1:], empty[:-1], empty[1:])),
     ]
     return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]).filter(pa.array(keep))
+
+
+def band_links(reps: DataFrame, path: ChosenPath, bands: int = 25) -> DataFrame:
+    """(a, b): links that connect texts with a whole band of their signatures in common, if their sketches are alike.
+
+    Texts are joined in Spark on (band, its values); of a bucket beyond ``path.bucket`` texts random parts are compared, other ones in each band.
+    """
+    size = path.size // bands
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.uint32).reshape(batch.num_rows, -1).astype(np.uint64)
+            for band in range(bands):
+                key = np.full(batch.num_rows, band + 1, dtype=np.uint64)
+                for k in range(band * size, (band + 1) * size):
+                    key = mix(key * np.uint64(0xA0761D6478BD642F) + tokens[:, k])
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), batch.column(0)], names=["bucket", "rep"])
+
+    rows = reps.select("rep", "tokens").mapInArrow(cut, "bucket long, rep long")
+    sizes = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    held = stored(rows.join(sizes, "bucket"))
+    small = held.where(F.col("size") <= path.bucket).select("bucket", "rep").unionByName(in_parts(held.where(F.col("size") > path.bucket), path))
+    return stored(bucket_links(small, reps, path).distinct())
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, size: int = 128, bands: int = 25) -> DataFrame:
+    """key, doc_id, class_id, n_links, n_text_links and first of every document: signature bands find candidates, and all texts of
+    a candidate group are compared by their whole shingle sets. With 25 bands of 5 values a pair at 0.8 is found in all but one of 20,000 cases."""
+    return near_classes(docs, id_col, text_col, ChosenPath(threshold=threshold, size=size), lambda reps, path: band_links(reps, path, bands))

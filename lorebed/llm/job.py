@@ -73,6 +73,11 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def set_apart(docs: DataFrame, used: set[str]) -> DataFrame:
+    """The rows with all columns but the used ones under names that no operator adds; ``toDF(*docs.columns)`` undoes it."""
+    return docs.toDF(*[c if c in used else f"__own_{i}" for i, c in enumerate(docs.columns)])
+
+
 def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

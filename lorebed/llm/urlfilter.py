@@ -90,7 +90,7 @@ def propagate(links: DataFrame, trusted: DataFrame, blocked: DataFrame, damping:
     start = seeds.withColumn("score", F.lit(1 - damping))
     ranks = start
     for k in range(0 if edges.isEmpty() else steps):
-        passed = ranks.join(edges, (ranks.kind == edges.kind) & (ranks.host == edges.source)).select(edges.kind, F.col("target").alias("host"), (F.col("score") * damping * F.col("share")).alias("score"))
+        passed = ranks.withColumnRenamed("host", "source").join(edges, ["kind", "source"]).select("kind", F.col("target").alias("host"), (F.col("score") * damping * F.col("share")).alias("score"))
         ranks = start.unionByName(passed).groupBy("kind", "host").agg(F.sum("score").alias("score"))
         if (k + 1) % steps_per_table == 0:
             ranks = stored(ranks)
