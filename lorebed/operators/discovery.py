@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import casefold, or_default, strip, truthy
-from ..vocabulary import COMPANY_TEMPLATES, FOLLOWUP_COMPANY_TEMPLATES, FOLLOWUP_LOCATION_TEMPLATES, GENERAL_QUERIES, LOCATION_TEMPLATES, MAX_ITERATIONS, MAX_NEW_QUERIES, SITE_TERMS
+from ..vocabulary import COMPANY_TEMPLATES, FOLLOWUP_COMPANY_TEMPLATES, FOLLOWUP_LOCATION_TEMPLATES, GENERAL_QUERIES, LOCATION_TEMPLATES, MAX_ENTITIES, MAX_ITERATIONS, MAX_NEW_QUERIES, SITE_TERMS
 from .dedupe import first_of
 
 
@@ -83,3 +83,13 @@ def merge_new(new: DataFrame, prior: DataFrame, iteration: int, limit: int = MAX
     fresh = first_of(new.withColumns({"key": casefold(F.col("query")), "place": F.struct("_ord", "t")}), ["key"], "place").join(known, "key", "left_anti")
     capped = fresh.orderBy("_ord", "t").limit(limit or MAX_NEW_QUERIES)
     return capped.withColumn("n", F.row_number().over(Window.orderBy("_ord", "t"))).withColumn("iteration", F.lit(str(iteration))).select("n", "query", "source_type", "iteration")
+
+
+def capped_entities(entities: DataFrame, limit: int = MAX_ENTITIES) -> DataFrame:
+    """The first entities of an iteration: endless discovery is not the aim."""
+    return entities.orderBy("_ord").limit(limit)
+
+
+def unprocessed(pages: DataFrame, processed: DataFrame, key: str = "page_id") -> DataFrame:
+    """Pages that no earlier run has processed."""
+    return pages.join(processed.select(key).distinct(), key, "left_anti")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ..functions.language import COMMON
 from ..vocabulary import (
     CATEGORIES, COMPANY_TEMPLATES, ENTITY_TYPES, FOLLOWUP_COMPANY_TEMPLATES, FOLLOWUP_LOCATION_TEMPLATES, GENERAL_QUERIES, LEGAL_FORMS, LOCATION_TEMPLATES, PAGE_CLAIM_STATUSES, SITE_TERMS, TRACKING_PARAMETERS,
 )
@@ -183,3 +184,9 @@ ORACLE["name_normalize"] = f"""SELECT p_partkey, regexp_replace(trim(regexp_repl
 ORACLE["name_aliases"] = "SELECT p_partkey, CASE WHEN p_name IN ('red widget', 'blue widget') THEN 'widget works' ELSE p_name END AS canonical_name FROM part"
 ORACLE["rollup_counts"] = "SELECT p_type AS category, p_brand AS county, count(*) AS entities, sum(p_size % 4)::BIGINT AS facilities, count(DISTINCT p_name) AS sources FROM part GROUP BY ROLLUP (p_type, p_brand)"
 ORACLE["shard_sizes"] = "SELECT doc_id % 16 AS shard, count(*) AS n FROM documents GROUP BY 1"
+
+_COUNTS = ", ".join(f"len(list_filter(w, lambda x: list_contains([{_quoted(COMMON[k])}], x))) AS {k}" for k in sorted(COMMON))
+ORACLE["language_by_words"] = rf"""WITH d AS (SELECT doc_id, regexp_split_to_array(lower(text), '[^\p{{L}}]+') AS w FROM documents), c AS (SELECT doc_id, {_COUNTS} FROM d)
+SELECT doc_id, CASE greatest(de, en, es, fr) WHEN 0 THEN 'unknown' WHEN de THEN 'de' WHEN en THEN 'en' WHEN es THEN 'es' ELSE 'fr' END AS language FROM c"""
+ORACLE["unprocessed_documents"] = "SELECT doc_id AS page_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)"
+ORACLE["entity_cap"] = "SELECT p_partkey AS _ord, p_name AS entity, CASE WHEN p_size > 10 THEN 'company' ELSE 'facility' END AS entity_type FROM part ORDER BY p_partkey LIMIT 30"

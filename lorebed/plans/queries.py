@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import language
 from ..functions import records as R
 from ..functions import text as X
 from ..functions import urls as U
@@ -440,3 +441,19 @@ def shard_sizes(spark, sf_dir):
 def bag_union(spark, sf_dir):
     a, b = _records(spark, sf_dir).select("page_id", "entity_name"), _validated(spark, sf_dir).where("validation_status = 'failed'").select("page_id", "validation_status")
     return tables.union_shards([a, b]).groupBy("page_id").agg(F.count("*").alias("n"), F.max("validation_status").alias("status"))
+
+
+@query
+def language_by_words(spark, sf_dir):
+    return _read(spark, sf_dir, "documents").select("doc_id", language.detect_language(F.col("text"), None).alias("language"))
+
+
+@query
+def unprocessed_documents(spark, sf_dir):
+    docs, labels = _read(spark, sf_dir, "documents").select(F.col("doc_id").alias("page_id"), "source"), _read(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"))
+    return discovery.unprocessed(docs, labels)
+
+
+@query
+def entity_cap(spark, sf_dir):
+    return discovery.capped_entities(_found_entities(spark, sf_dir))

@@ -152,3 +152,19 @@ def test_stream_merges_until_done(spark, tmp_path):
     schema = spark.read.parquet(str(tmp_path / "in/part0")).schema
     done = stream.run_until_done(spark, str(tmp_path / "in/*"), schema, str(tmp_path / "out"), str(tmp_path / "ck"), files_per_batch=1)
     assert {r.normalized_url for r in done.collect()} == {"u0", "u1"} and done.columns == FRONTIER_COLUMNS
+
+
+def test_mock_extraction_to_validation(spark):
+    from lorebed.operators import extract
+
+    pages = [("p1", "# T\n\nMOCK_ENTITY: Example Battery\n\nExample Battery announced a plant.\n"), ("p2", "# T\n\nMOCK_EMPTY\n"), ("p3", "MOCK_ENTITY: Warp\nMOCK_BAD_ENUM\n\nWarp announced.")]
+    df = spark.createDataFrame([(k, "https://x.com/", t) for k, t in pages], "page_id string, source_url string, page_markdown string")
+    got = {r.page_id: (r.validation_status, list(r.rejection_reasons)) for r in validate.validate(extract.mock_records(df), df).collect()}
+    assert got == {"p1": ("passed", []), "p3": ("failed", ["invalid_entity_type", "invalid_category"])}
+
+
+def test_language_by_words(spark):
+    from lorebed.functions.language import detect_language
+
+    rows = spark.createDataFrame([(0, "the cat and the dog"), (1, "der Hund und die Katze"), (2, None), (3, "zzz")], "i long, t string")
+    assert [r[0] for r in rows.orderBy("i").select(detect_language(F.col("t"))).collect()] == ["en", "de", "unknown", "unknown"]
