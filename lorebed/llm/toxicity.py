@@ -11,17 +11,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .job import ship
-from .textblocks import LETTERED, LOWER, hash_spans, text_blocks, word_spans
+from .textblocks import LETTERED, LOWER, hash_spans, mix, text_blocks, word_spans
 
 #: Labelled rows that a model is fitted on, at most: those whose ids have the smallest hashes.
 SAMPLE_ROWS = 20_000
 
 
+#: A word's first so many bytes are features too: insults take many endings.
+PREFIXES = (4, 5, 6, 7, 8)
+
+
 def _features(data: np.ndarray, offsets: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """The hashed feature of each word (letters and digits, A-Z in lower case), and the first word of each text."""
+    """The hashed features of the words (letters and digits, A-Z in lower case) and of their beginnings, and the first feature of each text."""
     data = LOWER[data]
     begin, end, at = word_spans(data, offsets, LETTERED)
-    return (hash_spans(data, begin, end) >> np.uint64(64 - bits)).astype(np.int32), at
+    hashes = np.stack([hash_spans(data, begin, end), *(mix(hash_spans(data, begin, np.minimum(end, begin + k)) + np.uint64(k)) for k in PREFIXES)], axis=1)
+    real = np.stack([np.ones(len(begin), dtype=bool), *(end - begin > k for k in PREFIXES)], axis=1)
+    first = np.concatenate([[0], np.cumsum(real.sum(axis=1))])[at]
+    return (hashes[real] >> np.uint64(64 - bits)).astype(np.int32), first
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -45,13 +52,15 @@ class OrdinalModel:
         return _sigmoid(total[:, None] - self.thresholds)
 
 
-def _select(n_docs: int, n_toxic: int, having: np.ndarray, toxic_having: np.ndarray, least_z: float, at_least: int) -> np.ndarray:
-    """Features that toxic and other texts have at different rates, by a two-proportion z test; the strongest few if none pass."""
+def _select(n_docs: int, n_toxic: int, having: np.ndarray, toxic_having: np.ndarray, least_z: float, least_rate: float, at_least: int) -> np.ndarray:
+    """Features that toxic texts have clearly (by a two-proportion z test) and several times more often; the strongest few if none pass."""
     pooled = having / n_docs
     spread = np.sqrt(np.maximum(pooled * (1 - pooled), 1e-12) * (1 / max(n_toxic, 1) + 1 / max(n_docs - n_toxic, 1)))
     z = (toxic_having / max(n_toxic, 1) - (having - toxic_having) / max(n_docs - n_toxic, 1)) / spread
     z[having < 3] = 0
-    chosen = np.flatnonzero(np.abs(z) >= least_z)
+    # What toxic texts have a little more or less often tells their length and language, not their tone.
+    rate = (toxic_having / max(n_toxic, 1)) / np.maximum((having - toxic_having) / max(n_docs - n_toxic, 1), 1e-9)
+    chosen = np.flatnonzero((z >= least_z) & (rate >= least_rate))
     return chosen if len(chosen) else np.argsort(-np.abs(z), kind="stable")[:at_least]
 
 
@@ -76,20 +85,21 @@ def _ordinal(x: list[np.ndarray], y: np.ndarray, n_features: int, grades: int, p
         np.add.at(by_theta, y + 1, slope[np.arange(len(x)), y + 1] / own)
         by_theta = by_theta[1:grades]
         grad = np.concatenate([np.bincount(columns, weights=by_score[rows], minlength=n_features) - penalty * w, [by_theta.sum()], np.cumsum(by_theta[::-1])[::-1][1:] * gap]) / len(x)
-        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
-        params = params + 0.05 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
+        m, v = 0.9 * m + 0.1 * grad, 0.98 * v + 0.02 * grad**2
+        params = params + 0.1 * (1 - (t - 1) / steps) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.98**t)) + 1e-8)
     gap = np.exp(params[n_features + 1 :])
     return params[:n_features], params[n_features] + np.concatenate([[0], np.cumsum(gap)])
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS, bits: int = 18, grades: int = 4, least_z: float = 4.0, penalty: float = 0.5, steps: int = 400
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS, bits: int = 18, grades: int = 4, least_z: float = 4.0, least_rate: float = 5.0, features: int = 5000, penalty: float = 0.2, steps: int = 800
 ) -> OrdinalModel | None:
     """Learns from at most ``sample_rows`` labelled documents, a fixed choice by the hash of their ids.
 
-    Labels only tell toxic from not, so the grade of a toxic text is the third of the toxic texts that it is in by the share of
-    its words which toxic texts have far more often: 1, 2 or 3; other texts are of grade 0. Of several labels of one id the
-    largest counts; rows with a null id or label don't. The driver gets the word numbers of the sample, the tasks get its ids.
+    Features that toxic texts have clearly and ``least_rate`` times more often are chosen first, ``features`` at most. Labels only tell toxic
+    from not, so the grade of a toxic text is the third of the toxic texts that it is in by how many of these marks it has: 1, 2 or 3; other
+    texts are of grade 0. Of several labels of one id the largest counts; rows with a null id
+    or label don't. The tasks get the sample's ids, the driver a count for each hashed feature and the chosen features of the sample.
     None if there is no labelled text, or none of either kind.
     """
     spark = docs.sparkSession
@@ -98,40 +108,57 @@ def fit(
     own = own.orderBy(F.xxhash64("id"), "id").limit(sample_rows)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(own), "id").select("text", "label")
 
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        having, toxic_having = np.zeros(1 << bits, np.int64), np.zeros(1 << bits, np.int64)
+        docs = np.zeros(2, np.int64)
+        for batch in batches:
+            label = np.asarray(batch.column(1)) > 0
+            for first, last, data, offsets in text_blocks(batch.column(0)):
+                feature, at = _features(data, offsets, bits)
+                for toxic, a, b in zip(label[first:last], at[:-1], at[1:]):
+                    own = np.unique(feature[a:b])
+                    having[own] += 1
+                    toxic_having[own] += toxic
+                docs += [last - first, label[first:last].sum()]
+        some = np.flatnonzero(having)
+        columns = [np.append(some, -1).astype(np.int32), np.append(having[some], docs[0]), np.append(toxic_having[some], docs[1])]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["feature", "docs", "toxic"])
+
+    counted = rows.mapInArrow(count, "feature int, docs long, toxic long").groupBy("feature").agg(F.sum("docs").alias("docs"), F.sum("toxic").alias("toxic")).toPandas()
+    total = counted[counted["feature"] < 0]
+    n_docs, n_toxic = (int(total["docs"].sum()), int(total["toxic"].sum()))
+    if not 0 < n_toxic < n_docs:
+        return None
+    counted = counted[counted["feature"] >= 0].sort_values("feature")
+    having, toxic_having = counted["docs"].to_numpy(float), counted["toxic"].to_numpy(float)
+    best = _select(n_docs, n_toxic, having, toxic_having, least_z, least_rate, 50)
+    best = best[np.argsort(-np.abs(toxic_having[best] / n_toxic - (having - toxic_having)[best] / (n_docs - n_toxic)), kind="stable")][:features]
+    chosen = counted["feature"].to_numpy()[np.sort(best)]
+    place = np.full(1 << bits, -1, dtype=np.int32)
+    place[chosen] = np.arange(len(chosen))
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             label = np.asarray(batch.column(1))
             for first, last, data, offsets in text_blocks(batch.column(0)):
                 feature, at = _features(data, offsets, bits)
-                out = []
+                own, out = place[feature], []
                 for a, b in zip(at[:-1], at[1:]):
-                    f, n = np.unique(feature[a:b], return_counts=True)
-                    out.append(np.stack([f, n.astype(np.int32)]).tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(label[first:last], pa.int32()), pa.array(out, pa.binary())], names=["label", "words"])
+                    out.append(np.unique(own[a:b][own[a:b] >= 0]).tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(label[first:last], pa.int32()), pa.array(out, pa.binary())], names=["label", "features"])
 
-    found = rows.mapInArrow(words, "label int, words binary").toPandas()
-    if found["label"].nunique() < 2:
-        return None
+    found = rows.mapInArrow(find, "label int, features binary").toPandas().sort_values(["label", "features"])
     label = (found["label"].to_numpy() > 0).astype(np.int64)
-    counted = [np.frombuffer(w, dtype=np.int32).reshape(2, -1) for w in found["words"]]
-    having, toxic_having = np.zeros(1 << bits), np.zeros(1 << bits)
-    for toxic, (f, _) in zip(label, counted):
-        having[f] += 1
-        if toxic:
-            toxic_having[f] += 1
-    chosen = _select(len(label), int(label.sum()), having, toxic_having, least_z, 50)
-    place = np.full(1 << bits, -1, dtype=np.int32)
-    place[chosen] = np.arange(len(chosen))
-    rate = toxic_having[chosen] / label.sum() > (having - toxic_having)[chosen] / (len(label) - label.sum())
-    share = np.array([n[(place[f] >= 0) & rate[place[f]]].sum() / max(1, n.sum()) for f, n in counted])
-    cuts = np.quantile(share[label > 0], [k / (grades - 1) for k in range(1, grades - 1)])
-    grade = np.where(label > 0, 1 + np.searchsorted(cuts, share, "left"), 0)
-    order = np.lexsort((share, grade))
-    weights, thresholds = _ordinal([place[f][place[f] >= 0] for f, _ in (counted[i] for i in order)], grade[order], len(chosen), grades, penalty, steps)
+    marks = [np.frombuffer(f, dtype=np.int32) for f in found["features"]]
+    number = np.array([len(f) for f in marks])
+    marked = number[(label > 0) & (number > 0)]
+    cuts = np.quantile(marked, [k / (grades - 1) for k in range(1, grades - 1)]) if len(marked) else np.zeros(grades - 2)
+    grade = np.where(label > 0, 1 + np.searchsorted(cuts, number, "left"), 0)
+    weights, thresholds = _ordinal(marks, grade, len(chosen), grades, penalty, steps)
     return OrdinalModel(bits, place, weights, thresholds)
 
 
-def score(docs: DataFrame, model: OrdinalModel | None, text_col: str = "text", least: float = 0.5) -> DataFrame:
+def score(docs: DataFrame, model: OrdinalModel | None, text_col: str = "text", least: float = 0.3) -> DataFrame:
     """The rows with p_toxic (of a grade above 0), severity (the expected grade), grade (the likeliest) and toxic.
 
     Input columns of these names are replaced. A null text counts as empty. Without a model nothing is toxic.
