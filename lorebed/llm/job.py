@@ -45,7 +45,14 @@ def stored(df: DataFrame) -> DataFrame:
     """The rows as a table in the shared folder: the lineage ends there, so a lost executor costs no more than one read."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/lorebed-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(cleanup)
+    try:
+        # What the write shuffled is of no use after it.
+        spark.conf.set(cleanup, "true")
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(cleanup, before)
     release(spark)
     out = spark.read.schema(df.schema).parquet(path)
     _tables[id(out)] = (out, path)

@@ -8,19 +8,46 @@ dropped from all of them but the first.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .job import discard, keyed, ship, stored
+from .textblocks import SPACED, U64, hash_spans, mix, text_blocks, word_spans
 
 FIELD = "<*>"
-_SPACE = r"[\x09-\x0D\x20]+"
-
-
-def masked_tokens(line: Column) -> Column:
-    tokens = F.filter(F.split(line, _SPACE), lambda t: t != "")
-    return F.transform(tokens, lambda t: F.when(t.rlike("[0-9]"), FIELD).otherwise(t))
+_TOKEN = re.compile(r"[^\x09-\x0D\x20]+")
+
+
+def _lines(data: np.ndarray, offsets: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each line its text, its place in it from 0, its number of tokens, and a hash of its leaf."""
+    ends = np.flatnonzero(data == 10)
+    text = np.concatenate([np.arange(len(offsets) - 1), np.searchsorted(offsets, ends, "right") - 1])
+    start = np.concatenate([offsets[:-1], ends + 1])
+    order = np.lexsort((start, text))
+    text, start = text[order], start[order]
+    place = np.arange(len(text)) - np.searchsorted(text, np.arange(len(offsets) - 1))[text]
+    begin, end, _ = word_spans(data, offsets, SPACED)
+    line = np.searchsorted(start, begin, "right") - 1
+    n = np.bincount(line, minlength=len(text))
+    digits = np.concatenate([[0], np.cumsum((data >= 48) & (data <= 57))])
+    hashes = hash_spans(data, begin, end)
+    hashes[digits[end] > digits[begin]] = U64(1)
+    first = np.cumsum(n) - n
+    leaf = n.astype(U64) * U64(0x9E3779B97F4A7C15)
+    for k in range(depth):
+        has = np.flatnonzero(n > k)
+        leaf[has] = mix(leaf[has] + hashes[first[has] + k])
+    return text, place, n, leaf
+
+
+def _masked(line: str) -> list[str]:
+    return [FIELD if any("0" <= c <= "9" for c in t) else t for t in _TOKEN.findall(line)]
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 3, min_docs: int = 3, min_tokens: int = 4, similarity: float = 0.5) -> DataFrame:
@@ -30,14 +57,42 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Rows with one id and different texts are different documents; rows alike in both are one. The first document of a template is the
     one with the smallest id (null before all), then the smallest key.
     """
-    rows = docs.select(keyed(id_col, text_col).alias("key"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    lines = rows.select("key", "id", F.posexplode(F.split("text", "\n")).alias("place", "line"))
-    lines = lines.select("key", "id", "place", masked_tokens(F.col("line")).alias("tokens")).where(F.size("tokens") >= min_tokens)
-    lines = lines.select("key", "id", "place", F.size("tokens").alias("n"), F.array_join(F.slice("tokens", 1, depth), " ").alias("head"), F.array_join("tokens", " ").alias("line"))
-    # A leaf with fewer lines than documents wanted has no recurring template.
-    busy = lines.groupBy("n", "head").agg(F.count("*").alias("seen")).where(F.col("seen") >= min_docs).drop("seen")
-    # All else concerns the lines of busy leaves, a small part of the text.
-    lines = stored(lines.join(busy, ["n", "head"]))
+    rows = docs.select(keyed(id_col, text_col).alias("key"), F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
+
+    def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, data, offsets in text_blocks(batch.column(0)):
+                _, _, n, leaf = _lines(data, offsets, depth)
+                leaf, seen = np.unique(leaf[n >= min_tokens], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(leaf.view(np.int64)), pa.array(seen)], names=["leaf", "seen"])
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, _, data, offsets in text_blocks(batch.column(1)):
+                text, place, n, leaf = _lines(data, offsets, depth)
+                own = np.flatnonzero(n >= min_tokens)
+                yield pa.RecordBatch.from_arrays([pa.array(leaf[own].view(np.int64)), batch.column(0).take(pa.array(first + text[own])), pa.array(place[own].astype(np.int32))], names=["leaf", "key", "place"])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for i, (text, wanted) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
+                lines = text.split("\n")
+                for place in sorted(set(wanted)):
+                    tokens = _masked(lines[place])
+                    out.append((i, place, len(tokens), " ".join(tokens[:depth]), " ".join(tokens)))
+            row, place, n, head, line = zip(*out) if out else ((),) * 5
+            row = pa.array(row, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), pa.array(place, pa.int32()), pa.array(n, pa.int32()), pa.array(head, pa.string()), pa.array(line, pa.string())], names=["key", "id", "place", "n", "head", "line"])
+
+    ship(docs.sparkSession)
+    # A leaf with fewer lines than documents wanted has no recurring template; all else concerns the lines of busy leaves, a small part of the text.
+    busy = rows.select("text").mapInArrow(leaves, "leaf long, seen long").groupBy("leaf").agg(F.sum("seen").alias("seen")).where(F.col("seen") >= min_docs).select("leaf")
+    wanted = rows.select("key", "text").mapInArrow(places, "leaf long, key binary, place int").join(busy, "leaf", "left_semi")
+    wanted = stored(wanted.groupBy("key").agg(F.collect_set("place").alias("wanted")))
+    kind = docs.schema[id_col].dataType.simpleString()
+    lines = stored(rows.join(wanted, "key").select("key", "id", "text", "wanted").mapInArrow(cut, f"key binary, id {kind}, place int, n int, head string, line string"))
+    discard(wanted)
     distinct = stored(lines.groupBy("n", "head", "line").agg(F.count_distinct("key").alias("docs")))
     placed = distinct.select("n", "head", "line", "docs", F.posexplode(F.split("line", " ")).alias("at", "token"))
     tail = placed.where(F.col("at") >= depth)
@@ -73,7 +128,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     key, places = "__key", "__places"
     gone = dropped_lines(docs, id_col, text_col, **options).select(F.col("key").alias(key), F.col("places").alias(places))
     rows = docs.withColumn(key, keyed(id_col, text_col)).join(gone, key, "left")
-    rows = rows.withColumns({"n_lines": F.when(F.col(text_col).isNull(), 0).otherwise(F.length(F.regexp_replace(text_col, "[^\n]", "")) + 1).cast("long"), "n_dropped": F.coalesce(F.size(places), F.lit(0)).cast("long")})
+    rows = rows.withColumns({"n_lines": F.when(F.col(text_col).isNull(), 0).otherwise(F.length(text_col) - F.length(F.replace(F.col(text_col), F.lit("\n"), F.lit(""))) + 1).cast("long"), "n_dropped": F.coalesce(F.size(places), F.lit(0)).cast("long")})
     kept = F.pandas_udf(_keep, "string")
     whole = rows.where(F.col(places).isNull())
     cut = rows.where(F.col(places).isNotNull()).withColumn(text_col, kept(F.col(text_col), F.col(places)))
