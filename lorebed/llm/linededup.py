@@ -93,20 +93,21 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     kind = docs.schema[id_col].dataType.simpleString()
     lines = stored(rows.join(wanted, "key").select("key", "id", "text", "wanted").mapInArrow(cut, f"key binary, id {kind}, place int, n int, head string, line string"))
     discard(wanted)
-    distinct = stored(lines.groupBy("n", "head", "line").agg(F.count_distinct("key").alias("docs")))
-    placed = distinct.select("n", "head", "line", "docs", F.posexplode(F.split("line", " ")).alias("at", "token"))
-    tail = placed.where(F.col("at") >= depth)
-    constant = tail.where(F.col("token") != FIELD).groupBy("n", "head", "at", "token").agg(F.sum("docs").alias("support")).where(F.col("support") >= min_docs)
-    marked = tail.join(constant, ["n", "head", "at", "token"], "left").select("n", "head", "line", "at", F.when(F.col("support").isNotNull(), F.col("token")).otherwise(FIELD).alias("token"))
-    tails = marked.groupBy("n", "head", "line").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "token"))), lambda s: s["token"]), " ").alias("tail"))
-    whole = distinct.select("n", "head", "line").join(tails, ["n", "head", "line"], "left").select("n", "head", "line", F.concat_ws(" ", "head", "tail").alias("template"))
+    distinct = lines.groupBy("n", "head", "line").agg(F.count_distinct("key").alias("docs"))
+    distinct = stored(distinct.withColumns({"line_id": F.monotonically_increasing_id(), "leaf": F.unhex(F.md5(F.concat_ws(" ", "n", "head")))}))
+    # Lines by number from here on: a token's row is short, however long its line.
+    tail = distinct.select("line_id", "leaf", "docs", F.posexplode(F.split("line", " ")).alias("at", "token")).where(F.col("at") >= depth)
+    constant = tail.where(F.col("token") != FIELD).groupBy("leaf", "at", "token").agg(F.sum("docs").alias("support")).where(F.col("support") >= min_docs)
+    marked = tail.join(constant, ["leaf", "at", "token"], "left").select("line_id", "at", F.when(F.col("support").isNotNull(), F.col("token")).otherwise(FIELD).alias("token"))
+    tails = stored(marked.groupBy("line_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "token"))), lambda s: s["token"]), " ").alias("tail")))
+    whole = distinct.select("n", "head", "line", "line_id").join(tails, "line_id", "left").select("n", "head", "line", F.concat_ws(" ", "head", "tail").alias("template"))
     fixed = F.size(F.filter(F.split("template", " "), lambda t: t != FIELD))
     whole = whole.where(fixed >= F.lit(similarity) * F.col("n"))
     found = stored(lines.join(whole, ["n", "head", "line"]).select("key", "id", "place", F.md5(F.concat_ws(" ", "n", "template")).alias("template")))
     recurring = found.groupBy("template").agg(F.count_distinct("key").alias("docs"), F.min(F.struct("id", "key")).alias("first")).where(F.col("docs") >= min_docs)
     dropped = found.join(recurring, "template").where(F.col("key") != F.col("first.key"))
     places = stored(dropped.groupBy("key").agg(F.array_sort(F.collect_set("place")).alias("places")))
-    discard(lines, distinct, found)
+    discard(lines, distinct, tails, found)
     return places
 
 

@@ -57,7 +57,7 @@ def _select(n_docs: int, n_toxic: int, having: np.ndarray, toxic_having: np.ndar
     pooled = having / n_docs
     spread = np.sqrt(np.maximum(pooled * (1 - pooled), 1e-12) * (1 / max(n_toxic, 1) + 1 / max(n_docs - n_toxic, 1)))
     z = (toxic_having / max(n_toxic, 1) - (having - toxic_having) / max(n_docs - n_toxic, 1)) / spread
-    z[having < 3] = 0
+    z[having < 5] = 0
     # What toxic texts have a little more or less often tells their length and language, not their tone.
     rate = (toxic_having / max(n_toxic, 1)) / np.maximum((having - toxic_having) / max(n_docs - n_toxic, 1), 1e-9)
     chosen = np.flatnonzero((z >= least_z) & (rate >= least_rate))
@@ -92,7 +92,7 @@ def _ordinal(x: list[np.ndarray], y: np.ndarray, n_features: int, grades: int, p
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS, bits: int = 18, grades: int = 4, least_z: float = 4.0, least_rate: float = 5.0, features: int = 5000, penalty: float = 0.2, steps: int = 800
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS, bits: int = 18, grades: int = 4, least_z: float = 6.0, least_rate: float = 5.0, features: int = 5000, penalty: float = 0.1, steps: int = 800
 ) -> OrdinalModel | None:
     """Learns from at most ``sample_rows`` labelled documents, a fixed choice by the hash of their ids.
 
@@ -158,7 +158,7 @@ def fit(
     return OrdinalModel(bits, place, weights, thresholds)
 
 
-def score(docs: DataFrame, model: OrdinalModel | None, text_col: str = "text", least: float = 0.3) -> DataFrame:
+def score(docs: DataFrame, model: OrdinalModel | None, text_col: str = "text", least: float = 0.5) -> DataFrame:
     """The rows with p_toxic (of a grade above 0), severity (the expected grade), grade (the likeliest) and toxic.
 
     Input columns of these names are replaced. A null text counts as empty. Without a model nothing is toxic.
