@@ -22,7 +22,7 @@ from .job import ship
 from .textblocks import U64, hash_spans, mix, text_blocks
 
 MARK = 0x2581
-BLOCK = 6 << 20
+BLOCK = 2 << 20
 _STEP = U64(0x9E3779B97F4A7C15)
 _CACHE_BITS = 21
 
@@ -274,7 +274,7 @@ class Pieces:
 class _Words:
     """The pieces of words that a task has met; it starts anew when it is full."""
 
-    FULL = 1 << 20
+    FULL = 1 << 18
 
     def __init__(self) -> None:
         self.clear()
