@@ -3,11 +3,12 @@
 A line goes down the tree by its number of tokens and its first ``depth`` tokens; a token with a digit is a variable
 field and goes down as ``<*>``. In its leaf, a token is constant if at least ``min_docs`` documents have it at that place in a line of the
 leaf, else it is a variable field too. What is constant makes the line's template. A template that recurs in ``min_docs`` documents is
-dropped from all of them but the first.
+dropped from all of them but the first. A line that recurs token by token needs fewer: it is dropped from ``exact_docs`` documents on.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -24,8 +25,8 @@ FIELD = "<*>"
 _TOKEN = re.compile(r"[^\x09-\x0D\x20]+")
 
 
-def _lines(data: np.ndarray, offsets: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of each line its text, its place in it from 0, its number of tokens, and a hash of its leaf."""
+def _lines(data: np.ndarray, offsets: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each line its text, its place in it from 0, its number of tokens, whether one is a field, and a hash of its leaf."""
     ends = np.flatnonzero(data == 10)
     text = np.concatenate([np.arange(len(offsets) - 1), np.searchsorted(offsets, ends, "right") - 1])
     start = np.concatenate([offsets[:-1], ends + 1])
@@ -37,23 +38,26 @@ def _lines(data: np.ndarray, offsets: np.ndarray, depth: int) -> tuple[np.ndarra
     n = np.bincount(line, minlength=len(text))
     digits = np.concatenate([[0], np.cumsum((data >= 48) & (data <= 57))])
     hashes = hash_spans(data, begin, end)
-    hashes[digits[end] > digits[begin]] = U64(1)
+    field = digits[end] > digits[begin]
+    hashes[field] = U64(1)
     first = np.cumsum(n) - n
     leaf = n.astype(U64) * U64(0x9E3779B97F4A7C15)
     for k in range(depth):
         has = np.flatnonzero(n > k)
         leaf[has] = mix(leaf[has] + hashes[first[has] + k])
-    return text, place, n, leaf
+    return text, place, n, np.bincount(line[field], minlength=len(text)) > 0, leaf
 
 
-def _masked(line: str) -> list[str]:
-    return [FIELD if any("0" <= c <= "9" for c in t) else t for t in _TOKEN.findall(line)]
+def _masked(tokens: list[str]) -> list[str]:
+    return [FIELD if any("0" <= c <= "9" for c in t) else t for t in tokens]
 
 
-def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 3, min_docs: int = 3, min_tokens: int = 4, similarity: float = 0.5) -> DataFrame:
+def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 3, min_docs: int = 3, min_tokens: int = 4, similarity: float = 0.5, exact_docs: int | None = 2, short_docs: int = 3) -> DataFrame:
     """(key of the row, places of its dropped lines from 0, ascending), for rows with any.
 
-    A line with fewer than ``min_tokens`` tokens, or a template of which less than ``similarity`` is constant, is never dropped.
+    A line with fewer than ``min_tokens`` tokens, or a template of which less than ``similarity`` is constant, is not dropped as a template.
+    A line that ``exact_docs`` documents have with the same tokens is dropped too; one with fewer than ``min_tokens`` has to be in ``short_docs``
+    documents and to be without a digit. With ``exact_docs`` None only templates count.
     Rows with one id and different texts are different documents; rows alike in both are one. The first document of a template is the
     one with the smallest id (null before all), then the smallest key.
     """
@@ -62,15 +66,15 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, data, offsets in text_blocks(batch.column(0)):
-                _, _, n, leaf = _lines(data, offsets, depth)
-                leaf, seen = np.unique(leaf[n >= min_tokens], return_counts=True)
+                _, _, n, field, leaf = _lines(data, offsets, depth)
+                leaf, seen = np.unique(leaf[counted(n, field)], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(leaf.view(np.int64)), pa.array(seen)], names=["leaf", "seen"])
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, _, data, offsets in text_blocks(batch.column(1)):
-                text, place, n, leaf = _lines(data, offsets, depth)
-                own = np.flatnonzero(n >= min_tokens)
+                text, place, n, field, leaf = _lines(data, offsets, depth)
+                own = counted(n, field)
                 yield pa.RecordBatch.from_arrays([pa.array(leaf[own].view(np.int64)), batch.column(0).take(pa.array(first + text[own])), pa.array(place[own].astype(np.int32))], names=["leaf", "key", "place"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,21 +83,27 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             for i, (text, wanted) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
                 lines = text.split("\n")
                 for place in sorted(set(wanted)):
-                    tokens = _masked(lines[place])
-                    out.append((i, place, len(tokens), " ".join(tokens[:depth]), " ".join(tokens)))
-            row, place, n, head, line = zip(*out) if out else ((),) * 5
+                    tokens = _TOKEN.findall(lines[place])
+                    same = hashlib.md5(" ".join(tokens).encode(), usedforsecurity=False).hexdigest()
+                    tokens = _masked(tokens)
+                    out.append((i, place, len(tokens), " ".join(tokens[:depth]), " ".join(tokens), same))
+            row, place, n, head, line, same = zip(*out) if out else ((),) * 6
             row = pa.array(row, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), pa.array(place, pa.int32()), pa.array(n, pa.int32()), pa.array(head, pa.string()), pa.array(line, pa.string())], names=["key", "id", "place", "n", "head", "line"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), pa.array(place, pa.int32()), pa.array(n, pa.int32()), pa.array(head, pa.string()), pa.array(line, pa.string()), pa.array(same, pa.string())], names=["key", "id", "place", "n", "head", "line", "same"])
+
+    def counted(n: np.ndarray, field: np.ndarray) -> np.ndarray:
+        return np.flatnonzero((n >= min_tokens) | (n > 0) & ~field & (exact_docs is not None))
 
     ship(docs.sparkSession)
-    # A leaf with fewer lines than documents wanted has no recurring template; all else concerns the lines of busy leaves, a small part of the text.
-    busy = rows.select("text").mapInArrow(leaves, "leaf long, seen long").groupBy("leaf").agg(F.sum("seen").alias("seen")).where(F.col("seen") >= min_docs).select("leaf")
+    least = min_docs if exact_docs is None else min(min_docs, exact_docs, short_docs)
+    # A leaf with fewer lines than documents wanted has no recurring line or template; all else concerns the lines of busy leaves, a small part of the text.
+    busy = rows.select("text").mapInArrow(leaves, "leaf long, seen long").groupBy("leaf").agg(F.sum("seen").alias("seen")).where(F.col("seen") >= least).select("leaf")
     wanted = rows.select("key", "text").mapInArrow(places, "leaf long, key binary, place int").join(busy, "leaf", "left_semi")
     wanted = stored(wanted.groupBy("key").agg(F.collect_set("place").alias("wanted")))
     kind = docs.schema[id_col].dataType.simpleString()
-    lines = stored(rows.join(wanted, "key").select("key", "id", "text", "wanted").mapInArrow(cut, f"key binary, id {kind}, place int, n int, head string, line string"))
+    lines = stored(rows.join(wanted, "key").select("key", "id", "text", "wanted").mapInArrow(cut, f"key binary, id {kind}, place int, n int, head string, line string, same string"))
     discard(wanted)
-    distinct = lines.groupBy("n", "head", "line").agg(F.count_distinct("key").alias("docs"))
+    distinct = lines.where(F.col("n") >= min_tokens).groupBy("n", "head", "line").agg(F.count_distinct("key").alias("docs"))
     distinct = stored(distinct.withColumns({"line_id": F.monotonically_increasing_id(), "leaf": F.unhex(F.md5(F.concat_ws(" ", "n", "head")))}))
     # Lines by number from here on: a token's row is short, however long its line.
     tail = distinct.select("line_id", "leaf", "docs", F.posexplode(F.split("line", " ")).alias("at", "token")).where(F.col("at") >= depth)
@@ -103,8 +113,12 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     whole = distinct.select("n", "head", "line", "line_id").join(tails, "line_id", "left").select("n", "head", "line", F.concat_ws(" ", "head", "tail").alias("template"))
     fixed = F.size(F.filter(F.split("template", " "), lambda t: t != FIELD))
     whole = whole.where(fixed >= F.lit(similarity) * F.col("n"))
-    found = stored(lines.join(whole, ["n", "head", "line"]).select("key", "id", "place", F.md5(F.concat_ws(" ", "n", "template")).alias("template")))
-    recurring = found.groupBy("template").agg(F.count_distinct("key").alias("docs"), F.min(F.struct("id", "key")).alias("first")).where(F.col("docs") >= min_docs)
+    found = lines.join(whole, ["n", "head", "line"]).select("key", "id", "place", F.md5(F.concat_ws(" ", "n", "template")).alias("template"), F.lit(min_docs).alias("needed"))
+    if exact_docs is not None:
+        needed = F.when(F.col("n") >= min_tokens, exact_docs).otherwise(short_docs)
+        found = found.unionByName(lines.select("key", "id", "place", F.concat(F.lit("="), "same").alias("template"), needed.alias("needed")))
+    found = stored(found)
+    recurring = found.groupBy("template").agg(F.count_distinct("key").alias("docs"), F.min(F.struct("id", "key")).alias("first"), F.first("needed").alias("needed")).where(F.col("docs") >= F.col("needed")).drop("needed")
     dropped = found.join(recurring, "template").where(F.col("key") != F.col("first.key"))
     places = stored(dropped.groupBy("key").agg(F.array_sort(F.collect_set("place")).alias("places")))
     discard(lines, distinct, tails, found)

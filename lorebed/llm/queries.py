@@ -34,7 +34,8 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    # Templates alone, as in its SQL; the operator's default, and the pipeline, drop exact repeats besides.
+    kept = linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), exact_docs=None)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 

@@ -206,6 +206,26 @@ def test_lines_with_variable_fields(spark):
     assert all("logged in" not in got[i].text and got[i].n_lines == 3 for i in range(1, 8))
 
 
+def test_lines_that_two_documents_have(spark):
+    long, dated, short = "the same notice stands in exactly two documents", "Copyright 2024 by some people of 1 place", "All rights reserved."
+    texts = [f"{long}\nbegin {short}", f"{long} \n{dated}\nown words of second text", f"{dated}\n{short}\nPage 7", f" {short}\nPage 7\nrare words", f"{short}\nPage 7\nrare words"]
+    got = [r.text for r in linededup.dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    assert got == [texts[0], f"{dated}\nown words of second text", f"{short}\nPage 7", "Page 7\nrare words", "Page 7\nrare words"]
+
+
+def test_exact_lines_against_plain(spark):
+    rng = random.Random(4)
+    rows = [(i, "\n".join(" ".join(rng.choice(["a", "b", "c2"]) for _ in range(rng.randint(0, 7))) for _ in range(12))) for i in range(60)]
+    lines = {k: [" ".join(re.findall(r"[^\x09-\x0D\x20]+", x)) for x in t.split("\n")] for k, t in rows}
+    docs_of = {}
+    for k, own in lines.items():
+        for x in own:
+            docs_of.setdefault(x, set()).add(k)
+    needed = lambda x: 2 if len(x.split()) > 3 else 3 if x and "2" not in x else 10**9
+    got = {r.doc_id: r.n_dropped for r in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), min_docs=10**6).collect()}
+    assert got == {k: sum(len(docs_of[x]) >= needed(x) and min(docs_of[x]) < k for x in own) for k, own in lines.items()} and sum(got.values()) > 50
+
+
 def test_lines_of_odd_rows(odd, nothing):
     got = linededup.dedup_lines(odd.withColumn("n_lines", F.lit("old")), min_docs=2, min_tokens=1)
     rows = {str(r.doc_id): r for r in got.collect()}
