@@ -67,6 +67,24 @@ RULES: list[tuple[str, list[str]]] = [
 
 #: A sentence ends at a line's end, or with its mark before white space.
 SENTENCE_END = r"[.!?]+[ \t]+|[ \t]*[\r\n]+"
+# Marks in a text's words: a place where a sentence ends or begins for certain, one where it may, and a separator that n_sentences counts.
+HARD, SOFT, COUNTED = "|", "~", "^"
+#: What becomes of a text before its words are taken, in order. A line's end, ``;`` and ``:`` may end a sentence or stand within one; the mark in ``v. 2.0``
+#: stands within one; marks before white space, and lines without a letter or digit, end one. Every separator of SENTENCE_END leaves one COUNTED.
+STEPS: list[tuple[str, str]] = [
+    (r"[|~^]", ","),
+    (r"\bv\.[ \t]+(?=[^a-z0-9.!?]*[0-9])", f"v{COUNTED}"),
+    (r"\bv\.(?=[\r\n][^a-z0-9.!?]*[0-9])", "v"),
+    (r"[.!?]+[ \t]+", HARD + COUNTED),
+    (r"[.!?]+(?=[\r\n]|$)", HARD),
+    (r"(?:\r\n|\n|\r(?!\n)){2,}+|[\r\n]++(?=[^a-z0-9\r\n]++[\r\n])", HARD + COUNTED),
+    (r"[\r\n]+", SOFT + COUNTED),
+    (r"[;:]", SOFT),
+    (r"[^a-z0-9|~^]+", " "),
+    (r" ?([|~^]) ?", "$1"),
+]
+#: A sentence of so many words is told by them alone: on one line, a grant follows the holder's name without a mark.
+LONG = 15
 #: Every known sentence has one of these; a text with none has no known sentence.
 CUES = ["licen", "permission", "redistribution", "warrant", "unencumbered"]
 
@@ -80,21 +98,33 @@ def known() -> dict[str, str]:
     return {normalised(s): i for i, s in SENTENCES.items()}
 
 
+def _sentence_pattern() -> str:
+    """A known sentence between two marks, over line ends and other places where a sentence may end; the longest first. One of LONG words may begin at any word."""
+    found = sorted(known(), key=len, reverse=True)
+    any_of = lambda some: "(?:" + "|".join(s.replace(" ", "[ ~^]++") for s in some) + ")(?=[|~^])"
+    return f"(?<=[|~^]){any_of(found)}|(?<= ){any_of(s for s in found if s.count(' ') + 1 >= LONG)}"
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The licences of every text.
 
     Returns the id; licences (the matched rules' names, each once, in the rules' order, joined by ``;``); sentence_ids (the known
-    sentences in the text's order, joined by ``;``); n_sentences (all of the text); first_sentence (the place of the first known
-    one, from 0, else null). A rule matches if its sentences stand in a row among the known sentences. Whole texts are read in one pass without
+    sentences in the text's order, joined by ``;``); n_sentences (all of the text, ended at line ends too); first_sentence (the place of
+    the first known one's beginning, from 0, else null). A known sentence may go over line ends. A rule matches if its sentences stand in a row among the known sentences. Whole texts are read in one pass without
     a shuffle. A null text counts as empty, with one empty sentence.
     """
     text = ascii_lower(F.coalesce(F.col(text_col), F.lit("")))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.split(text, SENTENCE_END).alias("sentences"), F.lit(False).alias("none"), _cued(text).alias("cued"))
+    marked = text
+    for pattern, mark in STEPS:
+        marked = F.regexp_replace(marked, pattern, mark)
+    marked = F.when(_cued(text), F.concat(F.lit(HARD), marked, F.lit(HARD))).otherwise("")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.size(F.split(text, SENTENCE_END)).cast("long").alias("n_sentences"), marked.alias("marked"))
     lookup = F.create_map(*[F.lit(x) for pair in known().items() for x in pair])
-    named = F.transform("sentences", lambda s: F.when(_cued(s), F.try_element_at(lookup, F.trim(F.regexp_replace(s, "[^a-z0-9]+", " ")))))
-    rows = rows.select("doc_id", F.size("sentences").cast("long").alias("n_sentences"), F.when(F.col("cued"), named).otherwise(F.array().cast("array<string>")).alias("named"))
-    first = F.array_position(F.transform("named", lambda x: x.isNotNull()), F.lit(True))
-    rows = rows.select("doc_id", "n_sentences", F.filter("named", lambda x: x.isNotNull()).alias("ids"), F.when(first > 0, first - 1).alias("first_sentence"))
+    pattern = F.lit(_sentence_pattern())
+    ids = F.transform(F.regexp_extract_all("marked", pattern, F.lit(0)), lambda s: F.try_element_at(lookup, F.regexp_replace(s, "[^a-z0-9]+", " ")))
+    before = F.substring(F.col("marked"), F.lit(1), F.regexp_instr("marked", pattern) - 1)
+    first = F.when(F.size("ids") > 0, F.char_length(before) - F.char_length(F.replace(before, F.lit(COUNTED), F.lit(""))))
+    rows = rows.withColumn("ids", ids).select("doc_id", "n_sentences", "ids", first.cast("int").alias("first_sentence"))
     rows = rows.withColumn("rest", F.concat(F.lit("<"), F.array_join("ids", "><"), F.lit(">")))
     matched = []
     for k, (name, sequence) in enumerate(RULES):

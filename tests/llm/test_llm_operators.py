@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import sys
+import textwrap
 from pathlib import Path
 
 import numpy as np
@@ -321,6 +322,89 @@ def test_every_sentence_has_a_cue():
     assert {i for _, rule in licences.RULES for i in rule} <= set(licences.SENTENCES)
 
 
+# The licences as their holders publish them, wrapped at a column.
+PUBLISHED = {
+    "MIT": """MIT License
+
+Copyright (c) 2024 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM.""",
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY
+AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE.""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.""",
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0""",
+    "GPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>.""",
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    "CC-BY-4.0": """This work is licensed under a Creative Commons Attribution 4.0
+International License.""",
+    "Unlicense": """This is free and unencumbered software released into the
+public domain.""",
+}
+
+
+@pytest.mark.parametrize("shape", ["published", "comment", "crlf", "narrow", "one line"])
+def test_licences_as_published(spark, shape):
+    change = {
+        "published": lambda t: t, "comment": lambda t: "\n".join(" * " + x for x in t.split("\n")), "crlf": lambda t: t.replace("\n", "\r\n"), "one line": lambda t: " ".join(t.split()),
+        "narrow": lambda t: "\n\n".join("\n".join(textwrap.wrap(x, 30)) for x in t.split("\n\n")),
+    }
+    rows = [(name, "Some words before.\n\n" + change[shape](t)) for name, t in PUBLISHED.items()]
+    assert {r.doc_id: r.licences for r in licences.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()} == {name: name for name in PUBLISHED}
+
+
+def test_sentences_end_at_blank_lines_and_marks(spark):
+    texts = ["Released under the\n\nMIT License", "Released under the. MIT License", "Released under the\nMIT License", "Not released under the MIT License", "a; Released under the MIT License; b", "One. Two\n\nthree\nReleased under the\nMIT License, v. 2"]
+    got = [(r.licences, r.n_sentences, r.first_sentence) for r in licences.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    assert got == [("", 2, None), ("", 2, None), ("MIT", 2, 0), ("", 1, None), ("MIT", 1, 0), ("", 6, None)]
+
+
 def test_licences_of_odd_rows(odd, nothing):
     assert licences.scan(odd).count() == len(ODD) and licences.scan(nothing).count() == 0
     plan = licences.scan(odd)._jdf.queryExecution().executedPlan().toString()
