@@ -295,7 +295,7 @@ def fact_dedupe(spark, sf_dir):
 
 
 def _validated(spark, sf_dir):
-    return validate.validate(_records(spark, sf_dir), _page_texts(spark, sf_dir), fuzzy=False)
+    return validate.validate(_records(spark, sf_dir), _page_texts(spark, sf_dir))
 
 
 @query
@@ -319,7 +319,7 @@ def entity_demotion(spark, sf_dir):
     found = _entities(spark, sf_dir).withColumn("conflicts_or_uncertainties", F.array().cast("array<string>"))
     turns = _read(spark, sf_dir, "conversations").where("role = 'user'")
     pages = turns.select(F.concat(F.lit("https://c.example.com/"), F.col("conv_id"), F.lit("/"), F.col("turn")).alias("source_url"), F.col("text").alias("page_markdown"), F.lit("p").alias("path"))
-    return validate.demote_ungrounded(found, pages, fuzzy=False).select("canonical_name", "kept", F.array_join("conflicts_or_uncertainties", ";").alias("notes"), F.size("sources").alias("n_sources"))
+    return validate.demote_ungrounded(found, pages).select("canonical_name", "kept", F.array_join("conflicts_or_uncertainties", ";").alias("notes"), F.size("sources").alias("n_sources"))
 
 
 @query
