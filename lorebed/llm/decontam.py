@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .job import set_apart, ship, stored
-from .textblocks import LETTERED, LOWER, U64, hash_spans, text_blocks, word_spans
+from .textblocks import LETTERED, LOWER, U64, hash_spans, same_spans, text_blocks, word_spans
 
 #: Bytes of benchmark text that are searched for, and so broadcast, in one pass.
 PASS_BYTES = 32 << 20
@@ -77,15 +77,23 @@ class Windows:
 
     def __init__(self, ids: list[str], texts: list[str | None], window: int):
         self.ids, self.window = ids, window
-        hashes, lengths = [], []
+        blocks = []
         for _, _, data, offsets in text_blocks(pa.array(texts, pa.large_string())):
             data = LOWER[data]
-            begin, end, at = word_spans(data, offsets, LETTERED)
-            hashes.append(hash_spans(data, begin, end))
-            lengths.append(np.diff(at))
-        h = np.concatenate(hashes) if hashes else np.zeros(0, U64)
-        length = np.concatenate(lengths) if lengths else np.zeros(0, np.int64)
-        self.vocabulary, number = np.unique(h, return_inverse=True)
+            blocks.append((data, *word_spans(data, offsets, LETTERED)))
+        length = np.concatenate([np.diff(at) for *_, at in blocks]) if blocks else np.zeros(0, np.int64)
+        shift = np.cumsum([0, *(len(data) for data, *_ in blocks)])
+        data = np.concatenate([x[0] for x in blocks]) if blocks else np.zeros(0, np.uint8)
+        begin, end = (np.concatenate([x[k] + d for x, d in zip(blocks, shift)]) if blocks else np.zeros(0, np.int64) for k in (1, 2))
+        self.key = 0
+        while True:
+            self.vocabulary, first, number = np.unique(hash_spans(data, begin, end, self.key), return_index=True, return_inverse=True)
+            if same_spans(data, begin, end, data, begin[first][number], end[first][number]).all():
+                break
+            self.key += 1  # Under this key every word of the benchmark has a hash of its own.
+        size = end[first] - begin[first]
+        self.word_at = np.concatenate([[0], np.cumsum(size)])
+        self.word_bytes = data[np.arange(size.sum()) - np.repeat(self.word_at[:-1] - begin[first], size)]
         number = number.astype(np.int64) + 1
         self.bits = max(1, int(len(self.vocabulary) + 1).bit_length())
         size = np.minimum(length, window)
@@ -109,13 +117,16 @@ class Windows:
         self.least = int(self.sizes.min()) if len(key) else 0
 
     def match(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(first word of each text, its number at the end; for each occurrence its text, its word in the text and its window)."""
+        """(first word of each text, its number at the end; for each occurrence its text, its word in the text and its window).
+
+        Words are looked up by their hashes; those of an occurrence are then compared byte by byte, so that an occurrence is verbatim.
+        """
         data = LOWER[data]
         begin, end, at = word_spans(data, offsets, LETTERED)
         none = np.zeros(0, np.int64)
         if not len(self.sizes):
             return at, none, none, none
-        h = hash_spans(data, begin, end)
+        h = hash_spans(data, begin, end, self.key)
         number = np.minimum(np.searchsorted(self.vocabulary, h), len(self.vocabulary) - 1)
         number = np.where(self.vocabulary[number] == h, number + 1, 0)
         stop = np.full(len(number) + 1, len(number), dtype=np.int64)
@@ -130,6 +141,17 @@ class Windows:
         count = b - a
         window = np.repeat(np.arange(len(count)), count)
         place = array.starts[np.arange(len(window)) - np.repeat(np.cumsum(count) - count - a, count)]
+        cover = np.zeros(len(number) + 1, dtype=np.int64)
+        np.add.at(cover, place, 1)
+        np.add.at(cover, place + self.sizes[window], -1)
+        met = np.flatnonzero(np.cumsum(cover)[:-1])
+        other = number[met] - 1
+        alike = same_spans(data, begin[met], end[met], self.word_bytes, self.word_at[other], self.word_at[other + 1])
+        wrong = np.zeros(len(number) + 1, dtype=np.int64)
+        wrong[met[~alike] + 1] = 1
+        wrong = np.cumsum(wrong)
+        real = wrong[place + self.sizes[window]] == wrong[place]
+        place, window = place[real], window[real]
         text = np.searchsorted(at, place, "right") - 1
         return at, text, place - at[text], window
 

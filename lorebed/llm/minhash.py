@@ -19,10 +19,10 @@ class MinHash:
         self.a = rng.integers(0, 1 << 63, size, dtype=U64) * U64(2) + U64(1)
         self.b = rng.integers(0, 1 << 63, size, dtype=U64) * U64(2)
 
-    def shingles(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The shingle hashes of each text, repeats included, and where each text's begin."""
+    def shingles(self, data: np.ndarray, offsets: np.ndarray, key: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """The shingle hashes of each text, repeats included, and where each text's begin; signatures need the same key throughout."""
         begin, end, at = word_spans(data, offsets, SPACED)
-        return grams(hash_spans(data, begin, end), at, self.shingle)
+        return grams(hash_spans(data, begin, end, key), at, self.shingle)
 
     def signatures(self, hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
         """One row of ``size`` 32-bit minima for each text; a text without shingles has the largest value throughout."""

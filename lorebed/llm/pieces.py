@@ -1,17 +1,15 @@
 """SentencePiece encoding and decoding by a batched numpy Viterbi.
 
-Words of equal length advance together, one character at a time. At each end the hashes of all
-substrings that end there probe the sorted piece keys; of the pieces found, the best *admissible* one
-is kept with a backpointer. For a byte-pair model a plain sum of scores picks other pieces than the
-merges do, so a step from piece ``a`` to piece ``b`` is admissible only if the merges leave ``a b``
+Words of equal length advance together, one character at a time. The hashes of all substrings probe the sorted piece keys first;
+at each end the pieces found make a row of scores, of which the largest is kept with a backpointer. For a byte-pair model a plain sum of scores picks
+other pieces than the merges do, so the score of a step from piece ``a`` to piece ``b`` counts only if the merges leave ``a b``
 as these two pieces. A prefix of an encoding is the encoding of that prefix, which makes one
-piece admissible at each end: the lattice has exactly one path, and it is the model's own encoding.
+piece admissible at each end: the largest sum over admissible steps is the model's own encoding.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +23,10 @@ MARK = 0x2581
 BLOCK = 2 << 20
 _STEP = U64(0x9E3779B97F4A7C15)
 _CACHE_BITS = 21
+#: Longer words are cut between characters that no piece has side by side, which no merge can join.
+_LONG = 48
+#: Fills short rows; no character.
+_NONE = 0xFFFFFFFF
 
 
 def _probe(keys: np.ndarray, marked: np.ndarray, shift: U64, wanted: np.ndarray) -> np.ndarray:
@@ -54,6 +56,7 @@ class Pieces:
         self.longest = max(len(pieces[i]) for i in self.own)
         chars = {pieces[i]: i for i in self.own if len(pieces[i]) == 1}
         text = {pieces[i]: i for i in self.own}
+        self.beside = np.unique(np.array([ord(x) << 32 | ord(y) for i in self.own for x, y in zip(pieces[i], pieces[i][1:])], dtype=U64))
         h = np.zeros(len(self.own), dtype=U64)
         points = np.zeros((self.n, self.longest), dtype=np.uint32)
         self.lengths = np.zeros(self.n, dtype=np.int64)
@@ -66,6 +69,7 @@ class Pieces:
         for k in range(self.longest):
             inside = self.lengths[self.own] > k
             h[inside] = h[inside] * _STEP + points[self.own, k][inside].astype(U64) + U64(1)
+        self.points = points
         h = mix(h)
         order = np.argsort(h)
         self.keys, self.ids = h[order], np.array(self.own, dtype=np.int64)[order]
@@ -101,6 +105,20 @@ class Pieces:
         data[unknown] = " ⁇ ".encode()
         self.byte_starts = np.concatenate([[0], np.cumsum([len(x) for x in data])])
         self.bytes = np.frombuffer(b"".join(data), dtype=np.uint8)
+        self._forget()
+
+    def _forget(self) -> None:
+        """Empty caches, which belong to this object and to one process."""
+        self._words = _Words()
+        self._pair_keys = np.full(1 << _CACHE_BITS, -1, dtype=np.int64)
+        self._pair_answers = np.zeros(1 << _CACHE_BITS, dtype=bool)
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("_words", "_pair_keys", "_pair_answers")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._forget()
 
     def merged(self, ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Merges neighbours, best score first and from the left, until none is left: pieces and their number."""
@@ -129,7 +147,7 @@ class Pieces:
 
     def admissible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether merging the characters of piece a and piece b gives back a and b; a cache remembers past answers."""
-        known, answer = _pair_cache(id(self))
+        known, answer = self._pair_keys, self._pair_answers
         key = a * self.n + b
         slot = (mix(key.astype(U64)) >> U64(64 - _CACHE_BITS)).astype(np.int64)
         missing = known[slot] != key
@@ -149,52 +167,110 @@ class Pieces:
             out[missing] = fine[np.searchsorted(new, key[missing])]
         return out
 
-    def viterbi(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Words of one length, as code points: the piece that ends at each place (0: none), and its backpointer's length."""
+    def candidates(self, words: np.ndarray, exact: bool = False) -> np.ndarray:
+        """The piece of each size that ends at each place of each word, or -1; with ``exact`` its characters are compared too."""
         n, length = words.shape
         total = np.zeros((n, length + 1), dtype=U64)
         for i in range(length):
             total[:, i + 1] = total[:, i] * _STEP + words[:, i].astype(U64) + U64(1)
-        last = np.full((n, length + 1), -1, dtype=np.int64)
-        back = np.zeros((n, length + 1), dtype=np.int64)
-        power = [1]
-        for _ in range(self.longest):
-            power.append(power[-1] * int(_STEP) & 0xFFFFFFFFFFFFFFFF)
+        width = min(self.longest, length)
+        out = np.full((length + 1, n, width), -1, dtype=np.int32)
+        power = 1
+        for size in range(1, width + 1):
+            power = power * int(_STEP) & 0xFFFFFFFFFFFFFFFF
+            at = _probe(self.keys, self.marked, U64(44), mix(total[:, size:] - total[:, :-size] * U64(power)).reshape(-1)).reshape(n, -1)
+            row, place = np.nonzero(at >= 0)
+            piece = self.ids[at[row, place]]
+            if exact:
+                alike = self.lengths[piece] == size
+                for k in range(size):
+                    alike &= self.points[piece, k] == words[row, place + k]
+                row, place, piece = row[alike], place[alike], piece[alike]
+            out[place + size, row, size - 1] = piece
+        return out
+
+    def viterbi(self, words: np.ndarray, exact: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Words of one length, as code points: the best piece that ends at each place, and its backpointer's length."""
+        n, length = words.shape
+        found = self.candidates(words, exact)
+        best = np.zeros((length + 1, n))
+        last = np.full((length + 1, n), -1, dtype=np.int64)
+        back = np.zeros((length + 1, n), dtype=np.int64)
+        rows = np.arange(n)
         for end in range(1, length + 1):
-            for size in range(min(self.longest, end), 0, -1):
-                open_ = np.flatnonzero(last[:, end] < 0)
-                if not len(open_):
-                    break
-                key = mix(total[open_, end] - total[open_, end - size] * U64(power[size]))
-                at = _probe(self.keys, self.marked, U64(44), key)
-                hit = at >= 0
-                rows, piece = open_[hit], self.ids[at[hit]]
-                fine = self.whole[piece] if end == size else self.admissible(last[rows, end - size], piece)
-                last[rows[fine], end], back[rows[fine], end] = piece[fine], size
-            rest = last[:, end] < 0
-            last[rest, end], back[rest, end] = self.unknown, 1
+            here = found[end, :, : min(end, found.shape[2])]
+            row, size = np.nonzero(here >= 0)
+            piece, start = here[row, size].astype(np.int64), end - 1 - size
+            before = last[start, row]
+            fine = self.whole[piece]
+            inner = np.flatnonzero(start)
+            fine[inner] = self.admissible(before[inner], piece[inner])
+            scores = np.full(here.shape, -np.inf)
+            scores[row[fine], size[fine]] = best[start[fine], row[fine]] + self.scores[piece[fine]]
+            pick = scores.argmax(axis=1)
+            top = scores[rows, pick]
+            some = top > -np.inf
+            last[end] = np.where(some, here[rows, pick], self.unknown)
+            back[end] = np.where(some, pick + 1, 1)
+            best[end] = np.where(some, top, best[end - 1])
         return last, back
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts of a block, and where each text's begin."""
+        return self.encode_checked(data, offsets)[:2]
+
+    def encode_checked(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``encode``, and whether decoding the ids gives each text back.
+
+        Equal words are found by their hashes. A text that reads back otherwise had a word with another word's hash;
+        it is encoded again word by word, with pieces compared character by character.
+        """
+        ids, at = self._encode(data, offsets)
+        same = self._reads_back(ids, at, data, offsets)
+        if same.all():
+            return ids, at, same
+        parts = np.split(ids, at[1:-1])
+        for i in np.flatnonzero(~same):
+            own = data[offsets[i] : offsets[i + 1]]
+            parts[i], own_at = self._encode(own, np.array([0, len(own)]), exact=True)
+            same[i] = self._reads_back(parts[i], own_at, own, np.array([0, len(own)]))[0]
+        return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])]), same
+
+    def _reads_back(self, ids: np.ndarray, at: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        back, back_at = self.decode(ids, at)
+        if len(back) == len(data) and np.array_equal(back_at, offsets):
+            wrong = np.concatenate([[0], np.cumsum(back != data)])
+            return np.diff(wrong[offsets]) == 0
+        return np.array([np.array_equal(back[a:b], data[c:d]) for a, b, c, d in zip(back_at, back_at[1:], offsets, offsets[1:])], dtype=bool)
+
+    def _encode(self, data: np.ndarray, offsets: np.ndarray, exact: bool = False) -> tuple[np.ndarray, np.ndarray]:
         points = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), dtype=np.uint32)
-        at = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
+        byte_of = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+        at = np.searchsorted(byte_of, offsets)
         some = np.diff(at) > 0
         points = np.where(points == 32, np.uint32(MARK), points)
         points = np.insert(points, at[:-1][some], np.uint32(MARK))
+        put = at[:-1][some] + np.arange(some.sum())
         at = at + np.concatenate([[0], np.cumsum(some)])
         if not len(points):
             return np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)
         blank = points == MARK
         start = np.zeros(len(points), dtype=bool)
-        start[at[:-1][some]] = True
+        start[put] = True
         begins = blank & (start | ~np.concatenate([[False], blank[:-1]]))
         begin = np.flatnonzero(begins)
         end = np.append(begin[1:], len(points))
         blanks = np.concatenate([[0], np.cumsum(blank)])
         core = begin + (blanks[end] - blanks[begin]) - 1
-        words, index, inverse = np.unique(hash_spans(points, core, end), return_index=True, return_inverse=True)
-        ids, starts, sizes = _word_cache(id(self)).recall(words, lambda new: self._segment(points, core[index[new]], end[index[new]]))
+        if exact:
+            ids, sizes = self._segment(points, core, end, exact=True)
+            starts, inverse = np.cumsum(sizes) - sizes, np.arange(len(core))
+        else:
+            given = np.cumsum(~start) - ~start  # how many of the text's own characters come before
+            own = np.append(given, given[-1] + (not start[-1]))
+            hashes = hash_spans(data, byte_of[own[core + 1]], byte_of[own[end]])
+            words, index, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+            ids, starts, sizes = self._words.recall(words, lambda new: self._segment(points, core[index[new]], end[index[new]]))
         count, first = sizes[inverse], starts[inverse]
         out_at = np.concatenate([[0], np.cumsum(count)])
         out = ids[np.arange(out_at[-1]) - np.repeat(out_at[:-1] - first, count)].astype(np.int32)
@@ -203,40 +279,63 @@ class Pieces:
             out, out_at = self._with_runs(out, out_at, extra)
         return out, out_at[np.searchsorted(begin, at)]
 
-    def _segment(self, points: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _segment(self, points: np.ndarray, begin: np.ndarray, end: np.ndarray, exact: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """The ids of some words, one word after the other, and how many each has."""
-        length = end - begin
+        first, after, word = self._cut(points, begin, end)
+        length = after - first
+        # Longer stretches are few of each length, and advance together with others, filled up to a common length.
+        room = np.where(length <= _LONG, length, 1 << np.ceil(np.log2(np.maximum(length, 1))).astype(np.int64))
         pieces: list[np.ndarray] = []
         owner: list[np.ndarray] = []
         place: list[np.ndarray] = []
-        for size in np.unique(length):
-            mine = np.flatnonzero(length == size)
-            for part in np.array_split(mine, max(1, int(len(mine) * size) // 1_000_000)):
-                last, back = self.viterbi(points[begin[part][:, None] + np.arange(size)])
-                at_end = np.full(len(part), size)
+        for size in np.unique(room):
+            mine = np.flatnonzero(room == size)
+            wide = int(length[mine].max())
+            for part in np.array_split(mine, max(1, min(len(mine), len(mine) * wide // 200_000))):
+                step = np.arange(int(length[part].max()))
+                rows = points[np.minimum(first[part][:, None] + step, len(points) - 1)]
+                rows = np.where(step < length[part][:, None], rows, np.uint32(_NONE))
+                last, back = self.viterbi(rows, exact)
+                at_end = length[part].copy()
                 rows = np.arange(len(part))
                 while len(rows):
-                    step = back[rows, at_end[rows]]
-                    pieces.append(last[rows, at_end[rows]])
-                    owner.append(part[rows])
-                    place.append(at_end[rows] - step)
+                    step = back[at_end[rows], rows]
+                    pieces.append(last[at_end[rows], rows])
+                    owner.append(word[part[rows]])
+                    place.append(first[part[rows]] + at_end[rows] - step)
                     at_end[rows] -= step
                     rows = rows[at_end[rows] > 0]
-        ids, own = self._bytes_for_unknown(np.concatenate(pieces), np.concatenate(owner), np.concatenate(place), points, begin)
+        ids, own = self._bytes_for_unknown(np.concatenate(pieces), np.concatenate(owner), np.concatenate(place), points)
         return ids, np.bincount(own, minlength=len(begin))
 
-    def _bytes_for_unknown(self, ids, own, where, points, core):
+    def _cut(self, points: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(begin, end, word) of stretches that can be encoded on their own: short words, and parts of long ones."""
+        long = end - begin > _LONG
+        own = np.arange(len(begin))
+        first, after, word = [begin[~long]], [end[~long]], [own[~long]]
+        for a, b, i in zip(begin[long], end[long], own[long]):
+            pair = points[a : b - 1].astype(U64) << U64(32) | points[a + 1 : b].astype(U64)
+            near = np.minimum(np.searchsorted(self.beside, pair), len(self.beside) - 1)
+            cuts = a + 1 + np.flatnonzero(self.beside[near] != pair)
+            first.append(np.concatenate([[a], cuts]))
+            after.append(np.concatenate([cuts, [b]]))
+            word.append(np.full(len(cuts) + 1, i))
+        return np.concatenate(first), np.concatenate(after), np.concatenate(word)
+
+    def _bytes_for_unknown(self, ids, own, where, points):
         """Pieces in order, an unknown character as the pieces of its bytes."""
         order = np.lexsort((where, own))
         ids, own, where = ids[order], own[order], where[order]
         unknown = np.flatnonzero(ids == self.unknown)
         if not len(unknown):
             return ids, own
-        raw = [chr(points[core[own[i]] + where[i]]).encode() for i in unknown]
+        raw = [chr(points[i]).encode() for i in where[unknown]]
         width = np.ones(len(ids), dtype=np.int64)
         width[unknown] = [len(x) for x in raw]
         ids, own = np.repeat(ids, width), np.repeat(own, width)
-        ids[np.repeat(np.isin(np.arange(len(width)), unknown), width)] = self.byte_ids[np.frombuffer(b"".join(raw), dtype=np.uint8)]
+        is_unknown = np.zeros(len(width), dtype=bool)
+        is_unknown[unknown] = True
+        ids[np.repeat(is_unknown, width)] = self.byte_ids[np.frombuffer(b"".join(raw), dtype=np.uint8)]
         return ids, own
 
     def _with_runs(self, ids, at, extra):
@@ -303,16 +402,6 @@ class _Words:
         return self.ids, self.starts[at], self.sizes[at]
 
 
-@cache
-def _word_cache(_: int) -> _Words:
-    return _Words()
-
-
-@cache
-def _pair_cache(_: int) -> tuple[np.ndarray, np.ndarray]:
-    return np.full(1 << _CACHE_BITS, -1, dtype=np.int64), np.zeros(1 << _CACHE_BITS, dtype=bool)
-
-
 def load(model_file: str) -> Pieces:
     import sentencepiece
 
@@ -340,14 +429,7 @@ def encode(docs: DataFrame, pieces: Pieces, text_col: str = "text") -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, last, data, offsets in text_blocks(batch.column(at), BLOCK):
-                ids, starts = shared.value.encode(data, offsets)
-                back, back_at = shared.value.decode(ids, starts)
-                same = np.diff(back_at) == np.diff(offsets)
-                if len(back) == len(data) and same.all():
-                    wrong = np.concatenate([[0], np.cumsum(back != data)])
-                    same &= np.diff(wrong[offsets]) == 0
-                else:
-                    same = np.array([bytes(back[a:b]) == bytes(data[c:d]) for a, b, c, d in zip(back_at, back_at[1:], offsets, offsets[1:])])
+                ids, starts, same = shared.value.encode_checked(data, offsets)
                 rows = batch.slice(first, last - first)
                 lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([*rows.columns, lists, pa.array(np.diff(starts)), pa.array(same)], names=[*batch.schema.names, "ids", "n_tokens", "round_trip"])

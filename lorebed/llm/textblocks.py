@@ -9,18 +9,18 @@ text if that is longer; the temporary arrays of hashing are bounded whatever the
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 BLOCK_BYTES = 2 << 20
-HASH_BYTES = 1 << 20
+HASH_BYTES = 1 << 18
 U64 = np.uint64
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
-_powers: dict[int, np.ndarray] = {}
+#: Spans are hashed in a prime field, in which unlike bytes differ for all but a few keys, whatever the bytes.
+_PRIME = (1 << 31) - 1
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -33,14 +33,28 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def _power(base: int, n: int) -> np.ndarray:
-    """base ** 0 ... base ** (n - 1), modulo 2 ** 64."""
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        steps = np.full(max(n, HASH_BYTES), base, dtype=U64)
-        steps[0] = 1
-        have = _powers[base] = np.multiply.accumulate(steps)
-    return have[:n]
+@lru_cache(maxsize=4)
+def _fields(key: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The powers of the key's two bases and of their inverses, modulo the prime, for the bytes of a stretch."""
+    out = []
+    for base in np.random.default_rng(key).integers(1 << 20, _PRIME - 1, 2).tolist():
+        both = []
+        for b in (base, pow(base, -1, _PRIME)):
+            steps = np.ones(HASH_BYTES, dtype=U64)
+            size, power = 1, b
+            while size < HASH_BYTES:
+                steps[size : 2 * size] = steps[:size] * U64(power) % U64(_PRIME)
+                size, power = 2 * size, power * power % _PRIME
+            both.append(steps)
+        out.append(tuple(both))
+    return out
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """Modulo the prime, of values below 2 ** 62."""
+    x = (x & U64(_PRIME)) + (x >> U64(31))
+    x = (x & U64(_PRIME)) + (x >> U64(31))
+    return np.where(x >= U64(_PRIME), x - U64(_PRIME), x)
 
 
 def byte_table(is_word) -> np.ndarray:
@@ -90,27 +104,63 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, table: np.ndarray = SPACED
     return begin, np.flatnonzero(ends) + 1, np.searchsorted(begin, offsets)
 
 
-def hash_spans(data: np.ndarray, begin: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
-    """A 64-bit hash of each span of bytes; spans are in order and don't overlap."""
+def hash_spans(data: np.ndarray, begin: np.ndarray, end: np.ndarray, key: int = 0) -> np.ndarray:
+    """A hash of each span of bytes, of 62 bits scattered over 64; spans are in order and don't overlap.
+
+    The bytes are the coefficients of a polynomial that is taken at two points of a prime field, which the key chooses: two spans of n bytes
+    collide for at most one key in (2 ** 31 / n) ** 2.
+    """
     out = np.empty(len(begin), dtype=U64)
-    base, inverse = _BASE + 4 * seed, _BASE_INVERSE if not seed else pow(_BASE + 4 * seed, -1, 1 << 64)
+    fields = _fields(key)
     i = 0
     while i < len(begin):
         a = begin[i]
         j = max(i + 1, int(np.searchsorted(end, a + HASH_BYTES, "right")))
         b = end[j - 1]
-        total = np.zeros(b - a + 1, dtype=U64)
+        if b - a > HASH_BYTES:
+            out[i] = _hash_long(data[a:b], key)
+            i = j
+            continue
         part = data[a:b].astype(U64)
         part += U64(1)
-        part *= _power(base, b - a)
-        np.cumsum(part, out=total[1:])
+        total = np.zeros(b - a + 1, dtype=U64)
         s, e = begin[i:j] - a, end[i:j] - a
-        out[i:j] = (total[e] - total[s]) * _power(inverse, b - a)[s]
+        h = np.zeros(j - i, dtype=U64)
+        for powers, inverses in fields:
+            np.cumsum(part * powers[: b - a], out=total[1:])
+            h = (h << U64(31)) | _reduced(_reduced(total[e] - total[s]) * inverses[np.minimum(s, HASH_BYTES - 1)])
+        out[i:j] = h
         i = j
-    out += (end - begin).astype(U64) * U64(0xC2B2AE3D27D4EB4F)
     return mix(out)
 
 
+def _hash_long(span: np.ndarray, key: int) -> np.uint64:
+    """The same hash of one span longer than a stretch, put together from its stretches."""
+    h = 0
+    for powers, _ in _fields(key):
+        total, step, weight = 0, int(powers[-1]) * int(powers[1]) % _PRIME, 1
+        for a in range(0, len(span), HASH_BYTES):
+            part = span[a : a + HASH_BYTES].astype(U64) + U64(1)
+            total = (total + weight * int((part * powers[: len(part)]).sum())) % _PRIME
+            weight = weight * step % _PRIME
+        h = h << 31 | total
+    return U64(h)
+
+
+def same_spans(x: np.ndarray, x_begin: np.ndarray, x_end: np.ndarray, y: np.ndarray, y_begin: np.ndarray, y_end: np.ndarray) -> np.ndarray:
+    """Whether each span of x has the same bytes as that of y."""
+    size = x_end - x_begin
+    same = size == y_end - y_begin
+    some = np.flatnonzero(same & (size > 0))
+    ends = np.cumsum(size[some])
+    for part in np.split(some, np.flatnonzero(np.diff(ends // BLOCK_BYTES)) + 1) if len(some) else []:
+        first = np.cumsum(size[part]) - size[part]
+        step = np.arange(size[part].sum()) - np.repeat(first, size[part])
+        alike = x[step + np.repeat(x_begin[part], size[part])] == y[step + np.repeat(y_begin[part], size[part])]
+        same[part] = np.logical_and.reduceat(alike, first)
+    return same
+
+
 _ODD = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=U64)
 
 

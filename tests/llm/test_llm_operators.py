@@ -75,6 +75,56 @@ def test_words_and_hashes_of_blocks():
     assert h[0] == h[5] and h[1] == h[6] and len(set(h.tolist())) == 5
 
 
+#: Two words that every polynomial hash modulo 2 ** 64 confuses.
+TWINS = ["".join(x["01".index(c)] for c in "".join(str(bin(i).count("1") & 1) for i in range(1024))) for x in ("ab", "ba")]
+
+
+def test_hashes_of_spans_tell_twins_apart():
+    data = np.frombuffer(" ".join(TWINS).encode(), dtype=np.uint8)
+    for key in (0, 5):
+        a, b = textblocks.hash_spans(data, np.array([0, 1025]), np.array([1024, 2049]), key)
+        assert a != b
+    assert textblocks.same_spans(data, np.array([0, 0, 3]), np.array([1024, 2, 3]), data, np.array([1025, 1, 7]), np.array([2049, 3, 7])).tolist() == [False, False, True]
+
+
+def test_a_long_span_has_the_hash_of_its_place(monkeypatch):
+    rng = np.random.default_rng(3)
+    word = rng.integers(0, 256, 5 * textblocks.HASH_BYTES // 2, dtype=np.uint8)
+    data = np.concatenate([np.full(9, 32, np.uint8), word, np.full(4, 32, np.uint8)])
+    a = textblocks.hash_spans(data, np.array([0, 9]), np.array([3, 9 + len(word)]))[1]
+    assert a == textblocks.hash_spans(word, np.array([0]), np.array([len(word)]))[0]
+    prime, h = (1 << 31) - 1, 0
+    for base in np.random.default_rng(0).integers(1 << 20, prime - 1, 2).tolist():
+        total = 0
+        for c in reversed(word.tolist()):
+            total = (total * base + c + 1) % prime
+        h = h << 31 | total
+    assert a == textblocks.mix(np.array([h], dtype=np.uint64))[0]
+
+
+def test_twin_words_in_the_operators(spark, vocabulary):
+    """Different words that a weaker hash takes for one: no occurrence, no repeat, and the library's own pieces."""
+    import sentencepiece
+
+    docs = spark.createDataFrame([(1, f"{TWINS[1]} tail"), (2, f"{TWINS[0]} tail")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, TWINS[0])], "item_id long, text string")
+    assert {r.doc_id: r.n_hit for r in decontam.verdicts(docs, items).collect()} == {1: 0, 2: 1}
+    assert {r.n_removed for r in substrings.dedup_substrings(docs, window=1, gram=1).collect()} == {1}
+    model = sentencepiece.SentencePieceProcessor(model_file=queries.PIECES_FILE)
+    made = {r.doc_id: r for r in pieces.encode(docs, vocabulary).collect()}
+    assert all(list(made[i + 1].ids) == model.encode(f"{TWINS[1 - i]} tail") and made[i + 1].round_trip for i in (0, 1))
+
+
+def test_confused_words_are_told_apart(monkeypatch, vocabulary):
+    """Whatever the hash confuses, the bytes behind it decide: here it only sees lengths."""
+    monkeypatch.setattr(pieces, "hash_spans", lambda data, begin, end: textblocks.mix((end - begin).astype(np.uint64)))
+    texts = ["some words have equal many letters", "that were here", "", "abcd efgh  ijkl"]
+    fresh = pieces.load(queries.PIECES_FILE)
+    (_, _, data, offsets), *_ = textblocks.text_blocks(pa.array(texts))
+    ids, at, same = fresh.encode_checked(data, offsets)
+    assert same.all() and [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [vocabulary.encode(*next(textblocks.text_blocks(pa.array([t])))[2:])[0].tolist() for t in texts]
+
+
 def test_a_text_beyond_a_block_stays_whole():
     blocks = list(textblocks.text_blocks(pa.array(["x" * 50, "y" * 9, "z" * 9]), 20))
     assert [(a, b) for a, b, _, _ in blocks] == [(0, 1), (1, 3)]
@@ -295,6 +345,53 @@ def test_pieces_as_the_library(vocabulary, texts):
     assert ids == model.encode(every)
 
 
+def test_long_words_as_the_library(vocabulary):
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=queries.PIECES_FILE)
+    rng = random.Random(2)
+    long = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzABC0123=/+") for _ in range(100_000)), "日本語漢字仮名交じり文" * 2000, "a" * 3000, "ab" * 700 + "①" + "-" * 900, *("x" * n for n in range(44, 70))]
+    for t in long:
+        (_, _, data, offsets), *_ = textblocks.text_blocks(pa.array([t]))
+        ids, _, same = vocabulary.encode_checked(data, offsets)
+        assert same[0] and ids.tolist() == model.encode(t)
+
+
+def test_one_piece_is_admissible_at_each_end(vocabulary):
+    """So the largest score among the admissible ones, which the lattice keeps, is that piece's."""
+    words = ["▁thinking", "▁internat", "▁aaaaaaaa", "▁x=1;y=22"]
+    rows = np.array([[ord(c) for c in w] for w in words], dtype=np.uint32)
+    last, back = vocabulary.viterbi(rows)
+    found = vocabulary.candidates(rows)
+    for end in range(1, rows.shape[1] + 1):
+        for r in range(len(words)):
+            fine = []
+            for size in range(1, end + 1):
+                piece = found[end, r, size - 1] if size <= found.shape[2] else -1
+                if piece >= 0 and (vocabulary.whole[piece] if size == end else vocabulary.admissible(last[end - size, r : r + 1], np.array([piece], dtype=np.int64))[0]):
+                    fine.append((int(piece), size))
+            assert fine == [(last[end, r], back[end, r])]
+
+
+def test_two_models_in_one_session(spark, vocabulary, docs):
+    """Each keeps its own caches, and takes none along to the tasks."""
+    import pickle
+
+    rows = docs.limit(20)
+    first = {r.doc_id: list(r.ids) for r in pieces.encode(rows, vocabulary).collect()}
+    other = pickle.loads(pickle.dumps(vocabulary))
+    assert len(pickle.dumps(vocabulary)) < 12 << 20
+    assert first == {r.doc_id: list(r.ids) for r in pieces.encode(rows, other).collect()}
+    block = next(textblocks.text_blocks(pa.array(["some words"])))[2:]
+    own = vocabulary.encode(*block)[0].tolist()
+    for k in range(3):
+        # Models that come and go, at addresses that are used again.
+        model = pieces.load(queries.PIECES_FILE)
+        model.ids = np.roll(model.ids, k)
+        assert (model.encode(*block)[0].tolist() == own) == (k == 0)
+        del model
+
+
 def test_pieces_of_odd_rows(odd, nothing, vocabulary):
     made = pieces.encode(odd.withColumn("ids", F.lit("old")), vocabulary)
     rows = made.collect()
