@@ -2,7 +2,7 @@
 
 Each distinct text is a set of word shingles, embedded as ``size`` MinHash tokens. In one run the texts start in one bucket; a bucket chooses
 a few token places at random, and splits into the texts that share a token at a chosen place, again and again until it is small. Small buckets are
-compared by brute force on short sketches. A pair at the threshold stays together to depth d with a known probability, and the number of runs is the
+compared by brute force on short sketches; what is still large after the last split is compared pair of blocks by pair of blocks. A pair at the threshold stays together to depth d with a known probability, and the number of runs is the
 smallest that finds it with ``recall``. What the sketches connect is then compared exactly, text by text in blocks, so that the links
 of a text are counted in full and nothing but linked groups is ever put side by side.
 """
@@ -10,6 +10,7 @@ of a text are counted in full and nothing but linked groups is ever put side by
 from __future__ import annotations
 
 import math
+import secrets
 from collections.abc import Callable, Iterator
 from fractions import Fraction
 
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .job import keyed, ship, stored, text_or_empty
+from .job import discard, keyed, set_apart, ship, spread_join, stored, text_or_empty
 from .minhash import MinHash
 from .textblocks import U64, mix, text_blocks
 
@@ -34,11 +35,12 @@ class ChosenPath:
         #: Sketches of one byte for each place; pairs count as candidates well below the threshold.
         least = max(0.0, threshold - slack)
         self.least_equal = math.floor(size * (least + (1 - least) / 256))
-        #: In a bucket to be split, texts this like a pivot leave with it: whatever is like them is like enough to the pivot to be
-        #: linked to it, as distances add up. Both bounds have a standard error on their safe side.
+        #: Texts this like the pivot of a large bucket leave with it: whatever is like them is like enough to the pivot to be linked to it,
+        #: as distances add up. Both bounds have two standard errors on their safe side, so one text in 40 at most is misjudged by either.
         far = 1 - float(self.threshold)
-        self.leave_equal = math.ceil(size * min(1.0, 1 - 0.75 * far + 0.03))
-        self.pivot_equal = math.floor(size * max(0.0, 1 - 1.75 * far - 0.04))
+        sure = lambda likeness, errors: max(0.0, min(1.0, likeness + errors * math.sqrt(likeness * (1 - likeness) / size)))
+        self.leave_equal = math.ceil(size * sure(1 - 0.5 * far, 2))
+        self.pivot_equal = math.floor(size * sure(max(0.0, 1 - 1.5 * far), -2))
         self._limit = U64(int((1 << 64) / (float(self.threshold) * size)))
 
     @staticmethod
@@ -120,45 +122,73 @@ def candidate_links(reps: DataFrame, path: ChosenPath) -> DataFrame:
             row, bucket = path.children(*path.roots(batch.num_rows), _matrix(batch.column(1), np.uint32))
             yield pa.RecordBatch.from_arrays([pa.array(bucket.view(np.int64)), batch.column(0).take(pa.array(row))], names=["bucket", "rep"])
 
-    def deeper(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Children of the texts that stay, and for texts like their bucket's pivot a link to it."""
-        for batch in batches:
-            tokens, rep, pivot = _matrix(batch.column(1), np.uint32), np.asarray(batch.column(0)), np.asarray(batch.column(3))
-            equal = ((tokens & 0xFF).astype(np.uint8) == _matrix(batch.column(4), np.uint8)).sum(axis=1)
-            linked = np.flatnonzero((equal >= path.pivot_equal) & (rep != pivot))
-            stays = np.flatnonzero(equal < path.leave_equal)
-            row, bucket = path.children(stays, np.asarray(batch.column(2))[stays].view(U64), tokens) if len(stays) else (stays, np.zeros(0, U64))
-            buckets = pa.array(np.concatenate([bucket.view(np.int64), np.zeros(len(linked), np.int64)]))
-            pivots = pa.concat_arrays([pa.nulls(len(row), pa.int64()), pa.array(pivot[linked])])
-            yield pa.RecordBatch.from_arrays([buckets, pa.array(rep[np.concatenate([row, linked])]), pivots], names=["bucket", "rep", "pivot"])
-
     schema = "bucket long, rep long"
     paths = reps.select("rep", "tokens").mapInArrow(first, schema)
     small: list[DataFrame] = []
     links: list[DataFrame] = []
+    tables: list[DataFrame] = []
     for level in range(1, path.depth + 1):
         sizes = paths.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-        held = stored(paths.join(sizes, "bucket"))
+        held = stored(spread_join(paths, sizes, ["bucket"], by="rep"))
+        tables.append(held)
         small.append(held.where(F.col("size") <= path.bucket).select("bucket", "rep"))
         big = held.where(F.col("size") > path.bucket)
-        if level == path.depth:
-            small.append(in_parts(big, path))
-        elif big.isEmpty():
+        if big.isEmpty():
             break
-        else:
-            heads = big.groupBy("bucket").agg(F.min_by("rep", F.xxhash64("bucket", "rep")).alias("pivot"))
-            heads = heads.join(reps.select(F.col("rep").alias("pivot"), F.col("sketch").alias("pivot_sketch")), "pivot")
-            rows = big.select("bucket", "rep").join(heads, "bucket").join(reps.select("rep", "tokens"), "rep").select("rep", "tokens", "bucket", "pivot", "pivot_sketch")
-            split = stored(rows.mapInArrow(deeper, schema + ", pivot long"))
-            links.append(split.where("pivot IS NOT NULL").select(F.col("rep").alias("a"), F.col("pivot").alias("b")))
-            paths = split.where("pivot IS NULL").select("bucket", "rep")
+        left = shed(big, reps, path, split=level < path.depth)
+        tables.append(left)
+        links.append(linked_to_pivot(left))
+        paths = staying(left)
+    else:
+        small.append(in_blocks(paths, path))
     rows = small[0]
     for more in small[1:]:
         rows = rows.unionByName(more)
     found = bucket_links(rows, reps, path)
     for more in links:
         found = found.unionByName(more)
-    return stored(found.distinct())
+    found = stored(found.distinct())
+    discard(*tables)
+    return found
+
+
+def linked_to_pivot(left: DataFrame) -> DataFrame:
+    return left.where("pivot IS NOT NULL").select(F.col("rep").alias("a"), F.col("pivot").alias("b"))
+
+
+def staying(left: DataFrame) -> DataFrame:
+    return left.where("pivot IS NULL").select("bucket", "rep")
+
+
+def shed(big: DataFrame, reps: DataFrame, path: ChosenPath, split: bool) -> DataFrame:
+    """Takes the texts like its pivot out of each large bucket. Returns a stored table (bucket, rep, pivot): with a pivot, a text linked to it; without,
+    one that stays, in the buckets one level down if ``split``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens, rep, pivot = _matrix(batch.column(1), np.uint32), np.asarray(batch.column(0)), np.asarray(batch.column(3))
+            equal = ((tokens & 0xFF).astype(np.uint8) == _matrix(batch.column(4), np.uint8)).sum(axis=1)
+            linked = np.flatnonzero((equal >= path.pivot_equal) & (rep != pivot))
+            row = np.flatnonzero(equal < path.leave_equal)
+            bucket = np.asarray(batch.column(2))[row].view(U64)
+            if split and len(row):
+                row, bucket = path.children(row, bucket, tokens)
+            buckets = pa.array(np.concatenate([bucket.view(np.int64), np.zeros(len(linked), np.int64)]))
+            pivots = pa.concat_arrays([pa.nulls(len(row), pa.int64()), pa.array(pivot[linked])])
+            yield pa.RecordBatch.from_arrays([buckets, pa.array(rep[np.concatenate([row, linked])]), pivots], names=["bucket", "rep", "pivot"])
+
+    heads = big.groupBy("bucket").agg(F.min_by("rep", F.xxhash64("bucket", "rep")).alias("pivot"))
+    heads = heads.join(reps.select(F.col("rep").alias("pivot"), F.col("sketch").alias("pivot_sketch")), "pivot")
+    rows = spread_join(big.select("bucket", "rep"), heads, ["bucket"], by="rep").join(reps.select("rep", "tokens"), "rep").select("rep", "tokens", "bucket", "pivot", "pivot_sketch")
+    return stored(rows.mapInArrow(run, "bucket long, rep long, pivot long"))
+
+
+def in_blocks(rows: DataFrame, path: ChosenPath) -> DataFrame:
+    """Large buckets (bucket, rep) as pairs of blocks of about ``path.bucket`` texts, so that every two texts of a bucket share one of the small buckets made."""
+    sizes = rows.groupBy("bucket").agg(F.ceil(F.count("*") / path.bucket).cast("int").alias("blocks"))
+    own = spread_join(rows, sizes, ["bucket"], by="rep").withColumn("own", F.pmod(F.xxhash64("bucket", "rep"), F.col("blocks")).cast("int"))
+    each = own.select("bucket", "rep", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    return each.select(F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("bucket"), "rep")
 
 
 def bucket_links(rows: DataFrame, reps: DataFrame, path: ChosenPath) -> DataFrame:
@@ -177,12 +207,6 @@ def bucket_links(rows: DataFrame, reps: DataFrame, path: ChosenPath) -> DataFram
     return rows.mapInArrow(lambda batches: grouped(batches, 0, compare), "a long, b long")
 
 
-def in_parts(big: DataFrame, path: ChosenPath) -> DataFrame:
-    """Random parts of buckets whose texts are alike and don't split: the parts of a text differ from bucket to bucket, and so connect."""
-    part = F.pmod(F.xxhash64("bucket", "rep"), F.ceil(F.col("size") / path.bucket))
-    return big.select(F.xxhash64("bucket", part).alias("bucket"), "rep")
-
-
 def _intersections(sets: list[np.ndarray]) -> np.ndarray:
     """How many values each two of the sorted sets share, by matrix products over the values that are in more than one."""
     values = np.concatenate(sets)
@@ -205,15 +229,17 @@ def _intersections(sets: list[np.ndarray]) -> np.ndarray:
     return total.astype(np.int64)
 
 
-def verified(groups: DataFrame, texts: DataFrame, path: ChosenPath, block: int = 256) -> DataFrame:
+def verified(groups: DataFrame, texts: DataFrame, path: ChosenPath, block: int = 256, block_bytes: int = 8 << 20) -> DataFrame:
     """(a, b, texts, docs) of the texts in groups: with b, a link that connects; without, how many texts and documents a part of the work links to a.
 
-    ``groups`` has node and root; ``texts`` has rep, text and copies. Every two texts of a group are compared by their whole
-    shingle sets. A group beyond ``block`` texts is dealt out as pairs of blocks, so no task holds more than two blocks.
+    ``groups`` has node, root and bytes; ``texts`` has rep, text and copies. Every two texts of a group are compared by their whole
+    shingle sets. A group beyond ``block`` texts or ``block_bytes`` is dealt out as pairs of blocks, so no task holds more than two blocks.
+    Shingles are hashed under a key that is drawn anew each time, so that no texts can be written to collide.
     """
     spark = groups.sparkSession
-    sizes = groups.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    rows = groups.join(sizes, "root").select(F.col("node").alias("rep"), "root", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("own"))
+    key = secrets.randbits(60)
+    sizes = groups.groupBy("root").agg(F.ceil(F.greatest(F.count("*") / block, F.sum("bytes") / block_bytes)).cast("int").alias("blocks"))
+    rows = spread_join(groups, sizes, ["root"], by="node").select(F.col("node").alias("rep"), "root", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("own"))
     rows = rows.join(texts, "rep")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     rows = rows.select("rep", "root", "own", "copies", "text", other.alias("other"))
@@ -225,7 +251,7 @@ def verified(groups: DataFrame, texts: DataFrame, path: ChosenPath, block: int =
     def compare(rows: pa.RecordBatch) -> pa.RecordBatch | None:
         sets = []
         for _, _, data, offsets in text_blocks(rows.column(7)):
-            hashes, at = path.minhash.shingles(data, offsets)
+            hashes, at = path.minhash.shingles(data, offsets, key)
             sets.extend(np.unique(hashes[a:b]) for a, b in zip(at[:-1], at[1:]))
         common = _intersections(sets)
         size = np.array([len(s) for s in sets])
@@ -268,28 +294,35 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 hashes, at = path.minhash.shingles(data, offsets)
                 tokens = path.minhash.signatures(hashes, at)
                 some = pa.array(np.diff(at) > 0)
-                yield pa.RecordBatch.from_arrays([batch.column(1).slice(first, last - first), _binary(tokens), _binary((tokens & 0xFF).astype(np.uint8))], names=["digest", "tokens", "sketch"]).filter(some)
+                columns = [batch.column(1).slice(first, last - first), _binary(tokens), _binary((tokens & 0xFF).astype(np.uint8)), pa.array(np.diff(offsets))]
+                yield pa.RecordBatch.from_arrays(columns, names=["digest", "tokens", "sketch", "bytes"]).filter(some)
 
     members = rows.select("key", "doc_id", "digest")
-    numbered = members.groupBy("digest").agg(F.count("*").alias("copies")).withColumn("rep", F.monotonically_increasing_id())
+    # One row stands for all with its text.
+    numbered = members.groupBy("digest").agg(F.count("*").alias("copies"), F.min("key").alias("key")).withColumn("rep", F.monotonically_increasing_id())
     numbered = stored(numbered)
-    signed = rows.select("text", "digest").mapInArrow(sign, "digest binary, tokens binary, sketch binary").groupBy("digest").agg(F.min("tokens").alias("tokens"), F.min("sketch").alias("sketch"))
-    reps = stored(signed.join(numbered.select("digest", "rep"), "digest").select("rep", "tokens", "sketch"))
+    signed = rows.select("text", "digest").mapInArrow(sign, "digest binary, tokens binary, sketch binary, bytes long").groupBy("digest").agg(*(F.min(c).alias(c) for c in ("tokens", "sketch", "bytes")))
+    reps = stored(signed.join(numbered.select("digest", "rep"), "digest").select("rep", "tokens", "sketch", "bytes"))
     groups = components(candidates(reps, path))
-    wanted = groups.join(numbered, groups.node == numbered.rep).select("digest", "rep", "copies")
-    # One row for each text; equal rows agree in everything that is read.
-    texts = rows.select("digest", "text").join(wanted, "digest").groupBy("rep").agg(F.first("copies").alias("copies"), F.first("text").alias("text"))
-    found = stored(verified(groups, texts, path))
+    wanted = groups.join(numbered, groups.node == numbered.rep).join(reps.select("rep", "bytes"), "rep").select("key", "rep", "copies", "root", "bytes")
+    wanted = stored(wanted)
+    discard(reps, groups)
+    # Rows alike in id and text share a key, and agree in everything that is read.
+    texts = rows.select("key", "text").join(wanted.select("key", "rep", "copies"), "key").groupBy("rep").agg(F.first("copies").alias("copies"), F.first("text").alias("text"))
+    found = stored(verified(wanted.select(F.col("rep").alias("node"), "root", "bytes"), texts, path))
+    discard(wanted)
     classes = components(found.where("b IS NOT NULL").select("a", "b"))
     counts = found.where("b IS NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("texts").alias("texts"), F.sum("docs").alias("docs"))
     described = numbered.join(counts, "rep", "left").join(classes.withColumnRenamed("node", "rep"), "rep", "left")
     described = described.select("digest", F.coalesce("root", "rep").alias("root"), (F.col("copies") - 1 + F.coalesce("docs", F.lit(0))).alias("n_links"), F.coalesce("texts", F.lit(0)).cast("long").alias("n_text_links"))
-    described = stored(members.join(described, "digest").drop("digest"))
+    described = stored(spread_join(members, described, ["digest"]).drop("digest"))
+    discard(numbered, found, classes)
     heads = described.groupBy("root").agg(F.min(F.struct("doc_id", "key")).alias("head"), F.min("doc_id").alias("class_id"))
-    return described.join(heads, "root").select("key", "doc_id", "class_id", "n_links", "n_text_links", (F.col("key") == F.col("head.key")).alias("first"))
+    return spread_join(described, heads, ["root"]).select("key", "doc_id", "class_id", "n_links", "n_text_links", (F.col("key") == F.col("head.key")).alias("first"))
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: ChosenPath | None = None) -> DataFrame:
-    """One document of each class, with its own columns; of rows alike in id and text one stays."""
-    kept = near_classes(docs, id_col, text_col, path).where("first").select(F.col("key").alias("__key")).distinct()
-    return docs.withColumn("__key", keyed(id_col, text_col)).join(kept, "__key").dropDuplicates(["__key"]).drop("__key")
+    """One document of each class, with its own columns, whatever their names; of rows alike in id and text one stays."""
+    apart = set_apart(docs, {id_col, text_col})
+    kept = near_classes(apart, id_col, text_col, path).where("first").select(F.col("key").alias("__key")).distinct()
+    return apart.withColumn("__key", keyed(id_col, text_col)).join(kept, "__key").dropDuplicates(["__key"]).drop("__key").toDF(*docs.columns)

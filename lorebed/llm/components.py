@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .job import stored
+from .job import discard, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -25,10 +25,14 @@ def components(links: DataFrame) -> DataFrame:
         moves.append(move)
         left = edges.join(move.select(F.col("node").alias("a"), F.col("to").alias("x")), "a")
         left = left.join(move.select(F.col("node").alias("b"), F.col("to").alias("y")), "b").where("x <> y")
-        edges = stored(left.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+        contracted = stored(left.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+        discard(edges)
+        edges = contracted
     if not moves:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     out = moves[0].select("node", F.col("to").alias("root"))
     for move in moves[1:]:
         out = out.join(move.select(F.col("node").alias("root"), "to"), "root", "left").select("node", F.coalesce("to", "root").alias("root"))
-    return stored(out)
+    out = stored(out)
+    discard(edges, *moves)
+    return out

@@ -10,13 +10,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chosenpath import ChosenPath, bucket_links, in_parts, near_classes
-from .job import ship, stored, text_or_empty
+from .chosenpath import ChosenPath, bucket_links, in_blocks, linked_to_pivot, near_classes, shed, staying
+from .job import discard, keyed, ship, spread_join, stored, text_or_empty
 from .minhash import MinHash, likeness
 from .neighbours import with_next_in_ranges
 from .textblocks import mix, text_blocks
 
-SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+SCHEMA = "key binary, doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
 def _hex(bytes_: np.ndarray, empty: np.ndarray) -> list[str]:
@@ -56,7 +56,7 @@ def edited_texts(data: np.ndarray, offsets: np.ndarray) -> tuple[list[bytes], np
 
 
 def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 128) -> DataFrame:
-    """Every text's fingerprint, that of its edited text, and how alike they are.
+    """Every row's key, its text's fingerprint, that of its edited text, and how alike they are.
 
     Shingles are five words, or all words of a shorter text; a null text is empty. The next document has the next smaller id,
     and the first comes after the last; null ids come last, and rows with one id are in order of their texts. A lone document
@@ -64,15 +64,15 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     spark = docs.sparkSession
     ship(spark)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    ordered = with_next_in_ranges(rows, "doc_id", ["text"]).select("doc_id", "text", "range", "halo")
+    rows = docs.select(keyed(id_col, text_col).alias("key"), F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    ordered = with_next_in_ranges(rows, "doc_id", ["text", "key"]).select("key", "doc_id", "text", "range", "halo")
     make = Fingerprinter(size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left: pa.RecordBatch | None = None
         for batch in batches:
             at = 0
-            for first, last, _, _ in text_blocks(batch.column(1)):
+            for first, last, _, _ in text_blocks(batch.column(2)):
                 part = batch.slice(first, last - first)
                 if left is not None:
                     part = pa.concat_batches([left, part])
@@ -86,15 +86,16 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def _compared(rows: pa.RecordBatch, make: Fingerprinter) -> pa.RecordBatch:
     """Each row but the last against the next; halo rows only serve as neighbours."""
-    (_, _, data, offsets), *rest = text_blocks(rows.column(1), 1 << 62)
+    (_, _, data, offsets), *rest = text_blocks(rows.column(2), 1 << 62)
     assert not rest
     own, empty = make(data, offsets)
     edited, n_chars = edited_texts(data, offsets)
     edited_own, edited_empty = make(np.frombuffer(b"".join(edited), dtype=np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in edited])]).astype(np.int64))
-    where, halo = np.asarray(rows.column(2)), rows.column(3).to_numpy(zero_copy_only=False)
+    where, halo = np.asarray(rows.column(3)), rows.column(4).to_numpy(zero_copy_only=False)
     keep = ~halo[:-1] & (where[1:] == where[:-1])
     columns = [
         rows.column(0).slice(0, rows.num_rows - 1),
+        rows.column(1).slice(0, rows.num_rows - 1),
         pa.array(n_chars[:-1]),
         pa.array([hashlib.sha256(x).hexdigest() for x in edited]),
         pa.array(_hex(own[:-1], empty[:-1])),
@@ -102,13 +103,14 @@ def _compared(rows: pa.RecordBatch, make: Fingerprinter) -> pa.RecordBatch:
         pa.array(_near(own[:-1], edited_own, empty[:-1], edited_empty)),
         pa.array(_near(own[:-1], own[1:], empty[:-1], empty[1:])),
     ]
-    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]).filter(pa.array(keep))
+    return pa.RecordBatch.from_arrays(columns, names=["key", "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]).filter(pa.array(keep))
 
 
 def band_links(reps: DataFrame, path: ChosenPath, bands: int = 25) -> DataFrame:
     """(a, b): links that connect texts with a whole band of their signatures in common, if their sketches are alike.
 
-    Texts are joined in Spark on (band, its values); of a bucket beyond ``path.bucket`` texts random parts are compared, other ones in each band.
+    Texts are joined in Spark on (band, its values). Texts like the pivot of a bucket beyond ``path.bucket`` are linked to it, and the others are
+    compared pair of blocks by pair of blocks.
     """
     size = path.size // bands
 
@@ -123,9 +125,12 @@ def band_links(reps: DataFrame, path: ChosenPath, bands: int = 25) -> DataFrame:
 
     rows = reps.select("rep", "tokens").mapInArrow(cut, "bucket long, rep long")
     sizes = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    held = stored(rows.join(sizes, "bucket"))
-    small = held.where(F.col("size") <= path.bucket).select("bucket", "rep").unionByName(in_parts(held.where(F.col("size") > path.bucket), path))
-    return stored(bucket_links(small, reps, path).distinct())
+    held = stored(spread_join(rows, sizes, ["bucket"], by="rep"))
+    left = shed(held.where(F.col("size") > path.bucket).select("bucket", "rep"), reps, path, split=False)
+    small = held.where(F.col("size") <= path.bucket).select("bucket", "rep").unionByName(in_blocks(staying(left), path))
+    found = stored(bucket_links(small, reps, path).unionByName(linked_to_pivot(left)).distinct())
+    discard(held, left)
+    return found
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, size: int = 128, bands: int = 25) -> DataFrame:

@@ -2,18 +2,13 @@
 
 from __future__ import annotations
 
-import gc
 import os
-import tempfile
 import uuid
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Stored tables by their frames' ids; a frame is kept until it is discarded, so that its id stays its own.
-_tables: dict[int, tuple[DataFrame, str]] = {}
-
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
@@ -32,12 +27,10 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the session names in spark.checkpoint.dir; a temporary one where it names none."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that the session names in spark.checkpoint.dir, or else its checkpoint folder; an error where it has neither."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lorebed-"))
-        named = spark.sparkContext.getCheckpointDir()
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return named.rstrip("/")
 
 
@@ -53,16 +46,15 @@ def stored(df: DataFrame) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(cleanup, before)
-    release(spark)
     out = spark.read.schema(df.schema).parquet(path)
-    _tables[id(out)] = (out, path)
+    out._stored_at = path
     return out
 
 
 def discard(*tables: DataFrame) -> None:
     """Deletes stored tables that nothing reads any more."""
     for df in tables:
-        _, path = _tables.pop(id(df), (None, None))
+        path = df.__dict__.pop("_stored_at", None)
         if path:
             target = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
@@ -74,17 +66,17 @@ def keyed(id_col: str = "doc_id", text_col: str = "text") -> Column:
     return F.unhex(F.md5(F.concat_ws("\x00", mark, F.col(id_col).cast("string"), F.when(F.col(text_col).isNull(), "0").otherwise("1"), F.col(text_col))))
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of finished steps now: it does so when nothing refers to them any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def set_apart(docs: DataFrame, used: set[str]) -> DataFrame:
     """The rows with all columns but the used ones under names that no operator adds; ``toDF(*docs.columns)`` undoes it."""
     return docs.toDF(*[c if c in used else f"__own_{i}" for i, c in enumerate(docs.columns)])
 
 
+def spread_join(rows: DataFrame, found: DataFrame, on: list[str], by: str = "key", how: str = "inner", salts: int = 16) -> DataFrame:
+    """A join of rows of which one key may hold a third with a table that has each key once: each key goes to ``salts`` tasks, by the hash of ``by``."""
+    salted = rows.withColumn("__salt", F.pmod(F.xxhash64(by), F.lit(salts)))
+    return salted.join(found.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))), [*on, "__salt"], how).drop("__salt")
+
+
 def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -1,16 +1,17 @@
 """Line dedup by a log-template tree of fixed depth.
 
 A line goes down the tree by its number of tokens and its first ``depth`` tokens; a token with a digit is a variable
-field and goes down as ``<*>``. In its leaf, a token is constant if at least ``min_docs`` documents have it at that place in a line of the
+field and goes down as ``<*>``. In its leaf, a token is constant if at least ``min_docs`` different documents have it at that place in a line of the
 leaf, else it is a variable field too. What is constant makes the line's template. A template that recurs in ``min_docs`` documents is
 dropped from all of them but the first. A line that recurs token by token needs fewer: it is dropped from ``exact_docs`` documents on.
+A document counts once, however often it repeats a line or a token.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -18,11 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .job import discard, keyed, ship, stored
+from .job import discard, keyed, set_apart, ship, spread_join, stored
 from .textblocks import SPACED, U64, hash_spans, mix, text_blocks, word_spans
 
 FIELD = "<*>"
 _TOKEN = re.compile(r"[^\x09-\x0D\x20]+")
+_DIGIT = re.compile("[0-9]")
 
 
 def _lines(data: np.ndarray, offsets: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -48,8 +50,17 @@ def _lines(data: np.ndarray, offsets: np.ndarray, depth: int) -> tuple[np.ndarra
     return text, place, n, np.bincount(line[field], minlength=len(text)) > 0, leaf
 
 
-def _masked(tokens: list[str]) -> list[str]:
-    return [FIELD if any("0" <= c <= "9" for c in t) else t for t in tokens]
+def _named(*parts: str) -> bytes:
+    """16 bytes that stand for some texts without spaces at their ends."""
+    return blake2b(" ".join(parts).encode(), digest_size=16).digest()
+
+
+def _described(line: str, depth: int) -> tuple[int, bytes, bytes, str, bytes]:
+    """A line's number of tokens, the names of its leaf and of its masked form, that form, and the name of the line itself."""
+    tokens = _TOKEN.findall(line)
+    masked = [FIELD if _DIGIT.search(t) else t for t in tokens]
+    n = len(tokens)
+    return n, _named(str(n), *masked[:depth]), _named(str(n), *masked), " ".join(masked), _named(*tokens)
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 3, min_docs: int = 3, min_tokens: int = 4, similarity: float = 0.5, exact_docs: int | None = 2, short_docs: int = 3) -> DataFrame:
@@ -79,17 +90,17 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple] = []
+            row, place, told = [], [], []
             for i, (text, wanted) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
                 lines = text.split("\n")
-                for place in sorted(set(wanted)):
-                    tokens = _TOKEN.findall(lines[place])
-                    same = hashlib.md5(" ".join(tokens).encode(), usedforsecurity=False).hexdigest()
-                    tokens = _masked(tokens)
-                    out.append((i, place, len(tokens), " ".join(tokens[:depth]), " ".join(tokens), same))
-            row, place, n, head, line, same = zip(*out) if out else ((),) * 6
+                wanted = sorted(set(wanted))
+                row.extend([i] * len(wanted))
+                place.extend(wanted)
+                told.extend(_described(lines[k], depth) for k in wanted)
+            n, leaf, form, line, same = zip(*told) if told else ((),) * 5
             row = pa.array(row, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), pa.array(place, pa.int32()), pa.array(n, pa.int32()), pa.array(head, pa.string()), pa.array(line, pa.string()), pa.array(same, pa.string())], names=["key", "id", "place", "n", "head", "line", "same"])
+            columns = [batch.column(0).take(row), batch.column(1).take(row), pa.array(place, pa.int32()), pa.array(n, pa.int32()), *(pa.array(x, pa.binary()) for x in (leaf, form)), pa.array(line, pa.string()), pa.array(same, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "id", "place", "n", "leaf", "form", "line", "same"])
 
     def counted(n: np.ndarray, field: np.ndarray) -> np.ndarray:
         return np.flatnonzero((n >= min_tokens) | (n > 0) & ~field & (exact_docs is not None))
@@ -98,31 +109,46 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     least = min_docs if exact_docs is None else min(min_docs, exact_docs, short_docs)
     # A leaf with fewer lines than documents wanted has no recurring line or template; all else concerns the lines of busy leaves, a small part of the text.
     busy = rows.select("text").mapInArrow(leaves, "leaf long, seen long").groupBy("leaf").agg(F.sum("seen").alias("seen")).where(F.col("seen") >= least).select("leaf")
-    wanted = rows.select("key", "text").mapInArrow(places, "leaf long, key binary, place int").join(busy, "leaf", "left_semi")
+    wanted = spread_join(rows.select("key", "text").mapInArrow(places, "leaf long, key binary, place int"), busy, ["leaf"], how="left_semi")
     wanted = stored(wanted.groupBy("key").agg(F.collect_set("place").alias("wanted")))
     kind = docs.schema[id_col].dataType.simpleString()
-    lines = stored(rows.join(wanted, "key").select("key", "id", "text", "wanted").mapInArrow(cut, f"key binary, id {kind}, place int, n int, head string, line string, same string"))
+    lines = stored(rows.join(wanted, "key").select("key", "id", "text", "wanted").mapInArrow(cut, f"key binary, id {kind}, place int, n int, leaf binary, form binary, line string, same binary"))
     discard(wanted)
-    distinct = lines.where(F.col("n") >= min_tokens).groupBy("n", "head", "line").agg(F.count_distinct("key").alias("docs"))
-    distinct = stored(distinct.withColumns({"line_id": F.monotonically_increasing_id(), "leaf": F.unhex(F.md5(F.concat_ws(" ", "n", "head")))}))
-    # Lines by number from here on: a token's row is short, however long its line.
-    tail = distinct.select("line_id", "leaf", "docs", F.posexplode(F.split("line", " ")).alias("at", "token")).where(F.col("at") >= depth)
-    constant = tail.where(F.col("token") != FIELD).groupBy("leaf", "at", "token").agg(F.sum("docs").alias("support")).where(F.col("support") >= min_docs)
-    marked = tail.join(constant, ["leaf", "at", "token"], "left").select("line_id", "at", F.when(F.col("support").isNotNull(), F.col("token")).otherwise(FIELD).alias("token"))
-    tails = stored(marked.groupBy("line_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "token"))), lambda s: s["token"]), " ").alias("tail")))
-    whole = distinct.select("n", "head", "line", "line_id").join(tails, "line_id", "left").select("n", "head", "line", F.concat_ws(" ", "head", "tail").alias("template"))
-    fixed = F.size(F.filter(F.split("template", " "), lambda t: t != FIELD))
-    whole = whole.where(fixed >= F.lit(similarity) * F.col("n"))
-    found = lines.join(whole, ["n", "head", "line"]).select("key", "id", "place", F.md5(F.concat_ws(" ", "n", "template")).alias("template"), F.lit(min_docs).alias("needed"))
+    long = lines.where(F.col("n") >= min_tokens)
+    having = stored(long.select("form", "key").distinct())
+    forms = long.groupBy("form").agg(F.first("leaf").alias("leaf"), F.first("n").alias("n"), F.first("line").alias("line"))
+    forms = stored(forms.join(having.groupBy("form").agg(F.count("*").alias("docs")), "form"))
+    templates = stored(_templates(forms, having, depth, min_docs, similarity))
+    found = spread_join(long.select("key", "id", "place", "form"), templates, ["form"]).select("key", "id", "place", "template", F.lit(min_docs).alias("needed"))
     if exact_docs is not None:
         needed = F.when(F.col("n") >= min_tokens, exact_docs).otherwise(short_docs)
-        found = found.unionByName(lines.select("key", "id", "place", F.concat(F.lit("="), "same").alias("template"), needed.alias("needed")))
+        found = found.unionByName(lines.select("key", "id", "place", F.concat(F.lit(b"="), "same").alias("template"), needed.alias("needed")))
     found = stored(found)
-    recurring = found.groupBy("template").agg(F.count_distinct("key").alias("docs"), F.min(F.struct("id", "key")).alias("first"), F.first("needed").alias("needed")).where(F.col("docs") >= F.col("needed")).drop("needed")
-    dropped = found.join(recurring, "template").where(F.col("key") != F.col("first.key"))
-    places = stored(dropped.groupBy("key").agg(F.array_sort(F.collect_set("place")).alias("places")))
-    discard(lines, distinct, tails, found)
-    return places
+    once = found.groupBy("template", "needed", "id", "key").agg(F.lit(1).alias("one"))
+    recurring = once.groupBy("template", "needed").agg(F.count("*").alias("docs"), F.min(F.struct("id", "key")).alias("first")).where(F.col("docs") >= F.col("needed")).select("template", F.col("first.key").alias("first"))
+    dropped = spread_join(found.select("key", "place", "template"), recurring, ["template"]).where(F.col("key") != F.col("first"))
+    gone = stored(dropped.groupBy("key").agg(F.array_sort(F.collect_set("place")).alias("places")))
+    discard(lines, having, forms, templates, found)
+    return gone
+
+
+def _templates(forms: DataFrame, having: DataFrame, depth: int, min_docs: int, similarity: float) -> DataFrame:
+    """(form, template's name) of the forms of which enough is constant. ``forms`` has form, leaf, n, line and docs; ``having`` which key has which form."""
+    # A token's row is short, however long its line.
+    tail = forms.select("form", "leaf", "docs", F.posexplode(F.split("line", " ")).alias("at", "token")).where(F.col("at") >= depth)
+    token = ["leaf", "at", "token"]
+    seen = tail.where(F.col("token") != FIELD).groupBy(*token).agg(F.max("docs").alias("most"), F.sum("docs").alias("total")).where(F.col("total") >= min_docs)
+    seen = stored(seen)
+    # A form that enough documents have settles its tokens. The others are in few documents each, whose keys are counted without repeats.
+    open_ = tail.where(F.col("docs") < min_docs).join(seen.where(F.col("most") < min_docs).select(*token), token).select("form", *token)
+    counted = open_.join(having, "form").groupBy(*token).agg(F.count_distinct("key").alias("docs")).where(F.col("docs") >= min_docs)
+    constant = seen.where(F.col("most") >= min_docs).select(*token).unionByName(counted.select(*token)).withColumn("constant", F.lit(True))
+    marked = tail.join(constant, token, "left").select("form", "at", F.when(F.col("constant"), F.col("token")).otherwise(FIELD).alias("token"))
+    tails = marked.groupBy("form").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "token"))), lambda s: s["token"]), " ").alias("tail"))
+    head = F.array_join(F.slice(F.split("line", " "), 1, depth), " ")
+    whole = forms.join(tails, "form", "left").select("form", "n", F.concat_ws(" ", head, "tail").alias("template"))
+    fixed = F.size(F.filter(F.split("template", " "), lambda t: t != FIELD))
+    return whole.where(fixed >= F.lit(similarity) * F.col("n")).select("form", F.unhex(F.sha2(F.concat_ws(" ", "n", "template"), 256)).alias("template"))
 
 
 def _keep(text: pd.Series, places: pd.Series) -> pd.Series:
@@ -134,41 +160,45 @@ def _keep(text: pd.Series, places: pd.Series) -> pd.Series:
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows without their dropped lines, with n_lines and n_dropped; input columns of these names are replaced.
+    """The rows without their dropped lines, with n_lines and n_dropped; input columns of these names are replaced, others keep theirs.
 
     A null text stays null and has no lines; an empty one has one. Every line that stays is unchanged, in its order.
     """
     ship(docs.sparkSession)
     docs = docs.drop("n_lines", "n_dropped")
-    key, places = "__key", "__places"
-    gone = dropped_lines(docs, id_col, text_col, **options).select(F.col("key").alias(key), F.col("places").alias(places))
-    rows = docs.withColumn(key, keyed(id_col, text_col)).join(gone, key, "left")
-    rows = rows.withColumns({"n_lines": F.when(F.col(text_col).isNull(), 0).otherwise(F.length(text_col) - F.length(F.replace(F.col(text_col), F.lit("\n"), F.lit(""))) + 1).cast("long"), "n_dropped": F.coalesce(F.size(places), F.lit(0)).cast("long")})
+    apart = set_apart(docs, {id_col, text_col})
+    rows = apart.withColumn("__key", keyed(id_col, text_col)).join(dropped_lines(apart, id_col, text_col, **options).withColumnsRenamed({"key": "__key", "places": "__places"}), "__key", "left")
+    n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(F.length(text_col) - F.length(F.replace(F.col(text_col), F.lit("\n"), F.lit(""))) + 1)
+    rows = rows.withColumns({"__n": n_lines.cast("long"), "__gone": F.coalesce(F.size("__places"), F.lit(0)).cast("long")})
     kept = F.pandas_udf(_keep, "string")
-    whole = rows.where(F.col(places).isNull())
-    cut = rows.where(F.col(places).isNotNull()).withColumn(text_col, kept(F.col(text_col), F.col(places)))
-    return whole.unionByName(cut).drop(key, places)
+    whole = rows.where(F.col("__places").isNull())
+    cut = rows.where(F.col("__places").isNotNull()).withColumn(text_col, kept(F.col(text_col), F.col("__places")))
+    return whole.unionByName(cut).select(*apart.columns, "__n", "__gone").toDF(*docs.columns, "n_lines", "n_dropped")
 
 
-def duckdb_sql(depth: int = 3, min_docs: int = 3, min_tokens: int = 4, similarity: float = 0.5) -> str:
+def duckdb_sql(depth: int = 3, min_docs: int = 3, min_tokens: int = 4, similarity: float = 0.5, exact_docs: int = 2, short_docs: int = 3) -> str:
     """The same in DuckDB, for documents with distinct ids and texts that aren't null."""
     space = r"[\x09-\x0D\x20]+"
     return f"""
 WITH l0 AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, unnest(range(len(string_split(text, chr(10))))) AS place FROM documents),
-l1 AS (SELECT doc_id, place, list_transform(list_filter(string_split_regex(raw, '{space}'), lambda t: t <> ''), lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '{FIELD}' ELSE t END) AS tokens FROM l0),
-l2 AS (SELECT doc_id, place, len(tokens) AS n, array_to_string(tokens[1:{depth}], ' ') AS head, tokens FROM l1 WHERE len(tokens) >= {min_tokens}),
-busy AS (SELECT n, head FROM l2 GROUP BY 1, 2 HAVING count(*) >= {min_docs}),
-l AS MATERIALIZED (SELECT l2.* FROM l2 JOIN busy USING (n, head)),
-d AS (SELECT n, head, tokens, count(DISTINCT doc_id) AS docs FROM l GROUP BY 1, 2, 3),
-p AS MATERIALIZED (SELECT n, head, tokens, docs, unnest(tokens) AS token, unnest(range(n)) AS place FROM d),
-c AS (SELECT n, head, place, token FROM p WHERE place >= {depth} AND token <> '{FIELD}' GROUP BY 1, 2, 3, 4 HAVING sum(docs) >= {min_docs}),
+l1 AS (SELECT doc_id, place, list_filter(string_split_regex(raw, '{space}'), lambda t: t <> '') AS own FROM l0),
+l2 AS (SELECT *, len(own) AS n, list_transform(own, lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '{FIELD}' ELSE t END) AS tokens FROM l1),
+l3 AS (SELECT *, array_to_string(tokens[1:{depth}], ' ') AS head FROM l2 WHERE n >= {min_tokens}),
+busy AS (SELECT n, head FROM l3 GROUP BY 1, 2 HAVING count(*) >= {min_docs}),
+l AS MATERIALIZED (SELECT doc_id, place, n, head, tokens FROM l3 JOIN busy USING (n, head)),
+p AS MATERIALIZED (SELECT DISTINCT doc_id, n, head, tokens, unnest(tokens) AS token, unnest(range(n)) AS place FROM l),
+c AS (SELECT n, head, place, token FROM p WHERE place >= {depth} AND token <> '{FIELD}' GROUP BY 1, 2, 3, 4 HAVING count(DISTINCT doc_id) >= {min_docs}),
+q AS (SELECT DISTINCT n, head, tokens, token, place FROM p),
 t AS (
-  SELECT n, head, tokens, string_agg(CASE WHEN p.place < {depth} OR c.token IS NOT NULL THEN p.token ELSE '{FIELD}' END, ' ' ORDER BY p.place) AS template
-  FROM p LEFT JOIN c USING (n, head, place, token) GROUP BY 1, 2, 3
+  SELECT n, head, tokens, string_agg(CASE WHEN q.place < {depth} OR c.token IS NOT NULL THEN q.token ELSE '{FIELD}' END, ' ' ORDER BY q.place) AS template
+  FROM q LEFT JOIN c USING (n, head, place, token) GROUP BY 1, 2, 3
+),
+f AS (
+  SELECT doc_id, place, n || ' ' || template AS what, {min_docs} AS needed FROM l JOIN t USING (n, head, tokens) WHERE len(list_filter(string_split(template, ' '), lambda x: x <> '{FIELD}')) >= {similarity} * n
+  UNION ALL SELECT doc_id, place, '= ' || array_to_string(own, ' '), CASE WHEN n >= {min_tokens} THEN {exact_docs} ELSE {short_docs} END FROM l2 WHERE n > 0 AND (n >= {min_tokens} OR NOT list_contains(tokens, '{FIELD}'))
 ),
-f AS (SELECT doc_id, place, n, template FROM l JOIN t USING (n, head, tokens) WHERE len(list_filter(string_split(template, ' '), lambda x: x <> '{FIELD}')) >= {similarity} * n),
-r AS (SELECT n, template, min(doc_id) AS first FROM f GROUP BY 1, 2 HAVING count(DISTINCT doc_id) >= {min_docs}),
-g AS (SELECT DISTINCT doc_id, place FROM f JOIN r USING (n, template) WHERE doc_id <> first),
+r AS (SELECT what, min(doc_id) AS first FROM f GROUP BY what, needed HAVING count(DISTINCT doc_id) >= needed),
+g AS (SELECT DISTINCT doc_id, place FROM f JOIN r USING (what) WHERE doc_id <> first),
 k AS (SELECT l0.doc_id, count(*) AS n_lines, count(g.place) AS n_dropped, coalesce(string_agg(raw, chr(10) ORDER BY place) FILTER (g.place IS NULL), '') AS kept FROM l0 LEFT JOIN g USING (doc_id, place) GROUP BY 1)
 SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM k
 """

@@ -30,12 +30,13 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints.fingerprint(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    classes = fingerprints.near_duplicates(docs).select("key", "class_id", "n_links").dropDuplicates(["key"])
+    return fingerprints.fingerprint(docs).join(classes, "key", "left").drop("key")
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Templates alone, as in its SQL; the operator's default, and the pipeline, drop exact repeats besides.
-    kept = linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), exact_docs=None)
+    kept = linededup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 

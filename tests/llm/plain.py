@@ -68,3 +68,29 @@ def contaminated(docs: list[tuple], items: list[tuple], window: int = 13) -> dic
                     ids |= own
         out[k] = (len(w), len(hit), sorted(ids), bool(hit) and 20 * len(hit) >= len(w))
     return out
+
+
+def without_lines(docs: list[tuple], depth: int = 3, min_docs: int = 3, min_tokens: int = 4, similarity: float = 0.5, exact_docs: int | None = 2, short_docs: int = 3) -> dict:
+    """id -> places of the lines that go, from the operator's description: the tree, its leaves, their templates."""
+    lines = {(k, i): re.findall(r"[^\x09-\x0D\x20]+", x) for k, t in docs for i, x in enumerate((t or "").split("\n"))}
+    masked = {at: ["<*>" if re.search("[0-9]", t) else t for t in w] for at, w in lines.items()}
+    leaf = {at: (len(m), *m[:depth]) for at, m in masked.items()}
+    holders: dict[tuple, set] = {}
+    for (k, i), m in masked.items():
+        for j, t in enumerate(m):
+            holders.setdefault((leaf[k, i], j, t), set()).add(k)
+    found: dict[tuple, set] = {}
+    for at, m in masked.items():
+        template = [t if j < depth or t != "<*>" and len(holders[leaf[at], j, t]) >= min_docs else "<*>" for j, t in enumerate(m)]
+        if len(m) >= min_tokens and sum(t != "<*>" for t in template) >= similarity * len(m):
+            found.setdefault(("template", min_docs, *template), set()).add(at)
+        if exact_docs is not None and m and (len(m) >= min_tokens or "<*>" not in m):
+            found.setdefault(("line", exact_docs if len(m) >= min_tokens else short_docs, *lines[at]), set()).add(at)
+    gone: dict = {k: set() for k, _ in docs}
+    for (_, needed, *_), places in found.items():
+        own = {k for k, _ in places}
+        if len(own) >= needed:
+            for k, i in places:
+                if k != min(own):
+                    gone[k].add(i)
+    return gone

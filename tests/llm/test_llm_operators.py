@@ -178,13 +178,57 @@ def test_blocks_of_a_large_group(spark):
     rows = [(i, base.replace("v7 ", f"x{i} ")) for i in range(40)]
     path = chosenpath.ChosenPath()
     texts = spark.createDataFrame([(i, t, 1) for i, t in rows], "rep long, text string, copies long")
-    groups = spark.createDataFrame([(i, 0) for i, _ in rows], "node long, root long")
-    found = chosenpath.verified(groups, texts, path, block=8).collect()
-    counts = {}
-    for r in found:
-        if r.b is None:
-            counts[r.a] = counts.get(r.a, 0) + r.texts
-    assert counts == {i: 39 for i in range(40)}
+    groups = spark.createDataFrame([(i, 0, len(t)) for i, t in rows], "node long, root long, bytes long")
+    for size in ({"block": 8}, {"block_bytes": 5000}):
+        counts = {}
+        for r in chosenpath.verified(groups, texts, path, **size).collect():
+            if r.b is None:
+                counts[r.a] = counts.get(r.a, 0) + r.texts
+        assert counts == {i: 39 for i in range(40)}
+
+
+def half_alike(n: int, pairs: int, seed: int) -> list[tuple]:
+    """Texts of one large group that share most of their words, and close pairs among them."""
+    rng = random.Random(seed)
+    base = [f"v{k}" for k in range(200)]
+    out = []
+    for i in range(n):
+        own = list(base)
+        for k in rng.sample(range(40), 4):
+            own[5 * k : 5 * k + 5] = [f"x{i}_{k}_{j}" for j in range(5)]
+        out.append((i, " ".join(own)))
+        if i < pairs:
+            own[100] = f"z{i}"
+            out.append((n + i, " ".join(own)))
+    return out
+
+
+def test_pairs_in_a_large_group_of_half_alike_texts(spark):
+    """Nothing in a bucket that doesn't split is left uncompared."""
+    rows = half_alike(400, 60, 6)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for depth, bands in ((1, 25), (3, None)):
+        path = chosenpath.ChosenPath(bucket=16, depth=depth, slack=0.0)
+        held(chosenpath.near_classes(frame, path=path), rows)
+    held(chosenpath.near_classes(frame, path=path, candidates=fingerprints.band_links), rows)
+
+
+def test_blocks_of_a_bucket_meet(spark):
+    path = chosenpath.ChosenPath(bucket=5)
+    rows = spark.createDataFrame([(b, r) for b, n in ((1, 40), (2, 3)) for r in range(n)], "bucket long, rep long")
+    parts = {}
+    for r in chosenpath.in_blocks(rows, path).collect():
+        parts.setdefault(r.bucket, set()).add(r.rep)
+    met = {(a, b) for own in parts.values() for a in own for b in own}
+    assert met == {(a, b) for a in range(40) for b in range(40)}
+
+
+def test_near_copies_beside_clashing_names(spark):
+    rows = [(i, "one and the same text of words", "a", "b", "c") for i in range(3)]
+    got = chosenpath.dedup(spark.createDataFrame(rows, "doc_id long, text string, key string, __key string, first string"))
+    assert [tuple(r) for r in got.collect()] == [rows[0]] and got.columns == ["doc_id", "text", "key", "__key", "first"]
+    found = chosenpath.near_classes(spark.createDataFrame(rows, "doc_id long, text string, class_id string, root string, digest string"))
+    assert {(r.class_id, r.n_links) for r in found.collect()} == {(0, 2)}
 
 
 def test_components(spark):
@@ -217,6 +261,25 @@ def test_fingerprints_of_odd_rows(odd, nothing):
     assert got[4].fingerprint == got[5].fingerprint
 
 
+def test_likeness_of_fingerprints(spark, docs, texts):
+    """The share of equal bytes, less what chance makes equal, from the fingerprints that are shown."""
+    got = fingerprints.fingerprint(docs).orderBy(F.desc("doc_id")).collect()
+    for i, r in enumerate(got):
+        for other, near in ((r.edited_fingerprint, r.near_edited), (got[(i + 1) % len(got)].fingerprint, r.near_next)):
+            a, b = bytes.fromhex(r.fingerprint), bytes.fromhex(other)
+            want = float(not a and not b) if not a or not b else min(1.0, max(0.0, (sum(x == y for x, y in zip(a, b)) / 128 - 1 / 256) / (1 - 1 / 256)))
+            assert near == pytest.approx(want)
+
+
+def test_fingerprint_query(spark, texts):
+    got = {r.doc_id: r for r in queries.op3_fingerprints(spark, SMALL).collect()}
+    rows = sorted(texts)
+    for i, (members, links) in plain.classes(rows).items():
+        r = got[rows[i][0]]
+        assert (r.class_id, r.n_links) == (min(rows[j][0] for j in members), links)
+    assert len(got) == len(rows)
+
+
 # ---- 2: toxicity
 
 
@@ -277,6 +340,34 @@ def test_exact_lines_against_plain(spark):
     assert got == {k: sum(len(docs_of[x]) >= needed(x) and min(docs_of[x]) < k for x in own) for k, own in lines.items()} and sum(got.values()) > 50
 
 
+def test_lines_against_plain(spark):
+    for seed, (docs_, options) in enumerate([(70, {}), (60, {"min_docs": 2, "similarity": 0.8}), (50, {"min_docs": 4, "depth": 2}), (60, {"exact_docs": None, "min_docs": 2, "depth": 1}), (40, {"min_tokens": 2, "depth": 4, "short_docs": 2})]):
+        rng = random.Random(seed)
+        line = lambda: " ".join(rng.choice("a b c d2 7".split()) if rng.random() < 0.8 else f"r{rng.choice('xyzuvw')}" for _ in range(rng.randint(0, 7)))
+        rows = [(i, "\n".join(line() for _ in range(rng.randint(1, 9)))) for i in range(docs_)]
+        rows += [(900 + i, rng.choice(rows)[1]) for i in range(3)]
+        got = {r.doc_id: r for r in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), **options).collect()}
+        want = plain.without_lines(rows, **options)
+        assert {k: r.n_dropped for k, r in got.items()} == {k: len(v) for k, v in want.items()} and sum(map(len, want.values())) > 3
+        assert {k: r.text for k, r in got.items()} == {k: "\n".join(x for i, x in enumerate(t.split("\n")) if i not in want[k]) for k, t in rows}
+
+
+def test_a_document_counts_once_in_a_leaf(spark):
+    """What one document repeats isn't constant for it, and saves no boilerplate elsewhere."""
+    for repeats in range(4):
+        texts = ["\n".join(["alpha beta gamma red one", *(f"alpha beta gamma red {w}" for w in ["two", "three", "four"][:repeats])]), "alpha beta gamma blue x", "alpha beta gamma green y"]
+        rows = list(enumerate(texts, 1))
+        got = [r.n_dropped for r in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()]
+        assert got == [0, 1, 1] == [len(v) for v in plain.without_lines(rows).values()]
+
+
+def test_lines_beside_clashing_names(spark):
+    rows = [(i, "one line of five words", "a", "b", "c") for i in range(3)]
+    got = linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string, __key string, __places string, key string"))
+    assert got.columns == ["doc_id", "text", "__key", "__places", "key", "n_lines", "n_dropped"]
+    assert [tuple(r)[1:] for r in got.orderBy("doc_id").collect()] == [("one line of five words", "a", "b", "c", 1, 0)] + [("", "a", "b", "c", 1, 1)] * 2
+
+
 def test_lines_of_odd_rows(odd, nothing):
     got = linededup.dedup_lines(odd.withColumn("n_lines", F.lit("old")), min_docs=2, min_tokens=1)
     rows = {str(r.doc_id): r for r in got.collect()}
