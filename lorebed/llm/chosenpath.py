@@ -308,7 +308,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     wanted = stored(wanted)
     discard(reps, groups)
     # Rows alike in id and text share a key, and agree in everything that is read.
-    texts = rows.select("key", "text").join(wanted.select("key", "rep", "copies"), "key").groupBy("rep").agg(F.first("copies").alias("copies"), F.first("text").alias("text"))
+    texts = rows.select("key", "text").join(wanted.select("key", "rep", "copies").hint("merge"), "key").groupBy("rep").agg(F.first("copies").alias("copies"), F.first("text").alias("text"))
     found = stored(verified(wanted.select(F.col("rep").alias("node"), "root", "bytes"), texts, path))
     discard(wanted)
     classes = components(found.where("b IS NOT NULL").select("a", "b"))
@@ -325,4 +325,4 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
     """One document of each class, with its own columns, whatever their names; of rows alike in id and text one stays."""
     apart = set_apart(docs, {id_col, text_col})
     kept = near_classes(apart, id_col, text_col, path).where("first").select(F.col("key").alias("__key")).distinct()
-    return apart.withColumn("__key", keyed(id_col, text_col)).join(kept, "__key").dropDuplicates(["__key"]).drop("__key").toDF(*docs.columns)
+    return apart.withColumn("__key", keyed(id_col, text_col)).join(kept.hint("merge"), "__key").dropDuplicates(["__key"]).drop("__key").toDF(*docs.columns)

@@ -71,10 +71,14 @@ def set_apart(docs: DataFrame, used: set[str]) -> DataFrame:
     return docs.toDF(*[c if c in used else f"__own_{i}" for i, c in enumerate(docs.columns)])
 
 
-def spread_join(rows: DataFrame, found: DataFrame, on: list[str], by: str = "key", how: str = "inner", salts: int = 16) -> DataFrame:
-    """A join of rows of which one key may hold a third with a table that has each key once: each key goes to ``salts`` tasks, by the hash of ``by``."""
+def spread_join(rows: DataFrame, found: DataFrame, on: list[str], by: str = "key", how: str = "inner", salts: int = 8) -> DataFrame:
+    """A join of rows of which one key may hold a third with a table that has each key once: each key goes to ``salts`` tasks, by the hash of ``by``.
+
+    The table grows with the data, so it is never broadcast, however small it is now.
+    """
     salted = rows.withColumn("__salt", F.pmod(F.xxhash64(by), F.lit(salts)))
-    return salted.join(found.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))), [*on, "__salt"], how).drop("__salt")
+    found = found.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    return salted.join(found.hint("merge"), [*on, "__salt"], how).drop("__salt")
 
 
 def text_or_empty(name: str) -> Column:

@@ -9,11 +9,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .job import ship
+from .job import set_apart, ship, stored
 from .textblocks import text_blocks
 
 UNDETERMINED = "und"
+#: Languages whose matrix is broadcast at once, of half a megabyte each.
+LANGUAGES_AT_ONCE = 64
 _TABLED = 0x33480
 
 
@@ -59,15 +62,16 @@ def char_grams(data: np.ndarray, offsets: np.ndarray, n: int, bits: int) -> tupl
     return buckets[np.arange(first[-1]) - np.repeat(first[:-1] - at[:-1], count)], first, with_letter
 
 
-class LanguageModel:
-    """log P(gram | language) and log P(language); ``languages`` is sorted."""
+class LanguageBlock:
+    """log P(gram | language) and log P(language) of some languages, in order."""
 
     def __init__(self, languages: list[str], log_grams: np.ndarray, log_prior: np.ndarray, n: int, bits: int, evidence: int):
         self.languages, self.log_grams, self.log_prior = languages, log_grams, log_prior
         self.n, self.bits, self.evidence = n, bits, evidence
 
-    def score(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The language and its posterior probability for each text.
+    def score(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For each text the place of its likeliest language, that one's log probability, all these languages' mass in units of it, and
+        whether the text has a letter.
 
         The likelihood of a long text counts as that of ``evidence`` grams with the same mean,
         so that a score tells how clear the text is and not how long. Ties go to the first language.
@@ -81,22 +85,31 @@ class LanguageModel:
                 total[some, k] = np.add.reduceat(self.log_grams[k][buckets], first[:-1][some])
         total *= np.minimum(1.0, self.evidence / np.maximum(count, 1))[:, None]
         total += self.log_prior
-        total -= total.max(axis=1, keepdims=True)
-        odds = np.exp(total)
         best = total.argmax(axis=1)
-        score = odds[np.arange(len(best)), best] / odds.sum(axis=1)
-        names = np.array([*self.languages, UNDETERMINED], dtype=object)
-        return names[np.where(with_letter, best, len(self.languages))], np.where(with_letter, score, 0.0)
+        top = total[np.arange(len(best)), best]
+        return best, top, np.exp(total - top[:, None]).sum(axis=1), with_letter
+
+
+class LanguageModel:
+    """Every language's gram counts, as a stored table with one row for each language; the driver knows the names and the numbers of documents."""
+
+    def __init__(self, table: DataFrame, languages: list[str], docs: np.ndarray, n: int, bits: int, alpha: float, evidence: int):
+        self.table, self.languages, self.log_prior = table, languages, np.log(docs / docs.sum())
+        self.n, self.bits, self.alpha, self.evidence = n, bits, alpha, evidence
 
+    def blocks(self, size: int) -> Iterator[LanguageBlock]:
+        """The matrices of ``size`` languages after the other, so that what is broadcast at once is bounded however many there are."""
+        for at in range(0, len(self.languages), size):
+            names = self.languages[at : at + size]
+            found = {r["lang"]: np.frombuffer(r["grams"], dtype=np.int64) for r in self.table.where(F.col("lang").isin(names)).collect()}
+            counts = np.stack([found[name] for name in names]) + self.alpha
+            yield LanguageBlock(names, np.log(counts / counts.sum(axis=1, keepdims=True)), self.log_prior[at : at + size], self.n, self.bits, self.evidence)
 
-def fit(
-    labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", n: int = 3, bits: int = 16, alpha: float = 0.1, evidence: int = 100, max_languages: int = 256
-) -> LanguageModel | None:
-    """Counts the grams of every labelled text, in the tasks and then by (language, bucket).
 
-    The driver gets one row for each language and bucket that occurs: at most ``max_languages * 2 ** bits``,
-    whatever the corpus; more languages than that are an error. Rows without text or language don't count.
-    None if no row is left.
+def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", n: int = 3, bits: int = 16, alpha: float = 0.1, evidence: int = 100) -> LanguageModel | None:
+    """Counts the grams of every labelled text, in the tasks and then by (language, bucket); any number of languages.
+
+    Rows without text or language don't count. None if no row is left.
     """
     spark = labelled.sparkSession
     ship(spark)
@@ -105,6 +118,15 @@ def fit(
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables: dict[str, np.ndarray] = {}
         docs: dict[str, int] = {}
+
+        def told() -> Iterator[pa.RecordBatch]:
+            for name, table in tables.items():
+                found = np.flatnonzero(table)
+                columns = [pa.array([name] * (len(found) + 1)), pa.array(np.append(found, -1).astype(np.int32)), pa.array(np.append(table[found], docs[name]).astype(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "bucket", "n"])
+            tables.clear()
+            docs.clear()
+
         for batch in batches:
             lang = np.array(batch.column(1).to_pylist(), dtype=object)
             for first, last, data, offsets in text_blocks(batch.column(0), 1 << 20):
@@ -114,55 +136,67 @@ def fit(
                     docs[name] = docs.get(name, 0) + int((own == name).sum())
                     chosen = buckets[np.repeat(own == name, np.diff(at))]
                     tables[name] = tables.get(name, 0) + np.bincount(chosen, minlength=1 << bits)
-        for name, table in tables.items():
-            found = np.flatnonzero(table)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * (len(found) + 1)), pa.array(np.append(found, -1).astype(np.int32)), pa.array(np.append(table[found], docs[name]).astype(np.int64))], names=["lang", "bucket", "n"]
-            )
+                    if len(tables) >= LANGUAGES_AT_ONCE:
+                        yield from told()
+        yield from told()
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One row for a language: at most a number for each bucket comes in."""
+        table, docs, name = np.zeros(1 << bits, dtype=np.int64), 0, None
+        for batch in batches:
+            name = batch.column(0)[0].as_py()
+            bucket, number = np.asarray(batch.column(1)), np.asarray(batch.column(2))
+            table[bucket[bucket >= 0]] = number[bucket >= 0]
+            docs += int(number[bucket < 0].sum())
+        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([docs]), pa.array([table.tobytes()], pa.binary())], names=["lang", "docs", "grams"])
 
     counts = rows.mapInArrow(count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    found = counts.limit(max_languages * ((1 << bits) + 1) + 1).toPandas()
-    if not len(found):
+    table = stored(counts.groupBy("lang").applyInArrow(pack, "lang string, docs long, grams binary"))
+    docs = {r["lang"]: r["docs"] for r in table.select("lang", "docs").collect()}
+    languages = sorted(docs)
+    if not languages:
         return None
-    languages = sorted(found["lang"].unique())
-    if len(languages) > max_languages:
-        raise ValueError(f"more than {max_languages} languages")
-    code = np.searchsorted(np.array(languages, dtype=object), found["lang"].to_numpy(dtype=object))
-    bucket, total = found["bucket"].to_numpy(), found["n"].to_numpy()
-    table = np.zeros((len(languages), 1 << bits))
-    table[code[bucket >= 0], bucket[bucket >= 0]] = total[bucket >= 0]
-    docs = np.zeros(len(languages))
-    docs[code[bucket < 0]] = total[bucket < 0]
-    table += alpha
-    return LanguageModel(languages, np.log(table / table.sum(axis=1, keepdims=True)), np.log(docs / docs.sum()), n, bits, evidence)
-
-
-def predict(docs: DataFrame, model: LanguageModel | None, text_col: str = "text") -> DataFrame:
-    """The rows with lang_pred and score; input columns of those names are replaced.
-
-    A null text, one without a letter, or a missing model gives ``und`` and 0.
+    return LanguageModel(table, languages, np.array([docs[name] for name in languages], dtype=float), n, bits, alpha, evidence)
+
+
+def predict(docs: DataFrame, model: LanguageModel | None, text_col: str = "text", at_once: int = LANGUAGES_AT_ONCE) -> DataFrame:
+    """The rows with lang_pred and score; input columns of those names are replaced, others keep theirs.
+
+    A null text, one without a letter, or a missing model gives ``und`` and 0. Each pass over the texts compares ``at_once`` languages.
     """
     spark: SparkSession = docs.sparkSession
     docs = docs.drop("lang_pred", "score")
     if model is None:
         return docs.withColumns({"lang_pred": F.lit(UNDETERMINED), "score": F.lit(0.0)})
     ship(spark)
-    shared = spark.sparkContext.broadcast(model)
-    at = docs.columns.index(text_col)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names: list[str] = []
-            scores: list[float] = []
-            for _, _, data, offsets in text_blocks(batch.column(at), 1 << 20):
-                lang, score = shared.value.score(data, offsets)
-                names.extend(lang)
-                scores.extend(score)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=[*batch.schema.names, "lang_pred", "score"])
-
-    from pyspark.sql import types as T
-
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
+    apart = set_apart(docs, {text_col})
+    rows = apart.withColumns({"__lang": F.lit(UNDETERMINED), "__top": F.lit(None).cast("double"), "__mass": F.lit(None).cast("double")})
+    at = rows.columns.index(text_col)
+    schema = T.StructType([*apart.schema.fields, T.StructField("__lang", T.StringType()), T.StructField("__top", T.DoubleType()), T.StructField("__mass", T.DoubleType())])
+    for k, block in enumerate(model.blocks(at_once)):
+        shared = spark.sparkContext.broadcast(block)
+        rows = (stored(rows) if k else rows).mapInArrow(lambda batches, shared=shared: _compared(batches, shared.value, at), schema)
+    score = F.when(F.col("__top").isNull(), 0.0).otherwise(1 / F.col("__mass"))
+    return rows.select(*apart.columns, "__lang", score).toDF(*docs.columns, "lang_pred", "score")
+
+
+def _compared(batches: Iterator[pa.RecordBatch], block: LanguageBlock, at: int) -> Iterator[pa.RecordBatch]:
+    """The rows with the likeliest language so far, its log probability, and the mass of all so far in units of it."""
+    names = np.array(block.languages, dtype=object)
+    for batch in batches:
+        found = [block.score(data, offsets) for _, _, data, offsets in text_blocks(batch.column(at), 1 << 20)]
+        best, top, mass, letter = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, int), np.zeros(0), np.zeros(0), np.zeros(0, bool))
+        lang, old_top, old_mass = (batch.column(batch.num_columns - k) for k in (3, 2, 1))
+        old_top = np.nan_to_num(old_top.to_numpy(zero_copy_only=False).astype(float), nan=-np.inf)
+        old_mass = np.nan_to_num(old_mass.to_numpy(zero_copy_only=False).astype(float))
+        better = top > old_top
+        most = np.maximum(top, old_top)
+        new = [
+            pa.array(np.where(letter, np.where(better, names[best], np.array(lang.to_pylist(), dtype=object)), UNDETERMINED), pa.string()),
+            pa.array(most, mask=~letter),
+            pa.array(mass * np.exp(top - most) + old_mass * np.exp(old_top - most), mask=~letter),
+        ]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-3], *new], names=batch.schema.names)
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 5) -> DataFrame:

@@ -37,6 +37,23 @@ SENTENCES: dict[str, str] = {
     "cc-by-4-work": "This work is licensed under a Creative Commons Attribution 4.0 International License",
     "cc-by-nc-4-work": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
     "cc-by-sa-4-work": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+    "gpl2-free": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version",
+    "gpl2-only": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation",
+    "gpl2-only-of": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; version 2 of the License",
+    "lgpl21-free": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version",
+    "lgpl3-free": "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    "lgpl3-program": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    "agpl3-free": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version",
+    "epl1-made": "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution, and is available at http",
+    "epl2-made": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https",
+    "epl2-made-http": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at http",
+    "cc0-author": "To the extent possible under law, the author has dedicated all copyright and related and neighboring rights to this software to the public domain worldwide",
+    "cc0-authors": "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide",
+    "cc0-notice": "Licensed under CC0 1.0",
+    "zlib-as-is": "This software is provided 'as-is', without any express or implied warranty",
+    "zlib-grant": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+    "bsl-grant": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:",
+    "bsl-notice": "Distributed under the Boost Software License, Version 1.0",
     "unlicense": "This is free and unencumbered software released into the public domain",
 }
 
@@ -63,6 +80,24 @@ RULES: list[tuple[str, list[str]]] = [
     ("CC-BY-4.0", ["cc-by-4"]),
     ("CC-BY-4.0", ["cc-by-4-work"]),
     ("Unlicense", ["unlicense"]),
+    ("GPL-2.0-or-later", ["gpl2-free", "gpl-hope", "gpl-copy"]),
+    ("GPL-2.0-or-later", ["gpl2-free"]),
+    ("GPL-2.0-only", ["gpl2-only"]),
+    ("GPL-2.0-only", ["gpl2-only-of"]),
+    ("LGPL-2.1-or-later", ["lgpl21-free"]),
+    ("LGPL-3.0-or-later", ["lgpl3-free"]),
+    ("LGPL-3.0-or-later", ["lgpl3-program"]),
+    ("AGPL-3.0-or-later", ["agpl3-free"]),
+    ("EPL-1.0", ["epl1-made"]),
+    ("EPL-2.0", ["epl2-made"]),
+    ("EPL-2.0", ["epl2-made-http"]),
+    ("CC0-1.0", ["cc0-author"]),
+    ("CC0-1.0", ["cc0-authors"]),
+    ("CC0-1.0", ["cc0-notice"]),
+    ("Zlib", ["zlib-as-is", "zlib-grant"]),
+    ("Zlib", ["zlib-grant"]),
+    ("BSL-1.0", ["bsl-grant"]),
+    ("BSL-1.0", ["bsl-notice"]),
 ]
 
 #: A sentence ends at a line's end, or with its mark before white space.
@@ -86,7 +121,7 @@ STEPS: list[tuple[str, str]] = [
 #: A sentence of so many words is told by them alone: on one line, a grant follows the holder's name without a mark.
 LONG = 15
 #: Every known sentence has one of these; a text with none has no known sentence.
-CUES = ["licen", "permission", "redistribution", "warrant", "unencumbered"]
+CUES = ["licen", "permission", "redistribution", "warrant", "unencumbered", "neighboring"]
 
 
 def normalised(sentence: str) -> str:
@@ -111,7 +146,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     Returns the id; licences (the matched rules' names, each once, in the rules' order, joined by ``;``); sentence_ids (the known
     sentences in the text's order, joined by ``;``); n_sentences (all of the text, ended at line ends too); first_sentence (the place of
     the first known one's beginning, from 0, else null). A known sentence may go over line ends. A rule matches if its sentences stand in a row among the known sentences. Whole texts are read in one pass without
-    a shuffle. A null text counts as empty, with one empty sentence.
+    a shuffle. A null text counts as empty, with one empty sentence. Repeated rows give as many equal rows; columns other than the id and the text
+    aren't read.
     """
     text = ascii_lower(F.coalesce(F.col(text_col), F.lit("")))
     marked = text

@@ -112,13 +112,18 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     wanted = spread_join(rows.select("key", "text").mapInArrow(places, "leaf long, key binary, place int"), busy, ["leaf"], how="left_semi")
     wanted = stored(wanted.groupBy("key").agg(F.collect_set("place").alias("wanted")))
     kind = docs.schema[id_col].dataType.simpleString()
-    lines = stored(rows.join(wanted, "key").select("key", "id", "text", "wanted").mapInArrow(cut, f"key binary, id {kind}, place int, n int, leaf binary, form binary, line string, same binary"))
+    lines = stored(rows.join(wanted.hint("merge"), "key").select("key", "id", "text", "wanted").mapInArrow(cut, f"key binary, id {kind}, place int, n int, leaf binary, form binary, line string, same binary"))
     discard(wanted)
     long = lines.where(F.col("n") >= min_tokens)
     having = stored(long.select("form", "key").distinct())
     forms = long.groupBy("form").agg(F.first("leaf").alias("leaf"), F.first("n").alias("n"), F.first("line").alias("line"))
-    forms = stored(forms.join(having.groupBy("form").agg(F.count("*").alias("docs")), "form"))
-    templates = stored(_templates(forms, having, depth, min_docs, similarity))
+    forms = forms.join(having.groupBy("form").agg(F.count("*").alias("docs")), "form")
+    forms = stored(forms.withColumn("form_id", F.monotonically_increasing_id()))
+    # Only a leaf that enough documents share can have a template that recurs in as many.
+    shared = forms.groupBy("leaf").agg(F.sum("docs").alias("all")).where(F.col("all") >= min_docs).select("leaf")
+    open_forms = stored(forms.join(shared, "leaf", "left_semi"))
+    discard(forms)
+    templates = stored(_templates(open_forms, having, depth, min_docs, similarity))
     found = spread_join(long.select("key", "id", "place", "form"), templates, ["form"]).select("key", "id", "place", "template", F.lit(min_docs).alias("needed"))
     if exact_docs is not None:
         needed = F.when(F.col("n") >= min_tokens, exact_docs).otherwise(short_docs)
@@ -128,27 +133,28 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     recurring = once.groupBy("template", "needed").agg(F.count("*").alias("docs"), F.min(F.struct("id", "key")).alias("first")).where(F.col("docs") >= F.col("needed")).select("template", F.col("first.key").alias("first"))
     dropped = spread_join(found.select("key", "place", "template"), recurring, ["template"]).where(F.col("key") != F.col("first"))
     gone = stored(dropped.groupBy("key").agg(F.array_sort(F.collect_set("place")).alias("places")))
-    discard(lines, having, forms, templates, found)
+    discard(lines, having, open_forms, templates, found)
     return gone
 
 
 def _templates(forms: DataFrame, having: DataFrame, depth: int, min_docs: int, similarity: float) -> DataFrame:
-    """(form, template's name) of the forms of which enough is constant. ``forms`` has form, leaf, n, line and docs; ``having`` which key has which form."""
+    """(form, template's name) of the forms of which enough is constant. ``forms`` has form, form_id, leaf, n, line and docs; ``having`` which key has which form."""
     # A token's row is short, however long its line.
-    tail = forms.select("form", "leaf", "docs", F.posexplode(F.split("line", " ")).alias("at", "token")).where(F.col("at") >= depth)
+    tail = forms.select("form_id", "leaf", "docs", F.posexplode(F.split("line", " ")).alias("at", "token")).where((F.col("at") >= depth) & (F.col("token") != FIELD))
     token = ["leaf", "at", "token"]
-    seen = tail.where(F.col("token") != FIELD).groupBy(*token).agg(F.max("docs").alias("most"), F.sum("docs").alias("total")).where(F.col("total") >= min_docs)
-    seen = stored(seen)
-    # A form that enough documents have settles its tokens. The others are in few documents each, whose keys are counted without repeats.
-    open_ = tail.where(F.col("docs") < min_docs).join(seen.where(F.col("most") < min_docs).select(*token), token).select("form", *token)
-    counted = open_.join(having, "form").groupBy(*token).agg(F.count_distinct("key").alias("docs")).where(F.col("docs") >= min_docs)
-    constant = seen.where(F.col("most") >= min_docs).select(*token).unionByName(counted.select(*token)).withColumn("constant", F.lit(True))
-    marked = tail.join(constant, token, "left").select("form", "at", F.when(F.col("constant"), F.col("token")).otherwise(FIELD).alias("token"))
-    tails = marked.groupBy("form").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "token"))), lambda s: s["token"]), " ").alias("tail"))
-    head = F.array_join(F.slice(F.split("line", " "), 1, depth), " ")
-    whole = forms.join(tails, "form", "left").select("form", "n", F.concat_ws(" ", head, "tail").alias("template"))
-    fixed = F.size(F.filter(F.split("template", " "), lambda t: t != FIELD))
-    return whole.where(fixed >= F.lit(similarity) * F.col("n")).select("form", F.unhex(F.sha2(F.concat_ws(" ", "n", "template"), 256)).alias("template"))
+    seen = tail.groupBy(*token).agg(F.max("docs").alias("most"), F.sum("docs").alias("total")).where(F.col("total") >= min_docs)
+    seen = stored(seen.select(*token, (F.col("most") >= min_docs).alias("settled")))
+    # A form that enough documents have settles its tokens and needs no look-up itself. The others are in few documents each, whose keys are counted without repeats.
+    asked = stored(tail.where(F.col("docs") < min_docs).join(seen, token).select("form_id", *token, "settled"))
+    open_ = asked.where("NOT settled").join(forms.select("form_id", "form"), "form_id").join(having, "form").groupBy(*token).agg(F.count_distinct("key").alias("docs"))
+    counted = asked.where("NOT settled").join(open_.where(F.col("docs") >= min_docs), token).select("form_id", "at")
+    constant = stored(asked.where("settled").select("form_id", "at").unionByName(counted).groupBy("form_id").agg(F.collect_list("at").alias("places")))
+    discard(seen, asked)
+    whole = forms.join(constant, "form_id", "left")
+    stays = lambda t, k: (F.col("docs") >= min_docs) | (k < depth) | F.coalesce(F.array_contains("places", k), F.lit(False))
+    template = F.transform(F.split("line", " "), lambda t, k: F.when(stays(t, k), t).otherwise(FIELD))
+    whole = whole.select("form", "n", template.alias("template")).where(F.size(F.filter("template", lambda t: t != FIELD)) >= F.lit(similarity) * F.col("n"))
+    return whole.select("form", F.unhex(F.sha2(F.concat_ws(" ", "n", F.array_join("template", " ")), 256)).alias("template"))
 
 
 def _keep(text: pd.Series, places: pd.Series) -> pd.Series:
@@ -167,7 +173,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ship(docs.sparkSession)
     docs = docs.drop("n_lines", "n_dropped")
     apart = set_apart(docs, {id_col, text_col})
-    rows = apart.withColumn("__key", keyed(id_col, text_col)).join(dropped_lines(apart, id_col, text_col, **options).withColumnsRenamed({"key": "__key", "places": "__places"}), "__key", "left")
+    rows = apart.withColumn("__key", keyed(id_col, text_col)).join(dropped_lines(apart, id_col, text_col, **options).withColumnsRenamed({"key": "__key", "places": "__places"}).hint("merge"), "__key", "left")
     n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(F.length(text_col) - F.length(F.replace(F.col(text_col), F.lit("\n"), F.lit(""))) + 1)
     rows = rows.withColumns({"__n": n_lines.cast("long"), "__gone": F.coalesce(F.size("__places"), F.lit(0)).cast("long")})
     kept = F.pandas_udf(_keep, "string")

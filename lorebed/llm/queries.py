@@ -25,7 +25,7 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    model = toxicity.fit(docs, toxicity.graded(table(spark, sf_dir, "labels")))
     return toxicity.score(docs, model).drop("text")
 
 

@@ -1,14 +1,16 @@
 """Substring dedup: repeated windows of words, found exactly behind a count-min prefilter.
 
 Equal windows have the same smallest gram of ``gram`` words, so a window occurs at most as often as runs of windows with that smallest
-gram do. Each task counts its runs in its own count-min sketch; the sketches are merged block by block, and can only overestimate. A second
-pass looks at the runs that are estimated repeated, and at no others: it first groups whole runs, then the single windows of runs that differ but
-share their smallest gram. Groups are told apart by 128 bits of hashes.
+gram do. Each task counts its runs in its own count-min sketch; the sketches are merged block by block, and can only overestimate. A run's two cells lie
+in one block, so the runs go to the blocks once, where those that aren't estimated repeated drop out in passing. A second
+pass looks at the others alone: it first groups whole runs, then the single windows of runs that differ but
+share their smallest gram. Groups are told apart by 128 bits of hashes under a key that is drawn anew each time, so that no text can be written to collide.
 """
 
 from __future__ import annotations
 
 import hashlib
+import secrets
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,11 +19,13 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .job import discard, keyed, ship, stored, text_or_empty
+from .job import discard, keyed, ship, spread_join, stored, text_or_empty
 from .textblocks import SPACED, U64, grams, hash_spans, mix, text_blocks, word_spans
 
 _BLOCK_BITS = 16
 _FLUSH = 1 << 21
+#: Tasks that a block of cells goes to, by the hash of a run's key: one run may be a third of all.
+_SALTS = 4
 RUN = "h long, ctx long, key binary, start int, n int, twice boolean"
 
 
@@ -37,7 +41,7 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
 class Runs:
     """The windows of a block of texts, and their runs: neighbours in one text with the same smallest gram."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, window: int, gram: int):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, window: int, gram: int, key: int = 0):
         self.begin, self.end, self.at = word_spans(data, offsets, SPACED)
         self.window = window
         empty = np.zeros(0, np.int64)
@@ -47,7 +51,7 @@ class Runs:
         count = np.maximum(np.diff(self.at) - window + 1, 0)
         if not count.any():
             return
-        words = hash_spans(data, self.begin, self.end)
+        words = hash_spans(data, self.begin, self.end, key)
         one = np.array([0, len(words)])
         small, whole = grams(words, one, gram)[0], grams(words, one, window)[0]
         first = np.cumsum(count) - count
@@ -73,29 +77,27 @@ class Runs:
             self.twice[pair[seen > 1, 0].astype(np.int64)] = True
 
 
-def _sketches(window: int, gram: int, bits: int):
+def _sketches(window: int, gram: int, key: int, block_bits: int):
+    """(block, cells, counts) of each task's runs: a block has two rows of cells, laid end to end."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[np.ndarray] = []
 
         def flush() -> pa.RecordBatch:
             h = np.concatenate(kept) if kept else np.zeros(0, U64)
             kept.clear()
-            rows, blocks, cells, counts = [], [], [], []
-            for row, cell in enumerate(_cells(h, bits)):
-                cell, n = np.unique(cell, return_counts=True)
-                n = np.minimum(n, 2).astype(np.uint8)
-                block = cell >> _BLOCK_BITS
-                first = np.flatnonzero(np.diff(block, prepend=-1))
-                for a, b in zip(first, np.append(first[1:], len(cell))):
-                    rows.append(row)
-                    blocks.append(int(block[a]))
-                    cells.append((cell[a:b] & ((1 << _BLOCK_BITS) - 1)).astype(np.uint16).tobytes())
-                    counts.append(n[a:b].tobytes())
-            return pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), pa.array(blocks, pa.int64()), pa.array(cells, pa.binary()), pa.array(counts, pa.binary())], names=["row", "block", "cells", "counts"])
+            block = _block(h, block_bits)
+            place, n = np.unique(np.concatenate([block << (_BLOCK_BITS + 1) | c for c in _cells(h)]), return_counts=True)
+            n = np.minimum(n, 2).astype(np.uint8)
+            own = place >> (_BLOCK_BITS + 1)
+            first = np.flatnonzero(np.diff(own, prepend=-1))
+            cells = (place & ((2 << _BLOCK_BITS) - 1)).astype(np.uint32)
+            cut = list(zip(first, np.append(first[1:], len(own))))
+            return pa.RecordBatch.from_arrays([pa.array(own[first]), pa.array([cells[a:b].tobytes() for a, b in cut], pa.binary()), pa.array([n[a:b].tobytes() for a, b in cut], pa.binary())], names=["block", "cells", "counts"])
 
         for batch in batches:
             for _, _, data, offsets in text_blocks(batch.column(0)):
-                runs = Runs(data, offsets, window, gram)
+                runs = Runs(data, offsets, window, gram, key)
                 kept.append(np.concatenate([runs.h, runs.h[runs.twice]]))
                 if sum(map(len, kept)) >= _FLUSH:
                     yield flush()
@@ -104,61 +106,85 @@ def _sketches(window: int, gram: int, bits: int):
     return run
 
 
-def _cells(h: np.ndarray, bits: int) -> list[np.ndarray]:
-    return [(h & U64((1 << bits) - 1)).astype(np.int64), ((h >> U64(32)) & U64((1 << bits) - 1)).astype(np.int64)]
+def _block(h: np.ndarray, block_bits: int) -> np.ndarray:
+    return (h & U64((1 << block_bits) - 1)).astype(np.int64)
+
+
+def _cells(h: np.ndarray) -> list[np.ndarray]:
+    """A run's cells in its block, one in each row."""
+    return [(h >> U64(64 - _BLOCK_BITS)).astype(np.int64), (mix(h ^ U64(0x5851F42D4C957F2D)) >> U64(64 - _BLOCK_BITS)).astype(np.int64) + (1 << _BLOCK_BITS)]
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The cells of one block that all sketches together count twice or more; counters stop at 2."""
-    total = np.zeros(1 << _BLOCK_BITS, dtype=np.uint8)
-    row = block = None
+    """The cells of one block that all sketches together count twice or more, as bits; counters stop at 2."""
+    total = np.zeros(2 << _BLOCK_BITS, dtype=np.uint8)
+    block = 0
     for batch in batches:
-        for r, b, cells, counts in zip(*(c.to_pylist() for c in batch.columns)):
-            row, block = r, b
-            cells = np.frombuffer(cells, dtype=np.uint16)
+        for b, cells, counts in zip(*(c.to_pylist() for c in batch.columns)):
+            block, cells = b, np.frombuffer(cells, dtype=np.uint32)
             total[cells] = np.minimum(total[cells] + np.frombuffer(counts, dtype=np.uint8), 2)
-    found = np.flatnonzero(total >= 2) + ((block or 0) << _BLOCK_BITS)
-    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), row or 0, dtype=np.int32)), pa.array(found.astype(np.int64))], names=["row", "cell"])
+    yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([np.packbits(total >= 2).tobytes()], pa.binary())], names=["block", "busy"])
+
+
+def _estimated_repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by block, in each of which rows with its busy cells come first: the runs whose cells are all busy."""
+    block, busy = -1, np.zeros(0, bool)
+    for batch in batches:
+        own, bits = np.asarray(batch.column(0)), batch.column(1)
+        h = np.asarray(pa.compute.fill_null(batch.column(2), 0)).view(U64)
+        keep = np.zeros(len(own), dtype=bool)
+        cuts = np.flatnonzero(np.diff(own)) + 1
+        for a, b in zip(np.append(0, cuts), np.append(cuts, len(own))):
+            told = b - a - bits.slice(a, b - a).null_count
+            if told:
+                block, busy = int(own[a]), np.unpackbits(np.frombuffer(bits[a].as_py(), dtype=np.uint8)).astype(bool)
+                a += told
+            if block == own[b - 1] and a < b:
+                low, high = _cells(h[a:b])
+                keep[a:b] = busy[low] & busy[high]
+        yield pa.RecordBatch.from_arrays(batch.columns[2:], names=batch.schema.names[2:]).filter(pa.array(keep))
 
 
 def repeated_spans(rows: DataFrame, window: int = 35, gram: int = 12) -> DataFrame:
     """(key, start, n): n windows of the text from word ``start`` on occur elsewhere too. ``rows`` has key and text, not null."""
     spark = rows.sparkSession
     ship(spark)
+    secret = secrets.randbits(60)
     texts = rows.select("text")
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    # Some ten cells for each run; 32 bits of the hash make a cell.
-    bits = min(32, max(_BLOCK_BITS, int(total // 8).bit_length()))
-    sketches = texts.mapInArrow(_sketches(window, gram, bits), "row int, block long, cells binary, counts binary")
-    busy = stored(sketches.groupBy("row", "block").applyInArrow(_merged, "row int, cell long"))
+    # Some ten cells of each row for each run, however many there are.
+    block_bits = max(0, int(total // 8).bit_length() - _BLOCK_BITS)
+    sketches = texts.mapInArrow(_sketches(window, gram, secret, block_bits), "block long, cells binary, counts binary")
+    busy = stored(sketches.groupBy("block").applyInArrow(_merged, "block long, busy binary"))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, _, data, offsets in text_blocks(batch.column(1)):
-                r = Runs(data, offsets, window, gram)
-                columns = [pa.array(r.h.view(np.int64)), pa.array(r.ctx.view(np.int64)), batch.column(0).take(pa.array(first + r.text)), pa.array(r.start.astype(np.int32)), pa.array(r.n.astype(np.int32)), pa.array(r.twice)]
-                yield pa.RecordBatch.from_arrays(columns, names=["h", "ctx", "key", "start", "n", "twice"])
-
-    mask = (1 << bits) - 1
-    runs = rows.select("key", "text").mapInArrow(find, RUN)
-    low, high = F.col("h").bitwiseAND(F.lit(mask)), F.shiftrightunsigned("h", 32).bitwiseAND(F.lit(mask))
-    runs = runs.join(busy.where("row = 0").select(F.col("cell").alias("low")), low == F.col("low"), "left_semi").join(busy.where("row = 1").select(F.col("cell").alias("high")), high == F.col("high"), "left_semi")
-    runs = stored(runs)
+                r = Runs(data, offsets, window, gram, secret)
+                columns = [pa.array(_block(r.h, block_bits)), pa.array(r.h.view(np.int64)), pa.array(r.ctx.view(np.int64)), batch.column(0).take(pa.array(first + r.text)), pa.array(r.start.astype(np.int32)), pa.array(r.n.astype(np.int32)), pa.array(r.twice)]
+                yield pa.RecordBatch.from_arrays(columns, names=["block", "h", "ctx", "key", "start", "n", "twice"])
+
+    runs = rows.select("key", "text").mapInArrow(find, f"block long, {RUN}").withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(_SALTS)).cast("int"))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt")
+    both = runs.withColumn("busy", F.lit(None).cast("binary")).unionByName(busy.select("block", "busy", salts), allowMissingColumns=True)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    both = both.repartition(parts, "block", "salt").sortWithinPartitions("block", F.col("busy").isNull()).select("block", "busy", *(f.split()[0] for f in RUN.split(", ")))
+    runs = stored(both.mapInArrow(_estimated_repeated, RUN))
     discard(busy)
     # Whole runs first: alike in all their windows.
     alike = stored(runs.groupBy("h", "ctx").agg(F.count("*").alias("seen"), F.max("twice").alias("twice"), F.min(F.struct("key", "start", "n")).alias("one")))
-    twins = runs.join(alike.where("seen > 1").select("h", "ctx"), ["h", "ctx"]).select("key", "start", "n")
+    twins = spread_join(runs, alike.where("seen > 1").select("h", "ctx"), ["h", "ctx"]).select("key", "start", "n")
     # Then the windows of runs that differ and share their smallest gram, or that repeat themselves: one run of each kind stands for all.
     shared = alike.groupBy("h").agg(F.count("*").alias("kinds"), F.max("twice").alias("any_twice")).where("kinds > 1 OR any_twice").select("h")
     open_ = alike.join(shared, "h").select("h", F.least("seen", F.lit(2)).cast("int").alias("weight"), "one.*")
     wanted = open_.groupBy("key").agg(F.collect_list(F.struct("h", "weight", "start", "n")).alias("runs"))
-    with_runs = rows.select("key", "text").join(wanted, "key")
+    with_runs = rows.select("key", "text").join(wanted.hint("merge"), "key")
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(2)
             for first, last, data, offsets in text_blocks(batch.column(1)):
-                r = Runs(data, offsets, window, gram)
+                r = Runs(data, offsets, window, gram, secret)
                 part = lists.slice(first, last - first)
                 flat, size = part.flatten(), np.asarray(part.value_lengths()).astype(np.int64)
                 h, weight, start, n = (np.asarray(flat.field(k)).astype(np.int64) for k in range(4))
@@ -172,7 +198,7 @@ def repeated_spans(rows: DataFrame, window: int = 35, gram: int = 12) -> DataFra
 
     windows = stored(with_runs.mapInArrow(explode, "h long, w long, weight int, key binary, start int"))
     often = windows.groupBy("h", "w").agg(F.sum("weight").alias("seen")).where("seen > 1").select("h", "w")
-    found = windows.where("weight = 1").join(often, ["h", "w"]).select("key", "start", F.lit(1).alias("n"))
+    found = spread_join(windows.where("weight = 1"), often, ["h", "w"]).select("key", "start", F.lit(1).alias("n"))
     spans = stored(twins.unionByName(found).distinct())
     discard(runs, alike, windows)
     return spans
@@ -212,7 +238,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rows = docs.select(keyed(id_col, text_col).alias("key"), F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
     spans = repeated_spans(rows, window, gram).groupBy("key").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
     spans = spans.select("key", F.transform("spans", lambda s: s["start"]).alias("starts"), F.transform("spans", lambda s: s["n"]).alias("sizes"))
-    joined = rows.join(spans, "key", "left").select("doc_id", "text", "starts", "sizes")
+    joined = rows.join(spans.hint("merge"), "key", "left").select("doc_id", "text", "starts", "sizes")
     last = "kept_sha256" if digest else "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

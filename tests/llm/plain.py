@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from fractions import Fraction
+from math import exp, log
 
 SPACED = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -94,3 +95,31 @@ def without_lines(docs: list[tuple], depth: int = 3, min_docs: int = 3, min_toke
                 if k != min(own):
                     gone[k].add(i)
     return gone
+
+
+def languages(train: list[tuple], texts: list[str | None], bucket, alpha: float = 0.1, evidence: int = 100, buckets: int = 1 << 16) -> list[tuple]:
+    """(language, score) of each text, by multinomial naive Bayes over hashed trigrams of letters; ``bucket`` gives a trigram's number."""
+
+    def grams(text: str) -> list[int]:
+        low = "".join(c.lower() if len(c.lower()) == 1 else c for c in re.sub("[^a-zäöüßéèàñ]+", " ", text, flags=re.I))
+        return [bucket(low[i : i + 3]) for i in range(len(low) - 2)]
+
+    counts: dict[str, Counter] = {}
+    docs: Counter = Counter()
+    for text, lang in train:
+        if text is not None and lang is not None:
+            counts.setdefault(lang, Counter()).update(grams(text))
+            docs[lang] += 1
+    out = []
+    for text in texts:
+        if not re.search("[a-zäöüßéèàñ]", text or "", re.I):
+            out.append(("und", 0.0))
+            continue
+        found = grams(text)
+        total = {}
+        for lang in sorted(counts):
+            mass = sum(counts[lang].values()) + alpha * buckets
+            total[lang] = sum(log((counts[lang][g] + alpha) / mass) for g in found) * min(1.0, evidence / max(len(found), 1)) + log(docs[lang] / docs.total())
+        best = max(sorted(total), key=total.get)
+        out.append((best, 1 / sum(exp(v - total[best]) for v in total.values())))
+    return out
