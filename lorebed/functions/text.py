@@ -7,8 +7,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Python's white space, for Java's regular expressions.
-SPACE = r"(?U)[\s\x1c-\x1f]"
+#: Python's white space, written out for Java's regular expressions, whose own class of all of Unicode is several times slower.
+SPACE = r"[\t-\r\x1c- \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
 def strip(c: Column) -> Column:

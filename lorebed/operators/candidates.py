@@ -9,10 +9,9 @@ from ..functions.urls import get_domain, get_host, normalize_url
 from ..vocabulary import PRIORITY_ORDER, PRIORITY_RULES
 
 
-def normalized(rows: DataFrame, native_domain: bool = False) -> DataFrame:
+def normalized(rows: DataFrame) -> DataFrame:
     """normalized_url and domain anew, with ``changed`` for rows in which either differs."""
-    domain = get_host(F.col("url")) if native_domain else get_domain(F.col("url"))
-    rows = rows.withColumns({"__url": normalize_url(F.col("url")), "__domain": domain})
+    rows = rows.withColumns({"__url": normalize_url(F.col("url")), "__domain": get_domain(F.col("url"))})
     changed = ~(F.col("normalized_url").eqNullSafe(F.col("__url")) & F.col("domain").eqNullSafe(F.col("__domain")))
     return rows.withColumn("changed", changed).withColumns({"normalized_url": F.col("__url"), "domain": F.col("__domain")}).drop("__url", "__domain")
 
@@ -50,7 +49,7 @@ def prioritized(rows: DataFrame, order: str, rules: dict[str, list[str]] | None
 def domain_summary(rows: DataFrame, order: str, rules: dict[str, list[str]] | None = None, titles: int = 3) -> DataFrame:
     """domain, url_count, priority (of the first row's url) and the first titles; most urls first, then first seen.
 
-    The first titles are found by rank among the rows with one, so no list of a whole domain is ever built.
+    The first titles are found by rank among the rows with one, which Spark limits before it shuffles, so no list of a whole domain is ever built.
     """
     from .dedupe import first_rank
 

@@ -12,21 +12,32 @@ def first_rank(keys: list[str], order: str) -> Column:
     return F.row_number().over(Window.partitionBy(*keys).orderBy(order))
 
 
+def _with_first(rows: DataFrame, keys: list[str], order: str, how: str) -> DataFrame:
+    """The rows beside ``__first``, which is set for the first of each key. ``order`` is different in all rows of a key.
+
+    The first orders come from a hash aggregate, which shrinks a hot key before the shuffle; the rows meet them by key and order, which no two rows share.
+    """
+    firsts = rows.groupBy(*keys).agg(F.min(order).alias(order)).withColumn("__first", F.lit(True))
+    return rows.join(firsts.hint("merge"), [*keys, order], how)
+
+
 def label_duplicates(rows: DataFrame, key: str, order: str, status: str = "status") -> DataFrame:
     """The first row of a key wins: a winner that says ``duplicate`` becomes ``new``, a loser becomes ``duplicate``.
 
-    Rows with an empty key stay as they are. Without them a third of the rows could meet in one task, so they pass by.
+    Rows with an empty key stay as they are.
     """
-    keyed = rows.where(F.coalesce(F.col(key), F.lit("")) != "")
-    rank = first_rank([key], order)
-    labelled = keyed.withColumn("__rank", rank).withColumn(status, F.when(F.col("__rank") > 1, "duplicate").when(F.col(status) == "duplicate", "new").otherwise(F.col(status))).drop("__rank")
-    return labelled.unionByName(rows.where(F.coalesce(F.col(key), F.lit("")) == ""))
+    columns = rows.columns
+    # Every row without a key is the first of its own.
+    rows = rows.withColumn("__key", F.when(F.coalesce(F.col(key), F.lit("")) == "", F.concat(F.lit("-"), F.col(order).cast("string"))).otherwise(F.concat(F.lit("+"), F.col(key))))
+    found = _with_first(rows, ["__key"], order, "left")
+    label = F.when(F.startswith("__key", F.lit("-")), F.col(status)).when(F.col("__first").isNull(), "duplicate").when(F.col(status) == "duplicate", "new").otherwise(F.col(status))
+    return found.withColumn(status, label).select(*columns)
 
 
 def first_of(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """One whole row for each key, the first, by a hash aggregate: hot keys shrink before the shuffle."""
-    packed = rows.groupBy(*keys).agg(F.min_by(F.struct(*rows.columns), order).alias("__row"))
-    return packed.select("__row.*")
+    """One whole row for each key, the first; ``order`` is different in all rows of a key."""
+    known = rows.withColumns({f"__k{k}": F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for k, c in enumerate(keys)})
+    return _with_first(known, [f"__k{k}" for k in range(len(keys))], order, "left_semi").select(*rows.columns)
 
 
 def with_fact_key(records: DataFrame) -> DataFrame:
@@ -37,7 +48,8 @@ def with_fact_key(records: DataFrame) -> DataFrame:
 
 def dedupe_facts(records: DataFrame, order: str) -> tuple[DataFrame, DataFrame]:
     """(kept, dropped): of records with one fact key the first is kept; others fail with ``duplicate_record`` as a further reason."""
-    ranked = with_fact_key(records).withColumn("__rank", first_rank(["k_url", "k_name", "k_evidence"], order)).drop("k_url", "k_name", "k_evidence")
-    kept = ranked.where("__rank = 1").drop("__rank")
+    keys = ["k_url", "k_name", "k_evidence"]
+    ranked = _with_first(with_fact_key(records), keys, order, "left").select(*records.columns, "__first")
+    kept = ranked.where("__first").drop("__first")
     reasons = F.array_append(F.coalesce(F.col("rejection_reasons"), F.array().cast("array<string>")), F.lit("duplicate_record"))
-    return kept, ranked.where("__rank > 1").drop("__rank").withColumns({"validation_status": F.lit("failed"), "rejection_reasons": reasons})
+    return kept, ranked.where("__first IS NULL").drop("__first").withColumns({"validation_status": F.lit("failed"), "rejection_reasons": reasons})

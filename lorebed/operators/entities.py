@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.fuzzy import token_sort_ratio_udf
@@ -22,28 +22,60 @@ def canonical(names: DataFrame, known: DataFrame, name: str = "name") -> DataFra
     return rows.join(F.broadcast(known), F.col("__n") == F.col("alias"), "left").withColumn("canonical_name", F.coalesce("canonical", "__n")).drop("__n", "alias", "canonical")
 
 
-def similar_pairs(names: DataFrame, least: float = REVIEW_THRESHOLD, name: str = "name") -> DataFrame:
-    """(a, b, score) of different names with a token-sort ratio of ``least`` or more, a before b.
+def _tokens(text: Column, size: int) -> Column:
+    """The substrings of a size, each with the number of its occurrence, so that a list of them is a set."""
+    parts = F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - size + 1, F.lit(1))), lambda i: F.substr(text, i, F.lit(size)))
+    numbered = F.transform(parts, lambda t, k: F.concat(t, F.size(F.filter(F.slice(parts, F.lit(1), k), lambda u: u == t)).cast("string")))
+    return F.when(F.length(text) >= size, numbered).otherwise(F.array().cast("array<string>"))
+
+
+def _shared_characters(x: Column, y: Column, least: float) -> Column:
+    """What a common subsequence of two names this alike has at least: ratio = 200 c / (x + y)."""
+    return F.ceil(least * (x + y) / 200 - 1e-9).cast("int")
+
+
+def _shared_bigrams(x: Column, y: Column, least: float) -> Column:
+    """Bigrams that two names this alike share at least: each character that is only in one breaks two bigrams of it and one of the other."""
+    c = _shared_characters(x, y, least)
+    return F.greatest((x - 1) - 2 * (x - c) - (y - c), (y - 1) - 2 * (y - c) - (x - c)).cast("int")
+
+
+def _rarest(rows: DataFrame, tokens: str, keep: Column) -> DataFrame:
+    """(token, n) of the ``keep`` rarest tokens of each name, by how many names have each."""
+    each = rows.select("n", keep.alias("__keep"), F.explode(tokens).alias("token"))
+    often = each.groupBy("token").agg(F.count("*").alias("names"))
+    ordered = each.join(often, "token").groupBy("n").agg(F.first("__keep").alias("__keep"), F.array_sort(F.collect_list(F.struct("names", "token"))).alias("all"))
+    return ordered.select("n", F.explode(F.slice("all", F.lit(1), F.greatest(F.col("__keep"), F.lit(0)))).alias("t")).select(F.col("t.token").alias("token"), "n")
 
-    Only names that share a block are compared. The sorted name of length n is cut into k + 1 pieces, where k is the most characters that a name this alike
-    can lack: one piece is left whole, and both names have it, though shifted by up to k. Blocks are a piece's text and number, sought in the
-    other name at every shift.
+
+def candidate_pairs(names: DataFrame, least: float = REVIEW_THRESHOLD, name: str = "name") -> DataFrame:
+    """(a, b) of different names that may have a token-sort ratio of ``least`` or more, and none of the others left out.
+
+    Two names that share at least t of their tokens have one in common among all but t - 1 of each one's tokens, in any order; the rarest come first, so
+    hot tokens hardly count. Tokens are bigrams, or characters for names too short for a bigram to be sure. Pairs that meet
+    are then held against the numbers of characters and bigrams that they have to share.
     """
     rows = names.select(F.array_join(F.array_sort(F.split(F.trim(name), " +")), " ").alias("s"), F.col(name).alias("n")).where("s <> ''").distinct()
-    rows = rows.withColumn("len", F.length("s"))
-    # ratio = 200 c / (x + y) >= least: at most (100 - least) / least of the shorter name's length is missing from it, in all d = x + y - 2 c edits.
-    edits = F.floor(F.col("len") * (2 * (100 - least) / least)).cast("int")
-    cut = rows.withColumn("pieces", F.least(edits + 1, F.col("len")))
-    cut = cut.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
-    at = F.floor(F.col("len") * F.col("k") / F.col("pieces")).cast("int")
-    size = F.floor(F.col("len") * (F.col("k") + 1) / F.col("pieces")).cast("int") - at
-    short = cut.select("n", "s", F.col("len").alias("len_a"), F.substr("s", at + 1, size).alias("piece"), size.alias("size"))
-    sizes = F.broadcast(short.select(F.col("size").alias("w"), F.col("len_a").alias("of")).distinct().groupBy("w").agg(F.min("of").alias("from_len"), F.max("of").alias("to_len")))
-    long = rows.withColumnsRenamed({"n": "m", "s": "t", "len": "len_b"}).join(sizes, (F.col("len_b") >= F.col("from_len")) & (F.col("w") <= F.col("len_b")))
-    long = long.select("m", "t", "len_b", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.col("len_b") - F.col("w") + 1), lambda i: F.substr("t", i, F.col("w"))))).alias("piece"))
-    pairs = short.join(long, "piece").where((F.col("len_a") <= F.col("len_b")) & (F.col("n") != F.col("m")) & (200 * F.col("len_a") >= least * (F.col("len_a") + F.col("len_b"))))
-    pairs = pairs.select(F.least("n", "m").alias("a"), F.greatest("n", "m").alias("b")).distinct()
-    return pairs.withColumn("score", token_sort_ratio_udf("a", "b")).where(F.col("score") >= least)
+    rows = rows.withColumns({"len": F.length("s"), "chars": _tokens(F.col("s"), 1), "grams": _tokens(F.col("s"), 2)})
+    low, high = (F.ceil(F.col("len") * least / (200 - least) - 1e-9).cast("int"), F.floor(F.col("len") * (200 - least) / least + 1e-9).cast("int"))
+    partners = F.sequence(F.greatest(low, F.lit(1)), F.greatest(high, F.lit(1)))
+    fewest = lambda shared: F.array_min(F.transform(partners, lambda y: shared(F.col("len"), y, least)))
+    rows = rows.withColumns({"sure_chars": fewest(_shared_characters), "sure_grams": fewest(_shared_bigrams)})
+    by_gram = _rarest(rows.where("sure_grams >= 1"), "grams", F.size("grams") - F.col("sure_grams") + 1)
+    by_char = _rarest(rows, "chars", F.size("chars") - F.greatest(F.col("sure_chars"), F.lit(1)) + 1)
+    short = by_char.join(rows.where("sure_grams < 1").select("n"), "n", "left_semi")
+    meet = lambda x, y: x.select("token", F.col("n").alias("x")).join(y.select("token", F.col("n").alias("y")), "token").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    pairs = meet(by_gram, by_gram).where("a < b").unionByName(meet(short, by_char)).distinct()
+    side = lambda c: rows.select(F.col("n").alias(c), *(F.col(k).alias(f"{k}_{c}") for k in ("len", "chars", "grams")))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    common = lambda k: F.size(F.array_intersect(f"{k}_a", f"{k}_b"))
+    fine = (common("chars") >= _shared_characters(F.col("len_a"), F.col("len_b"), least)) & (common("grams") >= _shared_bigrams(F.col("len_a"), F.col("len_b"), least))
+    return both.where(fine).select("a", "b")
+
+
+def similar_pairs(names: DataFrame, least: float = REVIEW_THRESHOLD, name: str = "name") -> DataFrame:
+    """(a, b, score) of different names with a token-sort ratio of ``least`` or more, a before b."""
+    return candidate_pairs(names, least, name).withColumn("score", token_sort_ratio_udf("a", "b")).where(F.col("score") >= least)
 
 
 def cluster(names: DataFrame, merge: float = MERGE_THRESHOLD, review: float = REVIEW_THRESHOLD) -> tuple[DataFrame, DataFrame]:
@@ -66,15 +98,28 @@ def cluster(names: DataFrame, merge: float = MERGE_THRESHOLD, review: float = RE
     return found.join(heads, "root").select("name", "cluster"), pairs.where(~merged).select("a", "b", "score")
 
 
+def with_dates(records: DataFrame, dates: DataFrame, key: str = "page_id") -> DataFrame:
+    """Records with the publication date of a side table (key and publication_date) where they have none of their own; unknown dates are empty."""
+    found = dates.groupBy(key).agg(F.min(F.nullif("publication_date", F.lit(""))).alias("__date"))
+    own = F.nullif(F.col("publication_date"), F.lit("")) if "publication_date" in records.columns else F.lit(None).cast("string")
+    return records.join(found, key, "left").withColumn("publication_date", F.coalesce(own, F.col("__date"), F.lit(""))).drop("__date")
+
+
 def profiles(records: DataFrame, cluster_of: DataFrame) -> DataFrame:
-    """One profile for each cluster of validated records: its names, types, facts, sources, dates and best confidence.
+    """One profile for each cluster of validated records: its names, types, places, facts, sources, dates and best confidence.
 
-    Values that hold for a whole cluster are kept as sets; the order of a profile's lists is alphabetical.
+    Values that hold for a whole cluster are kept as sets, in alphabetical order; the overview is the longest one, of equally long ones the first by text.
     """
     rows = records.join(cluster_of.withColumnRenamed("name", "entity_name"), "entity_name")
     facts = F.array_sort(F.array_distinct(F.flatten(F.collect_set("key_facts"))))
+    more = []
+    if "locations" in records.columns:
+        more.append(F.array_sort(F.array_distinct(F.flatten(F.collect_set("locations")))).alias("locations"))
+    if "overview" in records.columns:
+        longest = F.min(F.struct(-F.char_length(F.coalesce("overview", F.lit(""))), F.coalesce("overview", F.lit("")).alias("overview")))
+        more.append(longest["overview"].alias("overview"))
     return rows.groupBy(F.col("cluster").alias("canonical_name")).agg(
         F.array_sort(F.collect_set("entity_name")).alias("aliases"), F.min_by("entity_type", "_ord").alias("entity_type"), F.array_sort(F.collect_set("supply_chain_category")).alias("supply_chain_categories"), facts.alias("key_facts"),
         F.array_sort(F.collect_set(F.struct("source_url", "evidence_text"))).alias("sources"), F.max("confidence_score").alias("confidence_score"),
-        F.concat_ws(" to ", F.array_distinct(F.array_compact(F.array(F.min(F.nullif("publication_date", F.lit(""))), F.max(F.nullif("publication_date", F.lit(""))))))).alias("publication_date_range"),
+        F.concat_ws(" to ", F.array_distinct(F.array_compact(F.array(F.min(F.nullif("publication_date", F.lit(""))), F.max(F.nullif("publication_date", F.lit(""))))))).alias("publication_date_range"), *more,
     )

@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.records import as_text, temporal_note
 from ..functions.text import slug, strip
-from ..vocabulary import ENTITY_COLUMNS, ENTITY_JSON, SOURCE_COLUMNS
+from ..vocabulary import ENTITY_COLUMNS, ENTITY_JSON, SOURCE_COLUMNS, WHAT_QUESTION, WHERE_ANSWER, WHERE_QUESTION
 
 
-def json_list(column: Column) -> Column:
-    """JSON with nulls kept; null and empty become ``[]``. Structure, not spacing, is what counts."""
-    return F.when(column.isNull(), "[]").otherwise(F.to_json(column, {"ignoreNullFields": "false"}))
+def json_cell(column: Column, kind: T.DataType) -> Column:
+    """JSON with nulls kept; whatever is empty, zero, false or null becomes ``[]``. Structure, not spacing, is what counts."""
+    if isinstance(kind, (T.ArrayType, T.MapType)):
+        return F.when(F.coalesce(F.size(column), F.lit(0)) <= 0, "[]").otherwise(F.to_json(column, {"ignoreNullFields": "false"}))
+    if isinstance(kind, T.StructType):
+        return F.when(column.isNull(), "[]").otherwise(F.to_json(column, {"ignoreNullFields": "false"}))
+    wrapped = F.to_json(F.struct(column.alias("v")))
+    bare = F.substr(wrapped, F.lit(6), F.length(wrapped) - 6)  # without {"v": and }
+    return F.when(column.isNull() | bare.isin('""', "0", "0.0", "-0.0", "false"), "[]").otherwise(bare)
 
 
 def source_count(entities: DataFrame) -> Column:
@@ -22,8 +30,14 @@ def source_count(entities: DataFrame) -> Column:
     return F.coalesce(F.nullif(F.col("source_count").cast("int"), F.lit(0)), F.greatest(sources, F.lit(0))) if "source_count" in entities.columns else F.greatest(sources, F.lit(0))
 
 
-def final_wiki(entities: DataFrame) -> DataFrame:
-    """The wide table: every column, lists as JSON, missing ones empty."""
+def first_entities(entities: DataFrame, limit: int = 0, order: str = "_ord") -> DataFrame:
+    """The first entities by order, or all for 0: exports of entities count their limit before anything is exploded."""
+    return entities.orderBy(order).limit(limit) if limit else entities
+
+
+def final_wiki(entities: DataFrame, limit: int = 0) -> DataFrame:
+    """The wide table: every column, lists as JSON, missing ones empty. A limit counts entities in order."""
+    entities = first_entities(entities, limit)
 
     def cell(name: str) -> Column:
         if name == "source_count":
@@ -31,7 +45,7 @@ def final_wiki(entities: DataFrame) -> DataFrame:
         if name not in entities.columns:
             return F.lit("[]" if name in ENTITY_JSON else "")
         if name in ENTITY_JSON:
-            return json_list(F.col(name)) if isinstance(entities.schema[name].dataType, (T.ArrayType, T.StructType, T.MapType)) else F.when(as_text(F.col(name)) == "", "[]").otherwise(F.to_json(F.array(F.col(name))))
+            return json_cell(F.col(name), entities.schema[name].dataType)
         return as_text(F.col(name))
 
     return entities.select(*[cell(c).alias(c) for c in ENTITY_COLUMNS])
@@ -50,21 +64,29 @@ def ungrounded_urls(rows: DataFrame, key: str = "canonical_name") -> DataFrame:
     return bad.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "source_url"))), lambda s: s["source_url"]), ", ").alias("urls"))
 
 
-def finetuning(entities: DataFrame) -> DataFrame:
-    """No, one or two examples for each entity: what it does, and where, if it has locations. Both end with the first source."""
+def finetuning(entities: DataFrame, limit: int = 0) -> DataFrame:
+    """No, one or two examples for each entity: what it does, and where, if it has locations. Both end with the first source. A limit counts entities in order."""
+    entities = first_entities(entities, limit)
     urls = F.filter(F.transform(F.coalesce("sources", F.expr("array()")), lambda s: s["source_url"]), lambda u: F.coalesce(u, F.lit("")) != "")
     rows = entities.withColumns({"u": urls, "o": strip(as_text(F.col("overview")))}).where((F.coalesce("canonical_name", F.lit("")) != "") & (F.col("o") != "") & (F.size("u") > 0))
     ending = F.concat(temporal_note(F.col("publication_date_range"), F.col("currency")), F.lit(" Source: "), F.get("u", F.lit(0)))
     name = F.col("canonical_name")
-    what = F.struct(F.lit(0).alias("k"), F.concat(F.lit("What does "), name, F.lit(" do in Georgia's EV supply chain?")).alias("instruction"), F.lit("").alias("input"), F.concat("o", ending).alias("output"))
-    place = F.concat(name, F.lit(" operates in "), F.array_join("locations", ", "), F.lit(" based on the sources."), ending)
-    where = F.struct(F.lit(1).alias("k"), F.concat(F.lit("Where does "), name, F.lit(" operate in Georgia?")).alias("instruction"), F.lit("").alias("input"), place.alias("output"))
+    filled = lambda template, **values: _filled(template, {"name": name, **values})
+    what = F.struct(F.lit(0).alias("k"), filled(WHAT_QUESTION).alias("instruction"), F.lit("").alias("input"), F.concat("o", ending).alias("output"))
+    place = F.concat(filled(WHERE_ANSWER, places=F.array_join("locations", ", ")), ending)
+    where = F.struct(F.lit(1).alias("k"), filled(WHERE_QUESTION).alias("instruction"), F.lit("").alias("input"), place.alias("output"))
     examples = F.array_compact(F.array(what, F.when(F.size("locations") > 0, where)))
     return rows.select("_ord", F.explode(examples).alias("e")).select("_ord", "e.*")
 
 
+def _filled(template: str, values: dict[str, Column]) -> Column:
+    """The template's text with ``{name}`` and the like replaced; the values' own braces stay as they are."""
+    parts = re.split(r"[{](\w+)[}]", template)
+    return F.concat(*[values[part] if k % 2 else F.lit(part) for k, part in enumerate(parts)])
+
+
 def wiki_lines(entities: DataFrame) -> DataFrame:
-    """The line of each entity in a listing: link, county and the overview up to its first period."""
+    """The line of each entity in a listing from A to Z: link, county and the overview up to its first period."""
     blurb = F.split_part(as_text(F.col("overview")), F.lit("."), F.lit(1))
     county = F.when(as_text(F.col("county")) == "", "").otherwise(F.concat(F.lit(" _("), F.col("county"), F.lit(")_")))
-    return entities.select("canonical_name", "category", "county", F.concat(F.lit("- [["), slug(F.col("canonical_name")), F.lit("|"), F.col("canonical_name"), F.lit("]]"), county, F.lit(" — "), blurb).alias("line"))
+    return entities.select("canonical_name", "category", "county", F.concat(F.lit("- [["), slug(F.col("canonical_name")), F.lit("|"), F.col("canonical_name"), F.lit("]]"), county, F.lit(" — "), blurb).alias("line")).orderBy(F.lower("canonical_name"), "canonical_name")

@@ -44,13 +44,18 @@ def upsert(frontier: DataFrame, rows: DataFrame) -> DataFrame:
 def requeue_failed(frontier: DataFrame, most: int = MAX_RETRIES) -> DataFrame:
     """Failed rows with fewer retries than ``most`` are queued with one more; ``requeued`` marks them."""
     again = (F.col("status") == "failed") & (F.coalesce(F.col("retry_count"), F.lit(0)) < most)
-    return frontier.withColumns({"requeued": again, "status": F.when(again, "queued").otherwise(F.col("status")), "retry_count": F.col("retry_count") + again.cast("int")})
+    return frontier.withColumns({"requeued": again, "status": F.when(again, "queued").otherwise(F.col("status")), "retry_count": F.coalesce(F.col("retry_count"), F.lit(0)) + again.cast("int")})
 
 
 def counts(frontier: DataFrame) -> DataFrame:
     return frontier.groupBy("status").agg(F.count("*").alias("n"))
 
 
+def allowed_content(crawled: DataFrame, types: tuple[str, ...] = ("text/html", "application/xhtml+xml")) -> DataFrame:
+    """Pages of a content type that is read, parameters such as the charset aside; which types is a choice."""
+    return crawled.where(F.lower(F.trim(F.split_part(F.coalesce("content_type", F.lit("")), F.lit(";"), F.lit(1)))).isin(*types))
+
+
 def crawlable(frontier: DataFrame, priorities: tuple[str, ...] = ("high", "medium"), limit: int = 1000) -> DataFrame:
     """The next batch of queued urls of the priorities that are crawled."""
     return frontier.where((F.col("status") == "queued") & F.col("priority").isin(*priorities)).orderBy("frontier_id").limit(limit)

@@ -2,30 +2,39 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cuts the lineage in the folder that spark.checkpoint.dir names; a temporary one where it names none."""
+    """Cuts the lineage in the folder that spark.checkpoint.dir names; an error where there is none, as a folder of one machine won't do."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lorebed-"))
+        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not shared:
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(shared)
     return df.checkpoint()
 
 
 def connected(links: DataFrame) -> DataFrame:
-    """(node, root) of every node in links (a, b): the root is the component's smallest node. Labels spread and jump until none changes."""
-    edges = checkpointed(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct())
-    labels = checkpointed(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("root")))
-    while not labels.isEmpty():
-        near = edges.join(labels, F.col("b") == F.col("node")).groupBy(F.col("a").alias("node")).agg(F.min("root").alias("other"))
-        step = labels.join(near, "node", "left").select("node", F.col("root").alias("old"), F.least("root", "other").alias("mid"))
-        jump = step.join(labels.select(F.col("node").alias("mid"), F.col("root").alias("far")), "mid", "left")
-        new = checkpointed(jump.select("node", "old", F.least("mid", "far").alias("root")))
-        labels = new.select("node", "root")
-        if new.where("old <> root").isEmpty():
-            break
-    return labels
+    """(node, root) of every node in links (a, b): the root is the component's smallest node.
+
+    Each round joins every node to the first of itself and its neighbours, in an order by hash that is new in each round, and keeps the links between
+    what is left; so the number of nodes shrinks by a share whatever the shape, a long chain too. The moves are then followed round by round.
+    """
+    edges = checkpointed(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    place = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("root", F.col("node"))
+    number = 0
+    while not edges.isEmpty():
+        ranked = lambda c: F.struct(F.xxhash64(F.col(c), F.lit(number)).alias("h"), F.col(c).alias("v"))  # noqa: B023, E731
+        ends = edges.select(ranked("a").alias("x"), ranked("b").alias("y"))
+        moves = ends.unionByName(ends.select(F.col("y").alias("x"), F.col("x").alias("y"))).groupBy("x").agg(F.least(F.col("x"), F.min("y")).alias("to"))
+        moves = checkpointed(moves.select(F.col("x.v").alias("from"), F.col("to.v").alias("to")))
+        place = checkpointed(place.join(moves, F.col("root") == F.col("from"), "left").select("node", F.coalesce("to", "root").alias("root")))
+        for side in ("a", "b"):
+            edges = edges.join(moves, F.col(side) == F.col("from")).drop(side, "from").withColumnRenamed("to", side)
+        edges = checkpointed(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        number += 1
+    least = place.groupBy("root").agg(F.min("node").alias("least"))
+    return place.join(least, "root").select("node", F.col("least").alias("root"))

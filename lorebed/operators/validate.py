@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fuzzy import partial_at_least
-from ..functions.records import confidence
-from ..functions.text import fold_spaces, strip
+from ..functions.records import as_text, confidence
+from ..functions.text import casefold, fold_spaces, strip
 from ..vocabulary import CATEGORIES, ENTITY_TYPES, GROUNDING_THRESHOLD, MAX_UNVALIDATED_CONFIDENCE, MIN_CONFIDENCE, PAGE_CLAIM_STATUSES
+from .dedupe import dedupe_facts
 
 
 def field_reasons(records: DataFrame) -> DataFrame:
@@ -26,37 +27,56 @@ def field_reasons(records: DataFrame) -> DataFrame:
 def grounded(rows: DataFrame, evidence: str = "evidence_text", page: str = "page_markdown", threshold: float = GROUNDING_THRESHOLD, fuzzy: bool = True) -> DataFrame:
     """With is_grounded: the evidence is part of the page, white space and case aside, or close to a part of it.
 
-    Python sees only the rows that the native test leaves open.
+    Python gets texts only where the native test leaves it open, and nulls for all other rows.
     """
-    a, b = fold_spaces(F.col(evidence)), fold_spaces(F.col(page))
-    exact = (a != "") & (b != "") & F.contains(b, a)
-    rows = rows.withColumn("is_grounded", exact)
-    if not fuzzy:
-        return rows
-    open_ = ~F.col("is_grounded") & (a != "") & (b != "")
-    close = rows.where(open_).withColumn("is_grounded", partial_at_least(threshold)(a, b))
-    return rows.where(~open_).unionByName(close)
+    a, b = F.col("__evidence"), F.col("__page")
+    rows = rows.withColumns({"__evidence": fold_spaces(F.col(evidence)), "__page": fold_spaces(F.col(page))})
+    rows = rows.withColumn("is_grounded", (a != "") & (b != "") & F.contains(b, a))
+    if fuzzy:
+        open_ = ~F.col("is_grounded") & (a != "") & (b != "")
+        rows = rows.withColumn("is_grounded", F.col("is_grounded") | partial_at_least(threshold)(F.when(open_, a), F.when(open_, b)))
+    return rows.drop("__evidence", "__page")
 
 
 def validate(records: DataFrame, pages: DataFrame, fuzzy: bool = True) -> DataFrame:
     """Records with their page's text by page_id, reasons and validation_status; a missing page is empty.
 
-    Grounding is asked only of records with evidence.
+    Related organisations and fields are cleaned first. Grounding is asked only of records with evidence.
     """
-    checked = field_reasons(records).join(pages.select("page_id", "page_markdown"), "page_id", "left").withColumn("page_markdown", F.coalesce("page_markdown", F.lit("")))
+    checked = field_reasons(normalize_records(records)).join(pages.select("page_id", "page_markdown"), "page_id", "left")
     asked = ~F.array_contains("rejection_reasons", "missing_evidence")
-    tested = grounded(checked.where(asked), fuzzy=fuzzy)
-    tested = tested.withColumn("rejection_reasons", F.when(F.col("is_grounded"), F.col("rejection_reasons")).otherwise(F.array_append("rejection_reasons", F.lit("unsupported_claim"))))
-    both = tested.unionByName(checked.where(~asked).withColumn("is_grounded", F.lit(False)))
-    return both.withColumn("validation_status", F.when(F.size("rejection_reasons") == 0, "passed").otherwise("failed")).drop("page_markdown")
+    tested = grounded(checked.withColumn("__asked", F.when(asked, F.col("evidence_text"))), evidence="__asked", fuzzy=fuzzy).drop("__asked", "page_markdown")
+    reasons = F.when(F.col("is_grounded") | ~asked, F.col("rejection_reasons")).otherwise(F.array_append("rejection_reasons", F.lit("unsupported_claim")))
+    return tested.withColumn("rejection_reasons", reasons).withColumn("validation_status", F.when(F.size("rejection_reasons") == 0, "passed").otherwise("failed"))
 
 
-def split(validated: DataFrame, earlier_failures: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(passed, failed); failures of generation stay among the failed on every rerun."""
-    failed = validated.where("validation_status = 'failed'")
+def split(validated: DataFrame, earlier_failures: DataFrame | None = None, order: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(passed, failed); failures of generation stay among the failed on every rerun. With an order, passed records that repeat an
+    earlier one's fact are failures too."""
+    passed, failed = validated.where("validation_status = 'passed'"), validated.where("validation_status = 'failed'")
     if earlier_failures is not None:
         failed = earlier_failures.where("failure_stage = 'generation'").unionByName(failed, allowMissingColumns=True)
-    return validated.where("validation_status = 'passed'"), failed
+    if order is not None:
+        passed, repeats = dedupe_facts(passed, order)
+        failed = failed.unionByName(repeats, allowMissingColumns=True)
+    return passed, failed
+
+
+def normalize_records(records: DataFrame) -> DataFrame:
+    """Texts stripped, and related organisations without those that name nothing, the record's own entity or one named before.
+
+    The absent original is known by its name alone; what it cleans is a choice of this library.
+    """
+    texts = [f.name for f in records.schema.fields if f.dataType.typeName() == "string" and f.name in ("entity_name", "entity_type", "supply_chain_category", "claim_status", "source_url")]
+    records = records.withColumns({c: strip(F.col(c)) for c in texts}) if texts else records
+    if "related_organizations" not in records.columns:
+        return records
+    named = F.transform(F.coalesce(F.col("related_organizations"), F.array().cast(records.schema["related_organizations"].dataType)), lambda o: o.withField("name", strip(as_text(o["name"]))))
+    same = lambda o: casefold(o["name"])
+    other = F.filter(named, lambda o: (o["name"] != "") & (same(o) != casefold(F.coalesce(F.col("entity_name"), F.lit("")))))
+    records = records.withColumn("related_organizations", other)
+    first = F.filter("related_organizations", lambda o, k: ~F.exists(F.slice("related_organizations", F.lit(1), k), lambda p: same(p) == same(o)))
+    return records.withColumn("related_organizations", first)
 
 
 def demote_ungrounded(entities: DataFrame, pages: DataFrame, key: str = "canonical_name", fuzzy: bool = True) -> DataFrame:

@@ -30,12 +30,12 @@ u1 AS (
     lambda x: {{'k': split_part(x, '=', 1), 'v': split_part(x, '=', 2)}}))) AS q FROM u0
 ),
 u AS (
-  SELECT page_id, url, split_part(lower(p.host), ':', 1) AS domain, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title,
+  SELECT page_id, url, split_part(lower(p.host), ':', 1) AS host, array_to_string(string_split(split_part(lower(p.host), ':', 1), '.')[-2:], '.') AS domain, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title,
     (CASE p.scheme WHEN 'http' THEN 'https' ELSE p.scheme END) || '://' || regexp_replace(lower(p.host), ':(443|80)$', '') || rtrim(p.path, '/')
       || CASE WHEN len(q) > 0 THEN '?' || array_to_string(list_transform(q, lambda x: x.k || '=' || x.v), '&') ELSE '' END AS normalized_url
   FROM u1
 )"""
-_PRIORITY = "CASE WHEN contains(domain, 'blog.') THEN 'skip' WHEN contains(domain, '.org') THEN 'high' WHEN contains(domain, 'm.') THEN 'medium' WHEN contains(domain, '.net') THEN 'low' ELSE 'medium' END"
+_PRIORITY = "CASE WHEN contains(host, 'blog.') THEN 'skip' WHEN contains(host, '.org') THEN 'high' WHEN contains(host, 'm.') THEN 'medium' WHEN contains(host, '.net') THEN 'low' ELSE 'medium' END"
 _RANK = "CASE priority WHEN 'high' THEN 0 WHEN 'medium' THEN 1 WHEN 'low' THEN 2 WHEN 'skip' THEN 3 ELSE 1 END"
 _SUMMARY = f"""
 summary AS (
@@ -45,10 +45,10 @@ summary AS (
 )"""
 
 ORACLE["url_normalize"] = f"WITH {_URL} SELECT page_id, normalized_url FROM u"
-ORACLE["url_recompute_changed"] = f"WITH {_URL} SELECT count(*) AS n_rows, count(*) FILTER (normalized_url <> url OR domain <> '') AS n_changed, count(DISTINCT normalized_url) AS n_urls FROM u"
+ORACLE["url_recompute_changed"] = f"WITH {_URL} SELECT count(*) AS n_rows, count(*) FILTER (page_id % 2 = 0 AND normalized_url <> url OR page_id % 3 = 0 AND domain <> '') AS n_changed, count(DISTINCT normalized_url) AS n_urls FROM u"
 ORACLE["url_dedupe_label"] = f"WITH {_URL} SELECT page_id, normalized_url, CASE WHEN row_number() OVER (PARTITION BY normalized_url ORDER BY page_id) = 1 THEN 'new' ELSE 'duplicate' END AS status FROM u"
-ORACLE["url_host_counts"] = f"WITH {_URL} SELECT domain AS value, count(*) AS n FROM u GROUP BY 1"
-ORACLE["domain_registered"] = f"WITH {_URL} SELECT array_to_string(string_split(domain, '.')[-2:], '.') AS domain, count(*)::BIGINT AS n FROM u GROUP BY 1"
+ORACLE["url_host_counts"] = f"WITH {_URL} SELECT host AS value, count(*) AS n FROM u GROUP BY 1"
+ORACLE["domain_registered"] = f"WITH {_URL} SELECT domain, count(*)::BIGINT AS n FROM u GROUP BY 1"
 ORACLE["url_priority"] = f"WITH {_URL} SELECT page_id, domain, priority, {_RANK} AS rank FROM (SELECT *, {_PRIORITY} AS priority FROM u)"
 ORACLE["priority_counts"] = f"WITH {_URL} SELECT {_PRIORITY} AS value, count(*) AS n FROM u GROUP BY 1"
 ORACLE["domain_summary"] = f"WITH {_URL}, {_SUMMARY} SELECT domain, url_count, priority, sample_titles FROM summary"
@@ -74,10 +74,11 @@ ORACLE["describe_lengths"] = f"WITH {_CRAWLED} " + " UNION ALL ".join(
 ORACLE["success_columns"] = f"WITH {_CRAWLED} SELECT doc_id AS _ord, domain, language, char_count FROM c WHERE crawl_status = 'success' AND word_count >= 20"
 
 ORACLE["query_expand"] = f"""WITH {_URL},
-domains AS (SELECT domain, min(page_id) AS seed FROM u GROUP BY 1),
+domains AS (SELECT host AS domain, min(page_id) AS seed FROM u GROUP BY 1),
 companies AS (SELECT p_name AS company, min(p_partkey) AS seed FROM part GROUP BY 1),
 every AS (
   SELECT 0 AS branch, t::BIGINT AS seed, 0 AS t, q AS query, 'general' AS source_type FROM (VALUES {_rows(GENERAL_QUERIES)}) g(t, q)
+  UNION ALL SELECT 1, s_suppkey, 0, s_name, CASE WHEN s_suppkey % 2 = 0 THEN 'general' ELSE 'seed' END FROM supplier WHERE s_suppkey % 7 <> 0
   UNION ALL SELECT 2, seed, t, 'site:' || domain || ' ' || q, 'site' FROM domains, (VALUES {_rows(SITE_TERMS)}) g(t, q) WHERE seed % 2 = 0
   UNION ALL SELECT 3, n_nationkey, t, replace(q, '{{location}}', n_name), 'location' FROM nation, (VALUES {_rows(LOCATION_TEMPLATES)}) g(t, q)
   UNION ALL SELECT 4, seed, t, replace(q, '{{company}}', company), 'company' FROM companies, (VALUES {_rows(COMPANY_TEMPLATES)}) g(t, q)
@@ -181,9 +182,41 @@ ORACLE["page_id_format"] = "SELECT doc_id, printf('page_%06d', doc_id) AS page_i
 ORACLE["text_metrics"] = f"""SELECT doc_id, ({_WORDS})::BIGINT AS words, length(text) AS chars,
   regexp_replace(left(regexp_replace(regexp_replace(lower({_LINE}), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 60), '-+$', '') AS slug FROM documents"""
 ORACLE["name_normalize"] = f"""SELECT p_partkey, regexp_replace(trim(regexp_replace(lower(p_name || CASE p_partkey % 3 WHEN 0 THEN ', Inc.' WHEN 1 THEN ' LLC' ELSE '' END), '[^a-z0-9]+', ' ', 'g')), '( ({"|".join(LEGAL_FORMS)}))+$', '') AS name FROM part"""
+
+
+def _clusters(names: str) -> str:
+    """CTEs scored (a, b, score) and clusters (name, cluster) of a table of name and ord: every two names, by the rows of their subsequence table one after the other."""
+    return f"""n AS (SELECT name, min(ord) AS ord, array_to_string(list_sort(list_filter(string_split(name, ' '), lambda x: x <> '')), ' ') AS s FROM {names} GROUP BY name),
+pairs AS (SELECT a.name AS a, b.name AS b, a.s AS s, b.s AS t FROM n a JOIN n b ON a.name < b.name WHERE a.s <> '' AND b.s <> '' AND 40 * length(a.s) <= 60 * length(b.s) AND 40 * length(b.s) <= 60 * length(a.s)),
+dp(a, b, s, t, i, line) AS (
+  SELECT a, b, s, t, 0, list_transform(range(length(t) + 1), lambda x: 0) FROM pairs
+  UNION ALL SELECT a, b, s, t, i + 1, list_transform(range(1, len(line) + 1), lambda j: list_max(list_transform(range(1, j + 1), lambda k: greatest(line[k], CASE WHEN k > 1 AND t[k - 1] = s[i + 1] THEN line[k - 1] + 1 ELSE 0 END))))
+  FROM dp WHERE i < length(s)
+),
+scored AS (SELECT a, b, 200 * line[-1] / (length(s) + length(t)) AS score FROM dp WHERE i = length(s)),
+links AS (SELECT a AS x, b AS y FROM scored WHERE score >= 90 UNION SELECT b, a FROM scored WHERE score >= 90),
+reach(name, other) AS (SELECT name, name FROM n UNION SELECT r.name, l.y FROM reach r JOIN links l ON r.other = l.x),
+clusters AS (SELECT r.name, arg_min(r.other, n.ord) AS cluster FROM reach r JOIN n ON n.name = r.other GROUP BY r.name)"""
+
+
+_PART_NAMES = f"""p AS (SELECT p_partkey AS ord, regexp_replace(trim(regexp_replace(lower(p_name || CASE WHEN p_partkey % 5 = 0 THEN 's' ELSE '' END), '[^a-z0-9]+', ' ', 'g')), '( ({"|".join(LEGAL_FORMS)}))+$', '') AS name FROM part)"""
+ORACLE["name_cluster"] = f"WITH RECURSIVE {_PART_NAMES}, {_clusters('p')} SELECT name, cluster FROM clusters"
+ORACLE["name_review_pairs"] = f"WITH RECURSIVE {_PART_NAMES}, {_clusters('p')} SELECT a, b, round(score, 6) AS score FROM scored WHERE score >= 80 AND score < 90"
+ORACLE["entity_profiles_clustered"] = f"""WITH RECURSIVE {_RECORDS}, p AS (SELECT entity_name AS name, doc_id AS ord FROM r), {_clusters('p')}
+SELECT cluster AS canonical_name, array_to_string(list_sort(list(DISTINCT entity_name)), ';') AS aliases, arg_min(entity_type, doc_id) AS entity_type,
+  count(DISTINCT {{'u': source_url, 'e': evidence_text}}) AS n_sources, count(DISTINCT fact) AS n_facts FROM r JOIN clusters ON entity_name = name GROUP BY 1"""
 ORACLE["name_aliases"] = "SELECT p_partkey, CASE WHEN p_name IN ('red widget', 'blue widget') THEN 'widget works' ELSE p_name END AS canonical_name FROM part"
 ORACLE["rollup_counts"] = "SELECT p_type AS category, p_brand AS county, count(*) AS entities, sum(p_size % 4)::BIGINT AS facilities, count(DISTINCT p_name) AS sources FROM part GROUP BY ROLLUP (p_type, p_brand)"
-ORACLE["shard_sizes"] = "SELECT doc_id % 16 AS shard, count(*) AS n FROM documents GROUP BY 1"
+ORACLE["shard_sizes"] = "SELECT (('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % 16)::INT AS shard, count(*) AS n FROM documents GROUP BY 1"
+ORACLE["half_sizes"] = "SELECT CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'a' ELSE 'b' END AS half, count(*) AS n FROM documents GROUP BY 1"
+ORACLE["related_organizations"] = """WITH s AS (SELECT s_nationkey, string_agg(s_name, ';' ORDER BY s_name) AS own FROM supplier WHERE s_suppkey % 10 = 0 GROUP BY 1)
+SELECT c_custkey, c_name AS entity_name, 'Acme' || coalesce(';' || own, '') AS organizations FROM customer LEFT JOIN s ON c_nationkey = s_nationkey"""
+ORACLE["dated_records"] = """WITH d AS (SELECT l_orderkey, min(strftime(l_shipdate, '%Y-%m-%d')) AS found FROM lineitem WHERE l_linenumber <= 2 GROUP BY 1)
+SELECT o_orderkey AS page_id, CASE WHEN o_orderkey % 3 = 0 THEN strftime(o_orderdate, '%Y-%m-%d') ELSE coalesce(found, '') END AS publication_date FROM orders LEFT JOIN d ON o_orderkey = l_orderkey"""
+_FACT = f"source_url, {_FOLD.format('trim(entity_name)')}, {_FOLDED('evidence_text')}"
+ORACLE["validation_with_duplicates"] = f"""WITH {_RECORDS}, ok AS (SELECT count(*) AS n, count(DISTINCT ({_FACT})) AS kinds FROM v WHERE len(reasons) = 0), bad AS (SELECT count(*) AS n FROM v WHERE len(reasons) > 0),
+gone AS (SELECT count(*) AS n FROM labels WHERE quality = 0)
+SELECT 2 * bad.n + gone.n + 2 * ok.n - ok.kinds AS failed, 2 * ok.n - ok.kinds AS repeated, gone.n AS generation, ok.kinds AS passed FROM ok, bad, gone"""
 
 _COUNTS = ", ".join(f"len(list_filter(w, lambda x: list_contains([{_quoted(COMMON[k])}], x))) AS {k}" for k in sorted(COMMON))
 ORACLE["language_by_words"] = rf"""WITH d AS (SELECT doc_id, regexp_split_to_array(lower(text), '[^\p{{L}}]+') AS w FROM documents), c AS (SELECT doc_id, {_COUNTS} FROM d)

@@ -36,7 +36,7 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as url candidates, in the order of their ids."""
     title = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
     rows = _read(spark, sf_dir, "pages").select(F.col("page_id").alias("_ord"), "url", title.alias("title"))
-    return rows.select("_ord", "url", U.normalize_url(F.col("url")).alias("normalized_url"), U.get_host(F.col("url")).alias("domain"), "title", F.lit("new").alias("status"))
+    return rows.select("_ord", "url", U.normalize_url(F.col("url")).alias("normalized_url"), U.get_host(F.col("url")).alias("host"), U.get_domain(F.col("url")).alias("domain"), "title", F.lit("new").alias("status"))
 
 
 def _first_line(c: str) -> Column:
@@ -90,8 +90,11 @@ def url_normalize(spark, sf_dir):
 
 @query
 def url_recompute_changed(spark, sf_dir):
-    rows = _read(spark, sf_dir, "pages").select("page_id", "url", F.col("url").alias("normalized_url"), F.lit("").alias("domain"))
-    return candidates.normalized(rows, native_domain=True).agg(F.count("*").alias("n_rows"), F.count_if("changed").alias("n_changed"), F.count_distinct("normalized_url").alias("n_urls"))
+    # Earlier values: every second url is still raw, every third domain still empty.
+    k, url = F.col("page_id"), F.col("url")
+    before = {"normalized_url": F.when(k % 2 == 0, url).otherwise(U.normalize_url(url)), "domain": F.when(k % 3 == 0, "").otherwise(U.get_domain(url))}
+    rows = _read(spark, sf_dir, "pages").select("page_id", "url").withColumns(before)
+    return candidates.normalized(rows).agg(F.count("*").alias("n_rows"), F.count_if("changed").alias("n_changed"), F.count_distinct("normalized_url").alias("n_urls"))
 
 
 @query
@@ -101,7 +104,7 @@ def url_dedupe_label(spark, sf_dir):
 
 @query
 def url_host_counts(spark, sf_dir):
-    return reports.most_common(_pages(spark, sf_dir), "domain", "_ord")
+    return reports.most_common(_pages(spark, sf_dir), "host", "_ord")
 
 
 @query
@@ -180,11 +183,13 @@ def success_columns(spark, sf_dir):
 
 
 def _seeds(spark, sf_dir):
-    none = spark.createDataFrame([], "_ord long, query string, source_type string")
+    supplier = _read(spark, sf_dir, "supplier")
+    kind = F.when(F.col("s_suppkey") % 2 == 0, "").otherwise(F.lit("seed"))
+    seeds = supplier.select(F.col("s_suppkey").alias("_ord"), F.concat(F.lit("  "), F.when(F.col("s_suppkey") % 7 == 0, "").otherwise(F.col("s_name")), F.lit("\n")).alias("query"), kind.alias("source_type"))
     domains = _read(spark, sf_dir, "pages").groupBy(U.get_host(F.col("url")).alias("domain")).agg(F.min("page_id").alias("_ord")).withColumn("use_site_queries", F.when(F.col("_ord") % 2 == 0, " TRUE ").otherwise("no"))
     locations = _read(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("_ord"), F.concat(F.lit(" "), F.col("n_name"), F.lit("\t")).alias("location"))
     companies = _read(spark, sf_dir, "part").groupBy(F.col("p_name").alias("company")).agg(F.min("p_partkey").alias("_ord"))
-    return none, domains, locations, companies
+    return seeds, domains, locations, companies
 
 
 @query
@@ -417,6 +422,46 @@ def entity_profiles(spark, sf_dir):
     return made.select("canonical_name", F.array_join("aliases", ";").alias("aliases"), "entity_type", F.size("sources").cast("long").alias("n_sources"), F.size("key_facts").cast("long").alias("n_facts"))
 
 
+@query
+def entity_profiles_clustered(spark, sf_dir):
+    """Profiles of the clusters of similar names, as the pipeline groups them."""
+    rows = _records(spark, sf_dir)
+    names = rows.select(F.col("entity_name").alias("name"), "_ord", F.lit("").alias("location"))
+    made = entities.profiles(rows, entities.cluster(names)[0])
+    return made.select("canonical_name", F.array_join("aliases", ";").alias("aliases"), "entity_type", F.size("sources").cast("long").alias("n_sources"), F.size("key_facts").cast("long").alias("n_facts"))
+
+
+@query
+def related_organizations(spark, sf_dir):
+    """Organisations named beside an entity, cleaned as before validation: suppliers of a nation beside each customer."""
+    suppliers = _read(spark, sf_dir, "supplier").where("s_suppkey % 10 = 0").groupBy(F.col("s_nationkey").alias("n")).agg(F.array_sort(F.collect_list(F.struct(F.col("s_name").alias("name"), F.lit("supplier").alias("role")))).alias("own"))
+    rows = _read(spark, sf_dir, "customer").join(suppliers, F.col("c_nationkey") == F.col("n"), "left")
+    org = lambda name: F.struct(name.alias("name"), F.lit("partner").alias("role"))
+    noise = F.array(org(F.lit("  ")), org(F.upper("c_name")), org(F.lit("Acme ")), org(F.lit("acme")))
+    rows = rows.select("c_custkey", F.concat(F.col("c_name"), F.lit(" ")).alias("entity_name"), F.concat(noise, F.coalesce("own", F.slice(noise, 1, 0))).alias("related_organizations"))
+    found = validate.normalize_records(rows)
+    return found.select("c_custkey", "entity_name", F.array_join(F.transform("related_organizations", lambda o: o["name"]), ";").alias("organizations"))
+
+
+@query
+def dated_records(spark, sf_dir):
+    """Publication dates from a side table, for records without one of their own."""
+    orders = _read(spark, sf_dir, "orders")
+    own = F.when(F.col("o_orderkey") % 3 == 0, F.date_format("o_orderdate", "yyyy-MM-dd")).otherwise("")
+    dates = _read(spark, sf_dir, "lineitem").where("l_linenumber <= 2").select(F.col("l_orderkey").alias("page_id"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("publication_date"))
+    return entities.with_dates(orders.select(F.col("o_orderkey").alias("page_id"), own.alias("publication_date")), dates)
+
+
+@query
+def validation_with_duplicates(spark, sf_dir):
+    """Failures of generation, of validation and repeats of passed facts together, by stage and reason."""
+    earlier = _read(spark, sf_dir, "labels").select(X.page_id(F.col("doc_id")).alias("page_id"), F.when(F.col("quality") == 0, "generation").otherwise("validation").alias("failure_stage"), F.lit("failed").alias("validation_status"))
+    rows = _records(spark, sf_dir).unionByName(_records(spark, sf_dir).withColumn("_ord", F.col("_ord") + 10**9))
+    passed, failed = validate.split(validate.validate(rows, _page_texts(spark, sf_dir), fuzzy=False), earlier, order="_ord")
+    repeated = F.count_if(F.array_contains("rejection_reasons", "duplicate_record"))
+    return failed.agg(F.count("*").alias("failed"), repeated.alias("repeated"), F.count_if(F.col("failure_stage") == "generation").alias("generation")).crossJoin(passed.agg(F.count("*").alias("passed")))
+
+
 @query
 def rollup_counts(spark, sf_dir):
     rows = _read(spark, sf_dir, "part").select(F.col("p_type").alias("category"), F.col("p_brand").alias("county"), (F.col("p_size") % 4).alias("facilities"), F.col("p_name").alias("source_url"))
@@ -433,8 +478,14 @@ def markdown_round_trip(spark, sf_dir):
 
 @query
 def shard_sizes(spark, sf_dir):
-    rows = _read(spark, sf_dir, "documents").select(F.col("doc_id").alias("k"))
-    return rows.groupBy((F.col("k") % 16).alias("shard")).agg(F.count("*").alias("n"))
+    return _read(spark, sf_dir, "documents").groupBy(tables.shard_of("doc_id", 16).alias("shard")).agg(F.count("*").alias("n"))
+
+
+@query
+def half_sizes(spark, sf_dir):
+    listed = _read(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"))
+    first, second = tables.halves(_read(spark, sf_dir, "documents").select(F.col("doc_id").alias("page_id")), listed, "page_id")
+    return first.select(F.lit("a").alias("half")).unionByName(second.select(F.lit("b").alias("half"))).groupBy("half").agg(F.count("*").alias("n"))
 
 
 @query

@@ -1,10 +1,10 @@
-"""Search providers as a Python data source: queries in, ranked results out."""
+"""Search providers: queries in, ranked results out, asked in the tasks that hold the queries."""
 
 from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,26 +43,69 @@ def mock(fixture: list[dict]) -> Provider:
     return Provider("mock", snippet_field="snippet", fetch=lambda _query, _most: fixture)
 
 
-def http(name: str, url: str, **fields) -> Provider:
-    """A provider behind a JSON endpoint; the query is quoted into the url. Three tries, waiting longer each time."""
+@dataclass(frozen=True)
+class Endpoint:
+    """Where and how an engine is asked over HTTP; ``{query}``, ``{n}`` and ``{page}`` in the url are filled in, quoted.
+
+    With a body the request is a POST of that mapping as JSON, with the query under ``query_key`` and the number of results under ``number_key``. ``delay`` seconds pass
+    before every request but a task's first, so that an engine isn't overrun.
+    """
+
+    url: str
+    headers: dict[str, str] = field(default_factory=dict)
+    body: dict | None = None
+    query_key: str = "query"
+    number_key: str = "max_results"
+    page: int = 1
+    delay: float = 0.0
+    timeout: float = 30.0
+    tries: int = 3
+
+    def request(self, query: str, most: int):
+        import urllib.parse
+        import urllib.request
+
+        url = self.url.format(query=urllib.parse.quote_plus(query), n=most, page=self.page)
+        if self.body is None:
+            return urllib.request.Request(url, headers=self.headers)
+        body = json.dumps({**self.body, self.query_key: query, self.number_key: most}, ensure_ascii=False).encode()
+        return urllib.request.Request(url, data=body, headers={"Content-Type": "application/json", **self.headers}, method="POST")
+
+
+def found_items(payload: dict | list) -> list[dict]:
+    """The results in a JSON answer: under ``results`` or ``data``, there as a list or under ``web``, or the answer itself."""
+    found = payload
+    for key in ("results", "data", "web"):
+        if isinstance(found, dict) and found.get(key):
+            found = found[key]
+    return [item for item in found if isinstance(item, dict)] if isinstance(found, list) else []
+
+
+def http(name: str, endpoint: Endpoint | str, opener=None, **fields) -> Provider:
+    """A provider behind a JSON endpoint. A refusal ends the search; otherwise there are some tries, waiting longer each time, at most ten seconds."""
+    endpoint = Endpoint(endpoint) if isinstance(endpoint, str) else endpoint
+    asked = []
 
     def fetch(query: str, most: int) -> list[dict]:
         import time
         import urllib.error
-        import urllib.parse
         import urllib.request
 
-        for k in range(3):
+        send = opener or (lambda request: urllib.request.urlopen(request, timeout=endpoint.timeout))
+        if asked and endpoint.delay:
+            time.sleep(endpoint.delay)
+        asked.append(1)
+        for k in range(endpoint.tries):
+            if k:
+                time.sleep(min(10, 2 ** (k - 1)))
             try:
-                with urllib.request.urlopen(url.format(query=urllib.parse.quote_plus(query), n=most), timeout=30) as r:
-                    found = json.load(r)
-                return found.get("results") or found.get("data") or []
+                with send(endpoint.request(query, most)) as answer:
+                    return found_items(json.load(answer))
             except urllib.error.HTTPError as e:
-                if e.code == 403:
-                    raise ProviderError(f"{name} refuses: is its JSON format enabled?") from e
+                if e.code in (401, 403):
+                    raise ProviderError(f"{name} refuses: is its key right, and its JSON format enabled?") from e
             except OSError:
                 pass
-            time.sleep(min(10, 2**k))
         raise ProviderError(f"{name} doesn't answer")
 
     return Provider(name, fetch=fetch, **fields)
@@ -78,11 +121,26 @@ FIELDS = {
 }
 
 
+def endpoint_for(name: str, own: dict) -> Endpoint:
+    """How each engine is asked, from its settings: url, key, page, delay. Two of them need a key, and get the query by POST."""
+    more = {k: own[k] for k in ("page", "delay", "timeout") if k in own}
+    if name == "searxng":
+        return Endpoint(own["url"].rstrip("/") + "/search?q={query}&format=json&pageno={page}", **more)
+    if name in ("tavily", "firecrawl"):
+        if not own.get("key"):
+            raise ProviderError(f"{name} needs a key")
+        url = own.get("url") or {"tavily": "https://api.tavily.com/search", "firecrawl": "https://api.firecrawl.dev/v1/search"}[name]
+        return Endpoint(url, {"Authorization": f"Bearer {own['key']}"}, {}, number_key="max_results" if name == "tavily" else "limit", **more)
+    if not own.get("url"):
+        raise ProviderError(f"{name} needs the url of a JSON endpoint")
+    return Endpoint(own["url"], **more)
+
+
 def enabled(settings: dict[str, dict], mock_fixture: list[dict] | None = None) -> list[Provider]:
     """The providers that are on, in order; a mock fixture stands in for all of them."""
     if mock_fixture is not None:
         return [mock(mock_fixture)]
-    found = [http(name, settings[name]["url"], **fields) for name, fields in FIELDS.items() if name != "mock" and settings.get(name, {}).get("enabled") and settings[name].get("url")]
+    found = [http(name, endpoint_for(name, settings[name]), **fields) for name, fields in FIELDS.items() if name != "mock" and settings.get(name, {}).get("enabled")]
     if not found:
         raise ProviderError("no search provider is enabled")
     return found

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,6 +46,59 @@ def write_csv(rows: DataFrame, path: str, columns: list[str], mode: str = "overw
     projected(rows, columns).write.mode(mode).csv(path, header=True, escape='"', emptyValue="")
 
 
+def _swap_in(rows: DataFrame, path: str, write) -> None:
+    """Writes one part beside the target and renames it over the target, so that a reader sees the old file or the new one whole."""
+    spark = rows.sparkSession
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    target = hadoop.Path(path)
+    beside = hadoop.Path(target.getParent(), f".{target.getName()}-{uuid.uuid4().hex}")
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        write(rows.coalesce(1), beside.toString())
+        (part,) = [s.getPath() for s in system.globStatus(hadoop.Path(beside, "part-*"))]
+        system.delete(target, True)
+        if not system.rename(part, target):
+            raise OSError(f"can't rename to {path}")
+    finally:
+        system.delete(beside, True)
+
+
+def write_csv_file(rows: DataFrame, path: str, columns: list[str], order: str | None = None) -> None:
+    """One CSV file with a header and CRLF line ends, put in place at once: for tables that people open. All rows pass one task, so big tables go to ``write_csv``."""
+    rows = rows.orderBy(order) if order else rows
+    one = projected(rows, columns)
+    empty = one.isEmpty()
+
+    def write(part: DataFrame, folder: str) -> None:
+        # Spark's own writer ends lines with one character; a text table takes any separator.
+        cell = lambda c: F.when(F.col(c).rlike('[",\\r\\n]'), F.concat(F.lit('"'), F.replace(F.col(c), F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(F.col(c))
+        header = part.sparkSession.createDataFrame([(",".join(columns),)], "value string").coalesce(1)
+        lines = header if empty else header.unionByName(part.select(F.concat_ws(",", *[cell(c) for c in columns]).alias("value")))
+        lines.coalesce(1).write.option("lineSep", "\r\n").text(folder)
+
+    _swap_in(one, path, write)
+
+
+def write_jsonl_file(rows: DataFrame, path: str, order: str | None = None) -> None:
+    """One JSON lines file, put in place at once; nulls are kept, and text as it is."""
+    _swap_in(rows.orderBy(order) if order else rows, path, lambda part, folder: part.write.option("ignoreNullFields", "false").json(folder))
+
+
+def read_csv_typed(spark: SparkSession, path: str) -> DataFrame:
+    """With inferred types and null for empty cells, for looking at results; pipelines read text."""
+    return spark.read.csv(path, header=True, multiLine=True, escape='"', inferSchema=True)
+
+
+def read_jsonl_typed(spark: SparkSession, path: str) -> DataFrame:
+    """With the schema that the rows show."""
+    return spark.read.option("mode", "FAILFAST").json(path)
+
+
+def head(rows: DataFrame, n: int = 5, order: str = "_ord") -> DataFrame:
+    """The first rows by order."""
+    return rows.orderBy(order).limit(n)
+
+
 def append_csv(rows: DataFrame, path: str, columns: list[str]) -> None:
     """No rows, no files."""
     if not rows.isEmpty():
@@ -113,5 +167,11 @@ def union_shards(shards: list[DataFrame]) -> DataFrame:
 
 
 def shard_of(key, n: int):
-    """The worker, from 0, that a key belongs to."""
-    return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+    """The worker, from 0, that a key belongs to: by the first 32 bits of the md5 of its text."""
+    return (F.conv(F.substring(F.md5((F.col(key) if isinstance(key, str) else key).cast("string")), 1, 8), 16, 10).cast("long") % n).cast("int")
+
+
+def halves(pages: DataFrame, listed: DataFrame, key: str = "page_id") -> tuple[DataFrame, DataFrame]:
+    """Pages on a list and the others: two runs with outputs of their own."""
+    ids = listed.select(key).distinct()
+    return pages.join(ids, key, "left_semi"), pages.join(ids, key, "left_anti")

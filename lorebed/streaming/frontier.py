@@ -20,8 +20,21 @@ def latest(spark: SparkSession, folder: str, before: int | None = None) -> DataF
     return spark.read.parquet(max(done, key=lambda p: int(p.rsplit("=", 1)[1]))) if done else None
 
 
+def forget(spark: SparkSession, folder: str, before: int) -> None:
+    """Deletes the versions with smaller numbers."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    system = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in system.listStatus(root):
+        name = status.getPath().getName()
+        if name.startswith("version=") and int(name.removeprefix("version=")) < before:
+            system.delete(status.getPath(), True)
+
+
 def run_until_done(spark: SparkSession, source: str, schema, folder: str, checkpoint: str, order: str = "_ord", files_per_batch: int = 100) -> DataFrame | None:
-    """Merges all candidate files that are new since the last run; a rerun of a batch writes the same version again."""
+    """Merges all candidate files that are new since the last run; a rerun of a batch writes the same version again.
+
+    A batch reads the version before its own, so that one and its own are kept, and older ones deleted.
+    """
 
     def merge(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
@@ -29,6 +42,7 @@ def run_until_done(spark: SparkSession, source: str, schema, folder: str, checkp
         old = latest(session, folder, number)
         merged = frontier.upsert(old, rows).drop("inserted") if old is not None else frontier.upsert(rows.drop("_ord").limit(0), rows).drop("inserted")
         merged.select(*FRONTIER_COLUMNS).write.mode("overwrite").parquet(f"{folder}/version={number}")
+        forget(session, folder, number - 1)
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
     stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

@@ -68,6 +68,11 @@ COMPANY_TEMPLATES = ['"{company}" "Georgia" "electric vehicle"', '"{company}" "G
 FOLLOWUP_COMPANY_TEMPLATES = ['"{company}" "Georgia"', '"{company}" "Georgia" "EV"', '"{company}" "Georgia" "battery"', '"{company}" "supplier" "Georgia"', '"{company}" "jobs" "Georgia"']
 FOLLOWUP_LOCATION_TEMPLATES = ['"{location}" "Georgia" "EV" "supplier"', '"{location}" "battery" "manufacturing"']
 
+# Sentences of fine-tuning examples.
+WHAT_QUESTION = "What does {name} do in Georgia's EV supply chain?"
+WHERE_QUESTION = "Where does {name} operate in Georgia?"
+WHERE_ANSWER = "{name} operates in {places} based on the sources."
+
 # Known aliases of canonical names.
 ENTITY_ALIASES = {"Hyundai Motor Group Metaplant America": ["HMGMA", "Hyundai Metaplant", "Hyundai Motor Group Metaplant"], "SK Battery America": ["SK On", "SKBA"]}
 

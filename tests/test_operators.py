@@ -46,6 +46,177 @@ def test_blocking_loses_no_pair(spark):
     assert got == {(a, b) for a, b in itertools.combinations(names, 2) if fuzzy.token_sort_ratio(a, b) >= 80}
 
 
+def test_few_pairs_of_names_are_compared(spark):
+    """Invented names of common syllables: all close pairs, and hardly any others, reach the exact comparison."""
+    rng = random.Random(7)
+    part = lambda: "".join(rng.choice(["ba", "ken", "tor", "li", "san", "mo", "ri", "del", "ka", "vin"]) for _ in range(rng.randint(2, 4)))
+    names = sorted({f"{part()} {part()}" for _ in range(560)})
+    names = sorted({*names, *(n[:3] + rng.choice("xyz") + n[4:] for n in names[:40])})
+    rows = spark.createDataFrame([(n,) for n in names], "name string")
+    compared = entities.candidate_pairs(rows, 80).collect()
+    want = {(a, b) for a, b in itertools.combinations(names, 2) if fuzzy.token_sort_ratio(a, b) >= 80}
+    assert want <= {(r.a, r.b) for r in compared} and len(want) > 30
+    assert len(compared) < 0.05 * len(names) * (len(names) - 1) / 2
+
+
+@pytest.mark.parametrize("least", [55, 70, 95])
+def test_name_pairs_at_any_threshold(spark, least):
+    rng = random.Random(least)
+    names = sorted({"".join(rng.choice("abcd ") for _ in range(rng.randint(1, 14))).strip() or "a" for _ in range(70)})
+    got = {(r.a, r.b) for r in entities.similar_pairs(spark.createDataFrame([(n,) for n in names], "name string"), least).collect()}
+    assert got == {(a, b) for a, b in itertools.combinations(names, 2) if fuzzy.token_sort_ratio(a, b) >= least}
+
+
+def test_profiles_have_places_and_overview(spark):
+    schema = "_ord long, entity_name string, entity_type string, supply_chain_category string, key_facts array<string>, source_url string, evidence_text string, confidence_score double, publication_date string, locations array<string>, overview string"
+    rows = [(0, "A", "company", "logistics", ["f"], "u", "e", 0.5, "2024-01", ["X"], "short"), (1, "a", "event", "logistics", ["g"], "u", "e", 0.7, "", ["Y", "X"], "longer text"), (2, "b", "event", "x", None, "u", "e", None, None, None, None)]
+    of = spark.createDataFrame([("A", "A"), ("a", "A"), ("b", "b")], "name string, cluster string")
+    got = {r.canonical_name: r for r in entities.profiles(spark.createDataFrame(rows, schema), of).collect()}
+    assert (got["A"].locations, got["A"].overview, got["A"].entity_type, got["A"].publication_date_range) == (["X", "Y"], "longer text", "company", "2024-01")
+    assert (got["b"].locations, got["b"].overview) == ([], "")
+
+
+def test_dates_from_a_side_table(spark):
+    rows = spark.createDataFrame([("p1", ""), ("p2", "2024"), ("p3", None)], "page_id string, publication_date string")
+    dates = spark.createDataFrame([("p1", "2023-05-01"), ("p1", ""), ("p2", "1999-01-01")], "page_id string, publication_date string")
+    assert {tuple(r) for r in entities.with_dates(rows, dates).collect()} == {("p1", "2023-05-01"), ("p2", "2024"), ("p3", "")}
+    assert {tuple(r) for r in entities.with_dates(rows.select("page_id"), dates).collect()} == {("p1", "2023-05-01"), ("p2", "1999-01-01"), ("p3", "")}
+
+
+def test_records_are_cleaned_before_validation(spark):
+    orgs = [(" Beta ", "x"), ("", "y"), (None, "z"), ("acme", "self"), ("BETA", "again"), ("Gamma", None)]
+    rows = spark.createDataFrame([(" Acme ", orgs), ("Solo", None)], "entity_name string, related_organizations array<struct<name string, role string>>")
+    got = {r.entity_name: [(o.name, o.role) for o in r.related_organizations] for r in validate.normalize_records(rows).collect()}
+    assert got == {"Acme": [("Beta", "x"), ("Gamma", None)], "Solo": []}
+
+
+def test_failures_of_all_kinds(spark):
+    rows = [(0, "p", "u", "A", "e", [], "passed"), (1, "p", "u", "a", "e", [], "passed"), (2, "p", "u", "b", "x", ["r"], "failed")]
+    done = spark.createDataFrame(rows, "_ord long, page_id string, source_url string, entity_name string, evidence_text string, rejection_reasons array<string>, validation_status string")
+    earlier = spark.createDataFrame([("q", "generation"), ("r", "validation")], "page_id string, failure_stage string")
+    passed, failed = validate.split(done, earlier, order="_ord")
+    assert [r._ord for r in passed.collect()] == [0]
+    assert sorted((r.page_id, r._ord, r.rejection_reasons) for r in failed.collect() if r._ord is not None) == [("p", 1, ["duplicate_record"]), ("p", 2, ["r"])]
+    assert [r.page_id for r in failed.collect() if r._ord is None] == ["q"]
+
+
+def test_requeue_counts_unknown_retries(spark):
+    rows = spark.createDataFrame([("failed", None), ("failed", 3), ("failed", 1), ("queued", None)], "status string, retry_count int")
+    assert [(r.status, r.retry_count) for r in frontier.requeue_failed(rows).collect()] == [("queued", 1), ("failed", 3), ("queued", 2), ("queued", 0)]
+    pages = spark.createDataFrame([("text/html; charset=utf-8",), ("application/pdf",), (None,), (" TEXT/HTML ",)], "content_type string")
+    assert frontier.allowed_content(pages).count() == 2
+
+
+def test_json_cells(spark):
+    row = spark.createDataFrame([(0, 5, "", 'a"b', False, [], ["x", None], 0.0)], "a int, b int, c string, d string, e boolean, f array<string>, g array<string>, h double")
+    cells = row.select(*[export.json_cell(F.col(c), row.schema[c].dataType).alias(c) for c in row.columns]).first()
+    assert list(cells) == ["[]", "5", "[]", '"a\\"b"', "[]", "[]", '["x",null]', "[]"]
+
+
+def test_limits_of_exports(spark):
+    rows = [(k, f"E{k}", [("u1", "t", "d", "e"), ("u2", "t", "d", "e")], "o", ["X"], "", "fresh") for k in range(3)]
+    found = spark.createDataFrame(rows, "_ord long, canonical_name string, sources array<struct<source_url string, source_title string, source_domain string, evidence_text string>>, overview string, locations array<string>, publication_date_range string, currency string").withColumn("claim_status", F.lit(""))
+    assert export.final_wiki(found, 2).count() == 2 and export.final_wiki(found, 0).count() == 3
+    assert export.finetuning(found, 1).count() == 2 and export.sources(found, 3).count() == 3
+
+
+def test_listing_from_a_to_z(spark):
+    rows = spark.createDataFrame([("beta", "x. y", ""), ("Alpha", "", "Z County"), ("alpha", "", "")], "canonical_name string, overview string, county string").withColumn("category", F.lit("c"))
+    assert [r.canonical_name for r in export.wiki_lines(rows).collect()] == ["Alpha", "alpha", "beta"]
+
+
+def test_single_files(spark, tmp_path):
+    rows = spark.createDataFrame([(1, 'x,"y"', None), (0, "line\nbreak", "ü")], "_ord int, a string, b string")
+    path = str(tmp_path / "t.csv")
+    for _ in range(2):
+        tables.write_csv_file(rows, path, ["a", "b"], "_ord")
+        assert (tmp_path / "t.csv").read_bytes().decode() == 'a,b\r\n"line\nbreak",ü\r\n"x,""y""",\r\n'
+    tables.write_csv_file(rows.limit(0), str(tmp_path / "e.csv"), ["a", "b"])
+    assert (tmp_path / "e.csv").read_bytes() == b"a,b\r\n"
+    tables.write_jsonl_file(rows, str(tmp_path / "t.jsonl"), "_ord")
+    assert (tmp_path / "t.jsonl").read_text(encoding="utf-8").splitlines() == ['{"_ord":0,"a":"line\\nbreak","b":"ü"}', '{"_ord":1,"a":"x,\\"y\\"","b":null}']
+    assert sorted(p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")) == ["e.csv", "t.csv", "t.jsonl"]
+    back = tables.read_jsonl_typed(spark, str(tmp_path / "t.jsonl"))
+    assert dict(back.dtypes)["_ord"] == "bigint" and back.count() == 2
+    (tmp_path / "n.csv").write_text("n,s\n1,x\n2,\n")
+    typed = tables.read_csv_typed(spark, str(tmp_path / "n.csv"))
+    assert dict(typed.dtypes) == {"n": "int", "s": "string"} and typed.where("s IS NULL").count() == 1
+    assert [r._ord for r in tables.head(rows, 1).collect()] == [0]
+
+
+def test_halves_and_shards(spark):
+    rows = spark.range(50).selectExpr("CAST(id AS STRING) AS page_id")
+    a, b = tables.halves(rows, rows.where("page_id < 20"))
+    assert (a.count(), b.count()) == (20, 30)
+    shards = [r.s for r in rows.select(tables.shard_of("page_id", 4).alias("s")).collect()]
+    assert set(shards) == {0, 1, 2, 3} and shards[7] == int(__import__("hashlib").md5(b"7").hexdigest()[:8], 16) % 4
+
+
+def test_search_by_post_and_key():
+    import io
+    import json
+
+    sent = []
+
+    def opener(request):
+        sent.append((request.get_method(), request.full_url, dict(request.headers), request.data))
+        return io.BytesIO(json.dumps({"data": {"web": [{"title": "T", "url": "", "description": "no url"}, {"title": "T", "url": "http://x", "description": "d"}]}}).encode())
+
+    found = search.http("firecrawl", search.endpoint_for("firecrawl", {"key": "k1"}), opener, **search.FIELDS["firecrawl"])
+    assert list(found.results("a b", 5)) == [("T", "http://x", "d", 2, "firecrawl", "a b")]
+    method, _, headers, body = sent[0]
+    assert method == "POST" and headers["Authorization"] == "Bearer k1" and json.loads(body) == {"query": "a b", "limit": 5}
+    request = search.endpoint_for("searxng", {"url": "http://s/", "page": 3}).request("ä b", 5)
+    assert request.get_method() == "GET" and request.full_url == "http://s/search?q=%C3%A4+b&format=json&pageno=3"
+    assert [p.name for p in search.enabled({"tavily": {"enabled": True, "key": "k"}, "searxng": {"enabled": True, "url": "http://s"}, "ddgs": {"enabled": False}})] == ["searxng", "tavily"]
+    with pytest.raises(search.ProviderError):
+        search.enabled({"tavily": {"enabled": True}})
+    assert search.found_items({"error": "x"}) == [] and search.found_items([{"a": 1}, 2]) == [{"a": 1}]
+
+
+def test_config_folder(monkeypatch, tmp_path):
+    files = {name: {} for name in settings.CONFIG_FILES} | {"search_config": {"max_results_per_query": 4, "providers": {"ddgs": {"url": "u"}}}, "crawler_config": {"max_urls_to_crawl": 7}}
+    read = lambda path: files[path.rsplit("/", 1)[1].removesuffix(".yaml")]
+    for name in ("TAVILY_API_KEY", "SEARXNG_URL", "DDGS_ENABLED", "MAX_RESULTS_PER_QUERY", "MAX_URLS_TO_CRAWL", "MAX_DISCOVERY_ITERATIONS"):
+        monkeypatch.delenv(name, raising=False)
+    s = settings.load_dir("c", read)
+    assert (s.max_results_per_query, s.max_urls_to_crawl, s.providers) == (4, 7, {"ddgs": {"url": "u"}})
+    monkeypatch.setenv("TAVILY_API_KEY", "t")
+    monkeypatch.setenv("MAX_RESULTS_PER_QUERY", "9")
+    monkeypatch.setenv("MAX_DISCOVERY_ITERATIONS", "2")
+    monkeypatch.setenv("DDGS_ENABLED", "yes")
+    s = settings.load_dir("c", read)
+    assert (s.max_results_per_query, s.max_iterations, s.providers["tavily"]["key"], s.providers["ddgs"]) == (9, 2, "t", {"url": "u", "enabled": True})
+    with pytest.raises(FileNotFoundError):
+        settings.load_dir(str(tmp_path))
+    assert len(settings.ensure_folders(str(tmp_path))) == 7 and (tmp_path / "crawled/html").is_dir()
+
+
+def test_stage_commands(spark, tmp_path):
+    from lorebed import stages
+
+    (tmp_path / "in.csv").write_text("url,normalized_url,domain,title,status\nhttp://A.com/x/,,,T,new\nhttps://a.com/x,,,U,new\n")
+    run = lambda name, source, out, *more: stages.main([name, "--in", str(tmp_path / source), "--out", str(tmp_path / out), *more])
+    assert run("normalize-urls", "in.csv", "dry", "--dry-run") == 0 and not (tmp_path / "dry").exists()
+    assert run("normalize-urls", "in.csv", "a") == 0 and run("deduplicate-urls", "a", "b") == 0
+    got = tables.read_csv(spark, str(tmp_path / "b"), ["normalized_url", "domain", "status"]).collect()
+    assert sorted((r.normalized_url, r.domain, r.status) for r in got) == [("https://a.com/x", "a.com", "duplicate"), ("https://a.com/x", "a.com", "new")]
+    with pytest.raises(SystemExit):
+        run("merge-queries", "in.csv", "c", "--iteration", "9")
+    with pytest.raises(SystemExit):
+        run("followup-queries", "none.csv", "c")
+
+
+def test_components_without_a_shared_folder(monkeypatch, spark):
+    chain = spark.createDataFrame([(f"n{i:02}", f"n{i + 1:02}") for i in range(40)] + [("x", "y"), ("z", "z")], "a string, b string")
+    assert {r.root for r in graph.connected(chain).collect()} == {"n00", "x"} and graph.connected(chain.limit(0)).count() == 0
+
+
+def test_first_rows_with_null_keys(spark):
+    rows = spark.createDataFrame([(2, None, "a"), (1, None, "b"), (3, "k", "c"), (4, "k", "d")], "_ord int, k string, v string")
+    assert sorted((r._ord, r.k, r.v) for r in dedupe.first_of(rows, ["k"], "_ord").collect()) == [(1, None, "b"), (3, "k", "c")]
+
+
 def test_facts(spark):
     rows = [(0, "https://x.com/1", "Acme", "Acme built a plant.", None), (1, "https://x.com/1", "acme", "Acme  built a plant.", ["old"]), (2, "https://x.com/2", "Acme", "Acme built a plant.", None)]
     df = spark.createDataFrame(rows, "_ord long, source_url string, entity_name string, evidence_text string, rejection_reasons array<string>").withColumn("validation_status", F.lit(""))
