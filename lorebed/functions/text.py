@@ -17,13 +17,14 @@ def strip(c: Column) -> Column:
 
 
 def collapse(c: Column) -> Column:
-    """Runs of white space become one space."""
-    return F.regexp_replace(c, f"{SPACE}+", " ")
+    """Runs of white space become one space; a single space, which most are, isn't touched."""
+    return F.regexp_replace(c, f" *{SPACE.replace('- ', '-\\x1f')}{SPACE}*| {{2,}}", " ")
 
 
 def casefold(c: Column) -> Column:
     """str.casefold() for Latin and Greek letters, natively; casefold_exact covers all of Unicode."""
-    out = F.translate(F.lower(c), "µſς", "μsσ")
+    low = F.lower(c)
+    out = F.when(low.rlike("[µſς]"), F.translate(low, "µſς", "μsσ")).otherwise(low)
     for a, b in (("ß", "ss"), ("ŉ", "ʼn"), ("ǰ", "ǰ")):
         out = F.replace(out, F.lit(a), F.lit(b))
     return out
