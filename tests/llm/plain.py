@@ -101,7 +101,7 @@ def languages(train: list[tuple], texts: list[str | None], bucket, alpha: float
     """(language, score) of each text, by multinomial naive Bayes over hashed trigrams of letters; ``bucket`` gives a trigram's number."""
 
     def grams(text: str) -> list[int]:
-        low = "".join(c.lower() if len(c.lower()) == 1 else c for c in re.sub("[^a-zäöüßéèàñ]+", " ", text, flags=re.I))
+        low = re.sub(" +", " ", "".join((c.lower() if len(c.lower()) == 1 else c) if c.isalpha() else " " for c in text))
         return [bucket(low[i : i + 3]) for i in range(len(low) - 2)]
 
     counts: dict[str, Counter] = {}
@@ -112,7 +112,7 @@ def languages(train: list[tuple], texts: list[str | None], bucket, alpha: float
             docs[lang] += 1
     out = []
     for text in texts:
-        if not re.search("[a-zäöüßéèàñ]", text or "", re.I):
+        if not any(c.isalpha() for c in text or ""):
             out.append(("und", 0.0))
             continue
         found = grams(text)

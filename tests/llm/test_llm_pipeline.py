@@ -2,15 +2,17 @@ from __future__ import annotations
 
 import subprocess
 import sys
+import zlib
+from functools import cache
 from pathlib import Path
 
+import numpy as np
 import plain
 import pytest
 from compare import SMALL
-from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lorebed.llm import langid, linededup, pieces
+from lorebed.llm import langid, pieces, queries
 from lorebed.llm.queries import PIECES_FILE
 
 ROOT = Path(__file__).resolve().parents[2]
@@ -33,17 +35,37 @@ def test_columns(stages):
         assert after.columns == before.columns and after.dtypes == before.dtypes
 
 
+@cache
+def bucket(gram: str) -> int:
+    data = np.frombuffer(gram.encode(), np.uint8)
+    return int(langid.char_grams(data, np.array([0, len(data)]), 3, 16)[0][0])
+
+
 def test_language_stage(spark, stages):
+    """Against naive Bayes in plain Python, learnt from the documents of the same folds."""
     _, before, after = stages[0]
-    model = langid.fit(before.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0))
-    want = {r.doc_id for r in langid.predict(before, model).collect() if r.lang_pred != "und" and r.score >= 0.5}
-    assert {r.doc_id for r in after.collect()} == want
+    rows = sorted((r.doc_id, r.text, r.lang) for r in before.collect())
+    train = [(t, lang) for k, t, lang in rows if zlib.crc32(str(k).encode()) % 5]
+    found = plain.languages(train, [t for _, t, _ in rows], bucket)
+    unsure = {k for (k, _, _), (_, score) in zip(rows, found) if abs(score - 0.5) < 1e-9}
+    want = {k for (k, _, _), (lang, score) in zip(rows, found) if lang != "und" and score >= 0.5}
+    assert {r.doc_id for r in after.collect()} - unsure == want - unsure
+
+
+def test_language_query_against_plain(spark, stages):
+    rows = sorted((r.doc_id, r.text, r.lang) for r in stages[0][1].collect())
+    want = plain.languages([(t, lang) for k, t, lang in rows if zlib.crc32(str(k).encode()) % 5], [t for _, t, _ in rows], bucket)
+    got = {r.doc_id: r for r in queries.op5_language_id(spark, SMALL).collect()}
+    for (k, _, _), (lang, score) in zip(rows, want):
+        assert (got[k].lang_pred, got[k].held_out) == (lang, zlib.crc32(str(k).encode()) % 5 == 0) and got[k].score == pytest.approx(score)
 
 
 def test_line_stage(stages):
     _, before, after = stages[1]
-    want = {r.doc_id: r.text for r in linededup.dedup_lines(before).collect() if not r.n_dropped or r.text.strip()}
-    assert {r.doc_id: r.text for r in after.collect()} == want
+    rows = sorted((r.doc_id, r.text) for r in before.collect())
+    gone = plain.without_lines(rows)
+    left = {k: "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone[k]) for k, t in rows}
+    assert {r.doc_id: r.text for r in after.collect()} == {k: t for k, t in left.items() if not gone[k] or t.strip()}
     assert all(r.n_chars == len(r.text) for r in after.collect())
 
 
