@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lorebed.llm import chosenpath, decontam, langid, linededup, pieces
-from lorebed.llm.job import set_apart, stored
+from lorebed.llm.job import discard, set_apart, stored
 from lorebed.llm.queries import PIECES_FILE, table
 
 #: A document stays if its language is this clear.
@@ -62,5 +62,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir))
+        kept = stored(stage(spark, docs, sf_dir))
+        discard(docs)  # of the stage before; the given table stays
+        docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)
