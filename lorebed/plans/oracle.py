@@ -145,11 +145,11 @@ ORACLE["grounding_exact"] = f"WITH {_RECORDS} SELECT page_id, is_grounded FROM g
 ORACLE["fact_dedupe"] = f"""WITH {_RECORDS}
 SELECT page_id, CASE WHEN k > 1 THEN 'failed' ELSE '' END AS validation_status, CASE WHEN k > 1 THEN 'duplicate_record' ELSE '' END AS reasons
 FROM (SELECT page_id, row_number() OVER (PARTITION BY source_url, {_FOLD.format("trim(entity_name)")}, {_FOLDED("evidence_text")} ORDER BY doc_id) AS k FROM r)"""
-ORACLE["record_validate_reasons"] = f"WITH {_RECORDS} SELECT page_id, CASE WHEN len(reasons) = 0 THEN 'passed' ELSE 'failed' END AS validation_status, array_to_string(reasons, ';') AS reasons, round(least(score, 0.95), 6) AS confidence FROM v"
-ORACLE["reasons_explode_counts"] = f"WITH {_RECORDS} SELECT value, count(*) AS n FROM (SELECT unnest(reasons) AS value FROM v) GROUP BY 1"
-ORACLE["validation_totals"] = f"WITH {_RECORDS} SELECT count(*) FILTER (len(reasons) = 0) AS passed, count(*) FILTER (len(reasons) > 0) AS failed, count(*) AS records FROM v"
+ORACLE["record_validate_reasons_exact"] = f"WITH {_RECORDS} SELECT page_id, CASE WHEN len(reasons) = 0 THEN 'passed' ELSE 'failed' END AS validation_status, array_to_string(reasons, ';') AS reasons, round(least(score, 0.95), 6) AS confidence FROM v"
+ORACLE["reasons_explode_counts_exact"] = f"WITH {_RECORDS} SELECT value, count(*) AS n FROM (SELECT unnest(reasons) AS value FROM v) GROUP BY 1"
+ORACLE["validation_totals_exact"] = f"WITH {_RECORDS} SELECT count(*) FILTER (len(reasons) = 0) AS passed, count(*) FILTER (len(reasons) > 0) AS failed, count(*) AS records FROM v"
 ORACLE["wiki_id"] = f"WITH {_RECORDS} SELECT page_id, substr(sha256(source_url || chr(1) || entity_name || chr(1) || evidence_text), 1, 16) AS wiki_id FROM r"
-ORACLE["bag_union"] = f"WITH {_RECORDS} SELECT page_id, 1 + (len(reasons) > 0)::BIGINT AS n, CASE WHEN len(reasons) > 0 THEN 'failed' END AS status FROM v"
+ORACLE["bag_union_exact"] = f"WITH {_RECORDS} SELECT page_id, 1 + (len(reasons) > 0)::BIGINT AS n, CASE WHEN len(reasons) > 0 THEN 'failed' END AS status FROM v"
 ORACLE["entity_profiles"] = f"""WITH {_RECORDS}
 SELECT lower(entity_name) AS canonical_name, array_to_string(list_sort(list(DISTINCT entity_name)), ';') AS aliases, arg_min(entity_type, doc_id) AS entity_type,
   count(DISTINCT {{'u': source_url, 'e': evidence_text}}) AS n_sources, count(DISTINCT fact) AS n_facts FROM r GROUP BY 1"""

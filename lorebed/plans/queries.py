@@ -299,13 +299,35 @@ def fact_dedupe(spark, sf_dir):
     return kept.unionByName(dropped).select("page_id", "validation_status", F.array_join("rejection_reasons", ";").alias("reasons"))
 
 
-def _validated(spark, sf_dir):
-    return validate.validate(_records(spark, sf_dir), _page_texts(spark, sf_dir))
+def _validated(spark, sf_dir, fuzzy=True):
+    return validate.validate(_records(spark, sf_dir), _page_texts(spark, sf_dir), fuzzy=fuzzy)
+
+
+def _reasons(validated):
+    return validated.select("page_id", "validation_status", F.array_join("rejection_reasons", ";").alias("reasons"), F.round("confidence_score", 6).alias("confidence"))
+
+
+def _totals(validated):
+    passed, failed = validate.split(validated)
+    return passed.unionByName(failed).agg(F.count_if(F.col("validation_status") == "passed").alias("passed"), F.count_if(F.col("validation_status") == "failed").alias("failed"), F.count("*").alias("records"))
+
+
+def _bag(records, validated):
+    a, b = records.select("page_id", "entity_name"), validated.where("validation_status = 'failed'").select("page_id", "validation_status")
+    return tables.union_shards([a, b]).groupBy("page_id").agg(F.count("*").alias("n"), F.max("validation_status").alias("status"))
+
+
+# As the pipeline validates, with fuzzy grounding, which SQL can't express; then with the native test alone, which it can.
 
 
 @query
 def record_validate_reasons(spark, sf_dir):
-    return _validated(spark, sf_dir).select("page_id", "validation_status", F.array_join("rejection_reasons", ";").alias("reasons"), F.round("confidence_score", 6).alias("confidence"))
+    return _reasons(_validated(spark, sf_dir))
+
+
+@query
+def record_validate_reasons_exact(spark, sf_dir):
+    return _reasons(_validated(spark, sf_dir, fuzzy=False))
 
 
 @query
@@ -313,10 +335,19 @@ def reasons_explode_counts(spark, sf_dir):
     return reports.exploded_counts(_validated(spark, sf_dir), "rejection_reasons")
 
 
+@query
+def reasons_explode_counts_exact(spark, sf_dir):
+    return reports.exploded_counts(_validated(spark, sf_dir, fuzzy=False), "rejection_reasons")
+
+
 @query
 def validation_totals(spark, sf_dir):
-    passed, failed = validate.split(_validated(spark, sf_dir))
-    return passed.unionByName(failed).agg(F.count_if(F.col("validation_status") == "passed").alias("passed"), F.count_if(F.col("validation_status") == "failed").alias("failed"), F.count("*").alias("records"))
+    return _totals(_validated(spark, sf_dir))
+
+
+@query
+def validation_totals_exact(spark, sf_dir):
+    return _totals(_validated(spark, sf_dir, fuzzy=False))
 
 
 @query
@@ -490,8 +521,12 @@ def half_sizes(spark, sf_dir):
 
 @query
 def bag_union(spark, sf_dir):
-    a, b = _records(spark, sf_dir).select("page_id", "entity_name"), _validated(spark, sf_dir).where("validation_status = 'failed'").select("page_id", "validation_status")
-    return tables.union_shards([a, b]).groupBy("page_id").agg(F.count("*").alias("n"), F.max("validation_status").alias("status"))
+    return _bag(_records(spark, sf_dir), _validated(spark, sf_dir))
+
+
+@query
+def bag_union_exact(spark, sf_dir):
+    return _bag(_records(spark, sf_dir), _validated(spark, sf_dir, fuzzy=False))
 
 
 @query
