@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cuts the lineage in the folder that spark.checkpoint.dir names; an error where there is none, as a folder of one machine won't do."""
+    """Cuts the lineage in the folder that spark.checkpoint.dir names. A session within one process may do without and gets its own; a cluster's machines share none."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not shared:
+        if not shared and not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        context.setCheckpointDir(shared)
+        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="lorebed-"))
     return df.checkpoint()
 
 

@@ -207,7 +207,7 @@ def test_stage_commands(spark, tmp_path):
         run("followup-queries", "none.csv", "c")
 
 
-def test_components_without_a_shared_folder(monkeypatch, spark):
+def test_components_of_a_long_chain(spark):
     chain = spark.createDataFrame([(f"n{i:02}", f"n{i + 1:02}") for i in range(40)] + [("x", "y"), ("z", "z")], "a string, b string")
     assert {r.root for r in graph.connected(chain).collect()} == {"n00", "x"} and graph.connected(chain.limit(0)).count() == 0
 
