@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
 from pathlib import Path
 
@@ -27,10 +28,16 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the session names in spark.checkpoint.dir, or else its checkpoint folder; an error where it has neither."""
+    """The folder that the session names in spark.checkpoint.dir, or else its checkpoint folder.
+
+    Where it has neither, a session within one process gets a folder of its own; on a cluster that is an error, as its machines share none.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lorebed-"))
+        named = spark.sparkContext.getCheckpointDir()
     return named.rstrip("/")
 
 

@@ -17,7 +17,7 @@ sys.path.insert(0, str(Path(__file__).parent))
 import plain
 from compare import SMALL
 
-from lorebed.llm import chosenpath, components, decontam, fingerprints, langid, licences, linededup, pieces, queries, substrings, textblocks, toxicity, urlfilter
+from lorebed.llm import chosenpath, components, decontam, fingerprints, job, langid, licences, linededup, pieces, queries, substrings, textblocks, toxicity, urlfilter
 
 DOC = "doc_id long, text string, lang string, source string"
 LONG = "word " * 60_000
@@ -131,6 +131,30 @@ def test_a_text_beyond_a_block_stays_whole():
     assert [(a, b) for a, b, _, _ in blocks] == [(0, 1), (1, 3)]
 
 
+def test_folder_for_stored_tables():
+    """A cluster has to name one; a local session gets its own."""
+    from types import SimpleNamespace
+
+    def session(master, named=None):
+        made = []
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: made[-1] if made else None, setCheckpointDir=made.append)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda *_: named), sparkContext=context)
+
+    assert job.shared_dir(session("spark://x", "/shared/")) == "/shared" and "lorebed-" in job.shared_dir(session("local[2]"))
+    with pytest.raises(ValueError):
+        job.shared_dir(session("spark://x"))
+
+
+def test_stored_tables_go_when_discarded(spark):
+    import os
+
+    kept = job.stored(spark.range(5).groupBy((F.col("id") % 2).alias("k")).count())
+    path = kept._stored_at
+    assert kept.count() == 2 and os.path.isdir(path)
+    job.discard(kept, spark.range(1))
+    assert not os.path.isdir(path)
+
+
 # ---- 1 and 3: near copies
 
 
