@@ -32,7 +32,10 @@ def wiki_id(url: Column, name: Column, evidence: Column) -> Column:
 
 def published(text: Column) -> Column:
     """The date of YYYY-MM-DD, or the first of the month of YYYY-MM; else null."""
-    return F.coalesce(F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(text)), F.when(text.rlike(r"^\d{4}-\d{2}$"), F.try_to_date(F.concat(text, F.lit("-01")))))
+    return F.coalesce(
+        F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(text)),
+        F.when(text.rlike(r"^\d{4}-\d{2}$"), F.try_to_date(F.concat(text, F.lit("-01"))))
+    )
 
 
 def date_precision(text: Column) -> Column:
@@ -58,5 +61,7 @@ def normalize_name(c: Column) -> Column:
 def temporal_note(date_range: Column, bucket: Column) -> Column:
     """`` (as of ...; currency: ...)``, without what is empty or fresh."""
     span, kind = strip(as_text(date_range)), strip(as_text(bucket))
-    bits = F.array_compact(F.array(F.when(span != "", F.concat(F.lit("as of "), span)), F.when((kind != "") & (kind != "fresh"), F.concat(F.lit("currency: "), kind))))
+    bits = F.array_compact(
+        F.array(F.when(span != "", F.concat(F.lit("as of "), span)), F.when((kind != "") & (kind != "fresh"), F.concat(F.lit("currency: "), kind)))
+    )
     return F.when(F.size(bits) > 0, F.concat(F.lit(" ("), F.array_join(bits, "; "), F.lit(")"))).otherwise("")

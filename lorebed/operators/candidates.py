@@ -54,8 +54,14 @@ def domain_summary(rows: DataFrame, order: str, rules: dict[str, list[str]] | No
     from .dedupe import first_rank
 
     rows = rows.where(F.coalesce(F.col("domain"), F.lit("")) != "")
-    counts = rows.groupBy("domain").agg(F.count("*").alias("url_count"), F.min_by(classify(F.coalesce(F.col("normalized_url"), F.col("domain")), rules), order).alias("priority"), F.min(order).alias("__first"))
+    counts = rows.groupBy("domain").agg(
+        F.count("*").alias("url_count"),
+        F.min_by(classify(F.coalesce(F.col("normalized_url"), F.col("domain")), rules), order).alias("priority"),
+        F.min(order).alias("__first")
+    )
     titled = rows.where(F.coalesce(F.col("title"), F.lit("")) != "").withColumn("__rank", first_rank(["domain"], order)).where(F.col("__rank") <= titles)
-    samples = titled.groupBy("domain").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__rank", "title"))), lambda s: s["title"]), " | ").alias("sample_titles"))
+    samples = titled.groupBy("domain").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__rank", "title"))), lambda s: s["title"]), " | ").alias("sample_titles")
+    )
     out = counts.join(samples, "domain", "left").withColumn("sample_titles", F.coalesce("sample_titles", F.lit("")))
     return out.orderBy(F.desc("url_count"), "__first").select("domain", "url_count", "priority", "sample_titles")

@@ -28,7 +28,10 @@ def label_duplicates(rows: DataFrame, key: str, order: str, status: str = "statu
     """
     columns = rows.columns
     # Every row without a key is the first of its own.
-    rows = rows.withColumn("__key", F.when(F.coalesce(F.col(key), F.lit("")) == "", F.concat(F.lit("-"), F.col(order).cast("string"))).otherwise(F.concat(F.lit("+"), F.col(key))))
+    rows = rows.withColumn(
+        "__key",
+        F.when(F.coalesce(F.col(key), F.lit("")) == "", F.concat(F.lit("-"), F.col(order).cast("string"))).otherwise(F.concat(F.lit("+"), F.col(key)))
+    )
     found = _with_first(rows, ["__key"], order, "left")
     label = F.when(F.startswith("__key", F.lit("-")), F.col(status)).when(F.col("__first").isNull(), "duplicate").when(F.col(status) == "duplicate", "new").otherwise(F.col(status))
     return found.withColumn(status, label).select(*columns)
@@ -43,7 +46,9 @@ def first_of(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
 def with_fact_key(records: DataFrame) -> DataFrame:
     """Source as it is, name without case, evidence without case and white space."""
     text = lambda c: F.coalesce(F.col(c), F.lit(""))
-    return records.withColumns({"k_url": strip(text("source_url")), "k_name": casefold(strip(text("entity_name"))), "k_evidence": fold_spaces(F.col("evidence_text"))})
+    return records.withColumns(
+        {"k_url": strip(text("source_url")), "k_name": casefold(strip(text("entity_name"))), "k_evidence": fold_spaces(F.col("evidence_text"))}
+    )
 
 
 def dedupe_facts(records: DataFrame, order: str) -> tuple[DataFrame, DataFrame]:

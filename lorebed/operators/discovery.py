@@ -18,7 +18,9 @@ def _templates(spark: SparkSession, templates: list[str]) -> DataFrame:
 def _filled(seeds: DataFrame, column: str, templates: list[str], branch: int, source_type: str) -> DataFrame:
     rows = seeds.select("_ord", strip(F.col(column)).alias("v")).where(F.coalesce(F.col("v"), F.lit("")) != "")
     query = F.replace(F.col("template"), F.lit("{" + column + "}"), F.col("v"))
-    return rows.crossJoin(_templates(seeds.sparkSession, templates)).select(F.lit(branch).alias("branch"), "_ord", "t", query.alias("query"), F.lit(source_type).alias("source_type"))
+    return rows.crossJoin(_templates(seeds.sparkSession, templates)).select(
+        F.lit(branch).alias("branch"), "_ord", "t", query.alias("query"), F.lit(source_type).alias("source_type")
+    )
 
 
 def expand(general: DataFrame, seeds: DataFrame, domains: DataFrame, locations: DataFrame, companies: DataFrame) -> DataFrame:
@@ -54,7 +56,10 @@ def upsert_queries(existing: DataFrame, new: DataFrame, iteration: int = 0) -> D
     last = old.groupBy("key").agg(F.max_by(F.struct(*existing.columns), "_ord").alias("row"), F.min("_ord").alias("first"))
     kept = last.select(*[F.col(f"row.{c}") for c in existing.columns if c != "_ord"], F.col("first").alias("_ord"), F.lit(0).alias("part"), "key")
     added = first_of(new.withColumn("key", casefold(F.col("query"))), ["key"], "_ord").join(kept.select("key"), "key", "left_anti")
-    added = added.select(*[F.col(c) if c in new.columns else F.lit(None).alias(c) for c in existing.columns if c not in ("_ord", "iteration", "status")], "_ord", F.lit(1).alias("part"))
+    added = added.select(
+        *[F.col(c) if c in new.columns else F.lit(None).alias(c) for c in existing.columns if c not in ("_ord", "iteration", "status")],
+        "_ord", F.lit(1).alias("part")
+    )
     for c, v in (("iteration", str(iteration)), ("status", "pending")):
         if c in existing.columns:
             added = added.withColumn(c, F.lit(v))
@@ -64,10 +69,14 @@ def upsert_queries(existing: DataFrame, new: DataFrame, iteration: int = 0) -> D
 def followups(entities: DataFrame) -> DataFrame:
     """Queries for found entities: company templates for companies, location templates for others; first of equal ones by case wins."""
     spark = entities.sparkSession
-    rows = [("company", k, t.replace("{company}", "{}")) for k, t in enumerate(FOLLOWUP_COMPANY_TEMPLATES)] + [("location", k, t.replace("{location}", "{}")) for k, t in enumerate(FOLLOWUP_LOCATION_TEMPLATES)]
+    rows = [("company", k, t.replace("{company}", "{}")) for k, t in enumerate(FOLLOWUP_COMPANY_TEMPLATES)] + [
+        ("location", k, t.replace("{location}", "{}")) for k, t in enumerate(FOLLOWUP_LOCATION_TEMPLATES)
+    ]
     templates = F.broadcast(spark.createDataFrame(rows, "kind string, t int, template string"))
     kinds = entities.withColumn("kind", F.when(F.col("entity_type") == "company", "company").otherwise("location"))
-    filled = kinds.join(templates, "kind").select("_ord", "t", F.replace(F.col("template"), F.lit("{}"), F.col("entity")).alias("query"), F.col("kind").alias("source_type"))
+    filled = kinds.join(templates, "kind").select(
+        "_ord", "t", F.replace(F.col("template"), F.lit("{}"), F.col("entity")).alias("query"), F.col("kind").alias("source_type")
+    )
     filled = filled.withColumns({"key": casefold(F.col("query")), "place": F.struct("_ord", "t")})
     return first_of(filled, ["key"], "place").drop("key", "place")
 

@@ -44,8 +44,12 @@ def _rarest(rows: DataFrame, tokens: str, keep: Column) -> DataFrame:
     """(token, n) of the ``keep`` rarest tokens of each name, by how many names have each."""
     each = rows.select("n", keep.alias("__keep"), F.explode(tokens).alias("token"))
     often = each.groupBy("token").agg(F.count("*").alias("names"))
-    ordered = each.join(often, "token").groupBy("n").agg(F.first("__keep").alias("__keep"), F.array_sort(F.collect_list(F.struct("names", "token"))).alias("all"))
-    return ordered.select("n", F.explode(F.slice("all", F.lit(1), F.greatest(F.col("__keep"), F.lit(0)))).alias("t")).select(F.col("t.token").alias("token"), "n")
+    ordered = each.join(often, "token").groupBy("n").agg(
+        F.first("__keep").alias("__keep"), F.array_sort(F.collect_list(F.struct("names", "token"))).alias("all")
+    )
+    return ordered.select(
+        "n", F.explode(F.slice("all", F.lit(1), F.greatest(F.col("__keep"), F.lit(0)))).alias("t")
+    ).select(F.col("t.token").alias("token"), "n")
 
 
 def candidate_pairs(names: DataFrame, least: float = REVIEW_THRESHOLD, name: str = "name") -> DataFrame:
@@ -64,12 +68,16 @@ def candidate_pairs(names: DataFrame, least: float = REVIEW_THRESHOLD, name: str
     by_gram = _rarest(rows.where("sure_grams >= 1"), "grams", F.size("grams") - F.col("sure_grams") + 1)
     by_char = _rarest(rows, "chars", F.size("chars") - F.greatest(F.col("sure_chars"), F.lit(1)) + 1)
     short = by_char.join(rows.where("sure_grams < 1").select("n"), "n", "left_semi")
-    meet = lambda x, y: x.select("token", F.col("n").alias("x")).join(y.select("token", F.col("n").alias("y")), "token").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    meet = lambda x, y: x.select("token", F.col("n").alias("x")).join(y.select("token", F.col("n").alias("y")), "token").where("x <> y").select(
+        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
+    )
     pairs = meet(by_gram, by_gram).where("a < b").unionByName(meet(short, by_char)).distinct()
     side = lambda c: rows.select(F.col("n").alias(c), *(F.col(k).alias(f"{k}_{c}") for k in ("len", "chars", "grams")))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     common = lambda k: F.size(F.array_intersect(f"{k}_a", f"{k}_b"))
-    fine = (common("chars") >= _shared_characters(F.col("len_a"), F.col("len_b"), least)) & (common("grams") >= _shared_bigrams(F.col("len_a"), F.col("len_b"), least))
+    fine = (
+        common("chars") >= _shared_characters(F.col("len_a"), F.col("len_b"), least)
+    ) & (common("grams") >= _shared_bigrams(F.col("len_a"), F.col("len_b"), least))
     return both.where(fine).select("a", "b")
 
 
@@ -119,7 +127,9 @@ def profiles(records: DataFrame, cluster_of: DataFrame) -> DataFrame:
         longest = F.min(F.struct(-F.char_length(F.coalesce("overview", F.lit(""))), F.coalesce("overview", F.lit("")).alias("overview")))
         more.append(longest["overview"].alias("overview"))
     return rows.groupBy(F.col("cluster").alias("canonical_name")).agg(
-        F.array_sort(F.collect_set("entity_name")).alias("aliases"), F.min_by("entity_type", "_ord").alias("entity_type"), F.array_sort(F.collect_set("supply_chain_category")).alias("supply_chain_categories"), facts.alias("key_facts"),
+        F.array_sort(F.collect_set("entity_name")).alias("aliases"), F.min_by("entity_type", "_ord").alias("entity_type"),
+        F.array_sort(F.collect_set("supply_chain_category")).alias("supply_chain_categories"), facts.alias("key_facts"),
         F.array_sort(F.collect_set(F.struct("source_url", "evidence_text"))).alias("sources"), F.max("confidence_score").alias("confidence_score"),
-        F.concat_ws(" to ", F.array_distinct(F.array_compact(F.array(F.min(F.nullif("publication_date", F.lit(""))), F.max(F.nullif("publication_date", F.lit(""))))))).alias("publication_date_range"), *more,
+        F.concat_ws(" to ", F.array_distinct(F.array_compact(F.array(F.min(F.nullif("publication_date", F.lit(""))), F.max(F.nullif("publication_date", F.lit(""))))))).alias("publication_date_range"),
+        *more,
     )

@@ -27,7 +27,9 @@ def json_cell(column: Column, kind: T.DataType) -> Column:
 def source_count(entities: DataFrame) -> Column:
     """The stored number, or how many sources there are if that is null or 0."""
     sources = F.coalesce(F.size("sources"), F.lit(0)) if "sources" in entities.columns else F.lit(0)
-    return F.coalesce(F.nullif(F.col("source_count").cast("int"), F.lit(0)), F.greatest(sources, F.lit(0))) if "source_count" in entities.columns else F.greatest(sources, F.lit(0))
+    return F.coalesce(
+        F.nullif(F.col("source_count").cast("int"), F.lit(0)), F.greatest(sources, F.lit(0))
+    ) if "source_count" in entities.columns else F.greatest(sources, F.lit(0))
 
 
 def first_entities(entities: DataFrame, limit: int = 0, order: str = "_ord") -> DataFrame:
@@ -61,14 +63,18 @@ def sources(entities: DataFrame, limit: int = 0) -> DataFrame:
 def ungrounded_urls(rows: DataFrame, key: str = "canonical_name") -> DataFrame:
     """For each entity its ungrounded urls in order, blanks left out, comma-separated."""
     bad = rows.where(~F.col("is_grounded") & (F.coalesce("source_url", F.lit("")) != ""))
-    return bad.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "source_url"))), lambda s: s["source_url"]), ", ").alias("urls"))
+    return bad.groupBy(key).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "source_url"))), lambda s: s["source_url"]), ", ").alias("urls")
+    )
 
 
 def finetuning(entities: DataFrame, limit: int = 0) -> DataFrame:
     """No, one or two examples for each entity: what it does, and where, if it has locations. Both end with the first source. A limit counts entities in order."""
     entities = first_entities(entities, limit)
     urls = F.filter(F.transform(F.coalesce("sources", F.expr("array()")), lambda s: s["source_url"]), lambda u: F.coalesce(u, F.lit("")) != "")
-    rows = entities.withColumns({"u": urls, "o": strip(as_text(F.col("overview")))}).where((F.coalesce("canonical_name", F.lit("")) != "") & (F.col("o") != "") & (F.size("u") > 0))
+    rows = entities.withColumns({"u": urls, "o": strip(as_text(F.col("overview")))}).where(
+        (F.coalesce("canonical_name", F.lit("")) != "") & (F.col("o") != "") & (F.size("u") > 0)
+    )
     ending = F.concat(temporal_note(F.col("publication_date_range"), F.col("currency")), F.lit(" Source: "), F.get("u", F.lit(0)))
     name = F.col("canonical_name")
     filled = lambda template, **values: _filled(template, {"name": name, **values})
@@ -89,4 +95,7 @@ def wiki_lines(entities: DataFrame) -> DataFrame:
     """The line of each entity in a listing from A to Z: link, county and the overview up to its first period."""
     blurb = F.split_part(as_text(F.col("overview")), F.lit("."), F.lit(1))
     county = F.when(as_text(F.col("county")) == "", "").otherwise(F.concat(F.lit(" _("), F.col("county"), F.lit(")_")))
-    return entities.select("canonical_name", "category", "county", F.concat(F.lit("- [["), slug(F.col("canonical_name")), F.lit("|"), F.col("canonical_name"), F.lit("]]"), county, F.lit(" — "), blurb).alias("line")).orderBy(F.lower("canonical_name"), "canonical_name")
+    return entities.select(
+        "canonical_name", "category", "county",
+        F.concat(F.lit("- [["), slug(F.col("canonical_name")), F.lit("|"), F.col("canonical_name"), F.lit("]]"), county, F.lit(" — "), blurb).alias("line")
+    ).orderBy(F.lower("canonical_name"), "canonical_name")

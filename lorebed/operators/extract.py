@@ -21,6 +21,8 @@ def mock_records(pages: DataFrame, length: int = PROMPT_CHARS) -> DataFrame:
     bad = F.col("__text").rlike(r"(?m)^MOCK_BAD_ENUM\s*$")
     paragraphs = F.filter(F.split("__text", r"\n\s*\n"), lambda p: F.contains(p, F.col("entity_name")) & ~F.startswith(strip(p), F.lit("MOCK_")))
     return rows.select(
-        "page_id", "source_url", "entity_name", strip(F.coalesce(F.get(paragraphs, F.lit(0)), F.lit(""))).alias("evidence_text"), F.when(bad, "not_a_type").otherwise("company").alias("entity_type"),
-        F.when(bad, "not_a_category").otherwise("unknown").alias("supply_chain_category"), F.lit("announced").alias("claim_status"), F.lit("0.9").alias("confidence_score"),
+        "page_id", "source_url", "entity_name", strip(F.coalesce(F.get(paragraphs, F.lit(0)), F.lit(""))).alias("evidence_text"),
+        F.when(bad, "not_a_type").otherwise("company").alias("entity_type"),
+        F.when(bad, "not_a_category").otherwise("unknown").alias("supply_chain_category"), F.lit("announced").alias("claim_status"),
+        F.lit("0.9").alias("confidence_score"),
     )

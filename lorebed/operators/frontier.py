@@ -22,7 +22,8 @@ def from_candidates(candidates: DataFrame, order: str, limit: int = 0) -> DataFr
     rows = candidates.orderBy(order).limit(limit) if limit else candidates
     rows = rows.where(F.coalesce(F.col("normalized_url"), F.lit("")) != "")
     known = {
-        "priority": F.coalesce(F.col("priority"), F.lit("medium")), "status": status_for(F.col("priority")), "discovered_from": F.col("source_type"), "first_seen_date": F.col("discovered_date"),
+        "priority": F.coalesce(F.col("priority"), F.lit("medium")), "status": status_for(F.col("priority")),
+        "discovered_from": F.col("source_type"), "first_seen_date": F.col("discovered_date"),
         "retry_count": F.lit(0), "frontier_id": F.lit(None).cast("long"), "last_checked_date": F.lit(""), "crawl_error": F.lit(""),
     }
     return rows.select(*[known.get(c, F.col(c) if c in candidates.columns else F.lit("")).alias(c) for c in FRONTIER_COLUMNS], F.col(order).alias("_ord"))
@@ -37,14 +38,18 @@ def upsert(frontier: DataFrame, rows: DataFrame) -> DataFrame:
     new = first_of(rows, ["normalized_url"], "_ord").drop("_ord")
     a, b = frontier.alias("a"), new.alias("b")
     joined = a.join(b, F.col("a.normalized_url") == F.col("b.normalized_url"), "full_outer")
-    merged = [F.coalesce(F.col(f"b.{c}"), F.col(f"a.{c}")).alias(c) if c == "priority" else F.when(F.col("a.normalized_url").isNull(), F.col(f"b.{c}")).otherwise(F.col(f"a.{c}")).alias(c) for c in FRONTIER_COLUMNS]
+    merged = [
+        F.coalesce(F.col(f"b.{c}"), F.col(f"a.{c}")).alias(c) if c == "priority" else F.when(F.col("a.normalized_url").isNull(), F.col(f"b.{c}")).otherwise(F.col(f"a.{c}")).alias(c) for c in FRONTIER_COLUMNS
+    ]
     return joined.select(*merged, F.col("a.normalized_url").isNull().alias("inserted"))
 
 
 def requeue_failed(frontier: DataFrame, most: int = MAX_RETRIES) -> DataFrame:
     """Failed rows with fewer retries than ``most`` are queued with one more; ``requeued`` marks them."""
     again = (F.col("status") == "failed") & (F.coalesce(F.col("retry_count"), F.lit(0)) < most)
-    return frontier.withColumns({"requeued": again, "status": F.when(again, "queued").otherwise(F.col("status")), "retry_count": F.coalesce(F.col("retry_count"), F.lit(0)) + again.cast("int")})
+    return frontier.withColumns(
+        {"requeued": again, "status": F.when(again, "queued").otherwise(F.col("status")), "retry_count": F.coalesce(F.col("retry_count"), F.lit(0)) + again.cast("int")}
+    )
 
 
 def counts(frontier: DataFrame) -> DataFrame:

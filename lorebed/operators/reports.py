@@ -32,7 +32,8 @@ def _summary(c: str) -> Column:
     value = F.col(c).cast("double")
     quarter = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
     return F.struct(
-        F.lit(c).alias("column"), F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.min(value).alias("min"), quarter[0].alias("q25"), quarter[1].alias("q50"), quarter[2].alias("q75"),
+        F.lit(c).alias("column"), F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"),
+        F.min(value).alias("min"), quarter[0].alias("q25"), quarter[1].alias("q50"), quarter[2].alias("q75"),
         F.max(value).alias("max"),
     )
 
@@ -47,9 +48,13 @@ def crawl_report(crawled: DataFrame) -> DataFrame:
     ok = F.col("crawl_status") == "success"
     part = lambda name, rows, column: rows.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n")).select(F.lit(name).alias("part"), "value", "n")
     out = part("status", crawled, "crawl_status").unionByName(part("language", crawled.where(ok), "language")).unionByName(part("failed_domain", crawled.where(~ok), "domain"))
-    return out.unionByName(crawled.agg(F.count_if(F.col("is_duplicate_content") == "true").alias("n")).select(F.lit("duplicates").alias("part"), F.lit("").alias("value"), "n"))
+    return out.unionByName(
+        crawled.agg(F.count_if(F.col("is_duplicate_content") == "true").alias("n")).select(F.lit("duplicates").alias("part"), F.lit("").alias("value"), "n")
+    )
 
 
 def rollup_counts(entities: DataFrame) -> DataFrame:
     """By category and county, with totals: entities, facilities, different sources."""
-    return entities.rollup("category", "county").agg(F.count("*").alias("entities"), F.sum("facilities").alias("facilities"), F.count_distinct("source_url").alias("sources"))
+    return entities.rollup("category", "county").agg(
+        F.count("*").alias("entities"), F.sum("facilities").alias("facilities"), F.count_distinct("source_url").alias("sources")
+    )

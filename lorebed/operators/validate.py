@@ -17,14 +17,20 @@ def field_reasons(records: DataFrame) -> DataFrame:
     score = confidence(F.col("confidence_score"))
     empty = lambda c: strip(F.coalesce(F.col(c), F.lit(""))) == ""
     reasons = F.array(
-        F.when(empty("entity_name"), "missing_entity_name"), F.when(empty("evidence_text"), "missing_evidence"), F.when(empty("source_url"), "missing_source_url"),
-        F.when(~F.coalesce(F.col("entity_type"), F.lit("")).isin(ENTITY_TYPES), "invalid_entity_type"), F.when(~F.coalesce(F.col("supply_chain_category"), F.lit("")).isin(CATEGORIES), "invalid_category"),
-        F.when(~F.coalesce(F.col("claim_status"), F.lit("")).isin(PAGE_CLAIM_STATUSES), "invalid_claim_status"), F.when(score < MIN_CONFIDENCE, "low_confidence"),
+        F.when(empty("entity_name"), "missing_entity_name"), F.when(empty("evidence_text"), "missing_evidence"),
+        F.when(empty("source_url"), "missing_source_url"),
+        F.when(~F.coalesce(F.col("entity_type"), F.lit("")).isin(ENTITY_TYPES), "invalid_entity_type"),
+        F.when(~F.coalesce(F.col("supply_chain_category"), F.lit("")).isin(CATEGORIES), "invalid_category"),
+        F.when(~F.coalesce(F.col("claim_status"), F.lit("")).isin(PAGE_CLAIM_STATUSES), "invalid_claim_status"),
+        F.when(score < MIN_CONFIDENCE, "low_confidence"),
     )
     return records.withColumns({"rejection_reasons": F.array_compact(reasons), "confidence_score": F.least(score, F.lit(MAX_UNVALIDATED_CONFIDENCE))})
 
 
-def grounded(rows: DataFrame, evidence: str = "evidence_text", page: str = "page_markdown", threshold: float = GROUNDING_THRESHOLD, fuzzy: bool = True) -> DataFrame:
+def grounded(
+    rows: DataFrame, evidence: str = "evidence_text", page: str = "page_markdown", threshold: float = GROUNDING_THRESHOLD,
+    fuzzy: bool = True
+) -> DataFrame:
     """With is_grounded: the evidence is part of the page, white space and case aside, or close to a part of it.
 
     Python gets texts only where the native test leaves it open, and nulls for all other rows.
@@ -47,7 +53,9 @@ def validate(records: DataFrame, pages: DataFrame, fuzzy: bool = True) -> DataFr
     asked = ~F.array_contains("rejection_reasons", "missing_evidence")
     tested = grounded(checked.withColumn("__asked", F.when(asked, F.col("evidence_text"))), evidence="__asked", fuzzy=fuzzy).drop("__asked", "page_markdown")
     reasons = F.when(F.col("is_grounded") | ~asked, F.col("rejection_reasons")).otherwise(F.array_append("rejection_reasons", F.lit("unsupported_claim")))
-    return tested.withColumn("rejection_reasons", reasons).withColumn("validation_status", F.when(F.size("rejection_reasons") == 0, "passed").otherwise("failed"))
+    return tested.withColumn("rejection_reasons", reasons).withColumn(
+        "validation_status", F.when(F.size("rejection_reasons") == 0, "passed").otherwise("failed")
+    )
 
 
 def split(validated: DataFrame, earlier_failures: DataFrame | None = None, order: str | None = None) -> tuple[DataFrame, DataFrame]:
@@ -67,11 +75,16 @@ def normalize_records(records: DataFrame) -> DataFrame:
 
     The absent original is known by its name alone; what it cleans is a choice of this library.
     """
-    texts = [f.name for f in records.schema.fields if f.dataType.typeName() == "string" and f.name in ("entity_name", "entity_type", "supply_chain_category", "claim_status", "source_url")]
+    texts = [
+        f.name for f in records.schema.fields if f.dataType.typeName() == "string" and f.name in ("entity_name", "entity_type", "supply_chain_category", "claim_status", "source_url")
+    ]
     records = records.withColumns({c: strip(F.col(c)) for c in texts}) if texts else records
     if "related_organizations" not in records.columns:
         return records
-    named = F.transform(F.coalesce(F.col("related_organizations"), F.array().cast(records.schema["related_organizations"].dataType)), lambda o: o.withField("name", strip(as_text(o["name"]))))
+    named = F.transform(
+        F.coalesce(F.col("related_organizations"), F.array().cast(records.schema["related_organizations"].dataType)),
+        lambda o: o.withField("name", strip(as_text(o["name"])))
+    )
     same = lambda o: casefold(o["name"])
     other = F.filter(named, lambda o: (o["name"] != "") & (same(o) != casefold(F.coalesce(F.col("entity_name"), F.lit("")))))
     records = records.withColumn("related_organizations", other)
@@ -85,7 +98,10 @@ def demote_ungrounded(entities: DataFrame, pages: DataFrame, key: str = "canonic
     sources = entities.select(F.col(key).alias("__k"), F.posexplode("sources").alias("place", "s")).select("__k", "place", "s.*")
     pages = pages.groupBy("source_url").agg(F.max_by("page_markdown", "path").alias("page_markdown"))
     tested = grounded(sources.join(pages, "source_url", "left"), fuzzy=fuzzy)
-    found = tested.groupBy("__k").agg(F.max("is_grounded").alias("kept"), F.array_sort(F.collect_list(F.when(~F.col("is_grounded") & (F.coalesce("source_url", F.lit("")) != ""), F.struct("place", "source_url")))).alias("bad"))
+    found = tested.groupBy("__k").agg(
+        F.max("is_grounded").alias("kept"),
+        F.array_sort(F.collect_list(F.when(~F.col("is_grounded") & (F.coalesce("source_url", F.lit("")) != ""), F.struct("place", "source_url")))).alias("bad")
+    )
     bad = F.transform("bad", lambda s: s["source_url"])
     out = entities.join(found, entities[key] == F.col("__k"), "left").withColumn("kept", F.coalesce("kept", F.lit(False)))
     note = F.concat(F.lit("Ungrounded sources: "), F.array_join(bad, ", "))

@@ -36,7 +36,10 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as url candidates, in the order of their ids."""
     title = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
     rows = _read(spark, sf_dir, "pages").select(F.col("page_id").alias("_ord"), "url", title.alias("title"))
-    return rows.select("_ord", "url", U.normalize_url(F.col("url")).alias("normalized_url"), U.get_host(F.col("url")).alias("host"), U.get_domain(F.col("url")).alias("domain"), "title", F.lit("new").alias("status"))
+    return rows.select(
+        "_ord", "url", U.normalize_url(F.col("url")).alias("normalized_url"), U.get_host(F.col("url")).alias("host"),
+        U.get_domain(F.col("url")).alias("domain"), "title", F.lit("new").alias("status")
+    )
 
 
 def _first_line(c: str) -> Column:
@@ -51,10 +54,16 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("doc_id") % 7
     kinds = F.array(*[F.lit(x) for x in [*ENTITY_TYPES, "not_a_type"]])
     return rows.select(
-        F.col("doc_id").alias("_ord"), X.page_id(F.col("doc_id")).alias("page_id"), F.concat(F.lit("https://"), F.col("source"), F.lit(".example.com/")).alias("source_url"), F.split_part(_first_line("text"), F.lit(" "), F.lit(1)).alias("entity_name"),
-        F.when(k == 3, F.lit("")).when(F.col("doc_id") % 3 == 0, F.coalesce("other", F.lit(""))).otherwise(_first_line("text")).alias("evidence_text"), F.get(kinds, (F.col("doc_id") % 14).cast("int")).alias("entity_type"),
-        F.when(k == 5, "no_category").otherwise("logistics").alias("supply_chain_category"), F.when(k == 6, "cancelled").otherwise("announced").alias("claim_status"), (F.col("n_chars") / 1000).cast("string").alias("confidence_score"),
-        F.array().cast("array<string>").alias("rejection_reasons"), F.lit("").alias("validation_status"), F.array(_first_line("text")).alias("key_facts"), F.lit("").alias("publication_date"),
+        F.col("doc_id").alias("_ord"), X.page_id(F.col("doc_id")).alias("page_id"),
+        F.concat(F.lit("https://"), F.col("source"), F.lit(".example.com/")).alias("source_url"),
+        F.split_part(_first_line("text"), F.lit(" "), F.lit(1)).alias("entity_name"),
+        F.when(k == 3, F.lit("")).when(F.col("doc_id") % 3 == 0, F.coalesce("other", F.lit(""))).otherwise(_first_line("text")).alias("evidence_text"),
+        F.get(kinds, (F.col("doc_id") % 14).cast("int")).alias("entity_type"),
+        F.when(k == 5, "no_category").otherwise("logistics").alias("supply_chain_category"),
+        F.when(k == 6, "cancelled").otherwise("announced").alias("claim_status"),
+        (F.col("n_chars") / 1000).cast("string").alias("confidence_score"),
+        F.array().cast("array<string>").alias("rejection_reasons"), F.lit("").alias("validation_status"),
+        F.array(_first_line("text")).alias("key_facts"), F.lit("").alias("publication_date"),
     )
 
 
@@ -65,12 +74,18 @@ def _page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations as entities: each turn is a source, the first turn's text the overview."""
     turns = _read(spark, sf_dir, "conversations")
-    source = F.struct(F.col("turn"), F.concat(F.lit("https://c.example.com/"), F.col("conv_id"), F.lit("/"), F.col("turn")).alias("source_url"), F.col("role").alias("source_title"), F.lit("c.example.com").alias("source_domain"), _first_line("text").alias("evidence_text"))
+    source = F.struct(
+        F.col("turn"), F.concat(F.lit("https://c.example.com/"), F.col("conv_id"), F.lit("/"), F.col("turn")).alias("source_url"),
+        F.col("role").alias("source_title"), F.lit("c.example.com").alias("source_domain"), _first_line("text").alias("evidence_text")
+    )
     rows = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(source)).alias("sources"), F.min_by(_first_line("text"), "turn").alias("overview"))
     even = F.col("conv_id") % 2 == 0
     return rows.select(
-        F.col("conv_id").alias("_ord"), F.format_string("Entity %d", "conv_id").alias("canonical_name"), "sources", "overview", F.when(even, F.array(F.lit("Bryan County"), F.lit("Jackson County"))).otherwise(F.array().cast("array<string>")).alias("locations"),
-        F.lit("announced").alias("claim_status"), F.when(even, "stale").otherwise("fresh").alias("currency"), F.when(F.col("conv_id") % 3 == 0, "2020").otherwise("").alias("publication_date_range"), F.when(even, 0).otherwise(9).alias("source_count"),
+        F.col("conv_id").alias("_ord"), F.format_string("Entity %d", "conv_id").alias("canonical_name"), "sources", "overview",
+        F.when(even, F.array(F.lit("Bryan County"), F.lit("Jackson County"))).otherwise(F.array().cast("array<string>")).alias("locations"),
+        F.lit("announced").alias("claim_status"), F.when(even, "stale").otherwise("fresh").alias("currency"),
+        F.when(F.col("conv_id") % 3 == 0, "2020").otherwise("").alias("publication_date_range"),
+        F.when(even, 0).otherwise(9).alias("source_count"),
     )
 
 
@@ -78,7 +93,9 @@ def _crawled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents as crawled pages: of good quality is a success."""
     docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
     return docs.join(labels, "doc_id").select(
-        F.col("doc_id").alias("_ord"), F.col("source").alias("domain"), F.when(F.col("quality") == 1, "success").otherwise("failed").alias("crawl_status"), F.col("lang").alias("language"), F.when(F.col("toxic") == 1, "true").otherwise("false").alias("is_duplicate_content"),
+        F.col("doc_id").alias("_ord"), F.col("source").alias("domain"),
+        F.when(F.col("quality") == 1, "success").otherwise("failed").alias("crawl_status"), F.col("lang").alias("language"),
+        F.when(F.col("toxic") == 1, "true").otherwise("false").alias("is_duplicate_content"),
         X.word_count(F.col("text")).alias("word_count"), F.char_length("text").alias("char_count"),
     )
 
@@ -94,7 +111,9 @@ def url_recompute_changed(spark, sf_dir):
     k, url = F.col("page_id"), F.col("url")
     before = {"normalized_url": F.when(k % 2 == 0, url).otherwise(U.normalize_url(url)), "domain": F.when(k % 3 == 0, "").otherwise(U.get_domain(url))}
     rows = _read(spark, sf_dir, "pages").select("page_id", "url").withColumns(before)
-    return candidates.normalized(rows).agg(F.count("*").alias("n_rows"), F.count_if("changed").alias("n_changed"), F.count_distinct("normalized_url").alias("n_urls"))
+    return candidates.normalized(rows).agg(
+        F.count("*").alias("n_rows"), F.count_if("changed").alias("n_changed"), F.count_distinct("normalized_url").alias("n_urls")
+    )
 
 
 @query
@@ -132,7 +151,9 @@ def domain_summary(spark, sf_dir):
 
 @query
 def priority_url_sums(spark, sf_dir):
-    return candidates.domain_summary(_pages(spark, sf_dir), "_ord", TEST_RULES).groupBy("priority").agg(F.sum("url_count").alias("urls"), F.count("*").alias("domains"))
+    return candidates.domain_summary(_pages(spark, sf_dir), "_ord", TEST_RULES).groupBy("priority").agg(
+        F.sum("url_count").alias("urls"), F.count("*").alias("domains")
+    )
 
 
 @query
@@ -169,7 +190,10 @@ def value_counts(spark, sf_dir):
 
 @query
 def status_pivot(spark, sf_dir):
-    return reports.pivot_counts(_read(spark, sf_dir, "events").withColumn("bucket", F.col("user_id") % 10), "bucket", "event_type", ["view", "click", "signup", "error", "purchase"])
+    return reports.pivot_counts(
+        _read(spark, sf_dir, "events").withColumn("bucket", F.col("user_id") % 10), "bucket", "event_type",
+        ["view", "click", "signup", "error", "purchase"]
+    )
 
 
 @query
@@ -185,9 +209,17 @@ def success_columns(spark, sf_dir):
 def _seeds(spark, sf_dir):
     supplier = _read(spark, sf_dir, "supplier")
     kind = F.when(F.col("s_suppkey") % 2 == 0, "").otherwise(F.lit("seed"))
-    seeds = supplier.select(F.col("s_suppkey").alias("_ord"), F.concat(F.lit("  "), F.when(F.col("s_suppkey") % 7 == 0, "").otherwise(F.col("s_name")), F.lit("\n")).alias("query"), kind.alias("source_type"))
-    domains = _read(spark, sf_dir, "pages").groupBy(U.get_host(F.col("url")).alias("domain")).agg(F.min("page_id").alias("_ord")).withColumn("use_site_queries", F.when(F.col("_ord") % 2 == 0, " TRUE ").otherwise("no"))
-    locations = _read(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("_ord"), F.concat(F.lit(" "), F.col("n_name"), F.lit("\t")).alias("location"))
+    seeds = supplier.select(
+        F.col("s_suppkey").alias("_ord"),
+        F.concat(F.lit("  "), F.when(F.col("s_suppkey") % 7 == 0, "").otherwise(F.col("s_name")), F.lit("\n")).alias("query"),
+        kind.alias("source_type")
+    )
+    domains = _read(spark, sf_dir, "pages").groupBy(U.get_host(F.col("url")).alias("domain")).agg(F.min("page_id").alias("_ord")).withColumn(
+        "use_site_queries", F.when(F.col("_ord") % 2 == 0, " TRUE ").otherwise("no")
+    )
+    locations = _read(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").cast("long").alias("_ord"), F.concat(F.lit(" "), F.col("n_name"), F.lit("\t")).alias("location")
+    )
     companies = _read(spark, sf_dir, "part").groupBy(F.col("p_name").alias("company")).agg(F.min("p_partkey").alias("_ord"))
     return seeds, domains, locations, companies
 
@@ -207,11 +239,16 @@ def _queries(spark, sf_dir, low, high):
 @query
 def query_upsert(spark, sf_dir):
     old = _queries(spark, sf_dir, 0, 25).withColumns({"iteration": F.lit("0"), "status": F.lit("done")})
-    return discovery.upsert_queries(old, _queries(spark, sf_dir, 15, 60)).select("part", F.col("_ord").alias("n"), "query", "source_type", "iteration", "status")
+    return discovery.upsert_queries(old, _queries(spark, sf_dir, 15, 60)).select(
+        "part", F.col("_ord").alias("n"), "query", "source_type", "iteration", "status"
+    )
 
 
 def _found_entities(spark, sf_dir):
-    return _read(spark, sf_dir, "part").select(F.col("p_partkey").alias("_ord"), F.col("p_name").alias("entity"), F.when(F.col("p_size") > 10, "company").otherwise("facility").alias("entity_type"))
+    return _read(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("_ord"), F.col("p_name").alias("entity"),
+        F.when(F.col("p_size") > 10, "company").otherwise("facility").alias("entity_type")
+    )
 
 
 @query
@@ -240,19 +277,25 @@ def _search_results(spark, sf_dir):
 @query
 def search_mock_candidates(spark, sf_dir):
     kinds = dedupe.first_of(_queries(spark, sf_dir, 0, 60), ["query"], "_ord")
-    return search.candidates(_search_results(spark, sf_dir), "2024-01-01", kinds).select("url", "title", "snippet", "query_used", "search_engine", "rank", "source_type", "status")
+    return search.candidates(_search_results(spark, sf_dir), "2024-01-01", kinds).select(
+        "url", "title", "snippet", "query_used", "search_engine", "rank", "source_type", "status"
+    )
 
 
 def _frontier(spark, sf_dir, without="", status=None):
     """The pages' frontier, without the urls of one language."""
     rows = candidates.prioritized(_pages(spark, sf_dir), "_ord", TEST_RULES)
     rows = rows.where(~F.contains(F.col("normalized_url"), F.lit(without))) if without else rows
-    rows = rows.withColumns({"priority": F.when(F.col("_ord") % 7 == 0, "").otherwise(F.col("priority")), "source_type": F.lit("seed"), "discovered_date": F.lit("2024-01-01"), "query_used": F.lit(""), "notes": F.lit("")})
+    rows = rows.withColumns(
+        {"priority": F.when(F.col("_ord") % 7 == 0, "").otherwise(F.col("priority")), "source_type": F.lit("seed"), "discovered_date": F.lit("2024-01-01"), "query_used": F.lit(""), "notes": F.lit("")}
+    )
     made = frontier.from_candidates(rows, "_ord")
     if status is None:
         return made
     old = dedupe.first_of(made, ["normalized_url"], "_ord")
-    return old.withColumns({"status": F.when(F.col("_ord") % 3 == 0, "failed").otherwise("crawled"), "retry_count": (F.col("_ord") % 5).cast("int"), "frontier_id": F.col("_ord")}).drop("_ord")
+    return old.withColumns(
+        {"status": F.when(F.col("_ord") % 3 == 0, "failed").otherwise("crawled"), "retry_count": (F.col("_ord") % 5).cast("int"), "frontier_id": F.col("_ord")}
+    ).drop("_ord")
 
 
 @query
@@ -304,12 +347,18 @@ def _validated(spark, sf_dir, fuzzy=True):
 
 
 def _reasons(validated):
-    return validated.select("page_id", "validation_status", F.array_join("rejection_reasons", ";").alias("reasons"), F.round("confidence_score", 6).alias("confidence"))
+    return validated.select(
+        "page_id", "validation_status", F.array_join("rejection_reasons", ";").alias("reasons"),
+        F.round("confidence_score", 6).alias("confidence")
+    )
 
 
 def _totals(validated):
     passed, failed = validate.split(validated)
-    return passed.unionByName(failed).agg(F.count_if(F.col("validation_status") == "passed").alias("passed"), F.count_if(F.col("validation_status") == "failed").alias("failed"), F.count("*").alias("records"))
+    return passed.unionByName(failed).agg(
+        F.count_if(F.col("validation_status") == "passed").alias("passed"),
+        F.count_if(F.col("validation_status") == "failed").alias("failed"), F.count("*").alias("records")
+    )
 
 
 def _bag(records, validated):
@@ -354,14 +403,25 @@ def validation_totals_exact(spark, sf_dir):
 def entity_demotion(spark, sf_dir):
     found = _entities(spark, sf_dir).withColumn("conflicts_or_uncertainties", F.array().cast("array<string>"))
     turns = _read(spark, sf_dir, "conversations").where("role = 'user'")
-    pages = turns.select(F.concat(F.lit("https://c.example.com/"), F.col("conv_id"), F.lit("/"), F.col("turn")).alias("source_url"), F.col("text").alias("page_markdown"), F.lit("p").alias("path"))
-    return validate.demote_ungrounded(found, pages).select("canonical_name", "kept", F.array_join("conflicts_or_uncertainties", ";").alias("notes"), F.size("sources").alias("n_sources"))
+    pages = turns.select(
+        F.concat(F.lit("https://c.example.com/"), F.col("conv_id"), F.lit("/"), F.col("turn")).alias("source_url"),
+        F.col("text").alias("page_markdown"), F.lit("p").alias("path")
+    )
+    return validate.demote_ungrounded(found, pages).select(
+        "canonical_name", "kept", F.array_join("conflicts_or_uncertainties", ";").alias("notes"), F.size("sources").alias("n_sources")
+    )
 
 
 @query
 def currency_bucket(spark, sf_dir):
-    rows = _read(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 10 == 0, "").when(F.col("o_orderkey") % 10 == 1, F.date_format("o_orderdate", "yyyy-MM")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("published"))
-    return rows.select("o_orderkey", R.currency(R.published(F.col("published")), F.lit(AS_OF).cast("date")).alias("currency"), R.date_precision(F.col("published")).alias("precision"))
+    rows = _read(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderkey") % 10 == 0, "").when(F.col("o_orderkey") % 10 == 1, F.date_format("o_orderdate", "yyyy-MM")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("published")
+    )
+    return rows.select(
+        "o_orderkey", R.currency(R.published(F.col("published")), F.lit(AS_OF).cast("date")).alias("currency"),
+        R.date_precision(F.col("published")).alias("precision")
+    )
 
 
 @query
@@ -373,12 +433,16 @@ def confidence_clamp(spark, sf_dir):
 
 @query
 def event_keys(spark, sf_dir):
-    return _read(spark, sf_dir, "events").groupBy("event_type").agg(F.sum(F.get_json_object("props", "$.k").cast("long")).alias("k_sum"), F.count("*").alias("n"))
+    return _read(spark, sf_dir, "events").groupBy("event_type").agg(
+        F.sum(F.get_json_object("props", "$.k").cast("long")).alias("k_sum"), F.count("*").alias("n")
+    )
 
 
 @query
 def page_id_format(spark, sf_dir):
-    return _read(spark, sf_dir, "documents").select("doc_id", X.page_id(F.col("doc_id")).alias("page_id"), X.page_id(F.col("doc_id") + 123456789).alias("long_id"))
+    return _read(spark, sf_dir, "documents").select(
+        "doc_id", X.page_id(F.col("doc_id")).alias("page_id"), X.page_id(F.col("doc_id") + 123456789).alias("long_id")
+    )
 
 
 @query
@@ -388,24 +452,36 @@ def wiki_id(spark, sf_dir):
 
 @query
 def text_metrics(spark, sf_dir):
-    return _read(spark, sf_dir, "documents").select("doc_id", X.word_count(F.col("text")).cast("long").alias("words"), F.char_length("text").cast("long").alias("chars"), X.slug(_first_line("text")).alias("slug"))
+    return _read(spark, sf_dir, "documents").select(
+        "doc_id", X.word_count(F.col("text")).cast("long").alias("words"), F.char_length("text").cast("long").alias("chars"),
+        X.slug(_first_line("text")).alias("slug")
+    )
 
 
 @query
 def sources_explode(spark, sf_dir):
-    return export.sources(_entities(spark, sf_dir)).select("canonical_name", F.col("place").cast("long").alias("place"), "source_url", "source_title", "source_domain", "evidence_text", "claim_status")
+    return export.sources(_entities(spark, sf_dir)).select(
+        "canonical_name", F.col("place").cast("long").alias("place"), "source_url", "source_title", "source_domain", "evidence_text",
+        "claim_status"
+    )
 
 
 @query
 def sources_rollup(spark, sf_dir):
     rows = _entities(spark, sf_dir)
-    return rows.select("canonical_name", export.source_count(rows).cast("long").alias("source_count"), F.array_join(F.filter(F.transform("sources", lambda s: s["source_url"]), lambda u: F.endswith(u, F.lit("1"))), ", ").alias("urls"))
+    return rows.select(
+        "canonical_name", export.source_count(rows).cast("long").alias("source_count"),
+        F.array_join(F.filter(F.transform("sources", lambda s: s["source_url"]), lambda u: F.endswith(u, F.lit("1"))), ", ").alias("urls")
+    )
 
 
 @query
 def final_wiki_rows(spark, sf_dir):
     rows = export.final_wiki(_entities(spark, sf_dir))
-    return rows.select("canonical_name", "overview", F.col("source_count").cast("long").alias("source_count"), "locations", "aliases", "currency", F.size(F.from_json("sources", "array<struct<source_url string>>")).cast("long").alias("n_sources"))
+    return rows.select(
+        "canonical_name", "overview", F.col("source_count").cast("long").alias("source_count"), "locations", "aliases", "currency",
+        F.size(F.from_json("sources", "array<struct<source_url string>>")).cast("long").alias("n_sources")
+    )
 
 
 @query
@@ -427,7 +503,11 @@ def name_normalize(spark, sf_dir):
 
 
 def _names(spark, sf_dir):
-    return _read(spark, sf_dir, "part").select(F.col("p_partkey").alias("_ord"), R.normalize_name(F.when(F.col("p_partkey") % 5 == 0, F.concat("p_name", F.lit("s"))).otherwise(F.col("p_name"))).alias("name"), F.lit("").alias("location"))
+    return _read(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("_ord"),
+        R.normalize_name(F.when(F.col("p_partkey") % 5 == 0, F.concat("p_name", F.lit("s"))).otherwise(F.col("p_name"))).alias("name"),
+        F.lit("").alias("location")
+    )
 
 
 @query
@@ -443,14 +523,19 @@ def name_review_pairs(spark, sf_dir):
 @query
 def name_aliases(spark, sf_dir):
     known = {"Widget Works": ["red widget", "blue widget"]}
-    return entities.canonical(_read(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("name")), entities.aliases(spark, known)).select("p_partkey", "canonical_name")
+    return entities.canonical(
+        _read(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("name")), entities.aliases(spark, known)
+    ).select("p_partkey", "canonical_name")
 
 
 @query
 def entity_profiles(spark, sf_dir):
     rows = _records(spark, sf_dir)
     made = entities.profiles(rows, rows.select(F.col("entity_name").alias("name"), F.lower("entity_name").alias("cluster")).distinct())
-    return made.select("canonical_name", F.array_join("aliases", ";").alias("aliases"), "entity_type", F.size("sources").cast("long").alias("n_sources"), F.size("key_facts").cast("long").alias("n_facts"))
+    return made.select(
+        "canonical_name", F.array_join("aliases", ";").alias("aliases"), "entity_type", F.size("sources").cast("long").alias("n_sources"),
+        F.size("key_facts").cast("long").alias("n_facts")
+    )
 
 
 @query
@@ -459,17 +544,25 @@ def entity_profiles_clustered(spark, sf_dir):
     rows = _records(spark, sf_dir)
     names = rows.select(F.col("entity_name").alias("name"), "_ord", F.lit("").alias("location"))
     made = entities.profiles(rows, entities.cluster(names)[0])
-    return made.select("canonical_name", F.array_join("aliases", ";").alias("aliases"), "entity_type", F.size("sources").cast("long").alias("n_sources"), F.size("key_facts").cast("long").alias("n_facts"))
+    return made.select(
+        "canonical_name", F.array_join("aliases", ";").alias("aliases"), "entity_type", F.size("sources").cast("long").alias("n_sources"),
+        F.size("key_facts").cast("long").alias("n_facts")
+    )
 
 
 @query
 def related_organizations(spark, sf_dir):
     """Organisations named beside an entity, cleaned as before validation: suppliers of a nation beside each customer."""
-    suppliers = _read(spark, sf_dir, "supplier").where("s_suppkey % 10 = 0").groupBy(F.col("s_nationkey").alias("n")).agg(F.array_sort(F.collect_list(F.struct(F.col("s_name").alias("name"), F.lit("supplier").alias("role")))).alias("own"))
+    suppliers = _read(spark, sf_dir, "supplier").where("s_suppkey % 10 = 0").groupBy(F.col("s_nationkey").alias("n")).agg(
+        F.array_sort(F.collect_list(F.struct(F.col("s_name").alias("name"), F.lit("supplier").alias("role")))).alias("own")
+    )
     rows = _read(spark, sf_dir, "customer").join(suppliers, F.col("c_nationkey") == F.col("n"), "left")
     org = lambda name: F.struct(name.alias("name"), F.lit("partner").alias("role"))
     noise = F.array(org(F.lit("  ")), org(F.upper("c_name")), org(F.lit("Acme ")), org(F.lit("acme")))
-    rows = rows.select("c_custkey", F.concat(F.col("c_name"), F.lit(" ")).alias("entity_name"), F.concat(noise, F.coalesce("own", F.slice(noise, 1, 0))).alias("related_organizations"))
+    rows = rows.select(
+        "c_custkey", F.concat(F.col("c_name"), F.lit(" ")).alias("entity_name"),
+        F.concat(noise, F.coalesce("own", F.slice(noise, 1, 0))).alias("related_organizations")
+    )
     found = validate.normalize_records(rows)
     return found.select("c_custkey", "entity_name", F.array_join(F.transform("related_organizations", lambda o: o["name"]), ";").alias("organizations"))
 
@@ -479,30 +572,45 @@ def dated_records(spark, sf_dir):
     """Publication dates from a side table, for records without one of their own."""
     orders = _read(spark, sf_dir, "orders")
     own = F.when(F.col("o_orderkey") % 3 == 0, F.date_format("o_orderdate", "yyyy-MM-dd")).otherwise("")
-    dates = _read(spark, sf_dir, "lineitem").where("l_linenumber <= 2").select(F.col("l_orderkey").alias("page_id"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("publication_date"))
+    dates = _read(spark, sf_dir, "lineitem").where("l_linenumber <= 2").select(
+        F.col("l_orderkey").alias("page_id"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("publication_date")
+    )
     return entities.with_dates(orders.select(F.col("o_orderkey").alias("page_id"), own.alias("publication_date")), dates)
 
 
 @query
 def validation_with_duplicates(spark, sf_dir):
     """Failures of generation, of validation and repeats of passed facts together, by stage and reason."""
-    earlier = _read(spark, sf_dir, "labels").select(X.page_id(F.col("doc_id")).alias("page_id"), F.when(F.col("quality") == 0, "generation").otherwise("validation").alias("failure_stage"), F.lit("failed").alias("validation_status"))
+    earlier = _read(spark, sf_dir, "labels").select(
+        X.page_id(F.col("doc_id")).alias("page_id"),
+        F.when(F.col("quality") == 0, "generation").otherwise("validation").alias("failure_stage"),
+        F.lit("failed").alias("validation_status")
+    )
     rows = _records(spark, sf_dir).unionByName(_records(spark, sf_dir).withColumn("_ord", F.col("_ord") + 10**9))
     passed, failed = validate.split(validate.validate(rows, _page_texts(spark, sf_dir), fuzzy=False), earlier, order="_ord")
     repeated = F.count_if(F.array_contains("rejection_reasons", "duplicate_record"))
-    return failed.agg(F.count("*").alias("failed"), repeated.alias("repeated"), F.count_if(F.col("failure_stage") == "generation").alias("generation")).crossJoin(passed.agg(F.count("*").alias("passed")))
+    return failed.agg(
+        F.count("*").alias("failed"), repeated.alias("repeated"), F.count_if(F.col("failure_stage") == "generation").alias("generation")
+    ).crossJoin(passed.agg(F.count("*").alias("passed")))
 
 
 @query
 def rollup_counts(spark, sf_dir):
-    rows = _read(spark, sf_dir, "part").select(F.col("p_type").alias("category"), F.col("p_brand").alias("county"), (F.col("p_size") % 4).alias("facilities"), F.col("p_name").alias("source_url"))
+    rows = _read(spark, sf_dir, "part").select(
+        F.col("p_type").alias("category"), F.col("p_brand").alias("county"), (F.col("p_size") % 4).alias("facilities"),
+        F.col("p_name").alias("source_url")
+    )
     return reports.rollup_counts(rows)
 
 
 @query
 def markdown_round_trip(spark, sf_dir):
     rows = _records(spark, sf_dir)
-    pages = rows.select(F.col("entity_name").alias("title"), "entity_type", "supply_chain_category", "page_id", F.lit("").alias("publication_date"), "source_url", F.lit("given").alias("generated_from"), F.array("evidence_text").alias("facts"), F.array().cast("array<string>").alias("links"))
+    pages = rows.select(
+        F.col("entity_name").alias("title"), "entity_type", "supply_chain_category", "page_id", F.lit("").alias("publication_date"),
+        "source_url", F.lit("given").alias("generated_from"), F.array("evidence_text").alias("facts"),
+        F.array().cast("array<string>").alias("links")
+    )
     back = tables.parse_markdown(tables.render_markdown(pages))
     return back.select("page_id", "title", "entity_type", F.size("facts").cast("long").alias("n_facts"), F.get("facts", F.lit(0)).alias("fact"))
 

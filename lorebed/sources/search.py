@@ -140,7 +140,10 @@ def enabled(settings: dict[str, dict], mock_fixture: list[dict] | None = None) -
     """The providers that are on, in order; a mock fixture stands in for all of them."""
     if mock_fixture is not None:
         return [mock(mock_fixture)]
-    found = [http(name, endpoint_for(name, settings[name]), **fields) for name, fields in FIELDS.items() if name != "mock" and settings.get(name, {}).get("enabled")]
+    found = [
+        http(name, endpoint_for(name, settings[name]), **fields) for name,
+        fields in FIELDS.items() if name != "mock" and settings.get(name, {}).get("enabled")
+    ]
     if not found:
         raise ProviderError("no search provider is enabled")
     return found
@@ -170,6 +173,7 @@ def candidates(results: DataFrame, date: str, source_types: DataFrame) -> DataFr
     """Search results as new url candidates; normalized_url and domain are still empty."""
     typed = results.join(source_types.select("query", "source_type"), "query", "left")
     return typed.select(
-        "url", F.lit("").alias("normalized_url"), F.lit("").alias("domain"), "title", "snippet", F.col("query").alias("query_used"), F.col("engine").alias("search_engine"), F.col("rank").cast("string").alias("rank"),
+        "url", F.lit("").alias("normalized_url"), F.lit("").alias("domain"), "title", "snippet", F.col("query").alias("query_used"),
+        F.col("engine").alias("search_engine"), F.col("rank").cast("string").alias("rank"),
         F.lit(date).alias("discovered_date"), F.coalesce("source_type", F.lit("")).alias("source_type"), F.lit("new").alias("status"), F.lit("").alias("notes"),
     )

@@ -46,8 +46,10 @@ def load_yaml(path: str) -> dict:
 def load(config: dict | None = None) -> Settings:
     base = Settings(**{k: v for k, v in (config or {}).items() if k in Settings.__dataclass_fields__})
     return replace(
-        base, search_mock=flag("SEARCH_MOCK", base.search_mock), llm_mock=flag("LLM_MOCK", base.llm_mock), searxng_url=os.environ.get("SEARXNG_URL", base.searxng_url).rstrip("/"),
-        max_iterations=number("MAX_DISCOVERY_ITERATIONS", number("MAX_ITERATIONS", base.max_iterations)), max_urls_to_crawl=number("MAX_URLS_TO_CRAWL", base.max_urls_to_crawl),
+        base, search_mock=flag("SEARCH_MOCK", base.search_mock), llm_mock=flag("LLM_MOCK", base.llm_mock),
+        searxng_url=os.environ.get("SEARXNG_URL", base.searxng_url).rstrip("/"),
+        max_iterations=number("MAX_DISCOVERY_ITERATIONS", number("MAX_ITERATIONS", base.max_iterations)),
+        max_urls_to_crawl=number("MAX_URLS_TO_CRAWL", base.max_urls_to_crawl),
     )
 
 

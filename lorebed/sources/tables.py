@@ -71,7 +71,9 @@ def write_csv_file(rows: DataFrame, path: str, columns: list[str], order: str |
 
     def write(part: DataFrame, folder: str) -> None:
         # Spark's own writer ends lines with one character; a text table takes any separator.
-        cell = lambda c: F.when(F.col(c).rlike('[",\\r\\n]'), F.concat(F.lit('"'), F.replace(F.col(c), F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(F.col(c))
+        cell = lambda c: F.when(
+            F.col(c).rlike('[",\\r\\n]'), F.concat(F.lit('"'), F.replace(F.col(c), F.lit('"'), F.lit('""')), F.lit('"'))
+        ).otherwise(F.col(c))
         header = part.sparkSession.createDataFrame([(",".join(columns),)], "value string").coalesce(1)
         lines = header if empty else header.unionByName(part.select(F.concat_ws(",", *[cell(c) for c in columns]).alias("value")))
         lines.coalesce(1).write.option("lineSep", "\r\n").text(folder)
@@ -119,7 +121,10 @@ def write_jsonl(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
 def read_page_inputs(spark: SparkSession, pattern: str) -> DataFrame:
     """page_id (the file's stem), source_url, page_markdown and path of JSON files with one page each."""
     rows = spark.read.schema("source_url string, page_markdown string").option("multiLine", True).json(pattern)
-    return rows.select(F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(?:\.json)?$", 1).alias("page_id"), "source_url", "page_markdown", F.col("_metadata.file_path").alias("path"))
+    return rows.select(
+        F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(?:\.json)?$", 1).alias("page_id"), "source_url", "page_markdown",
+        F.col("_metadata.file_path").alias("path")
+    )
 
 
 def markdown_by_url(pages: DataFrame) -> DataFrame:
@@ -140,25 +145,38 @@ def parse_markdown(rows: DataFrame, text: str = "value") -> DataFrame:
     field = lambda k: F.regexp_replace(F.trim(F.regexp_extract(front, rf"(?m)^{k}:[ \t]*(.*?)[ \t]*$", 1)), '^"|"$', "")
     section = lambda k: F.regexp_extract(F.col(text), rf"(?s)(?:\A|\n)## {k}[ \t]*\r?\n(.*?)(?=\n## |\z)", 1)
     bullets = lambda c: F.transform(F.filter(F.split(c, r"\r?\n"), lambda x: F.startswith(x, F.lit("- "))), lambda x: F.substr(x, F.lit(3)))
-    return rows.select(*[c for c in rows.columns if c != text], *[field(k).alias(k) for k in _FRONT], bullets(section("Facts")).alias("facts"), bullets(section("Links")).alias("links"))
+    return rows.select(
+        *[c for c in rows.columns if c != text], *[field(k).alias(k) for k in _FRONT], bullets(section("Facts")).alias("facts"),
+        bullets(section("Links")).alias("links")
+    )
 
 
 def render_markdown(rows: DataFrame) -> DataFrame:
     """file_name and value of each page, from the fields that parse_markdown returns."""
-    front = F.concat_ws("\n", F.lit("---"), *[F.concat(F.lit(f"{k}: "), F.concat(F.lit('"'), F.col(k), F.lit('"')) if k == "title" else F.col(k)) for k in _FRONT], F.lit("---"))
+    front = F.concat_ws(
+        "\n", F.lit("---"),
+        *[F.concat(F.lit(f"{k}: "), F.concat(F.lit('"'), F.col(k), F.lit('"')) if k == "title" else F.col(k)) for k in _FRONT], F.lit("---")
+    )
     lines = lambda c: F.array_join(F.transform(c, lambda x: F.concat(F.lit("- "), x)), "\n")
     when = F.when(F.col("publication_date") == "", "?").otherwise(F.col("publication_date"))
     body = [
-        F.concat(F.lit("# "), F.col("title")), F.concat(F.lit("**Type:** "), F.col("entity_type"), F.lit(" · **Role:** "), F.col("supply_chain_category"), F.lit(" · **Published:** "), when),
-        F.concat(F.lit("**Source:** ["), F.col("title"), F.lit("]("), F.col("source_url"), F.lit(") · `"), F.col("page_id"), F.lit("`")), F.concat(F.lit("## Facts\n"), lines("facts")),
+        F.concat(F.lit("# "), F.col("title")),
+        F.concat(F.lit("**Type:** "), F.col("entity_type"), F.lit(" · **Role:** "), F.col("supply_chain_category"), F.lit(" · **Published:** "), when),
+        F.concat(F.lit("**Source:** ["), F.col("title"), F.lit("]("), F.col("source_url"), F.lit(") · `"), F.col("page_id"), F.lit("`")),
+        F.concat(F.lit("## Facts\n"), lines("facts")),
         F.when(F.size("links") > 0, F.concat(F.lit("## Links\n"), lines("links"))),
     ]
-    return rows.select(F.concat("page_id", F.lit("__"), slug(F.col("title")), F.lit(".md")).alias("file_name"), F.concat(F.concat_ws("\n\n", front, *body), F.lit("\n")).alias("value"))
+    return rows.select(
+        F.concat("page_id", F.lit("__"), slug(F.col("title")), F.lit(".md")).alias("file_name"),
+        F.concat(F.concat_ws("\n\n", front, *body), F.lit("\n")).alias("value")
+    )
 
 
 def saved_pages(rows: DataFrame) -> DataFrame:
     """Pages with the relative paths of their blobs, which are columns of a Parquet table here."""
-    return rows.withColumns({"markdown_path": F.concat(F.lit("markdown/"), "page_id", F.lit(".md")), "html_path": F.when(F.col("html").isNull(), "").otherwise(F.concat(F.lit("html/"), "page_id", F.lit(".html")))})
+    return rows.withColumns(
+        {"markdown_path": F.concat(F.lit("markdown/"), "page_id", F.lit(".md")), "html_path": F.when(F.col("html").isNull(), "").otherwise(F.concat(F.lit("html/"), "page_id", F.lit(".html")))}
+    )
 
 
 def union_shards(shards: list[DataFrame]) -> DataFrame:

@@ -71,7 +71,9 @@ def merge_queries(spark, options):
     if options.iteration > MAX_ITERATIONS:
         raise SystemExit(f"iteration {options.iteration} is beyond {MAX_ITERATIONS}")
     prior = tables.read_csv(spark, options.prior, QUERY_COLUMNS) if options.prior else tables.read_csv(spark, options.source, QUERY_COLUMNS).limit(0)
-    return discovery.merge_new(tables.read_csv(spark, options.source, QUERY_COLUMNS).selectExpr("*", "0 AS t"), prior, options.iteration, options.limit), QUERY_COLUMNS
+    return discovery.merge_new(
+        tables.read_csv(spark, options.source, QUERY_COLUMNS).selectExpr("*", "0 AS t"), prior, options.iteration, options.limit
+    ), QUERY_COLUMNS
 
 
 @stage

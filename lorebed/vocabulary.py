@@ -10,8 +10,10 @@ CRAWL_COLUMNS = ["url", "normalized_url", "domain", "crawl_status", "http_status
 DOMAIN_SUMMARY_COLUMNS = ["domain", "url_count", "priority", "sample_titles"]
 SOURCE_COLUMNS = ["canonical_name", "source_url", "source_title", "source_domain", "evidence_text", "claim_status"]
 ENTITY_COLUMNS = [
-    "canonical_name", "aliases", "entity_type", "title", "overview", "locations", "supply_chain_categories", "facilities", "investment", "jobs", "workforce_programs", "related_organizations",
-    "timeline", "key_facts", "source_count", "sources", "confidence_score", "publication_date_range", "claim_status", "currency", "as_of", "conflicts_or_uncertainties", "details",
+    "canonical_name", "aliases", "entity_type", "title", "overview", "locations", "supply_chain_categories", "facilities", "investment",
+    "jobs", "workforce_programs", "related_organizations",
+    "timeline", "key_facts", "source_count", "sources", "confidence_score", "publication_date_range", "claim_status", "currency", "as_of",
+    "conflicts_or_uncertainties", "details",
 ]
 ENTITY_JSON = {"aliases", "locations", "supply_chain_categories", "facilities", "investment", "jobs", "workforce_programs", "related_organizations", "timeline", "key_facts", "sources", "conflicts_or_uncertainties"}
 
@@ -20,11 +22,13 @@ FRONTIER_STATUSES = ["new", "queued", "crawled", "failed", "duplicate", "rejecte
 PRIORITY_ORDER = ["high", "medium", "low", "skip"]
 STATUS_OF_PRIORITY = {"high": "queued", "medium": "queued", "low": "needs_review", "skip": "rejected"}
 ENTITY_TYPES = [
-    "company", "facility", "joint_venture", "government_program", "investment_announcement", "supplier_relationship", "battery_material", "charging_infrastructure", "workforce_training",
+    "company", "facility", "joint_venture", "government_program", "investment_announcement", "supplier_relationship", "battery_material",
+    "charging_infrastructure", "workforce_training",
     "research_center", "policy_or_incentive", "event", "person",
 ]
 CATEGORIES = [
-    "vehicle_manufacturing", "battery_cell_manufacturing", "battery_materials", "battery_recycling", "power_electronics", "thermal_management", "charging_infrastructure", "automotive_components",
+    "vehicle_manufacturing", "battery_cell_manufacturing", "battery_materials", "battery_recycling", "power_electronics",
+    "thermal_management", "charging_infrastructure", "automotive_components",
     "logistics", "workforce_training", "government_support", "research_and_development", "unknown",
 ]
 CLAIM_STATUSES = ["announced", "under_construction", "operational", "cancelled", "superseded"]
@@ -45,11 +49,14 @@ TRACKING_PARAMETERS = ["utm_source", "utm_medium", "utm_campaign", "utm_term", "
 PRIORITY_RULES = {
     "skip": ["facebook.com", "instagram.com", "twitter.com", "x.com", "tiktok.com", "youtube.com", "linkedin.com", "reddit.com"],
     "high": [
-        ".gov", "georgia.org", "georgiaquickstart.org", "selectgeorgia.com", "developmentauthority", "chooseaugusta", "savannahjda.com", "hyundai.com", "hyundaimotorgroup.com",
-        "hyundainews.com", "kia.com", "kianewscenter.com", "rivian.com", "sk.com", "skbatteryamerica.com", "prnewswire.com", "businesswire.com", "globenewswire.com",
+        ".gov", "georgia.org", "georgiaquickstart.org", "selectgeorgia.com", "developmentauthority", "chooseaugusta", "savannahjda.com",
+        "hyundai.com", "hyundaimotorgroup.com",
+        "hyundainews.com", "kia.com", "kianewscenter.com", "rivian.com", "sk.com", "skbatteryamerica.com", "prnewswire.com",
+        "businesswire.com", "globenewswire.com",
     ],
     "medium": [
-        "ajc.com", "savannahnow.com", "bizjournals.com", "gpb.org", "11alive.com", "wsbtv.com", "wtoc.com", "georgiatrend.com", "electrek.co", "insideevs.com", "utilitydive.com",
+        "ajc.com", "savannahnow.com", "bizjournals.com", "gpb.org", "11alive.com", "wsbtv.com", "wtoc.com", "georgiatrend.com",
+        "electrek.co", "insideevs.com", "utilitydive.com",
         "canarymedia.com", "reuters.com", "apnews.com", ".edu",
     ],
     "low": ["blogspot.", "wordpress.", "medium.com", "substack.com", "indeed.com", "ziprecruiter.com", "glassdoor.com", "simplyhired.com", "yelp.com", "pinterest."],
@@ -57,9 +64,12 @@ PRIORITY_RULES = {
 
 # Query templates.
 GENERAL_QUERIES = [
-    '"Georgia" "electric vehicle" "supplier"', '"Georgia" "EV supplier"', '"Georgia" "battery manufacturer"', '"Georgia" "battery materials"', '"Georgia" "electric vehicle manufacturing"',
-    '"Georgia" "automotive supplier" "EV"', '"Georgia" "Hyundai Metaplant" "supplier"', '"Georgia" "Rivian" "supplier"', '"Georgia" "Kia" "electric vehicle"', '"Georgia" "EV battery" "jobs"',
-    '"Georgia" "EV battery" "investment"', '"Georgia" "charging infrastructure" "company"', '"Georgia" "electric mobility" "supplier"', '"Georgia" "battery recycling" "company"',
+    '"Georgia" "electric vehicle" "supplier"', '"Georgia" "EV supplier"', '"Georgia" "battery manufacturer"',
+    '"Georgia" "battery materials"', '"Georgia" "electric vehicle manufacturing"',
+    '"Georgia" "automotive supplier" "EV"', '"Georgia" "Hyundai Metaplant" "supplier"', '"Georgia" "Rivian" "supplier"',
+    '"Georgia" "Kia" "electric vehicle"', '"Georgia" "EV battery" "jobs"',
+    '"Georgia" "EV battery" "investment"', '"Georgia" "charging infrastructure" "company"', '"Georgia" "electric mobility" "supplier"',
+    '"Georgia" "battery recycling" "company"',
     '"Georgia" "cathode" "battery"', '"Georgia" "anode" "battery"', '"Georgia" "electrolyte" "battery"', '"Georgia" "copper foil" "battery"',
 ]
 SITE_TERMS = ['"electric vehicle"', '"battery"', '"Hyundai Metaplant"', '"supplier"', '"electric mobility"', '"EV"', '"jobs" "battery"']
