@@ -19,7 +19,7 @@ def aliases(spark: SparkSession, known: dict[str, list[str]] | None = None) -> D
 def canonical(names: DataFrame, known: DataFrame, name: str = "name") -> DataFrame:
     """The normalised name, with aliases replaced."""
     rows = names.withColumn("__n", normalize_name(F.col(name)))
-    return rows.join(F.broadcast(known), F.col("__n") == F.col("alias"), "left").withColumn("canonical_name", F.coalesce("canonical", "__n")).drop("__n", "alias", "canonical")
+    return rows.join(known, F.col("__n") == F.col("alias"), "left").withColumn("canonical_name", F.coalesce("canonical", "__n")).drop("__n", "alias", "canonical")
 
 
 def _tokens(text: Column, size: int) -> Column:
