@@ -210,7 +210,10 @@ def _search(rows: DataFrame, text_col: str, windows: Windows) -> DataFrame:
                     long, which, where = _longest(item, np.repeat(p, count) - query.places[take], np.repeat(p, count), np.repeat(size, count))
                     if long > longest[i]:
                         longest[i], longest_item[i], longest_at[i] = long, query.ids[which], where
-            new = [pa.array(v, t) for v, t in zip((n_words, spans, items, longest, longest_item, longest_at), (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()), pa.int64(), pa.string(), pa.int64()))]
+            new = [
+                pa.array(v, t) for v,
+                t in zip((n_words, spans, items, longest, longest_item, longest_at), (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()), pa.int64(), pa.string(), pa.int64()))
+            ]
             columns = {names[i]: batch.column(i) for i in kept} | {f.name: c for f, c in zip(_FOUND, new)}
             yield pa.RecordBatch.from_arrays([columns[n] for n in names], names=names)
 
@@ -227,7 +230,10 @@ def _joined(begin: np.ndarray, end: np.ndarray) -> list[int]:
     return np.stack([begin[first], end[np.append(first[1:], len(begin)) - 1]], axis=1).reshape(-1).tolist()
 
 
-def matches(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 13, pass_bytes: int = PASS_BYTES) -> DataFrame:
+def matches(
+    docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 13,
+    pass_bytes: int = PASS_BYTES
+) -> DataFrame:
     """The documents with what the benchmark's windows hit in them.
 
     n_words; spans (first word and the word after the last, of each stretch of hit words, in turn); items (ids as text, sorted);

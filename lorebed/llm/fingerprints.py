@@ -90,7 +90,9 @@ def _compared(rows: pa.RecordBatch, make: Fingerprinter) -> pa.RecordBatch:
     assert not rest
     own, empty = make(data, offsets)
     edited, n_chars = edited_texts(data, offsets)
-    edited_own, edited_empty = make(np.frombuffer(b"".join(edited), dtype=np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in edited])]).astype(np.int64))
+    edited_own, edited_empty = make(
+        np.frombuffer(b"".join(edited), dtype=np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in edited])]).astype(np.int64)
+    )
     where, halo = np.asarray(rows.column(3)), rows.column(4).to_numpy(zero_copy_only=False)
     keep = ~halo[:-1] & (where[1:] == where[:-1])
     columns = [
@@ -103,7 +105,9 @@ def _compared(rows: pa.RecordBatch, make: Fingerprinter) -> pa.RecordBatch:
         pa.array(_near(own[:-1], edited_own, empty[:-1], edited_empty)),
         pa.array(_near(own[:-1], own[1:], empty[:-1], empty[1:])),
     ]
-    return pa.RecordBatch.from_arrays(columns, names=["key", "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]).filter(pa.array(keep))
+    return pa.RecordBatch.from_arrays(
+        columns, names=["key", "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+    ).filter(pa.array(keep))
 
 
 def band_links(reps: DataFrame, path: ChosenPath, bands: int = 25) -> DataFrame:

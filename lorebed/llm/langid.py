@@ -106,7 +106,9 @@ class LanguageModel:
             yield LanguageBlock(names, np.log(counts / counts.sum(axis=1, keepdims=True)), self.log_prior[at : at + size], self.n, self.bits, self.evidence)
 
 
-def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", n: int = 3, bits: int = 16, alpha: float = 0.1, evidence: int = 100) -> LanguageModel | None:
+def fit(
+    labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", n: int = 3, bits: int = 16, alpha: float = 0.1, evidence: int = 100
+) -> LanguageModel | None:
     """Counts the grams of every labelled text, in the tasks and then by (language, bucket); any number of languages.
 
     Rows without text or language don't count. None if no row is left.
@@ -122,7 +124,10 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", n:
         def told() -> Iterator[pa.RecordBatch]:
             for name, table in tables.items():
                 found = np.flatnonzero(table)
-                columns = [pa.array([name] * (len(found) + 1)), pa.array(np.append(found, -1).astype(np.int32)), pa.array(np.append(table[found], docs[name]).astype(np.int64))]
+                columns = [
+                    pa.array([name] * (len(found) + 1)), pa.array(np.append(found, -1).astype(np.int32)),
+                    pa.array(np.append(table[found], docs[name]).astype(np.int64))
+                ]
                 yield pa.RecordBatch.from_arrays(columns, names=["lang", "bucket", "n"])
             tables.clear()
             docs.clear()
@@ -172,7 +177,9 @@ def predict(docs: DataFrame, model: LanguageModel | None, text_col: str = "text"
     apart = set_apart(docs, {text_col})
     rows = apart.withColumns({"__lang": F.lit(UNDETERMINED), "__top": F.lit(None).cast("double"), "__mass": F.lit(None).cast("double")})
     at = rows.columns.index(text_col)
-    schema = T.StructType([*apart.schema.fields, T.StructField("__lang", T.StringType()), T.StructField("__top", T.DoubleType()), T.StructField("__mass", T.DoubleType())])
+    schema = T.StructType(
+        [*apart.schema.fields, T.StructField("__lang", T.StringType()), T.StructField("__top", T.DoubleType()), T.StructField("__mass", T.DoubleType())]
+    )
     for k, block in enumerate(model.blocks(at_once)):
         shared = spark.sparkContext.broadcast(block)
         rows = (stored(rows) if k else rows).mapInArrow(lambda batches, shared=shared: _compared(batches, shared.value, at), schema)

@@ -165,7 +165,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     matched = []
     for k, (name, sequence) in enumerate(RULES):
         wanted = "".join(f"<{i}>" for i in sequence)
-        rows = rows.withColumns({f"match_{k}": F.when(F.contains(F.col("rest"), F.lit(wanted)), F.lit(name)), "rest": F.replace(F.col("rest"), F.lit(wanted), F.lit("<>"))})
+        rows = rows.withColumns(
+            {f"match_{k}": F.when(F.contains(F.col("rest"), F.lit(wanted)), F.lit(name)), "rest": F.replace(F.col("rest"), F.lit(wanted), F.lit("<>"))}
+        )
         matched.append(F.col(f"match_{k}"))
     licences = F.array_join(F.array_distinct(F.array_compact(F.array(*matched))), ";")
     return rows.select("doc_id", licences.alias("licences"), F.array_join("ids", ";").alias("sentence_ids"), "n_sentences", "first_sentence")
@@ -185,7 +187,9 @@ def duckdb_sql(table: str = "documents") -> str:
     steps, last = [], "joined"
     for k, (name, sequence) in enumerate(RULES):
         wanted = "".join(f"<{i}>" for i in sequence)
-        steps.append(f"r{k} AS (SELECT *, CASE WHEN contains(rest{k}, '{wanted}') THEN '{name}' END AS m{k}, replace(rest{k}, '{wanted}', '<>') AS rest{k + 1} FROM {last})")
+        steps.append(
+            f"r{k} AS (SELECT *, CASE WHEN contains(rest{k}, '{wanted}') THEN '{name}' END AS m{k}, replace(rest{k}, '{wanted}', '<>') AS rest{k + 1} FROM {last})"
+        )
         last = f"r{k}"
     names = list(dict.fromkeys(n for n, _ in RULES))
     each = ", ".join("CASE WHEN " + " OR ".join(f"m{k} IS NOT NULL" for k, (x, _) in enumerate(RULES) if x == n) + f" THEN '{n}' END" for n in names)

@@ -63,7 +63,10 @@ def _described(line: str, depth: int) -> tuple[int, bytes, bytes, str, bytes]:
     return n, _named(str(n), *masked[:depth]), _named(str(n), *masked), " ".join(masked), _named(*tokens)
 
 
-def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 3, min_docs: int = 3, min_tokens: int = 4, similarity: float = 0.5, exact_docs: int | None = 2, short_docs: int = 3) -> DataFrame:
+def dropped_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 3, min_docs: int = 3, min_tokens: int = 4,
+    similarity: float = 0.5, exact_docs: int | None = 2, short_docs: int = 3
+) -> DataFrame:
     """(key of the row, places of its dropped lines from 0, ascending), for rows with any.
 
     A line with fewer than ``min_tokens`` tokens, or a template of which less than ``similarity`` is constant, is not dropped as a template.
@@ -86,7 +89,10 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             for first, _, data, offsets in text_blocks(batch.column(1)):
                 text, place, n, field, leaf = _lines(data, offsets, depth)
                 own = counted(n, field)
-                yield pa.RecordBatch.from_arrays([pa.array(leaf[own].view(np.int64)), batch.column(0).take(pa.array(first + text[own])), pa.array(place[own].astype(np.int32))], names=["leaf", "key", "place"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(leaf[own].view(np.int64)), batch.column(0).take(pa.array(first + text[own])), pa.array(place[own].astype(np.int32))],
+                    names=["leaf", "key", "place"]
+                )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -99,7 +105,10 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 told.extend(_described(lines[k], depth) for k in wanted)
             n, leaf, form, line, same = zip(*told) if told else ((),) * 5
             row = pa.array(row, pa.int64())
-            columns = [batch.column(0).take(row), batch.column(1).take(row), pa.array(place, pa.int32()), pa.array(n, pa.int32()), *(pa.array(x, pa.binary()) for x in (leaf, form)), pa.array(line, pa.string()), pa.array(same, pa.binary())]
+            columns = [
+                batch.column(0).take(row), batch.column(1).take(row), pa.array(place, pa.int32()), pa.array(n, pa.int32()),
+                *(pa.array(x, pa.binary()) for x in (leaf, form)), pa.array(line, pa.string()), pa.array(same, pa.binary())
+            ]
             yield pa.RecordBatch.from_arrays(columns, names=["key", "id", "place", "n", "leaf", "form", "line", "same"])
 
     def counted(n: np.ndarray, field: np.ndarray) -> np.ndarray:
@@ -112,7 +121,9 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     wanted = spread_join(rows.select("key", "text").mapInArrow(places, "leaf long, key binary, place int"), busy, ["leaf"], how="left_semi")
     wanted = stored(wanted.groupBy("key").agg(F.collect_set("place").alias("wanted")))
     kind = docs.schema[id_col].dataType.simpleString()
-    lines = stored(rows.join(wanted.hint("merge"), "key").select("key", "id", "text", "wanted").mapInArrow(cut, f"key binary, id {kind}, place int, n int, leaf binary, form binary, line string, same binary"))
+    lines = stored(
+        rows.join(wanted.hint("merge"), "key").select("key", "id", "text", "wanted").mapInArrow(cut, f"key binary, id {kind}, place int, n int, leaf binary, form binary, line string, same binary")
+    )
     discard(wanted)
     long = lines.where(F.col("n") >= min_tokens)
     having = stored(long.select("form", "key").distinct())
@@ -124,13 +135,17 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     open_forms = stored(forms.join(shared, "leaf", "left_semi"))
     discard(forms)
     templates = stored(_templates(open_forms, having, depth, min_docs, similarity))
-    found = spread_join(long.select("key", "id", "place", "form"), templates, ["form"]).select("key", "id", "place", "template", F.lit(min_docs).alias("needed"))
+    found = spread_join(long.select("key", "id", "place", "form"), templates, ["form"]).select(
+        "key", "id", "place", "template", F.lit(min_docs).alias("needed")
+    )
     if exact_docs is not None:
         needed = F.when(F.col("n") >= min_tokens, exact_docs).otherwise(short_docs)
         found = found.unionByName(lines.select("key", "id", "place", F.concat(F.lit(b"="), "same").alias("template"), needed.alias("needed")))
     found = stored(found)
     once = found.groupBy("template", "needed", "id", "key").agg(F.lit(1).alias("one"))
-    recurring = once.groupBy("template", "needed").agg(F.count("*").alias("docs"), F.min(F.struct("id", "key")).alias("first")).where(F.col("docs") >= F.col("needed")).select("template", F.col("first.key").alias("first"))
+    recurring = once.groupBy("template", "needed").agg(
+        F.count("*").alias("docs"), F.min(F.struct("id", "key")).alias("first")
+    ).where(F.col("docs") >= F.col("needed")).select("template", F.col("first.key").alias("first"))
     dropped = spread_join(found.select("key", "place", "template"), recurring, ["template"]).where(F.col("key") != F.col("first"))
     gone = stored(dropped.groupBy("key").agg(F.array_sort(F.collect_set("place")).alias("places")))
     discard(lines, having, open_forms, templates, found)
@@ -140,7 +155,9 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def _templates(forms: DataFrame, having: DataFrame, depth: int, min_docs: int, similarity: float) -> DataFrame:
     """(form, template's name) of the forms of which enough is constant. ``forms`` has form, form_id, leaf, n, line and docs; ``having`` which key has which form."""
     # A token's row is short, however long its line.
-    tail = forms.select("form_id", "leaf", "docs", F.posexplode(F.split("line", " ")).alias("at", "token")).where((F.col("at") >= depth) & (F.col("token") != FIELD))
+    tail = forms.select(
+        "form_id", "leaf", "docs", F.posexplode(F.split("line", " ")).alias("at", "token")
+    ).where((F.col("at") >= depth) & (F.col("token") != FIELD))
     token = ["leaf", "at", "token"]
     seen = tail.groupBy(*token).agg(F.max("docs").alias("most"), F.sum("docs").alias("total")).where(F.col("total") >= min_docs)
     seen = stored(seen.select(*token, (F.col("most") >= min_docs).alias("settled")))
@@ -173,7 +190,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ship(docs.sparkSession)
     docs = docs.drop("n_lines", "n_dropped")
     apart = set_apart(docs, {id_col, text_col})
-    rows = apart.withColumn("__key", keyed(id_col, text_col)).join(dropped_lines(apart, id_col, text_col, **options).withColumnsRenamed({"key": "__key", "places": "__places"}).hint("merge"), "__key", "left")
+    rows = apart.withColumn("__key", keyed(id_col, text_col)).join(
+        dropped_lines(apart, id_col, text_col, **options).withColumnsRenamed({"key": "__key", "places": "__places"}).hint("merge"), "__key",
+        "left"
+    )
     n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(F.length(text_col) - F.length(F.replace(F.col(text_col), F.lit("\n"), F.lit(""))) + 1)
     rows = rows.withColumns({"__n": n_lines.cast("long"), "__gone": F.coalesce(F.size("__places"), F.lit(0)).cast("long")})
     kept = F.pandas_udf(_keep, "string")

@@ -101,7 +101,9 @@ class Pieces:
         alone, left = self.merged(self.chars[ids], self.lengths[ids])
         self.whole = np.zeros(self.n, dtype=bool)
         self.whole[ids] = (left == 1) & (alone[:, 0] == ids)
-        data = [bytes([byte_ids.index(i)]) if i in set(byte_ids) else b"" if i in special else pieces[i].replace(chr(MARK), " ").encode() for i in range(self.n)]
+        data = [
+            bytes([byte_ids.index(i)]) if i in set(byte_ids) else b"" if i in special else pieces[i].replace(chr(MARK), " ").encode() for i in range(self.n)
+        ]
         data[unknown] = " ⁇ ".encode()
         self.byte_starts = np.concatenate([[0], np.cumsum([len(x) for x in data])])
         self.bytes = np.frombuffer(b"".join(data), dtype=np.uint8)
@@ -432,7 +434,10 @@ def encode(docs: DataFrame, pieces: Pieces, text_col: str = "text") -> DataFrame
                 ids, starts, same = shared.value.encode_checked(data, offsets)
                 rows = batch.slice(first, last - first)
                 lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(ids))
-                yield pa.RecordBatch.from_arrays([*rows.columns, lists, pa.array(np.diff(starts)), pa.array(same)], names=[*batch.schema.names, "ids", "n_tokens", "round_trip"])
+                yield pa.RecordBatch.from_arrays(
+                    [*rows.columns, lists, pa.array(np.diff(starts)), pa.array(same)],
+                    names=[*batch.schema.names, "ids", "n_tokens", "round_trip"]
+                )
 
     fields = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType()), T.StructField("round_trip", T.BooleanType())]
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *fields]))

@@ -68,7 +68,9 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_jaccard_join, op2_toxicity, op3_fingerprints, op4_line_dedup, op5_language_id, op6_substring_dedup, op7_pieces, op8_licences, op9_decontamination, op10_url_filter)}
+    return {
+        f.__name__: f for f in (op1_jaccard_join, op2_toxicity, op3_fingerprints, op4_line_dedup, op5_language_id, op6_substring_dedup, op7_pieces, op8_licences, op9_decontamination, op10_url_filter)
+    }
 
 
 def oracle_sql() -> dict[str, str]:

@@ -92,7 +92,9 @@ def _ordinal(x: list[np.ndarray], y: np.ndarray, n_features: int, grades: int, p
         np.add.at(by_theta, y, -slope[np.arange(len(x)), y] / own)
         np.add.at(by_theta, y + 1, slope[np.arange(len(x)), y + 1] / own)
         by_theta = by_theta[1:grades]
-        grad = np.concatenate([np.bincount(columns, weights=(by_score * value)[rows], minlength=n_features) - penalty * w, [by_theta.sum()], np.cumsum(by_theta[::-1])[::-1][1:] * gap]) / len(x)
+        grad = np.concatenate(
+            [np.bincount(columns, weights=(by_score * value)[rows], minlength=n_features) - penalty * w, [by_theta.sum()], np.cumsum(by_theta[::-1])[::-1][1:] * gap]
+        ) / len(x)
         m, v = 0.9 * m + 0.1 * grad, 0.98 * v + 0.02 * grad**2
         params = params + 0.1 * (1 - (t - 1) / steps) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.98**t)) + 1e-8)
     gap = np.exp(params[n_features + 1 :])
@@ -100,7 +102,8 @@ def _ordinal(x: list[np.ndarray], y: np.ndarray, n_features: int, grades: int, p
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", grade_col: str = "grade", sample_rows: int = SAMPLE_ROWS, bits: int = 20, chance: float = 0.01, least_rate: float = 12.0, penalty: float = 0.01, steps: int = 800
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", grade_col: str = "grade",
+    sample_rows: int = SAMPLE_ROWS, bits: int = 20, chance: float = 0.01, least_rate: float = 12.0, penalty: float = 0.01, steps: int = 800
 ) -> OrdinalModel | None:
     """Learns severity grades, 0 for harmless texts and up, from at most ``sample_rows`` labelled documents, a fixed choice by the hash of their ids.
 

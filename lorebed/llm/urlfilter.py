@@ -74,7 +74,10 @@ def host_links(pages: DataFrame, host_col: str = "host", html_col: str = "html")
     """(source, target, n) for each two different hosts, one of which links to the other."""
     urls = F.array_distinct(F.regexp_extract_all(F.coalesce(F.col(html_col), F.lit("")), F.lit(LINK), F.lit(1)))
     links = pages.select(F.col(host_col).alias("source"), F.explode(urls).alias("url"))
-    links = links.select("source", host_of(F.when(F.startswith("url", F.lit("//")), F.concat(F.lit("http:"), F.col("url"))).otherwise(F.col("url"))).alias("target"))
+    links = links.select(
+        "source",
+        host_of(F.when(F.startswith("url", F.lit("//")), F.concat(F.lit("http:"), F.col("url"))).otherwise(F.col("url"))).alias("target")
+    )
     return links.where("source <> '' AND target <> '' AND source <> target").groupBy("source", "target").agg(F.count("*").alias("n"))
 
 
@@ -85,7 +88,9 @@ def propagate(links: DataFrame, trusted: DataFrame, blocked: DataFrame, damping:
     the seeds' pages. What a host without links can't pass on goes back to the seeds. Both run at once, as ranks of two kinds over the links and
     over the reversed links; the ranks are written to the shared folder every ``steps_per_table`` steps, which ends their lineage.
     """
-    both = links.select(F.lit("trust").alias("kind"), "source", "target", "n").unionByName(links.select(F.lit("distrust").alias("kind"), F.col("target").alias("source"), F.col("source").alias("target"), "n"))
+    both = links.select(F.lit("trust").alias("kind"), "source", "target", "n").unionByName(
+        links.select(F.lit("distrust").alias("kind"), F.col("target").alias("source"), F.col("source").alias("target"), "n")
+    )
     out = both.groupBy("kind", "source").agg(F.sum("n").alias("total"))
     edges = stored(both.join(out, ["kind", "source"]).select("kind", "source", "target", (F.col("n") / F.col("total")).alias("share")))
     seeds = trusted.select(F.lit("trust").alias("kind"), "host", "pages").unionByName(blocked.select(F.lit("distrust").alias("kind"), "host", "pages"))
@@ -93,8 +98,12 @@ def propagate(links: DataFrame, trusted: DataFrame, blocked: DataFrame, damping:
     total = stored(start.groupBy("kind").agg(F.sum("score").alias("all")))  # a row for each of the two kinds
     ranks, tables = start, [edges, start, total]
     for k in range(steps):
-        passed = ranks.withColumnRenamed("host", "source").join(edges, ["kind", "source"]).groupBy("kind", F.col("target").alias("host")).agg(F.sum(damping * F.col("score") * F.col("share")).alias("score"))
-        back = total.join(passed.groupBy("kind").agg(F.sum("score").alias("sum")), "kind", "left").select("kind", (1 - F.coalesce("sum", F.lit(0.0)) / F.col("all")).alias("back"))
+        passed = ranks.withColumnRenamed("host", "source").join(edges, ["kind", "source"]).groupBy("kind", F.col("target").alias("host")).agg(
+            F.sum(damping * F.col("score") * F.col("share")).alias("score")
+        )
+        back = total.join(passed.groupBy("kind").agg(F.sum("score").alias("sum")), "kind", "left").select(
+            "kind", (1 - F.coalesce("sum", F.lit(0.0)) / F.col("all")).alias("back")
+        )
         again = start.join(F.broadcast(back), "kind").select("kind", "host", (F.col("score") * F.col("back")).alias("score"))
         ranks = passed.unionByName(again).groupBy("kind", "host").agg(F.sum("score").alias("score"))
         if (k + 1) % steps_per_table == 0:
@@ -102,7 +111,9 @@ def propagate(links: DataFrame, trusted: DataFrame, blocked: DataFrame, damping:
             tables.append(ranks)
     ranks = ranks.join(F.broadcast(total), "kind").withColumn("rank", F.col("score") / F.col("all"))
     of = lambda kind, c, name: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col(c))), F.lit(0.0)).alias(name)
-    scores = stored(ranks.groupBy("host").agg(of("trust", "rank", "trust"), of("distrust", "rank", "distrust"), of("trust", "score", "trust_pages"), of("distrust", "score", "distrust_pages")))
+    scores = stored(
+        ranks.groupBy("host").agg(of("trust", "rank", "trust"), of("distrust", "rank", "distrust"), of("trust", "score", "trust_pages"), of("distrust", "score", "distrust_pages"))
+    )
     discard(*tables)
     return scores
 
@@ -111,7 +122,10 @@ def propagate(links: DataFrame, trusted: DataFrame, blocked: DataFrame, damping:
 TIE = 1e-9
 
 
-def judge(pages: DataFrame, rules: list[Rule] = RULES, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", damping: float = 0.85, steps: int = 20) -> DataFrame:
+def judge(
+    pages: DataFrame, rules: list[Rule] = RULES, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
+    damping: float = 0.85, steps: int = 20
+) -> DataFrame:
     """page_id, host, path, rule and verdict of every page.
 
     The verdict is that of the longest rule which fits the url; else ``block`` if more distrust than trust reaches the page's host, else
@@ -121,7 +135,10 @@ def judge(pages: DataFrame, rules: list[Rule] = RULES, id_col: str = "page_id",
     """
     rows = judged(pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")), rules)
     seeds = rows.where(F.col("by_rule").isNotNull() & (F.col("host") != "")).groupBy("by_rule", "host").agg(F.count("*").alias("pages"))
-    scores = propagate(host_links(rows), *(seeds.where(F.col("by_rule") == v).select("host", "pages") for v in ("allow", "block")), damping=damping, steps=steps)
+    scores = propagate(
+        host_links(rows), *(seeds.where(F.col("by_rule") == v).select("host", "pages") for v in ("allow", "block")), damping=damping,
+        steps=steps
+    )
     bad = scores.where(F.col("distrust_pages") > F.col("trust_pages") * (1 + TIE) + TIE).select("host", F.lit("block").alias("by_links"))
     rows = spread_join(rows.select("page_id", "host", "path", "rule", "by_rule"), bad, ["host"], by="page_id", how="left")
     return rows.select("page_id", "host", "path", "rule", F.coalesce("by_rule", "by_links", F.lit("allow")).alias("verdict"))
@@ -131,7 +148,9 @@ def duckdb_sql(rules: list[Rule] = RULES, damping: float = 0.85, steps: int = 20
     """The same in DuckDB, with every step written out."""
     lower = lambda c: f"translate({c}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     host = lambda c: lower(f"coalesce(regexp_extract({c}, '(?s)^.*?://([^/?#]*)', 1), '')")
-    case = lambda f: "CASE " + " ".join(f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{f(r)}'" for r in ranked(rules)) + " END"
+    case = lambda f: "CASE " + " ".join(
+        f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{f(r)}'" for r in ranked(rules)
+    ) + " END"
     step = lambda k: f"""p{k} AS MATERIALIZED (SELECT e.kind, e.target AS host, sum({damping} * r.score * e.share) AS score FROM r{k} r JOIN edges e ON e.kind = r.kind AND e.source = r.host GROUP BY 1, 2),
 b{k} AS MATERIALIZED (SELECT kind, 1 - coalesce((SELECT sum(score) FROM p{k} WHERE p{k}.kind = t.kind), 0) / t.total AS back FROM t),
 r{k + 1} AS MATERIALIZED (SELECT kind, host, sum(score) AS score FROM (SELECT * FROM p{k} UNION ALL SELECT kind, host, score * back FROM r0 JOIN b{k} USING (kind)) GROUP BY 1, 2)"""

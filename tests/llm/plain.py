@@ -71,7 +71,10 @@ def contaminated(docs: list[tuple], items: list[tuple], window: int = 13) -> dic
     return out
 
 
-def without_lines(docs: list[tuple], depth: int = 3, min_docs: int = 3, min_tokens: int = 4, similarity: float = 0.5, exact_docs: int | None = 2, short_docs: int = 3) -> dict:
+def without_lines(
+    docs: list[tuple], depth: int = 3, min_docs: int = 3, min_tokens: int = 4, similarity: float = 0.5, exact_docs: int | None = 2,
+    short_docs: int = 3
+) -> dict:
     """id -> places of the lines that go, from the operator's description: the tree, its leaves, their templates."""
     lines = {(k, i): re.findall(r"[^\x09-\x0D\x20]+", x) for k, t in docs for i, x in enumerate((t or "").split("\n"))}
     masked = {at: ["<*>" if re.search("[0-9]", t) else t for t in w] for at, w in lines.items()}

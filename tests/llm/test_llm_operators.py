@@ -21,7 +21,11 @@ from lorebed.llm import chosenpath, components, decontam, fingerprints, job, lan
 
 DOC = "doc_id long, text string, lang string, source string"
 LONG = "word " * 60_000
-ODD = [(1, None, None, None), (2, "", "en", "s"), (3, "  \n\t ", None, "s"), (4, "same text of some words here", "en", None), (5, "same text of some words here", "en", "s"), (5, "same text of some words here", "en", "s"), (None, "no id", "en", "s"), (6, LONG, "en", "s"), (7, "Ünïcödé 日本 🙂 ß", "de", "s")]
+ODD = [
+    (1, None, None, None), (2, "", "en", "s"), (3, "  \n\t ", None, "s"), (4, "same text of some words here", "en", None),
+    (5, "same text of some words here", "en", "s"), (5, "same text of some words here", "en", "s"), (None, "no id", "en", "s"),
+    (6, LONG, "en", "s"), (7, "Ünïcödé 日本 🙂 ß", "de", "s")
+]
 
 
 @pytest.fixture(scope="module")
@@ -85,7 +89,9 @@ def test_hashes_of_spans_tell_twins_apart():
     for key in (0, 5):
         a, b = textblocks.hash_spans(data, np.array([0, 1025]), np.array([1024, 2049]), key)
         assert a != b
-    assert textblocks.same_spans(data, np.array([0, 0, 3]), np.array([1024, 2, 3]), data, np.array([1025, 1, 7]), np.array([2049, 3, 7])).tolist() == [False, False, True]
+    assert textblocks.same_spans(
+        data, np.array([0, 0, 3]), np.array([1024, 2, 3]), data, np.array([1025, 1, 7]), np.array([2049, 3, 7])
+    ).tolist() == [False, False, True]
 
 
 def test_a_long_span_has_the_hash_of_its_place(monkeypatch):
@@ -123,7 +129,9 @@ def test_confused_words_are_told_apart(monkeypatch, vocabulary):
     fresh = pieces.load(queries.PIECES_FILE)
     (_, _, data, offsets), *_ = textblocks.text_blocks(pa.array(texts))
     ids, at, same = fresh.encode_checked(data, offsets)
-    assert same.all() and [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [vocabulary.encode(*next(textblocks.text_blocks(pa.array([t])))[2:])[0].tolist() for t in texts]
+    assert same.all() and [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [
+        vocabulary.encode(*next(textblocks.text_blocks(pa.array([t])))[2:])[0].tolist() for t in texts
+    ]
 
 
 def test_a_text_beyond_a_block_stays_whole():
@@ -367,13 +375,17 @@ def test_toxicity_query_against_plain(spark, texts):
         marks = set()
         for w in {w.encode() for w in re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(low))}:
             if w not in known:
-                known[w] = {p for p in (model.place[h >> 64 - model.bits] for h in (hashed(w), *(mixed(hashed(w[:n]) + n) for n in toxicity.PREFIXES if len(w) > n))) if p >= 0}
+                known[w] = {
+                    p for p in (model.place[h >> 64 - model.bits] for h in (hashed(w), *(mixed(hashed(w[:n]) + n) for n in toxicity.PREFIXES if len(w) > n))) if p >= 0
+                }
             marks |= known[w]
         score = sum(model.weights[m] for m in marks) / max(1, len(marks))
         at_least = [1 / (1 + math.exp(t - score)) for t in model.thresholds]
         each = [a - b for a, b in zip([1.0, *at_least], [*at_least, 0.0])]
         r = got[k]
-        assert (r.p_toxic, r.severity) == (pytest.approx(at_least[0]), pytest.approx(sum(g * p for g, p in enumerate(each)))) and each[r.grade] == pytest.approx(max(each)) and r.toxic == (r.p_toxic >= 0.5)
+        assert (r.p_toxic, r.severity) == (
+            pytest.approx(at_least[0]), pytest.approx(sum(g * p for g, p in enumerate(each)))
+        ) and each[r.grade] == pytest.approx(max(each)) and r.toxic == (r.p_toxic >= 0.5)
 
 
 def test_marks_are_beyond_chance():
@@ -390,7 +402,9 @@ def test_toxicity_of_odd_rows(spark, odd, nothing):
     got = toxicity.score(odd.withColumn("toxic", F.lit("old")), model)
     assert got.count() == len(ODD) and dict(got.dtypes)["toxic"] == "boolean" and got.select("severity").distinct().count() == 1
     assert toxicity.fit(nothing, labels) is None and toxicity.score(odd, None).where("toxic").count() == 0 and toxicity.score(nothing, model).count() == 0
-    assert {tuple(r) for r in toxicity.graded(spark.createDataFrame([(0, 0), (1, 1), (1, 0), (1, None), (None, 0)], "toxic int, quality int")).select("toxic", "quality", "grade").collect()} == {(0, 0, 0), (1, 1, 1), (1, 0, 2), (1, None, 1), (None, 0, None)}
+    assert {
+        tuple(r) for r in toxicity.graded(spark.createDataFrame([(0, 0), (1, 1), (1, 0), (1, None), (None, 0)], "toxic int, quality int")).select("toxic", "quality", "grade").collect()
+    } == {(0, 0, 0), (1, 1, 1), (1, 0, 2), (1, None, 1), (None, 0, None)}
 
 
 # ---- 4: lines
@@ -405,7 +419,10 @@ def test_lines_with_variable_fields(spark):
 
 def test_lines_that_two_documents_have(spark):
     long, dated, short = "the same notice stands in exactly two documents", "Copyright 2024 by some people of 1 place", "All rights reserved."
-    texts = [f"{long}\nbegin {short}", f"{long} \n{dated}\nown words of second text", f"{dated}\n{short}\nPage 7", f" {short}\nPage 7\nrare words", f"{short}\nPage 7\nrare words"]
+    texts = [
+        f"{long}\nbegin {short}", f"{long} \n{dated}\nown words of second text", f"{dated}\n{short}\nPage 7",
+        f" {short}\nPage 7\nrare words", f"{short}\nPage 7\nrare words"
+    ]
     got = [r.text for r in linededup.dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
     assert got == [texts[0], f"{dated}\nown words of second text", f"{short}\nPage 7", "Page 7\nrare words", "Page 7\nrare words"]
 
@@ -424,9 +441,13 @@ def test_exact_lines_against_plain(spark):
 
 
 def test_lines_against_plain(spark):
-    for seed, (docs_, options) in enumerate([(70, {}), (60, {"min_docs": 2, "similarity": 0.8}), (50, {"min_docs": 4, "depth": 2}), (60, {"exact_docs": None, "min_docs": 2, "depth": 1}), (40, {"min_tokens": 2, "depth": 4, "short_docs": 2})]):
+    for seed, (docs_, options) in enumerate(
+        [(70, {}), (60, {"min_docs": 2, "similarity": 0.8}), (50, {"min_docs": 4, "depth": 2}), (60, {"exact_docs": None, "min_docs": 2, "depth": 1}), (40, {"min_tokens": 2, "depth": 4, "short_docs": 2})]
+    ):
         rng = random.Random(seed)
-        line = lambda: " ".join(rng.choice("a b c d2 7".split()) if rng.random() < 0.8 else f"r{rng.choice('xyzuvw')}" for _ in range(rng.randint(0, 7)))
+        line = lambda: " ".join(
+            rng.choice("a b c d2 7".split()) if rng.random() < 0.8 else f"r{rng.choice('xyzuvw')}" for _ in range(rng.randint(0, 7))
+        )
         rows = [(i, "\n".join(line() for _ in range(rng.randint(1, 9)))) for i in range(docs_)]
         rows += [(900 + i, rng.choice(rows)[1]) for i in range(3)]
         got = {r.doc_id: r for r in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), **options).collect()}
@@ -438,7 +459,10 @@ def test_lines_against_plain(spark):
 def test_a_document_counts_once_in_a_leaf(spark):
     """What one document repeats isn't constant for it, and saves no boilerplate elsewhere."""
     for repeats in range(4):
-        texts = ["\n".join(["alpha beta gamma red one", *(f"alpha beta gamma red {w}" for w in ["two", "three", "four"][:repeats])]), "alpha beta gamma blue x", "alpha beta gamma green y"]
+        texts = [
+            "\n".join(["alpha beta gamma red one", *(f"alpha beta gamma red {w}" for w in ["two", "three", "four"][:repeats])]),
+            "alpha beta gamma blue x", "alpha beta gamma green y"
+        ]
         rows = list(enumerate(texts, 1))
         got = [r.n_dropped for r in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()]
         assert got == [0, 1, 1] == [len(v) for v in plain.without_lines(rows).values()]
@@ -471,8 +495,12 @@ def test_languages_held_out(docs):
 def test_languages_against_plain(spark):
     """All at once and a few at a time: the same likeliest language and score as by the plain formula."""
     rng = random.Random(8)
-    words = {lang: [rng.choice(["ba", "ko", "schö", "ñu", "ré", "th"]) + rng.choice([lang, "xi", "lo"]) for _ in range(12)] for lang in ("aa", "bb", "cc", "dd", "ee")}
-    made = [(" ".join(rng.choice(words[lang]).upper() if rng.random() < 0.2 else rng.choice(words[rng.choice([lang, lang, "aa"])]) for _ in range(rng.randint(0, 40))) + rng.choice(["", "!?", " 12"]), lang) for lang in rng.choices(sorted(words), k=60)]
+    words = {
+        lang: [rng.choice(["ba", "ko", "schö", "ñu", "ré", "th"]) + rng.choice([lang, "xi", "lo"]) for _ in range(12)] for lang in ("aa", "bb", "cc", "dd", "ee")
+    }
+    made = [
+        (" ".join(rng.choice(words[lang]).upper() if rng.random() < 0.2 else rng.choice(words[rng.choice([lang, lang, "aa"])]) for _ in range(rng.randint(0, 40))) + rng.choice(["", "!?", " 12"]), lang) for lang in rng.choices(sorted(words), k=60)
+    ]
     made += [(None, "aa"), ("ba", None), ("", "bb"), ("12 !", "cc"), ("x", "dd")]
     number = lambda gram: int(langid.char_grams(np.frombuffer(gram.encode(), np.uint8), np.array([0, len(gram.encode())]), 3, 16)[0][0])
     want = plain.languages(made, [t for t, _ in made], number)
@@ -484,7 +512,10 @@ def test_languages_against_plain(spark):
 
 
 def test_many_languages(spark):
-    frame = spark.createDataFrame([(i, f"text of {chr(97 + i % 26) * 3} {chr(97 + i // 26) * 4}", f"l{i:03}") for i in range(300)], "doc_id long, text string, lang string")
+    frame = spark.createDataFrame(
+        [(i, f"text of {chr(97 + i % 26) * 3} {chr(97 + i // 26) * 4}", f"l{i:03}") for i in range(300)],
+        "doc_id long, text string, lang string"
+    )
     got = langid.predict(frame, langid.fit(frame), at_once=128).collect()
     assert sum(r.lang == r.lang_pred for r in got) > 290
 
@@ -507,7 +538,9 @@ def test_substrings_against_plain(spark, window, gram):
     rng = random.Random(window)
     rows = [(i, " ".join(rng.choice("abc") for _ in range(rng.randint(0, 60)))) for i in range(150)]
     rows += [(400, "x " * 50), (401, None), (402, ""), (403, "p q " * 30), (405, "\t\n "), (406, " ".join(map(str, range(80))))]
-    got = {r.doc_id: (r.n_words, r.n_removed, r.text) for r in substrings.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string"), window=window, gram=gram).collect()}
+    got = {
+        r.doc_id: (r.n_words, r.n_removed, r.text) for r in substrings.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string"), window=window, gram=gram).collect()
+    }
     assert got == plain.without_repeats(rows, window)
 
 
@@ -529,7 +562,10 @@ def test_pieces_as_the_library(vocabulary, texts):
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=queries.PIECES_FILE)
-    odd_ = ["a  b", " x", "x ", "a\nb\t　c", "", "  ", "ﬁ Å①", "aaaaaaaaaaa", "-" * 41 + "  =", " " * 50 + "a", " " * 14, " " * 50 + "①   ", "<s> </s> <0x0A> <unk>", "日本語 漢字", "🙂🙂 🙂", "a   ① b"]
+    odd_ = [
+        "a  b", " x", "x ", "a\nb\t　c", "", "  ", "ﬁ Å①", "aaaaaaaaaaa", "-" * 41 + "  =", " " * 50 + "a", " " * 14, " " * 50 + "①   ",
+        "<s> </s> <0x0A> <unk>", "日本語 漢字", "🙂🙂 🙂", "a   ① b"
+    ]
     every = odd_ + [t for _, t in texts]
     ids = []
     for _, _, data, offsets in textblocks.text_blocks(pa.array(every)):
@@ -545,7 +581,10 @@ def test_long_words_as_the_library(vocabulary):
 
     model = sentencepiece.SentencePieceProcessor(model_file=queries.PIECES_FILE)
     rng = random.Random(2)
-    long = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzABC0123=/+") for _ in range(100_000)), "日本語漢字仮名交じり文" * 2000, "a" * 3000, "ab" * 700 + "①" + "-" * 900, *("x" * n for n in range(44, 70))]
+    long = [
+        "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABC0123=/+") for _ in range(100_000)), "日本語漢字仮名交じり文" * 2000, "a" * 3000,
+        "ab" * 700 + "①" + "-" * 900, *("x" * n for n in range(44, 70))
+    ]
     for t in long:
         (_, _, data, offsets), *_ = textblocks.text_blocks(pa.array([t]))
         ids, _, same = vocabulary.encode_checked(data, offsets)
@@ -563,7 +602,9 @@ def test_one_piece_is_admissible_at_each_end(vocabulary):
             fine = []
             for size in range(1, end + 1):
                 piece = found[end, r, size - 1] if size <= found.shape[2] else -1
-                if piece >= 0 and (vocabulary.whole[piece] if size == end else vocabulary.admissible(last[end - size, r : r + 1], np.array([piece], dtype=np.int64))[0]):
+                if piece >= 0 and (
+                    vocabulary.whole[piece] if size == end else vocabulary.admissible(last[end - size, r : r + 1], np.array([piece], dtype=np.int64))[0]
+                ):
                     fine.append((int(piece), size))
             assert fine == [(last[end, r], back[end, r])]
 
@@ -732,12 +773,20 @@ def test_licences_as_published(spark, shape):
         "narrow": lambda t: "\n\n".join("\n".join(textwrap.wrap(x, 30)) for x in t.split("\n\n")),
     }
     rows = [(name, "Some words before.\n\n" + change[shape](t)) for name, t in PUBLISHED.items()]
-    assert {r.doc_id: r.licences for r in licences.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()} == {name: name for name in PUBLISHED}
+    assert {
+        r.doc_id: r.licences for r in licences.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    } == {name: name for name in PUBLISHED}
 
 
 def test_sentences_end_at_blank_lines_and_marks(spark):
-    texts = ["Released under the\n\nMIT License", "Released under the. MIT License", "Released under the\nMIT License", "Not released under the MIT License", "a; Released under the MIT License; b", "One. Two\n\nthree\nReleased under the\nMIT License, v. 2"]
-    got = [(r.licences, r.n_sentences, r.first_sentence) for r in licences.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    texts = [
+        "Released under the\n\nMIT License", "Released under the. MIT License", "Released under the\nMIT License",
+        "Not released under the MIT License", "a; Released under the MIT License; b",
+        "One. Two\n\nthree\nReleased under the\nMIT License, v. 2"
+    ]
+    got = [
+        (r.licences, r.n_sentences, r.first_sentence) for r in licences.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    ]
     assert got == [("", 2, None), ("", 2, None), ("MIT", 2, 0), ("", 1, None), ("MIT", 1, 0), ("", 6, None)]
 
 
@@ -758,7 +807,9 @@ def test_contamination_against_plain(spark):
     rng = random.Random(9)
     word = lambda: rng.choice("abcd") + rng.choice(["", "é", "1"])
     items = [(i, " ".join(word() for _ in range(rng.randint(0, 20)))) for i in range(12)] + [(None, "one-two"), (7, "again words"), (7, "x" * 30), (20, None)]
-    docs_ = [(i, " ".join(word() for _ in range(rng.randint(0, 60))) + rng.choice(["", " Again WORDS!", "\n" + items[i % 12][1].upper()])) for i in range(80)] + [(100, None), (101, ""), (102, "One.Two")]
+    docs_ = [
+        (i, " ".join(word() for _ in range(rng.randint(0, 60))) + rng.choice(["", " Again WORDS!", "\n" + items[i % 12][1].upper()])) for i in range(80)
+    ] + [(100, None), (101, ""), (102, "One.Two")]
     a, b = spark.createDataFrame(docs_, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     want = plain.contaminated(docs_, items)
     for size in (1 << 25, 200):
@@ -769,7 +820,9 @@ def test_contamination_against_plain(spark):
 def test_longest_match(spark):
     item = " ".join(f"t{k}" for k in range(30))
     doc = "x y " + " ".join(f"t{k}" for k in range(3, 25)) + " z"
-    r = decontam.verdicts(spark.createDataFrame([(1, doc)], "doc_id long, text string"), spark.createDataFrame([(5, item)], "item_id long, text string")).first()
+    r = decontam.verdicts(
+        spark.createDataFrame([(1, doc)], "doc_id long, text string"), spark.createDataFrame([(5, item)], "item_id long, text string")
+    ).first()
     assert (r.longest, r.longest_item, r.longest_at, list(r.spans)) == (22, "5", 2, [2, 24])
 
 
@@ -785,7 +838,10 @@ def test_contamination_of_odd_rows(spark, odd, nothing):
 
 
 def test_rules_and_parts(spark):
-    urls = ["http://A.example.org/en/1?x", "https://example.org/es/a", "http://x.com/de/", "http://x.com/fr/1#y", "http://x.net/q", "https://b.org", None, "no-scheme/x", "://h.org/p", "http://notexample.org/es/", "x?u=http://q.org/a"]
+    urls = [
+        "http://A.example.org/en/1?x", "https://example.org/es/a", "http://x.com/de/", "http://x.com/fr/1#y", "http://x.net/q",
+        "https://b.org", None, "no-scheme/x", "://h.org/p", "http://notexample.org/es/", "x?u=http://q.org/a"
+    ]
     rows = spark.createDataFrame([(i, u, None) for i, u in enumerate(urls)], "page_id long, url string, html string")
     got = [(r.host, r.path, r.rule, r.verdict) for r in urlfilter.judge(rows).orderBy("page_id").collect()]
     assert got == [
@@ -824,17 +880,30 @@ def test_distrust_spreads_against_links(spark):
 
 def test_a_host_is_judged_by_its_own_pages_too(spark):
     """Without any link the pages that rules decide are all there is: more blocked than allowed ones block the rest of the host."""
-    urls = ["http://a.com/de/1", "http://a.com/x", "http://b.com/de/1", "http://b.com/fr/1", "http://b.com/x", "http://c.com/x", "http://d.com/fr/1", "http://d.com/x"]
-    got = [r.verdict for r in urlfilter.judge(spark.createDataFrame([(i, u, None) for i, u in enumerate(urls)], "page_id long, url string, html string")).orderBy("page_id").collect()]
+    urls = [
+        "http://a.com/de/1", "http://a.com/x", "http://b.com/de/1", "http://b.com/fr/1", "http://b.com/x", "http://c.com/x",
+        "http://d.com/fr/1", "http://d.com/x"
+    ]
+    got = [
+        r.verdict for r in urlfilter.judge(spark.createDataFrame([(i, u, None) for i, u in enumerate(urls)], "page_id long, url string, html string")).orderBy("page_id").collect()
+    ]
     assert got == ["block", "block", "block", "allow", "allow", "allow", "allow", "allow"]
 
 
 def test_pages_of_odd_rows(spark):
     long = "<a href='http://t.net/'>" + "x" * 300_000 + "<a href=\"//bad.com/\">"
-    pages = [(1, "http://q.net/", long, "r"), (1, "http://q.net/", long, "r"), (2, "http://bad.com/de/", "", "r"), (None, None, None, None), (3, "http://z.net/", "", "s")]
-    rows = spark.createDataFrame(pages, "page_id long, url string, html string, rule string").withColumns({"verdict": F.lit("old"), "by_rule": F.lit("old"), "host": F.lit("old")})
+    pages = [
+        (1, "http://q.net/", long, "r"), (1, "http://q.net/", long, "r"), (2, "http://bad.com/de/", "", "r"), (None, None, None, None),
+        (3, "http://z.net/", "", "s")
+    ]
+    rows = spark.createDataFrame(pages, "page_id long, url string, html string, rule string").withColumns(
+        {"verdict": F.lit("old"), "by_rule": F.lit("old"), "host": F.lit("old")}
+    )
     got = sorted((str(r.page_id), r.host, r.rule, r.verdict) for r in urlfilter.judge(rows).collect())
-    assert got == [("1", "q.net", None, "block"), ("1", "q.net", None, "block"), ("2", "bad.com", "com/de/", "block"), ("3", "z.net", None, "allow"), ("None", "", None, "allow")]
+    assert got == [
+        ("1", "q.net", None, "block"), ("1", "q.net", None, "block"), ("2", "bad.com", "com/de/", "block"), ("3", "z.net", None, "allow"),
+        ("None", "", None, "allow")
+    ]
 
 
 def test_no_pages(spark):

@@ -92,7 +92,10 @@ def test_pieces_stage_and_run(spark, stages):
 
 def test_stages_of_no_and_odd_documents(spark):
     schema = "doc_id long, text string, lang string, source string, n_chars long, score string, items string"
-    odd = [(1, None, None, None, None, "a", "b"), (2, "", "en", "s", 0, "a", "b"), (None, "words of a text here", None, "s", 20, "a", "b"), (3, "words of a text here", "en", "s", 20, "c", "d"), (3, "words of a text here", "en", "s", 20, "c", "d")]
+    odd = [
+        (1, None, None, None, None, "a", "b"), (2, "", "en", "s", 0, "a", "b"), (None, "words of a text here", None, "s", 20, "a", "b"),
+        (3, "words of a text here", "en", "s", 20, "c", "d"), (3, "words of a text here", "en", "s", 20, "c", "d")
+    ]
     for rows in ([], odd):
         docs = spark.createDataFrame(rows, schema)
         for _, stage in corpus_pipeline.STAGES[:-1]:
