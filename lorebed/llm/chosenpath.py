@@ -307,8 +307,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     wanted = groups.join(numbered, groups.node == numbered.rep).join(reps.select("rep", "bytes"), "rep").select("key", "rep", "copies", "root", "bytes")
     wanted = stored(wanted)
     discard(reps, groups)
-    # Rows alike in id and text share a key, and agree in everything that is read.
-    texts = rows.select("key", "text").join(wanted.select("key", "rep", "copies").hint("merge"), "key").groupBy("rep").agg(F.first("copies").alias("copies"), F.first("text").alias("text"))
+    # Rows alike in id and text share a key, and agree in everything that is read; they are in one task after the join.
+    texts = rows.select("key", "text").join(wanted.select("key", "rep", "copies").hint("merge"), "key").dropDuplicates(["key"]).select("rep", "copies", "text")
     found = stored(verified(wanted.select(F.col("rep").alias("node"), "root", "bytes"), texts, path))
     discard(wanted)
     classes = components(found.where("b IS NOT NULL").select("a", "b"))
