@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,11 +18,13 @@ def with_next_in_ranges(rows: DataFrame, order: str, then: list[str], ranges_per
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     wanted = parts * ranges_per_partition
     bounds = sorted(set(rows.stat.approxQuantile(order, [k / wanted for k in range(1, wanted)], 0.25 / wanted)))
-    # A binary search over the bounds, as an expression; nulls come after the smallest value.
     place = F.lit(0)
     if bounds:
-        place = _search(F.col(order), bounds, 0, len(bounds))
-    rows = rows.withColumn("range", F.when(F.col(order).isNull(), F.lit(-1)).otherwise(place))
+        # A binary search in the JVM, for as many ranges as there are partitions.
+        value = rows.withColumn("__value", F.col(order).cast("double"))
+        rows = Bucketizer(splits=[float("-inf"), *bounds, float("inf")], inputCol="__value", outputCol="__place", handleInvalid="keep").transform(value)
+        place = F.col("__place").cast("int")
+    rows = rows.withColumn("range", F.when(F.col(order).isNull(), F.lit(-1)).otherwise(place)).drop("__value", "__place")
     heads = [(r["range"], r["head"]) for r in rows.groupBy("range").agg(F.max(order).alias("head")).orderBy(F.desc("range")).collect()]
     if not heads:
         return rows.withColumn("halo", F.lit(False))
@@ -33,10 +36,3 @@ def with_next_in_ranges(rows: DataFrame, order: str, then: list[str], ranges_per
     sent = sent.select(*[c for c in rows.columns if c != "range"], "to.range", "to.halo")
     return sent.repartition(parts, "range").sortWithinPartitions("range", "halo", F.desc_nulls_last(order), *then)
 
-
-def _search(value, bounds: list[float], low: int, high: int):
-    """The number of bounds that are at most the value."""
-    if low == high:
-        return F.lit(low)
-    mid = (low + high) // 2
-    return F.when(value < F.lit(bounds[mid]), _search(value, bounds, low, mid)).otherwise(_search(value, bounds, mid + 1, high))
