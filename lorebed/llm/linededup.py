@@ -96,20 +96,24 @@ def dropped_lines(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, place, told = [], [], []
-            for i, (text, wanted) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
-                lines = text.split("\n")
-                wanted = sorted(set(wanted))
-                row.extend([i] * len(wanted))
-                place.extend(wanted)
-                told.extend(_described(lines[k], depth) for k in wanted)
-            n, leaf, form, line, same = zip(*told) if told else ((),) * 5
-            row = pa.array(row, pa.int64())
-            columns = [
-                batch.column(0).take(row), batch.column(1).take(row), pa.array(place, pa.int32()), pa.array(n, pa.int32()),
-                *(pa.array(x, pa.binary()) for x in (leaf, form)), pa.array(line, pa.string()), pa.array(same, pa.binary())
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["key", "id", "place", "n", "leaf", "form", "line", "same"])
+            for first, last, _, _ in text_blocks(batch.column(2)):
+                yield described(batch.slice(first, last - first))
+
+    def described(rows: pa.RecordBatch) -> pa.RecordBatch:
+        """The wanted lines of a block of texts; as Python's own texts take several times their bytes, no more of them at once."""
+        row, place, told = [], [], []
+        for i, (text, wanted) in enumerate(zip(rows.column(2), rows.column(3))):
+            lines, wanted = text.as_py().split("\n"), sorted(set(wanted.as_py()))
+            row.extend([i] * len(wanted))
+            place.extend(wanted)
+            told.extend(_described(lines[k], depth) for k in wanted)
+        n, leaf, form, line, same = zip(*told) if told else ((),) * 5
+        row = pa.array(row, pa.int64())
+        columns = [
+            rows.column(0).take(row), rows.column(1).take(row), pa.array(place, pa.int32()), pa.array(n, pa.int32()),
+            *(pa.array(x, pa.binary()) for x in (leaf, form)), pa.array(line, pa.string()), pa.array(same, pa.binary())
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=["key", "id", "place", "n", "leaf", "form", "line", "same"])
 
     def counted(n: np.ndarray, field: np.ndarray) -> np.ndarray:
         return np.flatnonzero((n >= min_tokens) | (n > 0) & ~field & (exact_docs is not None))

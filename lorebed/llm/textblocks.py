@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 BLOCK_BYTES = 2 << 20
-HASH_BYTES = 1 << 18
+HASH_BYTES = 1 << 16
 U64 = np.uint64
 
 #: Spans are hashed in a prime field, in which unlike bytes differ for all but a few keys, whatever the bytes.
@@ -33,7 +33,7 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=2)
 def _fields(key: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """The powers of the key's two bases and of their inverses, modulo the prime, for the bytes of a stretch."""
     out = []
