@@ -126,23 +126,23 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([np.packbits(total >= 2).tobytes()], pa.binary())], names=["block", "busy"])
 
 
-def _estimated_repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by block, in each of which rows with its busy cells come first: the runs whose cells are all busy."""
+def _estimated_repeated(batches: Iterator[pa.RecordBatch], block_bits: int) -> Iterator[pa.RecordBatch]:
+    """Of runs sorted by block, after rows of no windows that hold the block's busy cells as their key: the runs whose cells are all busy."""
     block, busy = -1, np.zeros(0, bool)
     for batch in batches:
-        own, bits = np.asarray(batch.column(0)), batch.column(1)
-        h = np.asarray(pa.compute.fill_null(batch.column(2), 0)).view(U64)
+        h, n = np.asarray(batch.column(0)).view(U64), np.asarray(batch.column(4))
+        own = _block(h, block_bits)
         keep = np.zeros(len(own), dtype=bool)
         cuts = np.flatnonzero(np.diff(own)) + 1
         for a, b in zip(np.append(0, cuts), np.append(cuts, len(own))):
-            told = b - a - bits.slice(a, b - a).null_count
+            told = int((n[a:b] == 0).sum())
             if told:
-                block, busy = int(own[a]), np.unpackbits(np.frombuffer(bits[a].as_py(), dtype=np.uint8)).astype(bool)
+                block, busy = int(own[a]), np.unpackbits(np.frombuffer(batch.column(2)[int(a)].as_py(), dtype=np.uint8)).astype(bool)
                 a += told
-            if block == own[b - 1] and a < b:
+            if a < b and block == own[b - 1]:
                 low, high = _cells(h[a:b])
                 keep[a:b] = busy[low] & busy[high]
-        yield pa.RecordBatch.from_arrays(batch.columns[2:], names=batch.schema.names[2:]).filter(pa.array(keep))
+        yield batch.filter(pa.array(keep))
 
 
 def repeated_spans(rows: DataFrame, window: int = 35, gram: int = 12) -> DataFrame:
@@ -161,19 +161,22 @@ def repeated_spans(rows: DataFrame, window: int = 35, gram: int = 12) -> DataFra
         for batch in batches:
             for first, _, data, offsets in text_blocks(batch.column(1)):
                 r = Runs(data, offsets, window, gram, secret)
-                columns = [pa.array(_block(r.h, block_bits)), pa.array(r.h.view(np.int64)), pa.array(r.ctx.view(np.int64)), batch.column(0).take(pa.array(first + r.text)), pa.array(r.start.astype(np.int32)), pa.array(r.n.astype(np.int32)), pa.array(r.twice)]
-                yield pa.RecordBatch.from_arrays(columns, names=["block", "h", "ctx", "key", "start", "n", "twice"])
-
-    runs = rows.select("key", "text").mapInArrow(find, f"block long, {RUN}").withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(_SALTS)).cast("int"))
-    salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt")
-    both = runs.withColumn("busy", F.lit(None).cast("binary")).unionByName(busy.select("block", "busy", salts), allowMissingColumns=True)
+                columns = [pa.array(r.h.view(np.int64)), pa.array(r.ctx.view(np.int64)), batch.column(0).take(pa.array(first + r.text)), pa.array(r.start.astype(np.int32)), pa.array(r.n.astype(np.int32)), pa.array(r.twice)]
+                yield pa.RecordBatch.from_arrays(columns, names=["h", "ctx", "key", "start", "n", "twice"])
+
+    runs = rows.select("key", "text").mapInArrow(find, RUN)
+    # A block's cells go to each of its tasks, in the shape of a run.
+    salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("start")
+    cells = busy.select(F.col("block").alias("h"), F.lit(0).cast("long").alias("ctx"), F.col("busy").alias("key"), salts).select("*", F.lit(0).alias("n"), F.lit(False).alias("twice"))
+    block = F.col("h").bitwiseAND(F.lit((1 << block_bits) - 1).cast("long"))
+    salt = F.when(F.col("n") == 0, F.col("start").cast("long")).otherwise(F.pmod(F.xxhash64("key"), F.lit(_SALTS)))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    both = both.repartition(parts, "block", "salt").sortWithinPartitions("block", F.col("busy").isNull()).select("block", "busy", *(f.split()[0] for f in RUN.split(", ")))
-    runs = stored(both.mapInArrow(_estimated_repeated, RUN))
+    both = runs.unionByName(cells).repartition(parts, block, salt).sortWithinPartitions(block, F.col("n") > 0)
+    runs = stored(both.mapInArrow(lambda batches: _estimated_repeated(batches, block_bits), RUN))
     discard(busy)
     # Whole runs first: alike in all their windows.
     alike = stored(runs.groupBy("h", "ctx").agg(F.count("*").alias("seen"), F.max("twice").alias("twice"), F.min(F.struct("key", "start", "n")).alias("one")))
-    twins = spread_join(runs, alike.where("seen > 1").select("h", "ctx"), ["h", "ctx"]).select("key", "start", "n")
+    twins = spread_join(runs, alike.where("seen > 1").select("h", "ctx"), ["h", "ctx"], salts=_SALTS).select("key", "start", "n")
     # Then the windows of runs that differ and share their smallest gram, or that repeat themselves: one run of each kind stands for all.
     shared = alike.groupBy("h").agg(F.count("*").alias("kinds"), F.max("twice").alias("any_twice")).where("kinds > 1 OR any_twice").select("h")
     open_ = alike.join(shared, "h").select("h", F.least("seen", F.lit(2)).cast("int").alias("weight"), "one.*")
@@ -198,7 +201,7 @@ def repeated_spans(rows: DataFrame, window: int = 35, gram: int = 12) -> DataFra
 
     windows = stored(with_runs.mapInArrow(explode, "h long, w long, weight int, key binary, start int"))
     often = windows.groupBy("h", "w").agg(F.sum("weight").alias("seen")).where("seen > 1").select("h", "w")
-    found = spread_join(windows.where("weight = 1"), often, ["h", "w"]).select("key", "start", F.lit(1).alias("n"))
+    found = spread_join(windows.where("weight = 1"), often, ["h", "w"], salts=_SALTS).select("key", "start", F.lit(1).alias("n"))
     spans = stored(twins.unionByName(found).distinct())
     discard(runs, alike, windows)
     return spans

@@ -549,6 +549,13 @@ def test_substring_query(spark, texts):
     assert got == {k: (a, b, hashlib.sha256(c.encode()).hexdigest()) for k, (a, b, c) in plain.without_repeats(texts, 35).items()}
 
 
+def test_substrings_over_several_blocks_of_cells(spark):
+    """A text of megabytes, for which the sketch has more than one block."""
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(SMALL.replace("0.001", "0.01") + "/documents.parquet").select("doc_id", "text").collect()]
+    got = {r.doc_id: (r.n_words, r.n_removed, r.text) for r in substrings.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == plain.without_repeats(rows, 35) and sum(len(t.encode()) for _, t in rows) > 8 << 16
+
+
 def test_substrings_of_odd_rows(odd, nothing):
     got = substrings.dedup_substrings(odd)
     assert got.count() == len(ODD) and got.where("doc_id = 6").first().n_removed == 60_000
