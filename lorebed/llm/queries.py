@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chosenpath, decontam, fingerprints, langid, licences, linededup, pieces, substrings, toxicity, urlfilter
+from .job import stored
 from .oracle import ORACLE
 
 #: A public vocabulary; it stays where it is.
@@ -32,7 +33,8 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     classes = fingerprints.near_duplicates(docs).select("key", "class_id", "n_links").dropDuplicates(["key"])
-    return fingerprints.fingerprint(docs).join(classes, "key", "left").drop("key")
+    # Stored first, so that the texts that were moved for it are gone before it is moved itself.
+    return stored(fingerprints.fingerprint(docs)).join(classes.hint("merge"), "key", "left").drop("key")
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
