@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import licences, linededup, urlfilter
+from . import centroids, infill, licences, linededup, sharding, urlfilter
 
 ORACLE: dict[str, str] = {}
 
@@ -37,3 +37,9 @@ ORACLE["op8_licences"] = licences.duckdb_sql()
 ORACLE["op10_url_filter"] = urlfilter.duckdb_sql()
 
 ORACLE["op4_line_dedup"] = linededup.duckdb_sql()
+
+ORACLE["op11_sharding"] = sharding.duckdb_sql()
+
+ORACLE["op12_infill"] = infill.duckdb_sql()
+
+ORACLE["op13_centroids"] = centroids.duckdb_sql()

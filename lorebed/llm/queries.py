@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chosenpath, decontam, fingerprints, langid, licences, linededup, pieces, substrings, toxicity, urlfilter
+from . import centroids, chosenpath, decontam, fingerprints, infill, langid, licences, linededup, pieces, sharding, substrings, toxicity, urlfilter
 from .job import stored
 from .oracle import ORACLE
 
@@ -69,10 +69,32 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages"))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = infill.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select(
+        "doc_id", "n", "form", F.col("prefix_units").alias("prefix_chars"), F.col("middle_units").alias("middle_chars"), F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infill.restored(), 256).alias("restored_sha256"),
+    )
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(table(spark, sf_dir, "embeddings"))
+    shown = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256)
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", shown.alias("centroid_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
-        f.__name__: f for f in (op1_jaccard_join, op2_toxicity, op3_fingerprints, op4_line_dedup, op5_language_id, op6_substring_dedup, op7_pieces, op8_licences, op9_decontamination, op10_url_filter)
-    }
+        f.__name__: f
+        for f in (
+            op1_jaccard_join, op2_toxicity, op3_fingerprints, op4_line_dedup, op5_language_id, op6_substring_dedup, op7_pieces, op8_licences, op9_decontamination,
+            op10_url_filter, op11_sharding, op12_infill, op13_centroids
+        )
+    }
 
 
 def oracle_sql() -> dict[str, str]:
