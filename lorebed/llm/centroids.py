@@ -33,7 +33,7 @@ def first_centroids(whole: DataFrame, k: int = 16, seed: int = 1) -> np.ndarray:
     """The k vectors with the smallest sha256 of ``<seed>:<vec_id>``, or all of fewer: k rows reach the driver. A null id is an empty number; equal ids go by their components."""
     hashed = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("vec_id").cast("string"), F.lit(""))), 256)
     found = whole.select(hashed.alias("h"), "v").orderBy("h", "v").limit(k).collect()
-    return np.array([r.v for r in found], dtype=np.int64).reshape(len(found), -1)
+    return np.array([r.v for r in found], dtype=np.int64) if found else np.zeros((0, 0), np.int64)
 
 
 class NearestCentroid:
