@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions.fuzzy import token_sort_ratio_udf
 from ..functions.records import normalize_name
+from ..sources.scratch import stored
 from ..vocabulary import ENTITY_ALIASES, MERGE_THRESHOLD, REVIEW_THRESHOLD
+from .graph import agglomerated
 
 
 def aliases(spark: SparkSession, known: dict[str, list[str]] | None = None) -> DataFrame:
@@ -25,8 +27,9 @@ def canonical(names: DataFrame, known: DataFrame, name: str = "name") -> DataFra
 def _tokens(text: Column, size: int) -> Column:
     """The substrings of a size, each with the number of its occurrence, so that a list of them is a set."""
     parts = F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - size + 1, F.lit(1))), lambda i: F.substr(text, i, F.lit(size)))
-    numbered = F.transform(parts, lambda t, k: F.concat(t, F.size(F.filter(F.slice(parts, F.lit(1), k), lambda u: u == t)).cast("string")))
-    return F.when(F.length(text) >= size, numbered).otherwise(F.array().cast("array<string>"))
+    # The list is bound to a name once; written out, it would be made anew for each of its members.
+    number = lambda p: F.transform(p, lambda t, k: F.concat(t, F.size(F.filter(F.slice(p, F.lit(1), k), lambda u: u == t)).cast("string")))
+    return F.when(F.length(text) >= size, F.get(F.transform(F.array(parts), number), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
 
 def _shared_characters(x: Column, y: Column, least: float) -> Column:
@@ -64,7 +67,8 @@ def candidate_pairs(names: DataFrame, least: float = REVIEW_THRESHOLD, name: str
     low, high = (F.ceil(F.col("len") * least / (200 - least) - 1e-9).cast("int"), F.floor(F.col("len") * (200 - least) / least + 1e-9).cast("int"))
     partners = F.sequence(F.greatest(low, F.lit(1)), F.greatest(high, F.lit(1)))
     fewest = lambda shared: F.array_min(F.transform(partners, lambda y: shared(F.col("len"), y, least)))
-    rows = rows.withColumns({"sure_chars": fewest(_shared_characters), "sure_grams": fewest(_shared_bigrams)})
+    # Read five times from here on.
+    rows = stored(rows.withColumns({"sure_chars": fewest(_shared_characters), "sure_grams": fewest(_shared_bigrams)}))
     by_gram = _rarest(rows.where("sure_grams >= 1"), "grams", F.size("grams") - F.col("sure_grams") + 1)
     by_char = _rarest(rows, "chars", F.size("chars") - F.greatest(F.col("sure_chars"), F.lit(1)) + 1)
     short = by_char.join(rows.where("sure_grams < 1").select("n"), "n", "left_semi")
@@ -89,21 +93,20 @@ def similar_pairs(names: DataFrame, least: float = REVIEW_THRESHOLD, name: str =
 def cluster(names: DataFrame, merge: float = MERGE_THRESHOLD, review: float = REVIEW_THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """(name, cluster) of every name, and the pairs (a, b, score) to look at.
 
-    ``names`` has name, _ord and location. Names at ``merge`` or more are one entity unless both have a location and these differ; what is linked
-    over others is one as well. A cluster's name is that of its first row. Pairs from ``review`` up that don't merge are flagged.
+    ``names`` has name, _ord and location; a name's location is the first that isn't empty. Pairs of names at ``merge`` or more are taken one by one, the
+    most alike first, and unite the clusters of both unless each has a location and these differ: so no cluster has two locations, also
+    not over names that have none. A cluster's name is that of its first row. Pairs from ``review`` up whose names are in different clusters are flagged.
     """
-    from .graph import connected
-
-    rows = names.groupBy("name").agg(F.min("_ord").alias("_ord"), F.min_by("location", "_ord").alias("location"))
-    pairs = similar_pairs(rows, review)
-    side = lambda c: rows.select(F.col("name").alias(c), F.coalesce("location", F.lit("")).alias(f"location_{c}"))
-    pairs = pairs.join(side("a"), "a").join(side("b"), "b")
-    conflict = (F.col("location_a") != "") & (F.col("location_b") != "") & (F.col("location_a") != F.col("location_b"))
-    merged = (F.col("score") >= merge) & ~conflict
-    groups = connected(pairs.where(merged).select("a", "b"))
+    place = F.min_by(F.nullif("location", F.lit("")), F.when(F.coalesce("location", F.lit("")) != "", F.col("_ord")))
+    rows = stored(names.groupBy("name").agg(F.min("_ord").alias("_ord"), place.alias("mark")))
+    pairs = stored(similar_pairs(rows, review))
+    groups = agglomerated(pairs.where(F.col("score") >= merge), rows.select(F.col("name").alias("node"), "mark"))
     found = rows.join(groups, rows.name == groups.node, "left").withColumn("root", F.coalesce("root", "name"))
     heads = found.groupBy("root").agg(F.min_by("name", "_ord").alias("cluster"))
-    return found.join(heads, "root").select("name", "cluster"), pairs.where(~merged).select("a", "b", "score")
+    clusters = stored(found.join(heads, "root").select("name", "cluster"))
+    side = lambda c: clusters.select(F.col("name").alias(c), F.col("cluster").alias(f"cluster_{c}"))
+    apart = pairs.join(side("a"), "a").join(side("b"), "b").where("cluster_a <> cluster_b")
+    return clusters, apart.select("a", "b", "score")
 
 
 def with_dates(records: DataFrame, dates: DataFrame, key: str = "page_id") -> DataFrame:

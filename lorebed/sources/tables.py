@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,9 +19,50 @@ def exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
 
 
+#: As many blocks of files as a broadcast table of a few MB describes; beyond it, Spark joins them as it sees fit.
+MOST_BLOCKS = 50_000
+#: Spark's own name of a part: its number, and the id of the write that it belongs to.
+_PART = re.compile(r"part-(\d+)-(.+?)(?:[-.]c\d+)?(?:\..*)?")
+
+
 def with_order(rows: DataFrame, name: str = "_ord") -> DataFrame:
-    """Numbers the rows by file and place; ids ascend but have gaps, which first-seen operators don't mind."""
-    return rows.withColumn(name, F.monotonically_increasing_id())
+    """Numbers the rows of files from 0: files in order, rows by their place in them. ``rows`` is as ``spark.read`` returns it, before any filter.
+
+    Parts of one write are in order of their numbers, and writes in order of their time, so that appended rows come last; other files come first, by path.
+    Two passes: one counts the rows of each block of a file, the other adds what comes before its block to each row's place in it. Tables that
+    aren't from files are numbered by partition and place.
+    """
+    try:
+        located = rows.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"), F.col("_metadata.file_modification_time").alias("__time"))
+    except AnalysisException:
+        return rows.withColumn(name, F.monotonically_increasing_id())
+    # Within a partition ids go up one by one, and a block's rows are together in one.
+    located = located.withColumn("__id", F.monotonically_increasing_id())
+    blocks = located.groupBy("__file", "__block").agg(F.max("__time").alias("time"), F.min("__id").alias("first"), F.count("*").alias("rows")).collect()
+    offsets, total = [], 0
+    for b in _in_order(blocks):
+        offsets.append((b["__file"], b["__block"], total - b["first"]))
+        total += b["rows"]
+    table = rows.sparkSession.createDataFrame(offsets, "__file string, __block long, __offset long")
+    numbered = located.join(F.broadcast(table) if len(offsets) <= MOST_BLOCKS else table, ["__file", "__block"])
+    return numbered.select(*rows.columns, (F.col("__id") + F.col("__offset")).alias(name))
+
+
+def _in_order(blocks: list) -> list:
+    """Blocks (__file, __block, time) in the order of their rows; the driver's own list of files is as long."""
+    part = {b["__file"]: _PART.fullmatch(b["__file"].rsplit("/", 1)[-1]) for b in blocks}
+    written: dict[str, object] = {}
+    for b in blocks:
+        if found := part[b["__file"]]:
+            written[found[2]] = min(written.get(found[2], b["time"]), b["time"])
+
+    def key(b):
+        found = part[b["__file"]]
+        folder = b["__file"].rsplit("/", 1)[0]
+        place = (1, written[found[2]], found[2], folder, int(found[1])) if found else (0,)
+        return (*place, b["__file"], b["__block"]) if found else (0, b["__file"], b["__block"])
+
+    return sorted([b for b in blocks if not part[b["__file"]]], key=key) + sorted([b for b in blocks if part[b["__file"]]], key=key)
 
 
 def text_schema(columns: list[str]) -> T.StructType:
@@ -31,9 +74,9 @@ def read_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     schema = text_schema(columns)
     if not exists(spark, path):
         return with_order(spark.createDataFrame([], schema))
-    rows = spark.read.csv(path, header=True, multiLine=True, escape='"', inferSchema=False, enforceSchema=False)
-    found = rows.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) if c in rows.columns else F.lit("").alias(c) for c in columns])
-    return with_order(found)
+    rows = with_order(spark.read.csv(path, header=True, multiLine=True, escape='"', inferSchema=False, enforceSchema=False), "__ord")
+    found = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) if c in rows.columns else F.lit("").alias(c) for c in columns]
+    return rows.select(*found, F.col("__ord").alias("_ord"))
 
 
 def projected(rows: DataFrame, columns: list[str]) -> DataFrame:
@@ -41,9 +84,14 @@ def projected(rows: DataFrame, columns: list[str]) -> DataFrame:
     return rows.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) if c in rows.columns else F.lit("").alias(c) for c in columns])
 
 
-def write_csv(rows: DataFrame, path: str, columns: list[str], mode: str = "overwrite") -> None:
-    """A folder of CSV parts with a header each; the committer makes the write all or nothing."""
-    projected(rows, columns).write.mode(mode).csv(path, header=True, escape='"', emptyValue="")
+def ordered(rows: DataFrame, order: str = "_ord") -> DataFrame:
+    """By the order column, if there is one, in ranges: parts of a table are then read back in this order."""
+    return rows.orderBy(order) if order in rows.columns else rows
+
+
+def write_csv(rows: DataFrame, path: str, columns: list[str], mode: str = "overwrite", order: str = "_ord") -> None:
+    """A folder of CSV parts with a header each, in order if the rows have one; the committer makes the write all or nothing."""
+    projected(ordered(rows, order), columns).write.mode(mode).csv(path, header=True, escape='"', emptyValue="")
 
 
 def _swap_in(rows: DataFrame, path: str, write) -> None:
@@ -56,13 +104,28 @@ def _swap_in(rows: DataFrame, path: str, write) -> None:
     try:
         write(rows.coalesce(1), beside.toString())
         (part,) = [s.getPath() for s in system.globStatus(hadoop.Path(beside, "part-*"))]
-        system.delete(target, True)
-        if not system.rename(part, target):
-            raise OSError(f"can't rename to {path}")
+        _rename_over(spark, system, part, target)
     finally:
         system.delete(beside, True)
 
 
+def _rename_over(spark: SparkSession, system, part, target) -> None:
+    """One rename that replaces the target; where the store can't do that in one step, it is an error and the old file stays."""
+    jvm = spark.sparkContext._jvm
+    if system.getUri().getScheme() == "file":
+        files, paths, option = jvm.java.nio.file.Files, jvm.java.nio.file.Paths, jvm.java.nio.file.StandardCopyOption
+        local = lambda p: paths.get(p.toUri().getPath(), spark.sparkContext._gateway.new_array(jvm.java.lang.String, 0))
+        # The checksum beside a local file is of its old bytes.
+        system.getRawFileSystem().delete(system.getChecksumFile(target), False)
+        options = spark.sparkContext._gateway.new_array(jvm.java.nio.file.CopyOption, 2)
+        options[0], options[1] = option.ATOMIC_MOVE, option.REPLACE_EXISTING
+        files.move(local(part), local(target), options)
+        return
+    overwrite = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
+    overwrite[0] = getattr(jvm.org.apache.hadoop.fs, "Options$Rename").OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(part, target, overwrite)
+
+
 def write_csv_file(rows: DataFrame, path: str, columns: list[str], order: str | None = None) -> None:
     """One CSV file with a header and CRLF line ends, put in place at once: for tables that people open. All rows pass one task, so big tables go to ``write_csv``."""
     rows = rows.orderBy(order) if order else rows
@@ -108,14 +171,15 @@ def append_csv(rows: DataFrame, path: str, columns: list[str]) -> None:
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Blank lines are skipped, a malformed one is an error; a missing file is an empty table."""
+    """Blank lines are skipped, a malformed one is an error; a missing file is an empty table. ``with_order`` numbers the rows."""
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
-def write_jsonl(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
-    rows.write.mode(mode).option("ignoreNullFields", "false").json(path)
+def write_jsonl(rows: DataFrame, path: str, mode: str = "overwrite", order: str = "_ord") -> None:
+    """A folder of JSON lines, in order if the rows have one."""
+    ordered(rows, order).write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
 def read_page_inputs(spark: SparkSession, pattern: str) -> DataFrame:

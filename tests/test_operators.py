@@ -38,6 +38,57 @@ def test_conflicting_locations(spark):
     assert len(set(of.values())) == 1 and not pairs
 
 
+def test_a_chain_over_a_name_without_place(spark):
+    """The middle one goes to its closer neighbour; the other end, in another county, stays apart and is flagged."""
+    names = {"savannah battery plant one": "Bryan County", "savannah battery plant ones": "", "savannah battery plant onesx": "Jackson County"}
+    of, pairs = clusters(spark, list(names), 90, 80, names)
+    one, ones, onesx = names
+    assert of[one] != of[onesx] and of[ones] in (of[one], of[onesx])
+    assert {frozenset((p.a, p.b)) for p in pairs} == {frozenset(p) for p in itertools.combinations(names, 2) if of[p[0]] != of[p[1]]}
+
+
+def one_by_one(names, merge, review, location_of):
+    """Pairs in order of their scores, one after the other."""
+    import hashlib
+
+    own = {n: i for i, n in enumerate(names)}
+    of, mark = {n: n for n in names}, {n: location_of.get(n) or None for n in names}
+    scored = [(a, b, fuzzy.token_sort_ratio(a, b)) for a, b in itertools.combinations(sorted(names), 2)]
+    for a, b, _ in sorted((p for p in scored if p[2] >= merge), key=lambda p: (-p[2], hashlib.md5(f"{p[0]}\0{p[1]}".encode()).hexdigest())):
+        x, y = of[a], of[b]
+        if x != y and not (mark[x] and mark[y] and mark[x] != mark[y]):
+            mark[x] = mark[x] or mark[y]
+            of = {n: x if c == y else c for n, c in of.items()}
+    heads = {c: min((n for n in names if of[n] == c), key=own.get) for c in set(of.values())}
+    return {n: heads[c] for n, c in of.items()}, {(a, b) for a, b, s in scored if s >= review and of[a] != of[b]}
+
+
+def test_clusters_of_many_names_with_places(spark):
+    rng = random.Random(4)
+    part = lambda: "".join(rng.choice(["ba", "ken", "tor", "li", "san"]) for _ in range(rng.randint(2, 4)))
+    heads = [f"{part()} {part()}" for _ in range(70)]
+    names = sorted({h[:k] + rng.choice("xyz") + h[k + 1 :] for h in heads for k in (1, 3, 5, 6, 8)} | set(heads))[:160]
+    rng.shuffle(names)
+    places_of = {n: rng.choice([None, "", "Bryan County", "Jackson County", "Coweta County"]) for n in names}
+    of, pairs = clusters(spark, names, 88, 80, places_of)
+    want, apart = one_by_one(names, 88, 80, places_of)
+    assert of == want and {(p.a, p.b) for p in pairs} == apart
+    held = {}
+    for n, c in of.items():
+        held.setdefault(c, set()).update(filter(None, [places_of[n]]))
+    assert max(map(len, held.values())) == 1 and len(set(of.values())) < 120
+
+
+def test_large_components_go_through_rounds(spark):
+    """Random links with few different scores: the rounds of joins give what one task gives."""
+    rng = random.Random(9)
+    links = [(f"n{a:02}", f"n{b:02}", float(rng.randint(88, 92))) for a, b in itertools.combinations(range(40), 2) if rng.random() < 0.06]
+    rows = spark.createDataFrame(links, "a string, b string, score double")
+    marks = spark.createDataFrame([(f"n{k:02}", rng.choice([None, "A", "B", "C"])) for k in range(40)], "node string, mark string")
+    task, rounds = ({(r.node, r.root) for r in graph.agglomerated(rows, marks, most).collect()} for most in (10**6, 0))
+    assert task == rounds and len({r for _, r in task}) > 3
+
+
 def test_blocking_loses_no_pair(spark):
     rng = random.Random(5)
     words = ["acme", "plant", "battery", "georgia", "sk"]
@@ -46,6 +97,50 @@ def test_blocking_loses_no_pair(spark):
     assert got == {(a, b) for a, b in itertools.combinations(names, 2) if fuzzy.token_sort_ratio(a, b) >= 80}
 
 
+def test_files_in_order(spark, tmp_path):
+    """The first row is that of the first file, however large the others are."""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("url,title\nu1,first\n")
+    (tmp_path / "in" / "b.csv").write_text("url,title\n" + "u1,later\n" * 500 + "u2,b\n")
+    (tmp_path / "in" / "c.csv").write_text("url,title\nu2,later\nu3,c\n" + "u1,last\n" * 2000)
+    rows = tables.read_csv(spark, str(tmp_path / "in"), ["url", "title"])
+    assert [r._ord for r in rows.orderBy("_ord").collect()] == list(range(2504))
+    assert {r.url: r.title for r in dedupe.first_of(rows, ["url"], "_ord").collect()} == {"u1": "first", "u2": "b", "u3": "c"}
+
+
+def test_appended_rows_come_last(spark, tmp_path):
+    path, columns = str(tmp_path / "out"), ["url", "title"]
+    batches = [[("u1", "old")], [("u1", "new")] * 21 + [("u2", "new")], [("u2", "newest")] * 300 + [("u3", 'x, "y"\nz')]]
+    for rows in batches:
+        tables.append_csv(spark.createDataFrame(rows, columns).repartition(3), path, columns)
+    back = tables.read_csv(spark, path, columns)
+    assert {r.url: r.title for r in dedupe.first_of(back, ["url"], "_ord").collect()} == {"u1": "old", "u2": "new", "u3": 'x, "y"\nz'}
+    assert back.selectExpr("max(_ord)").first()[0] == 323
+
+
+def test_a_written_table_keeps_its_order(spark, tmp_path):
+    rows = spark.range(5000).selectExpr("id AS _ord", "repeat('x', int(id % 97)) AS text", "id AS n").repartition(9, "text")
+    tables.write_csv(rows, str(tmp_path / "csv"), ["n", "text"])
+    back = tables.read_csv(spark, str(tmp_path / "csv"), ["n"]).orderBy("_ord").collect()
+    assert [int(r.n) for r in back] == list(range(5000)) == [r._ord for r in back]
+    tables.write_jsonl(rows, str(tmp_path / "json"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        found = tables.with_order(tables.read_jsonl(spark, str(tmp_path / "json"), "n long"), "place")
+        assert found.rdd.getNumPartitions() > 9 and [r.n for r in found.orderBy("place").collect()] == list(range(5000))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_a_file_is_replaced_in_one_step(spark, tmp_path):
+    path = tmp_path / "table.csv"
+    for n in (3, 1, 5):
+        tables.write_csv_file(spark.range(n).selectExpr("id AS _ord", "id AS n"), str(path), ["n"], "_ord")
+        assert path.read_bytes() == b"".join(b"%s\r\n" % x for x in [b"n", *(str(k).encode() for k in range(n))])
+        assert [int(r.n) for r in tables.read_csv(spark, str(path), ["n"]).orderBy("_ord").collect()] == list(range(n))
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["table.csv"]
+
+
 def test_few_pairs_of_names_are_compared(spark):
     """Invented names of common syllables: all close pairs, and hardly any others, reach the exact comparison."""
     rng = random.Random(7)
