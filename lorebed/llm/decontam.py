@@ -156,8 +156,8 @@ class Windows:
         return at, text, place - at[text], window
 
 
-def _longest(items: np.ndarray, diagonal: np.ndarray, places: np.ndarray, sizes: np.ndarray) -> tuple[int, int, int]:
-    """The longest run of windows that follow each other in one item: (words, item, first word in the text)."""
+def _longest(ids: list[str], items: np.ndarray, diagonal: np.ndarray, places: np.ndarray, sizes: np.ndarray) -> tuple[int, str, int]:
+    """The longest run of windows that follow each other in one item: (words, item's id, first word in the text); of equally long ones the smallest id's, then the first."""
     order = np.lexsort((places, diagonal, items))
     items, diagonal, places, sizes = items[order], diagonal[order], places[order], sizes[order]
     fresh = np.ones(len(items), dtype=bool)
@@ -165,8 +165,8 @@ def _longest(items: np.ndarray, diagonal: np.ndarray, places: np.ndarray, sizes:
     first = np.flatnonzero(fresh)
     last = np.append(first[1:], len(items)) - 1
     length = places[last] - places[first] + sizes[last]
-    best = int(length.argmax())
-    return int(length[best]), int(items[first[best]]), int(places[first[best]])
+    which, at = min((ids[items[k]], int(places[k])) for k in first[length == length.max()].tolist())
+    return int(length.max()), which, at
 
 
 _FOUND = [
@@ -207,9 +207,9 @@ def _search(rows: DataFrame, text_col: str, windows: Windows) -> DataFrame:
                     take = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - query.item_at[w], count)
                     item = query.items[take]
                     items[i] = sorted({*items[i], *(query.ids[k] for k in np.unique(item))})
-                    long, which, where = _longest(item, np.repeat(p, count) - query.places[take], np.repeat(p, count), np.repeat(size, count))
-                    if long > longest[i]:
-                        longest[i], longest_item[i], longest_at[i] = long, query.ids[which], where
+                    long, which, where = _longest(query.ids, item, np.repeat(p, count) - query.places[take], np.repeat(p, count), np.repeat(size, count))
+                    if long > longest[i] or long == longest[i] and (which, where) < (longest_item[i], longest_at[i]):
+                        longest[i], longest_item[i], longest_at[i] = long, which, where
             new = [
                 pa.array(v, t) for v,
                 t in zip((n_words, spans, items, longest, longest_item, longest_at), (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()), pa.int64(), pa.string(), pa.int64()))
@@ -237,7 +237,8 @@ def matches(
     """The documents with what the benchmark's windows hit in them.
 
     n_words; spans (first word and the word after the last, of each stretch of hit words, in turn); items (ids as text, sorted);
-    longest, longest_item and longest_at (words of the longest match with one item, and where it begins). Input columns of these
+    longest, longest_item and longest_at (words of the longest match with one item, and where it begins; of equally long ones that
+    of the smallest id, then the first). Input columns of these
     names are replaced. An item with fewer words than ``window`` is one window, one without words has none. A null text has no words
     and a null item id counts as the empty text. Items are searched for in passes of about ``pass_bytes``, so what is broadcast is bounded
     however large the benchmark; each pass reads the documents once and shuffles nothing.

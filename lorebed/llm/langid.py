@@ -69,12 +69,12 @@ class LanguageBlock:
         self.languages, self.log_grams, self.log_prior = languages, log_grams, log_prior
         self.n, self.bits, self.evidence = n, bits, evidence
 
-    def score(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """For each text the place of its likeliest language, that one's log probability, all these languages' mass in units of it, and
-        whether the text has a letter.
+    def score(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+        """For each text the place of its likeliest language, that one's log probability, the same tempered, all these languages' tempered mass in
+        units of it, and whether the text has a letter.
 
-        The likelihood of a long text counts as that of ``evidence`` grams with the same mean,
-        so that a score tells how clear the text is and not how long. Ties go to the first language.
+        The language is chosen by all grams. For the score alone the likelihood of a long text is tempered to that of ``evidence`` grams
+        with the same mean, so that it tells how clear the text is and not how long. Ties go to the first language.
         """
         buckets, first, with_letter = char_grams(data, offsets, self.n, self.bits)
         count = np.diff(first)
@@ -83,11 +83,12 @@ class LanguageBlock:
         for k in range(len(self.languages)):
             if len(some):
                 total[some, k] = np.add.reduceat(self.log_grams[k][buckets], first[:-1][some])
-        total *= np.minimum(1.0, self.evidence / np.maximum(count, 1))[:, None]
+        cooled = total * np.minimum(1.0, self.evidence / np.maximum(count, 1))[:, None] + self.log_prior
         total += self.log_prior
         best = total.argmax(axis=1)
-        top = total[np.arange(len(best)), best]
-        return best, top, np.exp(total - top[:, None]).sum(axis=1), with_letter
+        row = np.arange(len(best))
+        cool = cooled[row, best]
+        return best, total[row, best], cool, np.exp(cooled - cool[:, None]).sum(axis=1), with_letter
 
 
 class LanguageModel:
@@ -175,11 +176,10 @@ def predict(docs: DataFrame, model: LanguageModel | None, text_col: str = "text"
         return docs.withColumns({"lang_pred": F.lit(UNDETERMINED), "score": F.lit(0.0)})
     ship(spark)
     apart = set_apart(docs, {text_col})
-    rows = apart.withColumns({"__lang": F.lit(UNDETERMINED), "__top": F.lit(None).cast("double"), "__mass": F.lit(None).cast("double")})
+    numbers = ("__top", "__cool", "__mass")
+    rows = apart.withColumns({"__lang": F.lit(UNDETERMINED), **{c: F.lit(None).cast("double") for c in numbers}})
     at = rows.columns.index(text_col)
-    schema = T.StructType(
-        [*apart.schema.fields, T.StructField("__lang", T.StringType()), T.StructField("__top", T.DoubleType()), T.StructField("__mass", T.DoubleType())]
-    )
+    schema = T.StructType([*apart.schema.fields, T.StructField("__lang", T.StringType()), *(T.StructField(c, T.DoubleType()) for c in numbers)])
     for k, block in enumerate(model.blocks(at_once)):
         shared = spark.sparkContext.broadcast(block)
         rows = (stored(rows) if k else rows).mapInArrow(lambda batches, shared=shared: _compared(batches, shared.value, at), schema)
@@ -188,22 +188,24 @@ def predict(docs: DataFrame, model: LanguageModel | None, text_col: str = "text"
 
 
 def _compared(batches: Iterator[pa.RecordBatch], block: LanguageBlock, at: int) -> Iterator[pa.RecordBatch]:
-    """The rows with the likeliest language so far, its log probability, and the mass of all so far in units of it."""
+    """The rows with the likeliest language so far, its log probability, the same tempered, and the tempered mass of all so far in units of it."""
     names = np.array(block.languages, dtype=object)
     for batch in batches:
         found = [block.score(data, offsets) for _, _, data, offsets in text_blocks(batch.column(at), 1 << 20)]
-        best, top, mass, letter = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, int), np.zeros(0), np.zeros(0), np.zeros(0, bool))
-        lang, old_top, old_mass = (batch.column(batch.num_columns - k) for k in (3, 2, 1))
-        old_top = np.nan_to_num(old_top.to_numpy(zero_copy_only=False).astype(float), nan=-np.inf)
-        old_mass = np.nan_to_num(old_mass.to_numpy(zero_copy_only=False).astype(float))
-        better = top > old_top
-        most = np.maximum(top, old_top)
+        best, top, cool, mass, letter = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, int), *(np.zeros(0),) * 3, np.zeros(0, bool))
+        lang = np.array(batch.column(batch.num_columns - 4).to_pylist(), dtype=object)
+        old_top, old_cool, old_mass = (batch.column(batch.num_columns - k).to_numpy(zero_copy_only=False).astype(float) for k in (3, 2, 1))
+        first = np.isnan(old_top)
+        better = first | (top > old_top)
+        # The choice by all grams and the tempered one differ by the prior at most, so nothing overflows.
+        now = np.where(better, cool, old_cool)
         new = [
-            pa.array(np.where(letter, np.where(better, names[best], np.array(lang.to_pylist(), dtype=object)), UNDETERMINED), pa.string()),
-            pa.array(most, mask=~letter),
-            pa.array(mass * np.exp(top - most) + old_mass * np.exp(old_top - most), mask=~letter),
+            pa.array(np.where(letter, np.where(better, names[best], lang), UNDETERMINED), pa.string()),
+            pa.array(np.where(better, top, old_top), mask=~letter),
+            pa.array(now, mask=~letter),
+            pa.array(mass * np.exp(cool - now) + np.where(first, 0.0, old_mass * np.exp(np.where(first, 0.0, old_cool - now))), mask=~letter),
         ]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-3], *new], names=batch.schema.names)
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-4], *new], names=batch.schema.names)
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 5) -> DataFrame:

@@ -23,12 +23,13 @@ m AS (SELECT doc_id, item_id, size, i, j FROM ds JOIN bs USING (size, s)),
 hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM m) GROUP BY 1),
 its AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM m) GROUP BY 1),
 runs AS (
-  SELECT doc_id, item_id, min(i) AS at, max(i) - min(i) + max(size) AS words
+  SELECT doc_id, item_id, min(i) AS pos, max(i) - min(i) + max(size) AS words
   FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, item_id, i - j ORDER BY i) AS run FROM m) GROUP BY doc_id, item_id, i - j, run
 ),
-best AS (SELECT doc_id, max(words) AS longest FROM runs GROUP BY 1)
+best AS (SELECT doc_id, min(struct_pack(w := -words, id := item_id::VARCHAR, p := pos)) AS b FROM runs GROUP BY 1)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
-  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated, coalesce(longest, 0)::BIGINT AS longest
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated, coalesce(-b.w, 0)::BIGINT AS longest, b.id AS longest_item,
+  (b.p - 1)::BIGINT AS longest_at
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id) LEFT JOIN best USING (doc_id)
 """
 

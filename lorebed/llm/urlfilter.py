@@ -81,12 +81,18 @@ def host_links(pages: DataFrame, host_col: str = "host", html_col: str = "html")
     return links.where("source <> '' AND target <> '' AND source <> target").groupBy("source", "target").agg(F.count("*").alias("n"))
 
 
-def propagate(links: DataFrame, trusted: DataFrame, blocked: DataFrame, damping: float = 0.85, steps: int = 20, steps_per_table: int = 5) -> DataFrame:
+#: What a few more steps may still move, as a share of all rank.
+SETTLED = 1e-10
+
+
+def propagate(links: DataFrame, trusted: DataFrame, blocked: DataFrame, damping: float = 0.85, steps: int = 400, steps_per_table: int = 5) -> DataFrame:
     """(host, trust, distrust, trust_pages, distrust_pages) of every host that either reaches.
 
     ``trusted`` and ``blocked`` hold host, without repeats, and pages. trust and distrust sum to one each, if they have a seed; the others are the same times
     the seeds' pages. What a host without links can't pass on goes back to the seeds. Both run at once, as ranks of two kinds over the links and
-    over the reversed links; the ranks are written to the shared folder every ``steps_per_table`` steps, which ends their lineage.
+    over the reversed links; the ranks are written to the shared folder every ``steps_per_table`` steps, which ends their lineage. They have
+    settled when so many steps together move less than SETTLED of the whole; that this takes more than ``steps`` is an error. Without
+    a link every rank is its seed's, and no step is taken.
     """
     both = links.select(F.lit("trust").alias("kind"), "source", "target", "n").unionByName(
         links.select(F.lit("distrust").alias("kind"), F.col("target").alias("source"), F.col("source").alias("target"), "n")
@@ -97,18 +103,27 @@ def propagate(links: DataFrame, trusted: DataFrame, blocked: DataFrame, damping:
     start = stored(seeds.select("kind", "host", F.col("pages").cast("double").alias("score")))
     total = stored(start.groupBy("kind").agg(F.sum("score").alias("all")))  # a row for each of the two kinds
     ranks, tables = start, [edges, start, total]
-    for k in range(steps):
-        passed = ranks.withColumnRenamed("host", "source").join(edges, ["kind", "source"]).groupBy("kind", F.col("target").alias("host")).agg(
-            F.sum(damping * F.col("score") * F.col("share")).alias("score")
-        )
-        back = total.join(passed.groupBy("kind").agg(F.sum("score").alias("sum")), "kind", "left").select(
-            "kind", (1 - F.coalesce("sum", F.lit(0.0)) / F.col("all")).alias("back")
-        )
-        again = start.join(F.broadcast(back), "kind").select("kind", "host", (F.col("score") * F.col("back")).alias("score"))
-        ranks = passed.unionByName(again).groupBy("kind", "host").agg(F.sum("score").alias("score"))
-        if (k + 1) % steps_per_table == 0:
-            ranks = stored(ranks)
-            tables.append(ranks)
+    settled = edges.isEmpty()
+    for _ in range(0, steps, steps_per_table):
+        if settled:
+            break
+        before = ranks
+        for _ in range(steps_per_table):
+            passed = ranks.withColumnRenamed("host", "source").join(edges, ["kind", "source"]).groupBy("kind", F.col("target").alias("host")).agg(
+                F.sum(damping * F.col("score") * F.col("share")).alias("score")
+            )
+            back = total.join(passed.groupBy("kind").agg(F.sum("score").alias("sum")), "kind", "left").select(
+                "kind", (1 - F.coalesce("sum", F.lit(0.0)) / F.col("all")).alias("back")
+            )
+            again = start.join(F.broadcast(back), "kind").select("kind", "host", (F.col("score") * F.col("back")).alias("score"))
+            ranks = passed.unionByName(again).groupBy("kind", "host").agg(F.sum("score").alias("score"))
+        ranks = stored(ranks)
+        tables.append(ranks)
+        signed = ranks.unionByName(before.select("kind", "host", (-F.col("score")).alias("score"))).groupBy("kind", "host").agg(F.abs(F.sum("score")).alias("moved"))
+        moved = signed.groupBy("kind").agg(F.sum("moved").alias("moved")).join(total, "kind").agg(F.max(F.col("moved") / F.col("all"))).first()[0]
+        settled = moved is None or moved < SETTLED
+    if not settled:
+        raise ValueError(f"the ranks haven't settled after {steps} steps")
     ranks = ranks.join(F.broadcast(total), "kind").withColumn("rank", F.col("score") / F.col("all"))
     of = lambda kind, c, name: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col(c))), F.lit(0.0)).alias(name)
     scores = stored(
@@ -124,7 +139,7 @@ TIE = 1e-9
 
 def judge(
     pages: DataFrame, rules: list[Rule] = RULES, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-    damping: float = 0.85, steps: int = 20
+    damping: float = 0.85, steps: int = 400
 ) -> DataFrame:
     """page_id, host, path, rule and verdict of every page.
 
@@ -144,8 +159,8 @@ def judge(
     return rows.select("page_id", "host", "path", "rule", F.coalesce("by_rule", "by_links", F.lit("allow")).alias("verdict"))
 
 
-def duckdb_sql(rules: list[Rule] = RULES, damping: float = 0.85, steps: int = 20) -> str:
-    """The same in DuckDB, with every step written out."""
+def duckdb_sql(rules: list[Rule] = RULES, damping: float = 0.85, steps: int = 150) -> str:
+    """The same in DuckDB, with as many steps written out as leave less than SETTLED to move."""
     lower = lambda c: f"translate({c}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     host = lambda c: lower(f"coalesce(regexp_extract({c}, '(?s)^.*?://([^/?#]*)', 1), '')")
     case = lambda f: "CASE " + " ".join(

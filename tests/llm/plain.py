@@ -119,10 +119,12 @@ def languages(train: list[tuple], texts: list[str | None], bucket, alpha: float
             out.append(("und", 0.0))
             continue
         found = grams(text)
-        total = {}
+        total, cooled = {}, {}
         for lang in sorted(counts):
             mass = sum(counts[lang].values()) + alpha * buckets
-            total[lang] = sum(log((counts[lang][g] + alpha) / mass) for g in found) * min(1.0, evidence / max(len(found), 1)) + log(docs[lang] / docs.total())
+            likelihood, prior = sum(log((counts[lang][g] + alpha) / mass) for g in found), log(docs[lang] / docs.total())
+            total[lang] = likelihood + prior
+            cooled[lang] = likelihood * min(1.0, evidence / max(len(found), 1)) + prior
         best = max(sorted(total), key=total.get)
-        out.append((best, 1 / sum(exp(v - total[best]) for v in total.values())))
+        out.append((best, 1 / sum(exp(v - cooled[best]) for v in cooled.values())))
     return out
