@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
@@ -56,10 +58,34 @@ def ratio(a: str, b: str) -> float:
     return 200.0 * int(_common(a, row)[0]) / (len(a) + len(b))
 
 
+@lru_cache(maxsize=2)
+def _bigrams(text: str) -> np.ndarray:
+    """A number below 2 ** 16 for each two neighbouring characters; different pairs may share one."""
+    p = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+    return ((p[:-1] * np.uint64(0x9E3779B1) + p[1:] * np.uint64(0x85EBCA77)) >> np.uint64(7) & np.uint64(0xFFFF)).astype(np.uint16)
+
+
+_SEEN = np.zeros(1 << 16, dtype=bool)
+
+
+def _may_reach(a: str, b: str, begin: np.ndarray, size: np.ndarray, cutoff: float) -> np.ndarray:
+    """Whether the stretches of b have enough bigrams of a for a ratio of ``cutoff``.
+
+    With c characters in common, each of the |a| - c others breaks two bigrams of a at most, and each of the stretch's own others one; so
+    3 c - |a| - size - 1 bigrams of a are in the stretch, and c is cutoff (|a| + size) / 200 at least.
+    """
+    own = _bigrams(a)
+    _SEEN[own] = True
+    found = np.concatenate([[0], np.cumsum(_SEEN[_bigrams(b)])])
+    _SEEN[own] = False
+    there = found[begin + np.maximum(size, 1) - 1] - found[begin]
+    return there >= (1.5 * cutoff / 100 - 1) * (len(a) + size) - 1 - 1e-9
+
+
 def partial_ratio(a: str, b: str, cutoff: float = 0.0) -> float:
     """The best ratio of the shorter string with a stretch of the longer of its length, or a shorter one at either end.
 
-    0 if that is below the cutoff, which saves looking at most stretches.
+    0 if that is below the cutoff, which saves looking at most stretches: those with too few of its bigrams are never compared.
     """
     if len(a) > len(b):
         a, b = b, a
@@ -75,6 +101,12 @@ def partial_ratio(a: str, b: str, cutoff: float = 0.0) -> float:
     size = np.minimum(np.minimum(places + 1, m), len(windows) - places)
     # Windows one place apart have common subsequences that differ by one at most, so a coarse grid bounds what lies between.
     bound = np.minimum(size, m)
+    if cutoff > 200 / 3:
+        possible = _may_reach(a, b, np.maximum(places - m + 1, 0), size, cutoff)
+        if not possible.any():
+            return 0.0
+        # The others have less in common than the cutoff asks for.
+        bound = np.where(possible, bound, np.minimum(bound, np.ceil(cutoff * (m + size) / 200 - 1e-9).astype(bound.dtype) - 1))
     known = np.zeros(len(windows), dtype=bool)
     best, found, stride = max(0.0, cutoff - 1e-9), 0.0, 1 << max(0, (m // 2).bit_length() - 1)
     while stride:

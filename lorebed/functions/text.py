@@ -2,37 +2,57 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import sys
+from functools import cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: Python's white space, written out for Java's regular expressions, whose own class of all of Unicode is several times slower.
 SPACE = r"[\t-\r\x1c- \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_SPACES = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+#: The same behind a range that visible ASCII characters fail at once.
+_QUICK = r"[\x00- \x7f-\uffff&&" + SPACE + "]"
+_ODD_SPACE = r"[\x00-\x1f\x7f-\uffff&&" + SPACE + "]"
 
 
 def strip(c: Column) -> Column:
     """As str.strip(); null stays null."""
-    return F.regexp_replace(c, rf"{SPACE}+\z|\A{SPACE}+", "")
+    return F.btrim(c, F.lit(_SPACES))
 
 
 def collapse(c: Column) -> Column:
     """Runs of white space become one space; a single space, which most are, isn't touched."""
-    return F.regexp_replace(c, f" *{SPACE.replace('- ', '-\\x1f')}{SPACE}*| {{2,}}", " ")
+    return F.regexp_replace(c, f"{_QUICK}{{2,}}+|{_ODD_SPACE}", " ")
+
+
+@cache
+def _folding() -> tuple[str, str, dict[str, str], str]:
+    """From all of Unicode: characters that fold to one other and what they fold to, those that fold to several, and a class of ranges beyond Latin-1 that hold
+    every letter whose folded or lower form isn't itself."""
+    cased = [c for c in map(chr, range(0x110000)) if not 0xD800 <= ord(c) <= 0xDFFF and (c.casefold() != c or c.lower() != c)]
+    one = [c for c in cased if len(c.casefold()) == 1]
+    many = {c: c.casefold() for c in cased if len(c.casefold()) > 1}
+    ranges: list[list[int]] = []
+    for at in (ord(c) for c in cased if ord(c) > 0xFF):
+        # Letters near to cased ones may be cased in a younger version of Unicode; to fold them slowly does no harm.
+        if ranges and at - ranges[-1][1] <= 256:
+            ranges[-1][1] = at
+        else:
+            ranges.append([at, at])
+    odd = "".join(f"\\x{{{a:x}}}-\\x{{{b + 256 * (b > 0xFFFF):x}}}" for a, b in ranges)
+    return "".join(one), "".join(c.casefold() for c in one), many, f"[\\x{{100}}-\\x{{{sys.maxunicode:x}}}&&[{odd}]]"
 
 
 def casefold(c: Column) -> Column:
-    """str.casefold() for Latin and Greek letters, natively; casefold_exact covers all of Unicode."""
-    low = F.lower(c)
-    out = F.when(low.rlike("[µſς]"), F.translate(low, "µſς", "μsσ")).otherwise(low)
-    for a, b in (("ß", "ss"), ("ŉ", "ʼn"), ("ǰ", "ǰ")):
-        out = F.replace(out, F.lit(a), F.lit(b))
-    return out
-
-
-@F.pandas_udf(T.StringType())
-def casefold_exact(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: None if x is None else x.casefold())
+    """str.casefold(), natively. Texts of ASCII and Latin-1 alone are lowered, and ``ß`` and ``µ`` replaced; others are folded character by character."""
+    one, to, many, odd = _folding()
+    western = F.replace(F.replace(F.lower(c), F.lit("ß"), F.lit("ss")), F.lit("µ"), F.lit("μ"))
+    translated = F.translate(c, one, to)
+    pairs = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in many.items()])
+    every = F.aggregate(pairs, translated, lambda text, p: F.replace(text, p["a"], p["b"]))
+    full = F.when(translated.rlike(f"[\\x{{80}}-\\x{{{sys.maxunicode:x}}}&&[{''.join(many)}]]"), every).otherwise(translated)
+    return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).when(c.rlike(odd), full).otherwise(western)
 
 
 def fold_spaces(c: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import casefold, fold_spaces, strip
+from ..sources.scratch import stored
 
 
 def first_rank(keys: list[str], order: str) -> Column:
@@ -15,10 +16,12 @@ def first_rank(keys: list[str], order: str) -> Column:
 def _with_first(rows: DataFrame, keys: list[str], order: str, how: str) -> DataFrame:
     """The rows beside ``__first``, which is set for the first of each key. ``order`` is different in all rows of a key.
 
-    The first orders come from a hash aggregate, which shrinks a hot key before the shuffle; the rows meet them by key and order, which no two rows share.
+    The rows are stored, so that keys are made once and their source is read once. The first orders come from a hash aggregate, which shrinks a hot
+    key before the shuffle; the rows meet them by key and order, which no two rows share.
     """
+    rows = stored(rows)
     firsts = rows.groupBy(*keys).agg(F.min(order).alias(order)).withColumn("__first", F.lit(True))
-    return rows.join(firsts.hint("merge"), [*keys, order], how)
+    return rows.join(firsts, [*keys, order], how)
 
 
 def label_duplicates(rows: DataFrame, key: str, order: str, status: str = "status") -> DataFrame:

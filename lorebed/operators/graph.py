@@ -43,7 +43,7 @@ def agglomerated(links: DataFrame, marks: DataFrame, most_links: int = MOST_LINK
     """(node, root) of every node in links (a, b, score) when links are taken one by one, the best score first, and unite two clusters unless these have marks that differ.
 
     ``marks`` (node, mark) has the mark of each node at most once; a cluster's mark is that of any of its nodes, as all that have one agree. Of links with equal
-    scores the one with the smaller md5 of both names comes first. The root is the cluster's smallest node.
+    scores the one with the smaller md5 of both names, with the character 1 between, comes first. The root is the cluster's smallest node.
 
     What doesn't conflict anywhere is a component like any other. A component that does is one task's work if it has ``most_links`` or fewer; larger ones
     go through rounds, each of which takes every link that is the best for both of its clusters: neither of them would find a better one before, so
@@ -55,7 +55,7 @@ def agglomerated(links: DataFrame, marks: DataFrame, most_links: int = MOST_LINK
     of = marked.join(sizes, "root").select("root", F.when(~F.coalesce("torn", F.lit(False)), "whole").when(F.col("links") <= most_links, "task").otherwise("rounds").alias("way"))
     found = stored(found.join(of, "root"))
     out = found.where("way = 'whole'").select("node", "root")
-    order = F.struct((-F.col("score")).alias("s"), F.md5(F.concat("a", F.lit("\x00"), "b")).alias("h"), F.col("a").alias("m"), F.col("b").alias("n"))
+    order = F.struct((-F.col("score")).alias("s"), F.md5(F.concat("a", F.lit("\x01"), "b")).alias("h"), F.col("a").alias("m"), F.col("b").alias("n"))
     # Both ends are in one component, so one of them tells.
     torn = links.where("a <> b").withColumn("order", order).join(found.where("way <> 'whole'").withColumnRenamed("node", "a"), "a")
     in_task = torn.where("way = 'task'")

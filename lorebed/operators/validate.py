@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.fuzzy import partial_at_least
 from ..functions.records import as_text, confidence
 from ..functions.text import casefold, fold_spaces, strip
+from ..sources.scratch import stored
 from ..vocabulary import CATEGORIES, ENTITY_TYPES, GROUNDING_THRESHOLD, MAX_UNVALIDATED_CONFIDENCE, MIN_CONFIDENCE, PAGE_CLAIM_STATUSES
 from .dedupe import dedupe_facts
 
@@ -29,14 +30,15 @@ def field_reasons(records: DataFrame) -> DataFrame:
 
 def grounded(
     rows: DataFrame, evidence: str = "evidence_text", page: str = "page_markdown", threshold: float = GROUNDING_THRESHOLD,
-    fuzzy: bool = True
+    fuzzy: bool = True, folded: bool = False
 ) -> DataFrame:
     """With is_grounded: the evidence is part of the page, white space and case aside, or close to a part of it.
 
-    Python gets texts only where the native test leaves it open, and nulls for all other rows.
+    Python gets texts only where the native test leaves it open, and nulls for all other rows. ``folded``: the pages are folded already, once
+    for all claims about them.
     """
     a, b = F.col("__evidence"), F.col("__page")
-    rows = rows.withColumns({"__evidence": fold_spaces(F.col(evidence)), "__page": fold_spaces(F.col(page))})
+    rows = rows.withColumns({"__evidence": fold_spaces(F.col(evidence)), "__page": F.coalesce(F.col(page), F.lit("")) if folded else fold_spaces(F.col(page))})
     rows = rows.withColumn("is_grounded", (a != "") & (b != "") & F.contains(b, a))
     if fuzzy:
         open_ = ~F.col("is_grounded") & (a != "") & (b != "")
@@ -49,9 +51,10 @@ def validate(records: DataFrame, pages: DataFrame, fuzzy: bool = True) -> DataFr
 
     Related organisations and fields are cleaned first. Grounding is asked only of records with evidence.
     """
-    checked = field_reasons(normalize_records(records)).join(pages.select("page_id", "page_markdown"), "page_id", "left")
+    folded = pages.select("page_id", fold_spaces(F.col("page_markdown")).alias("page_markdown"))
+    checked = field_reasons(normalize_records(records)).join(folded, "page_id", "left")
     asked = ~F.array_contains("rejection_reasons", "missing_evidence")
-    tested = grounded(checked.withColumn("__asked", F.when(asked, F.col("evidence_text"))), evidence="__asked", fuzzy=fuzzy).drop("__asked", "page_markdown")
+    tested = grounded(checked.withColumn("__asked", F.when(asked, F.col("evidence_text"))), evidence="__asked", fuzzy=fuzzy, folded=True).drop("__asked", "page_markdown")
     reasons = F.when(F.col("is_grounded") | ~asked, F.col("rejection_reasons")).otherwise(F.array_append("rejection_reasons", F.lit("unsupported_claim")))
     return tested.withColumn("rejection_reasons", reasons).withColumn(
         "validation_status", F.when(F.size("rejection_reasons") == 0, "passed").otherwise("failed")
@@ -60,7 +63,8 @@ def validate(records: DataFrame, pages: DataFrame, fuzzy: bool = True) -> DataFr
 
 def split(validated: DataFrame, earlier_failures: DataFrame | None = None, order: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(passed, failed); failures of generation stay among the failed on every rerun. With an order, passed records that repeat an
-    earlier one's fact are failures too."""
+    earlier one's fact are failures too. What was validated is stored, as both parts read it."""
+    validated = stored(validated)
     passed, failed = validated.where("validation_status = 'passed'"), validated.where("validation_status = 'failed'")
     if earlier_failures is not None:
         failed = earlier_failures.where("failure_stage = 'generation'").unionByName(failed, allowMissingColumns=True)
@@ -97,7 +101,8 @@ def demote_ungrounded(entities: DataFrame, pages: DataFrame, key: str = "canonic
     conflicts_or_uncertainties names the urls of sources that aren't grounded."""
     sources = entities.select(F.col(key).alias("__k"), F.posexplode("sources").alias("place", "s")).select("__k", "place", "s.*")
     pages = pages.groupBy("source_url").agg(F.max_by("page_markdown", "path").alias("page_markdown"))
-    tested = grounded(sources.join(pages, "source_url", "left"), fuzzy=fuzzy)
+    pages = pages.select("source_url", fold_spaces(F.col("page_markdown")).alias("page_markdown"))
+    tested = grounded(sources.join(pages, "source_url", "left"), fuzzy=fuzzy, folded=True)
     found = tested.groupBy("__k").agg(
         F.max("is_grounded").alias("kept"),
         F.array_sort(F.collect_list(F.when(~F.col("is_grounded") & (F.coalesce("source_url", F.lit("")) != ""), F.struct("place", "source_url")))).alias("bad")

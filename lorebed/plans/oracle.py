@@ -20,7 +20,6 @@ def _rows(values: list[str]) -> str:
 
 _FOLD = "replace(translate(lower({0}), 'µſς', 'μsσ'), 'ß', 'ss')"
 _HASH = "sha1(" + _FOLD.format(r"trim(regexp_replace(text, '\s+', ' ', 'g'), ' ')") + ")"
-_LINE = "split_part(text, chr(10), 1)"
 
 # A url's parts, and its canonical form, for urls with a scheme and no escapes.
 _URL = f"""
@@ -126,12 +125,21 @@ ORACLE["frontier_counts"] = f"WITH {_URL} SELECT status, count(*) AS n FROM {_ma
 ORACLE["frontier_next_batch"] = f"WITH {_URL} SELECT page_id AS frontier_id, normalized_url, priority FROM ({_REQUEUED}) WHERE requeued AND priority IN ('high', 'medium') ORDER BY page_id LIMIT 1000"
 
 _FOLDED = lambda c: _FOLD.format(rf"trim(regexp_replace(coalesce({c}, ''), '\s+', ' ', 'g'), ' ')")
-_RECORDS = f"""r AS (
-  SELECT d.doc_id, 'page_' || lpad(d.doc_id::VARCHAR, 6, '0') AS page_id, 'https://' || d.source || '.example.com/' AS source_url, split_part({_LINE.replace("text", "d.text")}, ' ', 1) AS entity_name,
-    CASE WHEN d.doc_id % 7 = 3 THEN '' WHEN d.doc_id % 3 = 0 THEN coalesce({_LINE.replace("text", "o.text")}, '') ELSE {_LINE.replace("text", "d.text")} END AS evidence_text,
-    [{_quoted([*ENTITY_TYPES, "not_a_type"])}][d.doc_id % 14 + 1] AS entity_type, CASE WHEN d.doc_id % 7 = 5 THEN 'no_category' ELSE 'logistics' END AS category, CASE WHEN d.doc_id % 7 = 6 THEN 'cancelled' ELSE 'announced' END AS claim_status,
-    greatest(0.0, least(1.0, d.n_chars / 1000))::DOUBLE AS score, d.text, {_LINE.replace("text", "d.text")} AS fact
-  FROM documents d LEFT JOIN documents o ON d.doc_id = o.doc_id + 1
+_RECORDS = f"""lines AS (SELECT doc_id, source, n_chars, string_split(text, chr(10)) AS claims FROM documents),
+claims AS (SELECT doc_id, source, n_chars, unnest(claims) AS claim, unnest(range(len(claims))) AS line FROM lines),
+about AS (
+  SELECT *, doc_id AS about FROM claims WHERE doc_id % 3 IN (1, 2)
+  UNION ALL SELECT *, doc_id + 1 FROM claims WHERE doc_id % 3 = 2
+),
+r AS (
+  SELECT (a.about * 2 + a.about - a.doc_id) * 1000000 + a.line AS _ord, printf('page_%06d', a.about) AS page_id,
+    'https://' || a.source || '.example.com/' AS source_url, split_part(a.claim, ' ', 1) AS entity_name,
+    CASE WHEN (a.doc_id + a.line) % 7 = 3 THEN '' ELSE a.claim END AS evidence_text,
+    [{_quoted([*ENTITY_TYPES, "not_a_type"])}][(a.doc_id + a.line) % 14 + 1] AS entity_type,
+    CASE WHEN (a.doc_id + a.line) % 7 = 5 THEN 'no_category' ELSE 'logistics' END AS category,
+    CASE WHEN (a.doc_id + a.line) % 7 = 6 THEN 'cancelled' ELSE 'announced' END AS claim_status,
+    greatest(0.0, least(1.0, a.n_chars / 1000))::DOUBLE AS score, coalesce(d.text, '') AS text, a.claim AS fact
+  FROM about a LEFT JOIN documents d ON d.doc_id = a.about
 ),
 g AS (SELECT *, {_FOLDED("evidence_text")} <> '' AND {_FOLDED("text")} <> '' AND contains({_FOLDED("text")}, {_FOLDED("evidence_text")}) AS is_grounded FROM r),
 v AS (
@@ -141,26 +149,27 @@ v AS (
     CASE WHEN trim(evidence_text) <> '' AND NOT is_grounded THEN 'unsupported_claim' END], lambda x: x IS NOT NULL) AS reasons
   FROM g
 )"""
-ORACLE["grounding_exact"] = f"WITH {_RECORDS} SELECT page_id, is_grounded FROM g"
+ORACLE["grounding_exact"] = f"WITH {_RECORDS} SELECT page_id, _ord, is_grounded FROM g"
 ORACLE["fact_dedupe"] = f"""WITH {_RECORDS}
-SELECT page_id, CASE WHEN k > 1 THEN 'failed' ELSE '' END AS validation_status, CASE WHEN k > 1 THEN 'duplicate_record' ELSE '' END AS reasons
-FROM (SELECT page_id, row_number() OVER (PARTITION BY source_url, {_FOLD.format("trim(entity_name)")}, {_FOLDED("evidence_text")} ORDER BY doc_id) AS k FROM r)"""
-ORACLE["record_validate_reasons_exact"] = f"WITH {_RECORDS} SELECT page_id, CASE WHEN len(reasons) = 0 THEN 'passed' ELSE 'failed' END AS validation_status, array_to_string(reasons, ';') AS reasons, round(least(score, 0.95), 6) AS confidence FROM v"
+SELECT page_id, _ord, CASE WHEN k > 1 THEN 'failed' ELSE '' END AS validation_status, CASE WHEN k > 1 THEN 'duplicate_record' ELSE '' END AS reasons
+FROM (SELECT page_id, _ord, row_number() OVER (PARTITION BY source_url, {_FOLD.format("trim(entity_name)")}, {_FOLDED("evidence_text")} ORDER BY _ord) AS k FROM r)"""
+ORACLE["record_validate_reasons_exact"] = f"WITH {_RECORDS} SELECT page_id, _ord, CASE WHEN len(reasons) = 0 THEN 'passed' ELSE 'failed' END AS validation_status, array_to_string(reasons, ';') AS reasons, round(least(score, 0.95), 6) AS confidence FROM v"
 ORACLE["reasons_explode_counts_exact"] = f"WITH {_RECORDS} SELECT value, count(*) AS n FROM (SELECT unnest(reasons) AS value FROM v) GROUP BY 1"
 ORACLE["validation_totals_exact"] = f"WITH {_RECORDS} SELECT count(*) FILTER (len(reasons) = 0) AS passed, count(*) FILTER (len(reasons) > 0) AS failed, count(*) AS records FROM v"
-ORACLE["wiki_id"] = f"WITH {_RECORDS} SELECT page_id, substr(sha256(source_url || chr(1) || entity_name || chr(1) || evidence_text), 1, 16) AS wiki_id FROM r"
-ORACLE["bag_union_exact"] = f"WITH {_RECORDS} SELECT page_id, 1 + (len(reasons) > 0)::BIGINT AS n, CASE WHEN len(reasons) > 0 THEN 'failed' END AS status FROM v"
+ORACLE["wiki_id"] = f"WITH {_RECORDS} SELECT page_id, _ord, substr(sha256(source_url || chr(1) || entity_name || chr(1) || evidence_text), 1, 16) AS wiki_id FROM r"
+ORACLE["bag_union_exact"] = f"""WITH {_RECORDS} SELECT page_id, count(*) + count(*) FILTER (len(reasons) > 0) AS n, CASE WHEN bool_or(len(reasons) > 0) THEN 'failed' END AS status
+FROM v GROUP BY page_id"""
 ORACLE["entity_profiles"] = f"""WITH {_RECORDS}
-SELECT lower(entity_name) AS canonical_name, array_to_string(list_sort(list(DISTINCT entity_name)), ';') AS aliases, arg_min(entity_type, doc_id) AS entity_type,
+SELECT lower(entity_name) AS canonical_name, array_to_string(list_sort(list(DISTINCT entity_name)), ';') AS aliases, arg_min(entity_type, _ord) AS entity_type,
   count(DISTINCT {{'u': source_url, 'e': evidence_text}}) AS n_sources, count(DISTINCT fact) AS n_facts FROM r GROUP BY 1"""
 ORACLE["markdown_round_trip"] = f"WITH {_RECORDS} SELECT page_id, entity_name AS title, entity_type, 1::BIGINT AS n_facts, evidence_text AS fact FROM r"
 
 _URLS = "'https://c.example.com/' || conv_id || '/' || turn"
 _ENTITIES = f"""e AS (
-  SELECT conv_id, 'Entity ' || conv_id AS canonical_name, list({{'turn': turn, 'url': {_URLS}, 'role': role, 'line': {_LINE}, 'text': text}} ORDER BY turn) AS sources, arg_min({_LINE}, turn) AS overview, conv_id % 2 = 0 AS even,
+  SELECT conv_id, 'Entity ' || conv_id AS canonical_name, list({{'turn': turn, 'url': {_URLS}, 'role': role, 'text': text}} ORDER BY turn) AS sources, arg_min(text, turn) AS overview, conv_id % 2 = 0 AS even,
     CASE WHEN conv_id % 3 = 0 THEN '2020' ELSE '' END AS span FROM conversations GROUP BY conv_id
 )"""
-ORACLE["sources_explode"] = f"SELECT 'Entity ' || conv_id AS canonical_name, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS place, {_URLS} AS source_url, role AS source_title, 'c.example.com' AS source_domain, {_LINE} AS evidence_text, 'announced' AS claim_status FROM conversations"
+ORACLE["sources_explode"] = f"SELECT 'Entity ' || conv_id AS canonical_name, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS place, {_URLS} AS source_url, role AS source_title, 'c.example.com' AS source_domain, text AS evidence_text, 'announced' AS claim_status FROM conversations"
 ORACLE["sources_rollup"] = f"WITH {_ENTITIES} SELECT canonical_name, CASE WHEN even THEN len(sources) ELSE 9 END AS source_count, array_to_string(list_filter(list_transform(sources, lambda s: s.url), lambda u: ends_with(u, '1')), ', ') AS urls FROM e"
 ORACLE["final_wiki_rows"] = f"""WITH {_ENTITIES} SELECT canonical_name, overview, CASE WHEN even THEN len(sources) ELSE 9 END AS source_count, CASE WHEN even THEN '["Bryan County","Jackson County"]' ELSE '[]' END AS locations, '[]' AS aliases,
   CASE WHEN even THEN 'stale' ELSE 'fresh' END AS currency, len(sources) AS n_sources FROM e"""
@@ -170,7 +179,7 @@ SELECT conv_id, 0 AS k, 'What does ' || canonical_name || ' do in Georgia''s EV
 UNION ALL SELECT conv_id, 1, 'Where does ' || canonical_name || ' operate in Georgia?', canonical_name || ' operates in Bryan County, Jackson County based on the sources.' || ending FROM x WHERE o <> '' AND even"""
 ORACLE["wiki_listing"] = f"WITH {_ENTITIES} SELECT canonical_name, '- [[entity-' || conv_id || '|' || canonical_name || ']]' || CASE WHEN even THEN ' _(Bryan County)_' ELSE '' END || ' — ' || split_part(overview, '.', 1) AS line FROM e"
 ORACLE["entity_demotion"] = f"""WITH {_ENTITIES}, s AS (SELECT canonical_name, unnest(sources) AS s FROM e),
-t AS (SELECT canonical_name, s.turn AS turn, s.url AS url, s.role = 'user' AND {_FOLDED("s.line")} <> '' AND contains({_FOLDED("s.text")}, {_FOLDED("s.line")}) AS ok FROM s)
+t AS (SELECT canonical_name, s.turn AS turn, s.url AS url, s.role = 'user' AND {_FOLDED("s.text")} <> '' AS ok FROM s)
 SELECT canonical_name, bool_or(ok) AS kept, coalesce('Ungrounded sources: ' || string_agg(url, ', ' ORDER BY turn) FILTER (NOT ok), '') AS notes, count(*)::INT AS n_sources FROM t GROUP BY 1"""
 
 ORACLE["currency_bucket"] = """WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 1 THEN date_trunc('month', o_orderdate)::DATE WHEN o_orderkey % 10 > 1 THEN o_orderdate::DATE END AS d FROM orders),
@@ -180,7 +189,7 @@ ORACLE["confidence_clamp"] = "SELECT event_id, round(CASE WHEN event_id % 11 = 0
 ORACLE["event_keys"] = "SELECT event_type, sum((props->>'$.k')::BIGINT)::BIGINT AS k_sum, count(*) AS n FROM events GROUP BY 1"
 ORACLE["page_id_format"] = "SELECT doc_id, printf('page_%06d', doc_id) AS page_id, printf('page_%06d', doc_id + 123456789) AS long_id FROM documents"
 ORACLE["text_metrics"] = f"""SELECT doc_id, ({_WORDS})::BIGINT AS words, length(text) AS chars,
-  regexp_replace(left(regexp_replace(regexp_replace(lower({_LINE}), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 60), '-+$', '') AS slug FROM documents"""
+  regexp_replace(left(regexp_replace(regexp_replace(lower(text), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 60), '-+$', '') AS slug FROM documents"""
 ORACLE["name_normalize"] = f"""SELECT p_partkey, regexp_replace(trim(regexp_replace(lower(p_name || CASE p_partkey % 3 WHEN 0 THEN ', Inc.' WHEN 1 THEN ' LLC' ELSE '' END), '[^a-z0-9]+', ' ', 'g')), '( ({"|".join(LEGAL_FORMS)}))+$', '') AS name FROM part"""
 
 
@@ -194,17 +203,28 @@ dp(a, b, s, t, i, line) AS (
   FROM dp WHERE i < length(s)
 ),
 scored AS (SELECT a, b, 200 * line[-1] / (length(s) + length(t)) AS score FROM dp WHERE i = length(s)),
-links AS (SELECT a AS x, b AS y FROM scored WHERE score >= 90 UNION SELECT b, a FROM scored WHERE score >= 90),
-reach(name, other) AS (SELECT name, name FROM n UNION SELECT r.name, l.y FROM reach r JOIN links l ON r.other = l.x),
-clusters AS (SELECT r.name, arg_min(r.other, n.ord) AS cluster FROM reach r JOIN n ON n.name = r.other GROUP BY r.name)"""
+marks AS (SELECT name, arg_min(location, ord) FILTER (location <> '') AS mark FROM {names} GROUP BY name),
+e AS (SELECT a, b, row_number() OVER (ORDER BY score DESC, md5(a || chr(1) || b)) AS i FROM scored WHERE score >= 90),
+g(i, nodes) AS (
+  SELECT 0::BIGINT, (SELECT list(struct_pack(n := name, c := name, m := mark) ORDER BY name) FROM marks)
+  UNION ALL SELECT i + 1, CASE WHEN x.c = y.c OR coalesce(x.m <> y.m, false) THEN nodes
+    ELSE list_transform(nodes, lambda v: CASE WHEN v.c IN (x.c, y.c) THEN struct_pack(n := v.n, c := least(x.c, y.c), m := coalesce(x.m, y.m)) ELSE v END) END
+  FROM (SELECT g.i, g.nodes, list_filter(g.nodes, lambda v: v.n = e.a)[1] AS x, list_filter(g.nodes, lambda v: v.n = e.b)[1] AS y FROM g JOIN e ON e.i = g.i + 1)
+),
+rooted AS (SELECT v.n AS name, v.c AS root FROM (SELECT unnest(nodes) AS v FROM (SELECT nodes FROM g ORDER BY i DESC LIMIT 1))),
+clusters AS (SELECT name, arg_min(name, ord) OVER (PARTITION BY root) AS cluster FROM rooted JOIN n USING (name))"""
 
 
-_PART_NAMES = f"""p AS (SELECT p_partkey AS ord, regexp_replace(trim(regexp_replace(lower(p_name || CASE WHEN p_partkey % 5 = 0 THEN 's' ELSE '' END), '[^a-z0-9]+', ' ', 'g')), '( ({"|".join(LEGAL_FORMS)}))+$', '') AS name FROM part)"""
+_PART_NAMES = f"""p AS (SELECT p_partkey AS ord, regexp_replace(trim(regexp_replace(lower(p_name || CASE WHEN p_partkey % 5 = 0 THEN 's' ELSE '' END), '[^a-z0-9]+', ' ', 'g')), '( ({"|".join(LEGAL_FORMS)}))+$', '') AS name,
+  CASE WHEN p_partkey % 3 = 0 THEN '' ELSE p_brand END AS location FROM part)"""
 ORACLE["name_cluster"] = f"WITH RECURSIVE {_PART_NAMES}, {_clusters('p')} SELECT name, cluster FROM clusters"
-ORACLE["name_review_pairs"] = f"WITH RECURSIVE {_PART_NAMES}, {_clusters('p')} SELECT a, b, round(score, 6) AS score FROM scored WHERE score >= 80 AND score < 90"
-ORACLE["entity_profiles_clustered"] = f"""WITH RECURSIVE {_RECORDS}, p AS (SELECT entity_name AS name, doc_id AS ord FROM r), {_clusters('p')}
-SELECT cluster AS canonical_name, array_to_string(list_sort(list(DISTINCT entity_name)), ';') AS aliases, arg_min(entity_type, doc_id) AS entity_type,
-  count(DISTINCT {{'u': source_url, 'e': evidence_text}}) AS n_sources, count(DISTINCT fact) AS n_facts FROM r JOIN clusters ON entity_name = name GROUP BY 1"""
+ORACLE["name_review_pairs"] = f"""WITH RECURSIVE {_PART_NAMES}, {_clusters('p')} SELECT a, b, round(score, 6) AS score
+FROM scored JOIN clusters x ON x.name = a JOIN clusters y ON y.name = b WHERE score >= 80 AND x.cluster <> y.cluster"""
+ORACLE["entity_profiles_clustered"] = f"""WITH RECURSIVE {_RECORDS},
+q AS (SELECT *, split_part(split_part(source_url, '/', 3), '.', 1) || CASE WHEN _ord % 2 = 0 THEN ' battery plant' ELSE ' battery plants' END AS plant FROM r),
+p AS (SELECT plant AS name, _ord AS ord, CASE WHEN contains(plant, '7') THEN '' ELSE substr(plant, 1, 4) END AS location FROM q), {_clusters('p')}
+SELECT cluster AS canonical_name, array_to_string(list_sort(list(DISTINCT plant)), ';') AS aliases, arg_min(entity_type, _ord) AS entity_type,
+  count(DISTINCT {{'u': source_url, 'e': evidence_text}}) AS n_sources, count(DISTINCT fact) AS n_facts FROM q JOIN clusters ON plant = name GROUP BY 1"""
 ORACLE["name_aliases"] = "SELECT p_partkey, CASE WHEN p_name IN ('red widget', 'blue widget') THEN 'widget works' ELSE p_name END AS canonical_name FROM part"
 ORACLE["rollup_counts"] = "SELECT p_type AS category, p_brand AS county, count(*) AS entities, sum(p_size % 4)::BIGINT AS facilities, count(DISTINCT p_name) AS sources FROM part GROUP BY ROLLUP (p_type, p_brand)"
 ORACLE["shard_sizes"] = "SELECT (('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % 16)::INT AS shard, count(*) AS n FROM documents GROUP BY 1"

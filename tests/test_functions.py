@@ -61,7 +61,14 @@ def test_white_space_and_case_as_python(spark):
     odd = ["\x1c a b \x85", "　x ", "Straße ſ", "ΑΣ", None, "", " \t\n"]
     assert column(spark, odd, text.strip) == [x if x is None else x.strip() for x in odd]
     assert column(spark, odd, text.fold_spaces) == [" ".join((x or "").split()).casefold() for x in odd]
-    assert column(spark, odd, text.casefold_exact) == [x if x is None else x.casefold() for x in odd]
+    assert column(spark, odd, text.casefold) == [x if x is None else x.casefold() for x in odd]
+
+
+def test_case_folding_of_every_code_point(spark):
+    """In texts of neighbours, of all ASCII with one other, and with Latin-1 letters beside."""
+    points = [chr(p) for p in range(0x110000) if not 0xD800 <= p <= 0xDFFF]
+    texts = ["".join(points[i : i + 64]) for i in range(0, len(points), 64)] + [f"Aß{c}É" for c in points if c.casefold() != c or c.lower() != c]
+    assert column(spark, texts, text.casefold) == [x.casefold() for x in texts]
 
 
 def test_ids_and_slugs(spark):

@@ -54,7 +54,7 @@ def one_by_one(names, merge, review, location_of):
     own = {n: i for i, n in enumerate(names)}
     of, mark = {n: n for n in names}, {n: location_of.get(n) or None for n in names}
     scored = [(a, b, fuzzy.token_sort_ratio(a, b)) for a, b in itertools.combinations(sorted(names), 2)]
-    for a, b, _ in sorted((p for p in scored if p[2] >= merge), key=lambda p: (-p[2], hashlib.md5(f"{p[0]}\0{p[1]}".encode()).hexdigest())):
+    for a, b, _ in sorted((p for p in scored if p[2] >= merge), key=lambda p: (-p[2], hashlib.md5(f"{p[0]}\1{p[1]}".encode()).hexdigest())):
         x, y = of[a], of[b]
         if x != y and not (mark[x] and mark[y] and mark[x] != mark[y]):
             mark[x] = mark[x] or mark[y]
