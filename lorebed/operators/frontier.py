@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import chain
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..vocabulary import FRONTIER_COLUMNS, MAX_RETRIES, STATUS_OF_PRIORITY
@@ -44,6 +44,17 @@ def upsert(frontier: DataFrame, rows: DataFrame) -> DataFrame:
     return joined.select(*merged, F.col("a.normalized_url").isNull().alias("inserted"))
 
 
+def save_bucketed(frontier: DataFrame, name: str, path: str, buckets: int) -> None:
+    """The frontier as a table in buckets of normalized_url, each one file and sorted: joins on the url read it as it lies."""
+    parts = frontier.select(*FRONTIER_COLUMNS).repartition(buckets, "normalized_url")
+    parts.write.bucketBy(buckets, "normalized_url").sortBy("normalized_url").option("path", path).saveAsTable(name)
+
+
+def upsert_bucketed(spark: SparkSession, name: str, rows: DataFrame) -> DataFrame:
+    """``upsert`` into a table of ``save_bucketed``: only the new rows are shuffled, to where the frontier's buckets are. To be saved as another table."""
+    return upsert(spark.table(name), rows)
+
+
 def requeue_failed(frontier: DataFrame, most: int = MAX_RETRIES) -> DataFrame:
     """Failed rows with fewer retries than ``most`` are queued with one more; ``requeued`` marks them."""
     again = (F.col("status") == "failed") & (F.coalesce(F.col("retry_count"), F.lit(0)) < most)

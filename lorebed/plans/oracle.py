@@ -119,6 +119,13 @@ ORACLE["frontier_build"] = f"WITH {_URL} SELECT page_id, normalized_url, priorit
 ORACLE["frontier_upsert"] = f"""WITH {_URL}, a AS (SELECT * FROM {_old("/fr/")}), b AS (SELECT * FROM {_made("/de/")} QUALIFY row_number() OVER (PARTITION BY normalized_url ORDER BY page_id) = 1)
 SELECT coalesce(a.normalized_url, b.normalized_url) AS normalized_url, coalesce(b.priority, a.priority) AS priority, coalesce(a.status, b.status) AS status, coalesce(a.retry_count, 0) AS retry_count, a.normalized_url IS NULL AS inserted
 FROM a FULL JOIN b ON a.normalized_url = b.normalized_url"""
+ORACLE["frontier_upsert_bucketed"] = ORACLE["frontier_upsert"]
+ORACLE["model_answers"] = """WITH d AS (SELECT *, doc_id % 6 AS k, sha256(coalesce(text, '')) AS whole, sha256('') AS nothing FROM documents)
+SELECT doc_id, 0::BIGINT AS place, NULL AS reason, coalesce(source, '') AS entity_name, coalesce(n_chars::VARCHAR, '') AS details, whole AS overview, coalesce(lang, '') AS key_facts,
+  coalesce(source, '') || '/7' AS facilities, 1.0::DOUBLE AS confidence_score FROM d WHERE k IN (0, 5)
+UNION ALL SELECT doc_id, 0, NULL, doc_id::VARCHAR, '', whole, concat_ws(';', lang, source), 'x/', 0 FROM d WHERE k = 1
+UNION ALL SELECT doc_id, 1, 'record_not_an_object', '', '', nothing, '', '', 0 FROM d WHERE k = 1
+UNION ALL SELECT doc_id, NULL, CASE k WHEN 2 THEN 'malformed_json' ELSE 'records_not_a_list' END, '', '', nothing, '', '', 0 FROM d WHERE k IN (2, 4)"""
 _REQUEUED = f"SELECT *, status = 'failed' AND retry_count < 3 AS requeued FROM {_old()}"
 ORACLE["frontier_requeue"] = f"WITH {_URL} SELECT normalized_url, CASE WHEN requeued THEN 'queued' ELSE status END AS status, retry_count + requeued::INT AS retry_count, requeued FROM ({_REQUEUED})"
 ORACLE["frontier_counts"] = f"WITH {_URL} SELECT status, count(*) AS n FROM {_made()} GROUP BY 1"
@@ -202,16 +209,16 @@ dp(a, b, s, t, i, line) AS (
   UNION ALL SELECT a, b, s, t, i + 1, list_transform(range(1, len(line) + 1), lambda j: list_max(list_transform(range(1, j + 1), lambda k: greatest(line[k], CASE WHEN k > 1 AND t[k - 1] = s[i + 1] THEN line[k - 1] + 1 ELSE 0 END))))
   FROM dp WHERE i < length(s)
 ),
-scored AS (SELECT a, b, 200 * line[-1] / (length(s) + length(t)) AS score FROM dp WHERE i = length(s)),
-marks AS (SELECT name, arg_min(location, ord) FILTER (location <> '') AS mark FROM {names} GROUP BY name),
-e AS (SELECT a, b, row_number() OVER (ORDER BY score DESC, md5(a || chr(1) || b)) AS i FROM scored WHERE score >= 90),
-g(i, nodes) AS (
+scored AS MATERIALIZED (SELECT a, b, 200 * line[-1] / (length(s) + length(t)) AS score FROM dp WHERE i = length(s)),
+marks AS MATERIALIZED (SELECT name, arg_min(location, ord) FILTER (location <> '') AS mark FROM {names} GROUP BY name),
+merge_order AS MATERIALIZED (SELECT a, b, row_number() OVER (ORDER BY score DESC, md5(a || chr(1) || b)) AS i FROM scored WHERE score >= 90),
+merging(i, nodes) AS (
   SELECT 0::BIGINT, (SELECT list(struct_pack(n := name, c := name, m := mark) ORDER BY name) FROM marks)
   UNION ALL SELECT i + 1, CASE WHEN x.c = y.c OR coalesce(x.m <> y.m, false) THEN nodes
     ELSE list_transform(nodes, lambda v: CASE WHEN v.c IN (x.c, y.c) THEN struct_pack(n := v.n, c := least(x.c, y.c), m := coalesce(x.m, y.m)) ELSE v END) END
-  FROM (SELECT g.i, g.nodes, list_filter(g.nodes, lambda v: v.n = e.a)[1] AS x, list_filter(g.nodes, lambda v: v.n = e.b)[1] AS y FROM g JOIN e ON e.i = g.i + 1)
+  FROM (SELECT g.i, g.nodes, list_filter(g.nodes, lambda v: v.n = e.a)[1] AS x, list_filter(g.nodes, lambda v: v.n = e.b)[1] AS y FROM merging g JOIN merge_order e ON e.i = g.i + 1)
 ),
-rooted AS (SELECT v.n AS name, v.c AS root FROM (SELECT unnest(nodes) AS v FROM (SELECT nodes FROM g ORDER BY i DESC LIMIT 1))),
+rooted AS (SELECT v.n AS name, v.c AS root FROM (SELECT unnest(nodes) AS v FROM (SELECT nodes FROM merging ORDER BY i DESC LIMIT 1))),
 clusters AS (SELECT name, arg_min(name, ord) OVER (PARTITION BY root) AS cluster FROM rooted JOIN n USING (name))"""
 
 

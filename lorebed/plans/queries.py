@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +12,7 @@ from ..functions import language
 from ..functions import records as R
 from ..functions import text as X
 from ..functions import urls as U
-from ..operators import candidates, dedupe, discovery, entities, export, frontier, reports, validate
+from ..operators import answers, candidates, dedupe, discovery, entities, export, frontier, reports, validate
 from ..sources import scratch, search, tables
 from ..vocabulary import ENTITY_TYPES
 
@@ -106,9 +107,10 @@ def url_recompute_changed(spark, sf_dir):
     k, url = F.col("page_id"), F.col("url")
     before = {"normalized_url": F.when(k % 2 == 0, url).otherwise(U.normalize_url(url)), "domain": F.when(k % 3 == 0, "").otherwise(U.get_domain(url))}
     rows = _read(spark, sf_dir, "pages").select("page_id", "url").withColumns(before)
-    return candidates.normalized(rows).agg(
-        F.count("*").alias("n_rows"), F.count_if("changed").alias("n_changed"), F.count_distinct("normalized_url").alias("n_urls")
-    )
+    path = scratch.shared_folder(spark)
+    counts = tables.observed(candidates.normalized(rows), lambda new: new.write.parquet(path), n_rows=F.count("*"), n_changed=F.count_if("changed"))
+    urls = spark.read.parquet(path).agg(F.count_distinct("normalized_url").alias("n_urls"))
+    return urls.select(*[F.lit(n).cast("long").alias(k) for k, n in counts.items()], "n_urls")
 
 
 @query
@@ -316,6 +318,35 @@ def frontier_upsert(spark, sf_dir):
     return merged.select("normalized_url", "priority", "status", "retry_count", "inserted")
 
 
+@query
+def frontier_upsert_bucketed(spark, sf_dir):
+    name = f"frontier_{uuid.uuid4().hex}"
+    frontier.save_bucketed(_frontier(spark, sf_dir, "/fr/", "old"), name, scratch.shared_folder(spark), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return frontier.upsert_bucketed(spark, name, _frontier(spark, sf_dir, "/de/")).select("normalized_url", "priority", "status", "retry_count", "inserted")
+
+
+@query
+def model_answers(spark, sf_dir):
+    """Answers of six kinds, one for each document: with numbers, texts and lists in each other's places, fenced, empty, cut off, or of the wrong kind."""
+    docs = _read(spark, sf_dir, "documents")
+    k, keep = F.col("doc_id") % 6, {"ignoreNullFields": "false"}
+    loose = F.to_json(F.struct(F.array(F.struct(
+        F.col("source").alias("entity_name"), F.col("n_chars").alias("details"), F.col("text").alias("overview"), F.col("lang").alias("key_facts"), F.lit("1.7").alias("confidence_score"),
+        F.struct(F.col("source").alias("name"), F.lit(7).alias("county")).alias("facilities"),
+    )).alias("records")), keep)
+    strict = F.to_json(F.array(F.struct(
+        F.col("doc_id").alias("entity_name"), F.lit(None).cast("string").alias("details"), F.col("text").alias("overview"), F.array("lang", F.lit(None).cast("string"), "source").alias("key_facts"),
+        F.lit(-3).alias("confidence_score"), F.array(F.struct(F.lit("x").alias("name"))).alias("facilities"),
+    )), keep)
+    answer = F.when(k == 0, loose).when(k == 1, F.concat(F.rtrim(F.regexp_replace(strict, r"\]\z", ", 5]")), F.lit(" \n"))).when(k == 2, F.regexp_replace(loose, r"\]\}\z", ""))
+    answer = answer.when(k == 3, "{}").when(k == 4, '{"records": "none"}').otherwise(F.concat(F.lit("```json\n"), loose, F.lit("\n```")))
+    found = answers.records(docs.select("doc_id", answer.alias("answer")))
+    return found.select(
+        "doc_id", F.col("place").cast("long").alias("place"), "reason", "entity_name", "details", F.sha2("overview", 256).alias("overview"), F.array_join("key_facts", ";").alias("key_facts"),
+        F.array_join(F.transform("facilities", lambda f: F.concat(f["name"], F.lit("/"), f["county"])), ";").alias("facilities"), "confidence_score",
+    )
+
+
 @query
 def frontier_requeue(spark, sf_dir):
     return frontier.requeue_failed(_frontier(spark, sf_dir, "", "old")).select("normalized_url", "status", "retry_count", "requeued")

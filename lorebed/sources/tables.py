@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -89,9 +90,9 @@ def ordered(rows: DataFrame, order: str = "_ord") -> DataFrame:
     return rows.orderBy(order) if order in rows.columns else rows
 
 
-def write_csv(rows: DataFrame, path: str, columns: list[str], mode: str = "overwrite", order: str = "_ord") -> None:
+def write_csv(rows: DataFrame, path: str, columns: list[str], mode: str = "overwrite", order: str | None = "_ord") -> None:
     """A folder of CSV parts with a header each, in order if the rows have one; the committer makes the write all or nothing."""
-    projected(ordered(rows, order), columns).write.mode(mode).csv(path, header=True, escape='"', emptyValue="")
+    projected(ordered(rows, order) if order else rows, columns).write.mode(mode).csv(path, header=True, escape='"', emptyValue="")
 
 
 def _swap_in(rows: DataFrame, path: str, write) -> None:
@@ -177,6 +178,16 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str) -> Da
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
+def observed(rows: DataFrame, write: Callable[[DataFrame], None], **counts: Column) -> dict[str, int]:
+    """What ``counts`` (aggregates) come to over the rows that ``write`` writes, counted while they are written.
+
+    Rows that the write would sort are sorted before, as sampling for the sort would count them twice.
+    """
+    seen = Observation()
+    write(ordered(rows).observe(seen, *[c.alias(k) for k, c in counts.items()]))
+    return seen.get
+
+
 def write_jsonl(rows: DataFrame, path: str, mode: str = "overwrite", order: str = "_ord") -> None:
     """A folder of JSON lines, in order if the rows have one."""
     ordered(rows, order).write.mode(mode).option("ignoreNullFields", "false").json(path)

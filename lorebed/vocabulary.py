@@ -17,6 +17,14 @@ ENTITY_COLUMNS = [
 ]
 ENTITY_JSON = {"aliases", "locations", "supply_chain_categories", "facilities", "investment", "jobs", "workforce_programs", "related_organizations", "timeline", "key_facts", "sources", "conflicts_or_uncertainties"}
 
+# The fields of a record in a model's answer; in a section, whether a field is a text or a list.
+RECORD_TEXTS = ["entity_name", "entity_type", "supply_chain_category", "title", "overview", "details", "evidence_text", "claim_status", "publication_date"]
+RECORD_LISTS = ["aliases", "locations", "key_facts"]
+RECORD_SECTIONS = {
+    "facilities": {"name": "text", "county": "text"}, "investment": {"amount": "text", "date": "text"}, "jobs": {"hiring_goal": "text", "hiring_areas": "list"},
+    "related_organizations": {"name": "text", "role": "text"},
+}
+
 # Statuses and vocabularies.
 FRONTIER_STATUSES = ["new", "queued", "crawled", "failed", "duplicate", "rejected", "needs_review"]
 PRIORITY_ORDER = ["high", "medium", "low", "skip"]

@@ -8,7 +8,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from lorebed.functions import fuzzy
-from lorebed.operators import dedupe, discovery, entities, export, frontier, graph, validate
+from lorebed.operators import answers, dedupe, discovery, entities, export, frontier, graph, reports, validate
 from lorebed.sources import search, settings, tables
 from lorebed.streaming import frontier as stream
 from lorebed.vocabulary import FRONTIER_COLUMNS
@@ -141,6 +141,73 @@ def test_a_file_is_replaced_in_one_step(spark, tmp_path):
     assert sorted(p.name for p in tmp_path.iterdir()) == ["table.csv"]
 
 
+def test_answers_of_a_model(spark):
+    import json
+
+    record = {
+        "entity_name": "Acme", "details": 200000000, "overview": None, "confidence_score": "1.7", "facilities": [{"name": "Acme Plant", "county": "Jackson County"}],
+        "investment": [{"amount": "$1B", "date": "2020"}], "jobs": [{"hiring_goal": "500", "hiring_areas": "production"}],
+        "related_organizations": {"name": "Acme Parent Co", "role": "Parent company"}, "key_facts": "Acme is Georgia's largest widget maker", "aliases": ["ACME Inc", None, 7],
+    }
+    given = [
+        json.dumps({"records": [record, {"confidence_score": "n/a", "key_facts": ["a", "b"]}]}), "```json\n" + json.dumps([record]) + "\n```", "{}", '{"records": null}', '{"records": [', None, "",
+        "7", '{"records": {"entity_name": "x"}}', '{"records": [5, null, {"entity_name": true}]}',
+    ]
+    rows = spark.createDataFrame(list(enumerate(given)), "n long, answer string")
+    got = {(r.n, r.place): r for r in answers.records(rows).collect()}
+    assert {k: r.reason for k, r in got.items()} == {
+        (0, 0): None, (0, 1): None, (1, 0): None, (4, None): "malformed_json", (5, None): "malformed_json", (6, None): "malformed_json", (7, None): "not_an_answer",
+        (8, None): "records_not_a_list", (9, 0): "record_not_an_object", (9, 1): "record_not_an_object", (9, 2): None,
+    }
+    for r in (got[0, 0], got[1, 0]):
+        assert (r.details, r.overview, r.confidence_score, r.key_facts, r.aliases) == ("200000000", "", 1.0, [record["key_facts"]], ["ACME Inc", "7"])
+        assert (r.facilities[0].name, r.investment[0].amount, r.jobs[0].hiring_areas, r.related_organizations[0].role) == ("Acme Plant", "$1B", ["production"], "Parent company")
+    assert (got[0, 1].confidence_score, got[0, 1].key_facts, got[0, 1].facilities, got[9, 2].entity_name) == (0.0, ["a", "b"], [], "true")
+
+
+def test_counts_of_what_is_written(spark, tmp_path):
+    rows = spark.range(1000).selectExpr("id AS _ord", "id % 3 = 0 AS changed")
+    counts = tables.observed(rows, lambda new: tables.write_csv(new, str(tmp_path / "t"), ["_ord"], order=None), rows=F.count("*"), changed=F.count_if("changed"))
+    assert counts == {"rows": 1000, "changed": 334} and len(tables.read_csv(spark, str(tmp_path / "t"), []).collect()) == 1000
+
+
+def test_upsert_reads_the_frontier_as_it_lies(spark, tmp_path):
+    made = lambda low, high, priority: frontier.from_candidates(
+        spark.range(low, high).selectExpr("id AS _ord", "concat('https://x/', id) AS normalized_url", f"'{priority}' AS priority", "'seed' AS source_type", "'' AS discovered_date"), "_ord"
+    )
+    known = made(0, 200, "high")
+    frontier.save_bucketed(known, "bucketed_frontier", str(tmp_path / "b"), 4)
+    merged = frontier.upsert_bucketed(spark, "bucketed_frontier", made(190, 210, "low"))
+    rows = merged.collect()
+    assert len(rows) == 210 and sum(r.inserted for r in rows) == 10 and sum(r.priority == "low" for r in rows) == 20
+    side = merged._jdf.queryExecution().executedPlan().toString().split("bucketed_frontier")[0].rsplit("SortMergeJoin", 1)[1]
+    assert "Exchange" not in side and "Join" not in side
+    spark.sql("DROP TABLE bucketed_frontier")
+
+
+def test_exact_quartiles_in_rounds(spark):
+    import statistics
+
+    rng = random.Random(3)
+    data = [(rng.choice([rng.gauss(0, 1), rng.randint(0, 5), 1e9 * rng.random()]), None if k % 5 else k, 7, None) for k in range(3001)]
+    rows = spark.createDataFrame([tuple(None if x is None else float(x) for x in r) for r in data], "a double, b double, c double, d double")
+    got = {r["column"]: r for r in reports.described(rows, ["a", "b", "c", "d"], buckets=7).collect()}
+    for i, name in enumerate("abc"):
+        values = [float(r[i]) for r in data if r[i] is not None]
+        assert [got[name].q25, got[name].q50, got[name].q75] == pytest.approx(statistics.quantiles(values, n=4, method="inclusive"), rel=1e-12)
+        assert (got[name].n, got[name].min, got[name].max) == (len(values), min(values), max(values))
+    assert (got["d"].n, got["d"].q50) == (0, None)
+
+
+def test_crawl_report_shuffles_once(spark):
+    rows = spark.createDataFrame([("success", "en", "a", "true"), ("failed", "en", "b", "false"), ("success", None, "a", "false"), (None, "fr", "c", "true")], "crawl_status string, language string, domain string, is_duplicate_content string")
+    report = reports.crawl_report(rows)
+    assert sorted(map(str, map(tuple, report.collect()))) == sorted(map(str, [
+        ("status", "success", 2), ("status", "failed", 1), ("status", None, 1), ("language", "en", 1), ("language", None, 1), ("failed_domain", "b", 1), ("duplicates", "", 2)
+    ]))
+    assert report._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange ") == 1
+
+
 def test_few_pairs_of_names_are_compared(spark):
     """Invented names of common syllables: all close pairs, and hardly any others, reach the exact comparison."""
     rng = random.Random(7)
