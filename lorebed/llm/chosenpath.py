@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .components import components
 from .job import discard, keyed, set_apart, ship, spread_join, stored, text_or_empty
 from .minhash import MinHash
-from .textblocks import U64, mix, text_blocks
+from .textblocks import U64, give_back, mix, text_blocks
 
 
 class ChosenPath:
@@ -92,6 +92,7 @@ def grouped(batches: Iterator[pa.RecordBatch], column: int, each: Callable[[pa.R
         out = each(pa.concat_batches(left))
         if out is not None:
             yield out
+    give_back()
 
 
 def forest(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -8,6 +8,7 @@ text if that is longer; the temporary arrays of hashing are bounded whatever the
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -70,6 +71,14 @@ LETTERED = byte_table(lambda b: 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0
 LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np.uint8)
 
 
+def give_back() -> None:
+    """Returns to the system what this process has freed: Spark keeps idle Python workers, and their memory, through all later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def text_blocks(column: pa.Array, block_bytes: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, row after the last, bytes, offsets from 0) of block after block. A null text is empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -88,6 +97,7 @@ def text_blocks(column: pa.Array, block_bytes: int = BLOCK_BYTES) -> Iterator[tu
         last = max(first + 1, int(np.searchsorted(at, at[first] + block_bytes, "right")) - 1)
         yield first, last, raw[at[first] : at[last]], at[first : last + 1] - at[first]
         first = last
+    give_back()
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray, table: np.ndarray = SPACED) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
