@@ -60,7 +60,7 @@ def upsert_queries(existing: DataFrame, new: DataFrame, iteration: int = 0) -> D
         *[F.col(c) if c in new.columns else F.lit(None).alias(c) for c in existing.columns if c not in ("_ord", "iteration", "status")],
         "_ord", F.lit(1).alias("part")
     )
-    for c, v in (("iteration", str(iteration)), ("status", "pending")):
+    for c, v in (("iteration", str(iteration)), ("status", "new")):
         if c in existing.columns:
             added = added.withColumn(c, F.lit(v))
     return kept.drop("key").unionByName(added)
@@ -75,7 +75,7 @@ def followups(entities: DataFrame) -> DataFrame:
     templates = F.broadcast(spark.createDataFrame(rows, "kind string, t int, template string"))
     kinds = entities.withColumn("kind", F.when(F.col("entity_type") == "company", "company").otherwise("location"))
     filled = kinds.join(templates, "kind").select(
-        "_ord", "t", F.replace(F.col("template"), F.lit("{}"), F.col("entity")).alias("query"), F.col("kind").alias("source_type")
+        "_ord", "t", F.replace(F.col("template"), F.lit("{}"), F.col("entity")).alias("query"), F.concat(F.lit("expansion_"), "kind").alias("source_type")
     )
     filled = filled.withColumns({"key": casefold(F.col("query")), "place": F.struct("_ord", "t")})
     return first_of(filled, ["key"], "place").drop("key", "place")

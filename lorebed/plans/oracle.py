@@ -92,11 +92,11 @@ def _queries(low: int, high: int) -> str:
 ORACLE["query_upsert"] = f"""WITH old AS (SELECT *, lower(query) AS key FROM {_queries(0, 25)}),
 kept AS (SELECT 0 AS part, min(n) AS n, arg_max(query, n) AS query, arg_max(source_type, n) AS source_type, '0' AS iteration, 'done' AS status FROM old GROUP BY key),
 fresh AS (SELECT *, lower(query) AS key FROM {_queries(15, 60)} WHERE lower(query) NOT IN (SELECT key FROM old) QUALIFY row_number() OVER (PARTITION BY lower(query) ORDER BY n) = 1)
-SELECT * FROM kept UNION ALL SELECT 1, n, query, source_type, '0', 'pending' FROM fresh"""
+SELECT * FROM kept UNION ALL SELECT 1, n, query, source_type, '0', 'new' FROM fresh"""
 ORACLE["query_followup"] = f"""WITH e AS (SELECT p_partkey AS entity, p_name, CASE WHEN p_size > 10 THEN 'company' ELSE 'location' END AS source_type FROM part),
 t(kind, t, q) AS (VALUES {", ".join(f"('company', {k}, '{v}')" for k, v in enumerate(FOLLOWUP_COMPANY_TEMPLATES))}, {", ".join(f"('location', {k}, '{v}')" for k, v in enumerate(FOLLOWUP_LOCATION_TEMPLATES))}),
 f AS (SELECT entity, t, replace(replace(q, '{{company}}', p_name), '{{location}}', p_name) AS query, source_type FROM e JOIN t ON kind = source_type)
-SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY lower(query) ORDER BY entity, t) = 1"""
+SELECT entity, t, query, 'expansion_' || source_type AS source_type FROM f QUALIFY row_number() OVER (PARTITION BY lower(query) ORDER BY entity, t) = 1"""
 ORACLE["query_merge_cap"] = f"""WITH f AS (SELECT * FROM {_queries(0, 60)} WHERE lower(query) NOT IN (SELECT lower(query) FROM {_queries(0, 5)}) QUALIFY row_number() OVER (PARTITION BY lower(query) ORDER BY n) = 1)
 SELECT row_number() OVER (ORDER BY n) AS n, query, source_type, '1' AS iteration FROM (SELECT * FROM f ORDER BY n LIMIT 100)"""
 ORACLE["query_known_keys"] = f"""WITH a AS (SELECT DISTINCT lower(query) AS key FROM {_queries(0, 25)}), b AS (SELECT DISTINCT lower(query) AS key FROM {_queries(15, 60)})
@@ -248,5 +248,15 @@ SELECT 2 * bad.n + gone.n + 2 * ok.n - ok.kinds AS failed, 2 * ok.n - ok.kinds A
 _COUNTS = ", ".join(f"len(list_filter(w, lambda x: list_contains([{_quoted(COMMON[k])}], x))) AS {k}" for k in sorted(COMMON))
 ORACLE["language_by_words"] = rf"""WITH d AS (SELECT doc_id, regexp_split_to_array(lower(text), '[^\p{{L}}]+') AS w FROM documents), c AS (SELECT doc_id, {_COUNTS} FROM d)
 SELECT doc_id, CASE greatest(de, en, es, fr) WHEN 0 THEN 'unknown' WHEN de THEN 'de' WHEN en THEN 'en' WHEN es THEN 'es' ELSE 'fr' END AS language FROM c"""
+_RANKED = lambda key, rows: f"""(SELECT {key}, gram, row_number() OVER (PARTITION BY {key} ORDER BY n DESC, gram) AS rank FROM (
+  SELECT {key}, substr(word, i, 3) AS gram, sum(n) AS n FROM (
+    SELECT {key}, word, n, unnest(range(1, length(word) - 1)) AS i FROM (
+      SELECT {key}, ' ' || word || ' ' AS word, count(*) AS n FROM (SELECT {key}, unnest(regexp_extract_all(lower(text), '\\p{{L}}{{1,40}}')) AS word FROM {rows}) GROUP BY ALL))
+  GROUP BY ALL) QUALIFY rank <= 300)"""
+ORACLE["language_by_profiles"] = f"""WITH known AS MATERIALIZED {_RANKED("lang", "(SELECT lang, text FROM documents WHERE lang IS NOT NULL)")},
+own AS MATERIALIZED {_RANKED("doc_id", "documents")},
+sums AS (SELECT doc_id, lang, sum(abs(own.rank - known.rank) - 300) AS d FROM own JOIN known USING (gram) GROUP BY ALL),
+best AS (SELECT doc_id, lang FROM sums QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY d, lang) = 1)
+SELECT doc_id, coalesce(b.lang, 'unknown') AS language FROM documents LEFT JOIN best b USING (doc_id)"""
 ORACLE["unprocessed_documents"] = "SELECT doc_id AS page_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)"
 ORACLE["entity_cap"] = "SELECT p_partkey AS _ord, p_name AS entity, CASE WHEN p_size > 10 THEN 'company' ELSE 'facility' END AS entity_type FROM part ORDER BY p_partkey LIMIT 30"

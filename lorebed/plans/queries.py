@@ -12,7 +12,7 @@ from ..functions import language
 from ..functions import records as R
 from ..functions import text as X
 from ..functions import urls as U
-from ..operators import answers, candidates, dedupe, discovery, entities, export, frontier, reports, validate
+from ..operators import answers, candidates, dedupe, discovery, entities, export, frontier, languages, reports, validate
 from ..sources import scratch, search, tables
 from ..vocabulary import ENTITY_TYPES
 
@@ -685,6 +685,12 @@ def language_by_words(spark, sf_dir):
     return _read(spark, sf_dir, "documents").select("doc_id", language.detect_language(F.col("text"), None).alias("language"))
 
 
+@query
+def language_by_profiles(spark, sf_dir):
+    docs = _read(spark, sf_dir, "documents")
+    return languages.detect(docs, languages.profiles(docs))
+
+
 @query
 def unprocessed_documents(spark, sf_dir):
     docs, labels = _read(spark, sf_dir, "documents").select(F.col("doc_id").alias("page_id"), "source"), _read(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"))

@@ -178,7 +178,7 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str) -> Da
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
-def observed(rows: DataFrame, write: Callable[[DataFrame], None], **counts: Column) -> dict[str, int]:
+def observed(rows: DataFrame, write: Callable[[DataFrame], None], /, **counts: Column) -> dict[str, int]:
     """What ``counts`` (aggregates) come to over the rows that ``write`` writes, counted while they are written.
 
     Rows that the write would sort are sorted before, as sampling for the sort would count them twice.
@@ -188,9 +188,9 @@ def observed(rows: DataFrame, write: Callable[[DataFrame], None], **counts: Colu
     return seen.get
 
 
-def write_jsonl(rows: DataFrame, path: str, mode: str = "overwrite", order: str = "_ord") -> None:
+def write_jsonl(rows: DataFrame, path: str, mode: str = "overwrite", order: str | None = "_ord") -> None:
     """A folder of JSON lines, in order if the rows have one."""
-    ordered(rows, order).write.mode(mode).option("ignoreNullFields", "false").json(path)
+    (ordered(rows, order) if order else rows).write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
 def read_page_inputs(spark: SparkSession, pattern: str) -> DataFrame:

@@ -10,10 +10,12 @@ import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lorebed.operators import candidates, dedupe, discovery, export, frontier
+from lorebed.operators import candidates, dedupe, discovery, export, frontier, validate
 from lorebed.sources import settings, tables
-from lorebed.vocabulary import CANDIDATE_COLUMNS, DOMAIN_SUMMARY_COLUMNS, ENTITY_COLUMNS, FRONTIER_COLUMNS, MAX_ITERATIONS, QUERY_COLUMNS, SOURCE_COLUMNS
+from lorebed.sources.scratch import discard, stored
+from lorebed.vocabulary import CANDIDATE_COLUMNS, DOMAIN_SUMMARY_COLUMNS, ENTITY_COLUMNS, FRONTIER_COLUMNS, QUERY_COLUMNS, SOURCE_COLUMNS
 
 Stage = Callable[[SparkSession, argparse.Namespace], tuple[DataFrame, list[str] | None]]
 STAGES: dict[str, Stage] = {}
@@ -24,6 +26,11 @@ def stage(f: Stage) -> Stage:
     return f
 
 
+def first(rows: DataFrame, limit: int) -> DataFrame:
+    """The first rows in order, or all for 0."""
+    return rows.orderBy("_ord").limit(limit) if limit else rows
+
+
 def _candidates(spark: SparkSession, options: argparse.Namespace, more: list[str] | None = None) -> DataFrame:
     return tables.read_csv(spark, options.source, [*CANDIDATE_COLUMNS, *(more or [])])
 
@@ -59,21 +66,57 @@ def update_frontier(spark, options):
     return frontier.from_candidates(_candidates(spark, options, ["priority"]), "_ord", options.limit), FRONTIER_COLUMNS
 
 
+@stage
+def generate_queries(spark, options):
+    """From a folder with seed_queries.csv, seed_domains.csv, seed_locations.csv and seed_companies.csv; queries of ``--prior`` keep their status."""
+    read = lambda name, columns: tables.read_csv(spark, f"{options.source}/{name}.csv", columns)
+    seeds = [
+        read("seed_queries", ["query", "source_type"]), read("seed_domains", ["domain", "use_site_queries"]), read("seed_locations", ["location"]),
+        read("seed_companies", ["company"]),
+    ]
+    made = discovery.expand(discovery.general_queries(spark), *seeds)
+    made = made.select(F.struct("branch", F.col("_ord").alias("seed"), "t").alias("_ord"), "query", "source_type")
+    prior = tables.read_csv(spark, options.prior, QUERY_COLUMNS) if options.prior else tables.with_order(spark.createDataFrame([], tables.text_schema(QUERY_COLUMNS)))
+    # Known queries first, in their order, then the new ones in theirs.
+    place = F.struct("branch", "seed", "t")
+    old = prior.select(F.struct(F.lit(0).alias("branch"), F.col("_ord").alias("seed"), F.lit(0).alias("t")).alias("_ord"), *QUERY_COLUMNS)
+    rows = discovery.upsert_queries(old, made).select("_ord.*", "part", *QUERY_COLUMNS).withColumn("_ord", F.struct("part", place))
+    return first(rows, options.limit), QUERY_COLUMNS
+
+
 @stage
 def followup_queries(spark, options):
     if not tables.exists(spark, options.source):
         raise SystemExit(f"no entities at {options.source}")
-    return discovery.followups(tables.read_csv(spark, options.source, ["entity", "entity_type"])), QUERY_COLUMNS
+    made = discovery.followups(tables.read_csv(spark, options.source, ["entity", "entity_type"])).withColumn("_ord", F.struct("_ord", "t"))
+    made = made.select("_ord", "query", "source_type", F.lit(str(options.iteration)).alias("iteration"), F.lit("new").alias("status"))
+    return first(made, options.limit), QUERY_COLUMNS
+
+
+@stage
+def validate_records(spark, options):
+    """Passed records to ``--out``; to ``--failed`` the others, repeats of facts and what failed in generation before. ``--pages`` has a JSON file for each page."""
+    records = first(tables.with_order(tables.read_jsonl_typed(spark, options.source)), options.limit)
+    pages = tables.read_page_inputs(spark, f"{options.pages}/*.json").select("page_id", "page_markdown")
+    validated = validate.validate(records, pages)
+    earlier = tables.read_jsonl_typed(spark, options.failed) if tables.exists(spark, options.failed) else None
+    passed, failed = validate.split(validated, earlier, order="_ord")
+    if not options.dry_run:
+        # The earlier failures are read from the file that is replaced.
+        kept = stored(failed)
+        tables.write_jsonl(kept.drop("_ord"), options.failed)
+        discard(kept)
+    return passed, None
 
 
 @stage
 def merge_queries(spark, options):
-    if options.iteration > MAX_ITERATIONS:
-        raise SystemExit(f"iteration {options.iteration} is beyond {MAX_ITERATIONS}")
+    if options.iteration > options.settings.max_iterations:
+        raise SystemExit(f"iteration {options.iteration} is beyond {options.settings.max_iterations}")
     prior = tables.read_csv(spark, options.prior, QUERY_COLUMNS) if options.prior else tables.read_csv(spark, options.source, QUERY_COLUMNS).limit(0)
-    return discovery.merge_new(
-        tables.read_csv(spark, options.source, QUERY_COLUMNS).selectExpr("*", "0 AS t"), prior, options.iteration, options.limit
-    ), QUERY_COLUMNS
+    limit = options.limit or options.settings.max_queries
+    merged = discovery.merge_new(tables.read_csv(spark, options.source, QUERY_COLUMNS).selectExpr("*", "0 AS t"), prior, options.iteration, limit)
+    return merged.withColumns({"_ord": F.col("n"), "status": F.lit("new")}), QUERY_COLUMNS
 
 
 @stage
@@ -99,18 +142,26 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("--out", required=True)
     parser.add_argument("--prior", default="", help="queries of earlier iterations")
     parser.add_argument("--iteration", type=int, default=1)
+    parser.add_argument("--pages", default="", help="a folder of page inputs")
+    parser.add_argument("--failed", default="", help="records that fail, replaced")
+    parser.add_argument("--config-dir", default="", help="a folder of settings; without it, those of the environment")
     parser.add_argument("--limit", type=int, default=0, help="0: no limit")
     parser.add_argument("--dry-run", action="store_true")
     options = parser.parse_args(arguments)
+    options.settings = settings.load_dir(options.config_dir) if options.config_dir else settings.load()
+    if options.stage == "validate-records" and not (options.pages and options.failed):
+        parser.error("validate-records needs --pages and --failed")
     spark = SparkSession.builder.getOrCreate()
     log = settings.logger("lorebed.stages")
     rows, columns = STAGES[options.stage](spark, options)
     if options.dry_run:
         log.info("%s: %d rows, nothing written", options.stage, rows.count())
     elif columns is None:
-        tables.write_jsonl(rows, options.out)
+        counts = tables.observed(rows, lambda new: tables.write_jsonl(new.drop("_ord"), options.out, order=None), rows=F.count("*"))
+        log.info("%s: %d rows", options.stage, counts["rows"])
     else:
-        tables.write_csv(rows, options.out, columns)
+        counts = tables.observed(rows, lambda new: tables.write_csv(new, options.out, columns, order=None), rows=F.count("*"))
+        log.info("%s: %d rows", options.stage, counts["rows"])
     return 0
 
 

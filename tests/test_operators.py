@@ -8,7 +8,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from lorebed.functions import fuzzy
-from lorebed.operators import answers, dedupe, discovery, entities, export, frontier, graph, reports, validate
+from lorebed.operators import answers, dedupe, discovery, entities, export, frontier, graph, languages, reports, validate
 from lorebed.sources import search, settings, tables
 from lorebed.streaming import frontier as stream
 from lorebed.vocabulary import FRONTIER_COLUMNS
@@ -369,6 +369,39 @@ def test_stage_commands(spark, tmp_path):
         run("followup-queries", "none.csv", "c")
 
 
+def test_query_and_validation_stages(spark, tmp_path):
+    import json
+
+    from lorebed import stages
+
+    run = lambda name, source, out, *more: stages.main([name, "--in", str(tmp_path / source), "--out", str(tmp_path / out), *more])
+    (tmp_path / "seed_queries.csv").write_text("query,source_type\nmy query,\n")
+    (tmp_path / "seed_companies.csv").write_text("company\nAcme\n")
+    (tmp_path / "prior.csv").write_text("query,source_type,iteration,status\nOlder,seed,0,done\nMY QUERY,seed,0,done\n")
+    assert run("generate-queries", ".", "q", "--prior", str(tmp_path / "prior.csv")) == 0
+    got = tables.read_csv(spark, str(tmp_path / "q"), ["query", "source_type", "iteration", "status"]).orderBy("_ord").collect()
+    assert [tuple(r)[:4] for r in got[:2]] == [("Older", "seed", "0", "done"), ("MY QUERY", "seed", "0", "done")] and {r.status for r in got[2:]} == {"new"}
+    assert any("Acme" in r.query for r in got) and sum(r.query.casefold() == "my query" for r in got) == 1
+    assert run("generate-queries", ".", "q3", "--prior", str(tmp_path / "prior.csv"), "--limit", "3") == 0
+    assert [r.query for r in tables.read_csv(spark, str(tmp_path / "q3"), ["query"]).orderBy("_ord").collect()] == [r.query for r in got[:3]]
+    (tmp_path / "e.csv").write_text("entity,entity_type\nAcme,company\nMacon,facility\n")
+    assert run("followup-queries", "e.csv", "f", "--limit", "2", "--iteration", "1") == 0
+    found = tables.read_csv(spark, str(tmp_path / "f"), ["query", "source_type", "iteration", "status"]).orderBy("_ord").collect()
+    assert [(r.query, r.source_type, r.iteration, r.status) for r in found] == [('"Acme" "Georgia"', "expansion_company", "1", "new"), ('"Acme" "Georgia" "EV"', "expansion_company", "1", "new")]
+    (tmp_path / "pages").mkdir()
+    (tmp_path / "pages/p1.json").write_text(json.dumps({"source_url": "u", "page_markdown": "Acme built a plant in Macon."}))
+    record = {"page_id": "p1", "source_url": "u", "entity_name": "Acme", "evidence_text": "Acme built a plant", "entity_type": "company", "supply_chain_category": "logistics", "claim_status": "announced", "confidence_score": 0.9}
+    (tmp_path / "raw.jsonl").write_text("\n".join(json.dumps(record | more) for more in ({}, {"entity_name": "ACME"}, {"evidence_text": "nothing like it"}, {"page_id": "p2"})))
+    (tmp_path / "failed.jsonl").write_text(json.dumps({"page_id": "p0", "failure_stage": "generation"}) + "\n" + json.dumps({"page_id": "p1", "failure_stage": "validation"}))
+    for _ in range(2):
+        assert run("validate-records", "raw.jsonl", "ok", "--pages", str(tmp_path / "pages"), "--failed", str(tmp_path / "failed.jsonl")) == 0
+        assert [r.entity_name for r in spark.read.json(str(tmp_path / "ok")).collect()] == ["Acme"]
+        bad = spark.read.json(str(tmp_path / "failed.jsonl")).collect()
+        assert sorted(str(r.rejection_reasons) for r in bad) == ["None", "['duplicate_record']", "['unsupported_claim']", "['unsupported_claim']"]
+    with pytest.raises(SystemExit):
+        run("validate-records", "raw.jsonl", "ok")
+
+
 def test_components_of_a_long_chain(spark):
     chain = spark.createDataFrame([(f"n{i:02}", f"n{i + 1:02}") for i in range(40)] + [("x", "y"), ("z", "z")], "a string, b string")
     assert {r.root for r in graph.connected(chain).collect()} == {"n00", "x"} and graph.connected(chain.limit(0)).count() == 0
@@ -522,6 +555,18 @@ def test_mock_extraction_to_validation(spark):
     assert got == {"p1": ("passed", []), "p3": ("failed", ["invalid_entity_type", "invalid_category"])}
 
 
+def test_languages_by_profiles_held_out(spark):
+    from compare import SMALL
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").where("length(text) >= 40")
+    known = languages.profiles(docs.where("doc_id % 2 = 0"))
+    found = languages.detect(docs.where("doc_id % 2 = 1"), known).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert sum(r.language == r.lang for r in found) >= 0.95 * len(found) > 60
+    odd = spark.createDataFrame([(1, None), (2, ""), (3, "123 !!"), (4, "x" * 300_000), (5, "日本語")], "doc_id long, text string")
+    assert {r.doc_id: r.language for r in languages.detect(odd, known).collect()}.items() >= {1: "unknown", 2: "unknown", 3: "unknown", 5: "unknown"}.items()
+    assert languages.detect(odd.limit(0), known).collect() == []
+
+
 def test_language_by_words(spark):
     from lorebed.functions.language import detect_language
 
