@@ -99,3 +99,41 @@ def wiki_lines(entities: DataFrame) -> DataFrame:
         "canonical_name", "category", "county",
         F.concat(F.lit("- [["), slug(F.col("canonical_name")), F.lit("|"), F.col("canonical_name"), F.lit("]]"), county, F.lit(" — "), blurb).alias("line")
     ).orderBy(F.lower("canonical_name"), "canonical_name")
+
+
+def wiki_pages(entities: DataFrame) -> DataFrame:
+    """(file_name, part, name, line) of the index, of a page for each category and of one for each county; a page's lines are in order of part and name.
+
+    ``entities`` has canonical_name, category, county (empty: none), overview, facilities (how many) and source_urls. Part 0 is a page's totals; the index then
+    links to the categories, the counties and all entities, the other pages to their entities. Lines stay rows, so no page is ever put together in one task.
+    """
+    title = lambda c: F.initcap(F.replace(c, F.lit("_"), F.lit(" ")))
+    link = lambda page, name: F.concat(F.lit("- [["), page, F.lit("|"), name, F.lit("]]"))
+    county_page = F.concat(F.lit("county-"), slug(F.col("county")))
+    concept_page = F.replace(F.col("category"), F.lit("_"), F.lit("-"))
+    line = lambda rows, file, part, name, text: rows.select(F.concat(file, F.lit(".md")).alias("file_name"), F.lit(part).alias("part"), name.alias("name"), text.alias("line"))
+    placed = entities.where(F.coalesce("county", F.lit("")) != "")
+    sources = entities.select(F.explode("source_urls").alias("u")).agg(F.count_distinct("u").alias("sources"))
+    # Two frames of one row each.
+    totals = entities.agg(F.count("*").alias("n"), F.coalesce(F.sum("facilities"), F.lit(0)).alias("f")).crossJoin(F.broadcast(sources))
+    concepts = entities.groupBy("category").agg(F.count("*").alias("n"), F.coalesce(F.sum("facilities"), F.lit(0)).alias("f"))
+    counties = placed.groupBy("county").agg(F.count("*").alias("n"))
+    said = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    name, kind = F.col("canonical_name"), title(F.col("category"))
+    index, concept, county = F.lit("index"), F.concat(F.lit("concepts/"), concept_page), F.concat(F.lit("geography/"), county_page)
+    entity = said(link(slug(name), name), " — ", kind)
+    listed = wiki_lines(entities).select("canonical_name", "category", "line")
+    parts = [
+        line(totals, index, 0, F.lit(""), said("*Auto-generated catalog. ", F.col("n"), " entities · ", F.col("f"), " facilities · ", F.col("sources"), " unique sources.*")),
+        line(concepts, index, 1, kind, said(link(concept_page, kind), " — ", F.col("n"), " entities")),
+        line(counties, index, 2, F.col("county"), said(link(county_page, F.col("county")), " — ", F.col("n"), " entities")),
+        line(entities, index, 3, name, entity),
+        line(concepts, concept, 0, F.lit(""), said("Supply-chain segment covering **", F.col("n"), " entities** and **", F.col("f"), " facilities** in the Georgia EV corpus.")),
+        line(listed, concept, 1, name, F.col("line")),
+        line(counties, county, 0, F.lit(""), said("Georgia county with **", F.col("n"), " EV supply-chain entities** in the corpus.")),
+        line(placed, county, 1, name, entity),
+    ]
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more)
+    return out

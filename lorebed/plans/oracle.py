@@ -185,6 +185,23 @@ ORACLE["finetune_examples"] = rf"""WITH {_ENTITIES}, x AS (SELECT *, regexp_repl
 SELECT conv_id, 0 AS k, 'What does ' || canonical_name || ' do in Georgia''s EV supply chain?' AS instruction, o || ending AS output FROM x WHERE o <> ''
 UNION ALL SELECT conv_id, 1, 'Where does ' || canonical_name || ' operate in Georgia?', canonical_name || ' operates in Bryan County, Jackson County based on the sources.' || ending FROM x WHERE o <> '' AND even"""
 ORACLE["wiki_listing"] = f"WITH {_ENTITIES} SELECT canonical_name, '- [[entity-' || conv_id || '|' || canonical_name || ']]' || CASE WHEN even THEN ' _(Bryan County)_' ELSE '' END || ' — ' || split_part(overview, '.', 1) AS line FROM e"
+ORACLE["wiki_pages"] = f"""WITH {_ENTITIES},
+w AS (
+  SELECT canonical_name AS name, conv_id, overview, len(sources) AS f, '[[entity-' || conv_id || '|' || canonical_name || ']]' AS link,
+    CASE conv_id % 3 WHEN 0 THEN 'logistics' WHEN 1 THEN 'battery-materials' ELSE 'unknown' END AS page, CASE conv_id % 3 WHEN 0 THEN 'Logistics' WHEN 1 THEN 'Battery Materials' ELSE 'Unknown' END AS kind,
+    CASE conv_id % 4 WHEN 0 THEN 'Bryan County' WHEN 2 THEN 'Jackson County' END AS county FROM e
+),
+concepts AS (SELECT page, kind, count(*) AS n, sum(f) AS f FROM w GROUP BY ALL),
+counties AS (SELECT county, 'county-' || lower(replace(county, ' ', '-')) AS page, count(*) AS n FROM w WHERE county IS NOT NULL GROUP BY ALL),
+urls AS (SELECT count(DISTINCT s.url) AS sources FROM (SELECT unnest(sources) AS s FROM e))
+SELECT 'index.md' AS file_name, 0 AS part, '' AS name, '*Auto-generated catalog. ' || count(*) || ' entities · ' || sum(f) || ' facilities · ' || any_value(sources) || ' unique sources.*' AS line FROM w, urls
+UNION ALL SELECT 'index.md', 1, kind, '- [[' || page || '|' || kind || ']] — ' || n || ' entities' FROM concepts
+UNION ALL SELECT 'index.md', 2, county, '- [[' || page || '|' || county || ']] — ' || n || ' entities' FROM counties
+UNION ALL SELECT 'index.md', 3, name, '- ' || link || ' — ' || kind FROM w
+UNION ALL SELECT 'concepts/' || page || '.md', 0, '', 'Supply-chain segment covering **' || n || ' entities** and **' || f || ' facilities** in the Georgia EV corpus.' FROM concepts
+UNION ALL SELECT 'concepts/' || page || '.md', 1, name, '- ' || link || CASE WHEN county IS NULL THEN '' ELSE ' _(' || county || ')_' END || ' — ' || split_part(overview, '.', 1) FROM w
+UNION ALL SELECT 'geography/' || page || '.md', 0, '', 'Georgia county with **' || n || ' EV supply-chain entities** in the corpus.' FROM counties
+UNION ALL SELECT 'geography/county-' || lower(replace(county, ' ', '-')) || '.md', 1, name, '- ' || link || ' — ' || kind FROM w WHERE county IS NOT NULL"""
 ORACLE["entity_demotion"] = f"""WITH {_ENTITIES}, s AS (SELECT canonical_name, unnest(sources) AS s FROM e),
 t AS (SELECT canonical_name, s.turn AS turn, s.url AS url, s.role = 'user' AND {_FOLDED("s.text")} <> '' AS ok FROM s)
 SELECT canonical_name, bool_or(ok) AS kept, coalesce('Ungrounded sources: ' || string_agg(url, ', ' ORDER BY turn) FILTER (NOT ok), '') AS notes, count(*)::INT AS n_sources FROM t GROUP BY 1"""

@@ -535,6 +535,17 @@ def wiki_listing(spark, sf_dir):
     return export.wiki_lines(rows).select("canonical_name", "line")
 
 
+@query
+def wiki_pages(spark, sf_dir):
+    """Index, concept and county pages of the conversations as entities."""
+    category = F.when(F.col("_ord") % 3 == 0, "logistics").when(F.col("_ord") % 3 == 1, "battery_materials").otherwise("unknown")
+    rows = _entities(spark, sf_dir).select(
+        "canonical_name", "overview", category.alias("category"), F.when(F.col("_ord") % 4 == 0, "Bryan County").when(F.col("_ord") % 4 == 2, "Jackson County").alias("county"),
+        F.size("sources").alias("facilities"), F.transform("sources", lambda s: s["source_url"]).alias("source_urls"),
+    )
+    return export.wiki_pages(rows)
+
+
 @query
 def name_normalize(spark, sf_dir):
     rows = _read(spark, sf_dir, "part")
