@@ -71,6 +71,10 @@ LETTERED = byte_table(lambda b: 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0
 LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np.uint8)
 
 
+#: A column of fewer bytes leaves little behind, and there may be thousands of them.
+_WORTH_GIVING = 1 << 20
+
+
 def give_back() -> None:
     """Returns to the system what this process has freed: Spark keeps idle Python workers, and their memory, through all later stages."""
     pa.default_memory_pool().release_unused()
@@ -97,7 +101,8 @@ def text_blocks(column: pa.Array, block_bytes: int = BLOCK_BYTES) -> Iterator[tu
         last = max(first + 1, int(np.searchsorted(at, at[first] + block_bytes, "right")) - 1)
         yield first, last, raw[at[first] : at[last]], at[first : last + 1] - at[first]
         first = last
-    give_back()
+    if at[-1] - at[0] >= _WORTH_GIVING:
+        give_back()
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray, table: np.ndarray = SPACED) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
