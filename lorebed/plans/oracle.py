@@ -265,6 +265,8 @@ SELECT 2 * bad.n + gone.n + 2 * ok.n - ok.kinds AS failed, 2 * ok.n - ok.kinds A
 _COUNTS = ", ".join(f"len(list_filter(w, lambda x: list_contains([{_quoted(COMMON[k])}], x))) AS {k}" for k in sorted(COMMON))
 ORACLE["language_by_words"] = rf"""WITH d AS (SELECT doc_id, regexp_split_to_array(lower(text), '[^\p{{L}}]+') AS w FROM documents), c AS (SELECT doc_id, {_COUNTS} FROM d)
 SELECT doc_id, CASE greatest(de, en, es, fr) WHEN 0 THEN 'unknown' WHEN de THEN 'de' WHEN en THEN 'en' WHEN es THEN 'es' ELSE 'fr' END AS language FROM c"""
+ORACLE["csv_parts_in_order"] = f"""WITH {_URL}, n AS (SELECT page_id, normalized_url, row_number() OVER (ORDER BY page_id % 3 <> 0, page_id) - 1 AS place FROM u)
+SELECT page_id, place, CASE WHEN row_number() OVER (PARTITION BY normalized_url ORDER BY place) = 1 THEN 'new' ELSE 'duplicate' END AS status FROM n"""
 _RANKED = lambda key, rows: f"""(SELECT {key}, gram, row_number() OVER (PARTITION BY {key} ORDER BY n DESC, gram) AS rank FROM (
   SELECT {key}, substr(word, i, 3) AS gram, sum(n) AS n FROM (
     SELECT {key}, word, n, unnest(range(1, length(word) - 1)) AS i FROM (
