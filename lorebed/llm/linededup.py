@@ -14,7 +14,6 @@ from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,8 +22,7 @@ from .job import discard, keyed, set_apart, ship, spread_join, stored
 from .textblocks import SPACED, U64, hash_spans, mix, text_blocks, word_spans
 
 FIELD = "<*>"
-_TOKEN = re.compile(r"[^\x09-\x0D\x20]+")
-_DIGIT = re.compile("[0-9]")
+_DIGIT = re.compile(b"[0-9]")
 
 
 def _lines(data: np.ndarray, offsets: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -36,31 +34,39 @@ def _lines(data: np.ndarray, offsets: np.ndarray, depth: int) -> tuple[np.ndarra
     text, start = text[order], start[order]
     place = np.arange(len(text)) - np.searchsorted(text, np.arange(len(offsets) - 1))[text]
     begin, end, _ = word_spans(data, offsets, SPACED)
-    line = np.searchsorted(start, begin, "right") - 1
-    n = np.bincount(line, minlength=len(text))
-    digits = np.concatenate([[0], np.cumsum((data >= 48) & (data <= 57))])
-    hashes = hash_spans(data, begin, end)
-    field = digits[end] > digits[begin]
-    hashes[field] = U64(1)
-    first = np.cumsum(n) - n
+    first = np.searchsorted(begin, start)
+    n = np.diff(np.append(first, len(begin)))
+    digits = np.flatnonzero(data - np.uint8(48) < 10)
+    field = np.zeros(len(text), dtype=bool)
+    field[np.searchsorted(start, digits, "right") - 1] = True
+    # A leaf asks for the first tokens of its lines alone, so their bytes are laid end to end and hashed without the others.
+    having = [np.flatnonzero(n > k) for k in range(depth)]
+    head = np.sort(np.concatenate([first[has] + k for k, has in enumerate(having)] or [first[:0]]))
+    begin, end = begin[head], end[head]
+    edge = np.zeros(len(data) + 1, dtype=np.int8)
+    edge[begin] += 1
+    edge[end] -= 1
+    last = np.cumsum(end - begin)
+    hashes = hash_spans(data[np.cumsum(edge[:-1], dtype=np.int8).view(bool)], last - (end - begin), last)
+    hashes[np.searchsorted(digits, end) > np.searchsorted(digits, begin)] = U64(1)
+    at = np.cumsum(np.minimum(n, depth)) - np.minimum(n, depth)
     leaf = n.astype(U64) * U64(0x9E3779B97F4A7C15)
-    for k in range(depth):
-        has = np.flatnonzero(n > k)
-        leaf[has] = mix(leaf[has] + hashes[first[has] + k])
-    return text, place, n, np.bincount(line[field], minlength=len(text)) > 0, leaf
+    for k, has in enumerate(having):
+        leaf[has] = mix(leaf[has] + hashes[at[has] + k])
+    return text, place, n, field, leaf
 
 
-def _named(*parts: str) -> bytes:
+def _named(*parts: bytes) -> bytes:
     """16 bytes that stand for some texts without spaces at their ends."""
-    return blake2b(" ".join(parts).encode(), digest_size=16).digest()
+    return blake2b(b" ".join(parts), digest_size=16).digest()
 
 
-def _described(line: str, depth: int) -> tuple[int, bytes, bytes, str, bytes]:
+def _described(line: bytes, depth: int) -> tuple[int, bytes, bytes, bytes, bytes]:
     """A line's number of tokens, the names of its leaf and of its masked form, that form, and the name of the line itself."""
-    tokens = _TOKEN.findall(line)
-    masked = [FIELD if _DIGIT.search(t) else t for t in tokens]
-    n = len(tokens)
-    return n, _named(str(n), *masked[:depth]), _named(str(n), *masked), " ".join(masked), _named(*tokens)
+    tokens = line.split()  # of bytes: at 0x09 to 0x0D and 0x20
+    masked = [FIELD.encode() if _DIGIT.search(t) else t for t in tokens] if _DIGIT.search(line) else tokens
+    n = b"%d" % len(tokens)
+    return len(tokens), _named(n, *masked[:depth]), _named(n, *masked), b" ".join(masked), _named(*tokens)
 
 
 def dropped_lines(
@@ -77,13 +83,6 @@ def dropped_lines(
     """
     rows = docs.select(keyed(id_col, text_col).alias("key"), F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
 
-    def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, _, data, offsets in text_blocks(batch.column(0)):
-                _, _, n, field, leaf = _lines(data, offsets, depth)
-                leaf, seen = np.unique(leaf[counted(n, field)], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(leaf.view(np.int64)), pa.array(seen)], names=["leaf", "seen"])
-
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, _, data, offsets in text_blocks(batch.column(1)):
@@ -101,14 +100,19 @@ def dropped_lines(
 
     def described(rows: pa.RecordBatch) -> pa.RecordBatch:
         """The wanted lines of a block of texts; as Python's own texts take several times their bytes, no more of them at once."""
-        row, place, told = [], [], []
-        for i, (text, wanted) in enumerate(zip(rows.column(2), rows.column(3))):
-            lines, wanted = text.as_py().split("\n"), sorted(set(wanted.as_py()))
-            row.extend([i] * len(wanted))
+        place, told, known = [], [], {}
+        sizes = rows.column(3).value_lengths().to_numpy()
+        all_wanted, at = rows.column(3).flatten().to_pylist(), 0
+        for text, size in zip(rows.column(2).cast(pa.binary()), sizes.tolist()):
+            lines, wanted = text.as_py().split(b"\n"), sorted(all_wanted[at : at + size])
+            at += size
             place.extend(wanted)
-            told.extend(_described(lines[k], depth) for k in wanted)
+            for line in map(lines.__getitem__, wanted):
+                if line not in known:
+                    known[line] = _described(line, depth)
+                told.append(known[line])
         n, leaf, form, line, same = zip(*told) if told else ((),) * 5
-        row = pa.array(row, pa.int64())
+        row = pa.array(np.repeat(np.arange(len(sizes)), sizes))
         columns = [
             rows.column(0).take(row), rows.column(1).take(row), pa.array(place, pa.int32()), pa.array(n, pa.int32()),
             *(pa.array(x, pa.binary()) for x in (leaf, form)), pa.array(line, pa.string()), pa.array(same, pa.binary())
@@ -121,9 +125,11 @@ def dropped_lines(
     ship(docs.sparkSession)
     least = min_docs if exact_docs is None else min(min_docs, exact_docs, short_docs)
     # A leaf with fewer lines than documents wanted has no recurring line or template; all else concerns the lines of busy leaves, a small part of the text.
-    busy = rows.select("text").mapInArrow(leaves, "leaf long, seen long").groupBy("leaf").agg(F.sum("seen").alias("seen")).where(F.col("seen") >= least).select("leaf")
-    wanted = spread_join(rows.select("key", "text").mapInArrow(places, "leaf long, key binary, place int"), busy, ["leaf"], how="left_semi")
+    dealt = stored(rows.select("key", "text").mapInArrow(places, "leaf long, key binary, place int"))
+    busy = dealt.groupBy("leaf").agg(F.count("*").alias("seen")).where(F.col("seen") >= least).select("leaf")
+    wanted = spread_join(dealt, busy, ["leaf"], how="left_semi")
     wanted = stored(wanted.groupBy("key").agg(F.collect_set("place").alias("wanted")))
+    discard(dealt)
     kind = docs.schema[id_col].dataType.simpleString()
     lines = stored(
         rows.join(wanted.hint("merge"), "key").select("key", "id", "text", "wanted").mapInArrow(cut, f"key binary, id {kind}, place int, n int, leaf binary, form binary, line string, same binary")
@@ -174,18 +180,14 @@ def _templates(forms: DataFrame, having: DataFrame, depth: int, min_docs: int, s
     whole = forms.join(constant, "form_id", "left")
     stays = lambda t, k: (F.col("docs") >= min_docs) | (k < depth) | F.coalesce(F.array_contains("places", k), F.lit(False))
     template = F.transform(F.split("line", " "), lambda t, k: F.when(stays(t, k), t).otherwise(FIELD))
-    whole = whole.select("form", "n", template.alias("template")).where(F.size(F.filter("template", lambda t: t != FIELD)) >= F.lit(similarity) * F.col("n"))
+    # Counted without the template, which the filter would make a second time.
+    fixed = lambda tokens: F.size(F.filter(tokens, lambda t: t != FIELD))
+    tokens = F.split("line", " ")
+    same = F.when(F.col("docs") >= min_docs, fixed(tokens)).otherwise(fixed(F.slice(tokens, 1, depth)) + F.coalesce(F.size("places"), F.lit(0)))
+    whole = whole.where(same >= F.lit(similarity) * F.col("n")).select("form", "n", template.alias("template"))
     return whole.select("form", F.unhex(F.sha2(F.concat_ws(" ", "n", F.array_join("template", " ")), 256)).alias("template"))
 
 
-def _keep(text: pd.Series, places: pd.Series) -> pd.Series:
-    out = []
-    for t, gone in zip(text, places):
-        gone = set(gone)
-        out.append("\n".join(line for i, line in enumerate(t.split("\n")) if i not in gone))
-    return pd.Series(out, dtype=object)
-
-
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows without their dropped lines, with n_lines and n_dropped; input columns of these names are replaced, others keep theirs.
 
@@ -194,16 +196,17 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ship(docs.sparkSession)
     docs = docs.drop("n_lines", "n_dropped")
     apart = set_apart(docs, {id_col, text_col})
-    rows = apart.withColumn("__key", keyed(id_col, text_col)).join(
-        dropped_lines(apart, id_col, text_col, **options).withColumnsRenamed({"key": "__key", "places": "__places"}).hint("merge"), "__key",
-        "left"
-    )
+    # Whether each line up to the last dropped one is dropped. Made before the join, so once for a row and not for each of its lines.
+    gone = F.flatten(F.transform("places", lambda p, k: F.concat(F.array_repeat(F.lit(False), p - F.coalesce(F.get("places", k - 1), F.lit(-1)) - 1), F.array(F.lit(True)))))
+    dropped = dropped_lines(apart, id_col, text_col, **options).select(F.col("key").alias("__key"), gone.alias("__places"), F.size("places").alias("__n_places"))
+    rows = apart.withColumn("__key", keyed(id_col, text_col)).join(dropped.hint("merge"), "__key", "left")
     n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(F.length(text_col) - F.length(F.replace(F.col(text_col), F.lit("\n"), F.lit(""))) + 1)
-    rows = rows.withColumns({"__n": n_lines.cast("long"), "__gone": F.coalesce(F.size("__places"), F.lit(0)).cast("long")})
-    kept = F.pandas_udf(_keep, "string")
-    whole = rows.where(F.col("__places").isNull())
-    cut = rows.where(F.col("__places").isNotNull()).withColumn(text_col, kept(F.col(text_col), F.col("__places")))
-    return whole.unionByName(cut).select(*apart.columns, "__n", "__gone").toDF(*docs.columns, "n_lines", "n_dropped")
+    kept = F.array_join(F.filter(F.split(text_col, "\n"), lambda line, k: ~F.coalesce(F.get("__places", k), F.lit(False))), "\n")
+    rows = rows.withColumns({
+        "__n": n_lines.cast("long"), "__gone": F.coalesce("__n_places", F.lit(0)).cast("long"),
+        text_col: F.when(F.col("__places").isNull(), F.col(text_col)).otherwise(kept)
+    })
+    return rows.select(*apart.columns, "__n", "__gone").toDF(*docs.columns, "n_lines", "n_dropped")
 
 
 def duckdb_sql(depth: int = 3, min_docs: int = 3, min_tokens: int = 4, similarity: float = 0.5, exact_docs: int = 2, short_docs: int = 3) -> str:

@@ -483,6 +483,35 @@ def test_lines_of_odd_rows(odd, nothing):
     assert linededup.dedup_lines(nothing).count() == 0
 
 
+def test_lines_are_cut_after_one_shuffle_of_the_texts(spark):
+    """Texts that lose lines and those that don't go through one join, and no text goes to Python after it."""
+    same = "the same notice ä stands \U0001f600 in both"
+    texts = ["", same, f"{same}\n", f"\n\nown.*|\r\n{same}\r\n\n", f"{same}\n{same}\nlast", None, "\n", f"a\x85b\u2028c\n\t{same} \nz"]
+    got = linededup.dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert [(r.text, r.n_lines, r.n_dropped) for r in got.orderBy("doc_id").collect()] == [
+        ("", 1, 0), (same, 1, 0), ("", 2, 1), ("\n\nown.*|\r\n\n", 6, 1), ("last", 3, 2), (None, 0, 0), ("\n", 2, 0), ("a\x85b\u2028c\nz", 3, 1)
+    ]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(__key") == 2 and "Python" not in plan and "InArrow" not in plan
+
+
+def test_leaf_of_a_line_against_plain():
+    """Lines share a leaf if they have as many tokens and alike first ones; a token with a digit is alike any other."""
+    rng = random.Random(8)
+    texts = ["\n".join(rng.choice(["", " "]) + rng.choice([" ", "\t", " \x0b"]).join(rng.choice(["a", "b", "é", "c2", "7", "d" * 70000]) for _ in range(rng.randint(0, 5))) for _ in range(rng.randint(1, 6))) for _ in range(60)]
+    texts[7] = texts[8] = ""
+    for depth in (0, 1, 3):
+        leaves, hashed = [], []
+        for first, _, data, offsets in textblocks.text_blocks(pa.array(texts)):
+            text, place, n, field, leaf = linededup._lines(data, offsets, depth)
+            for t, k, size, digit, name in zip(text.tolist(), place.tolist(), n.tolist(), field.tolist(), leaf.tolist()):
+                tokens = texts[first + t].split("\n")[k].encode().split()
+                assert (size, digit) == (len(tokens), any(c in x for x in tokens for c in b"0123456789"))
+                leaves.append((size, *(b"*" if any(c in x for c in b"0123456789") else x for x in tokens[:depth])))
+                hashed.append(name)
+        assert len(hashed) == sum(t.count("\n") + 1 for t in texts) and len(set(zip(leaves, hashed))) == len(set(leaves)) == len(set(hashed))
+
+
 # ---- 5: languages
 
 
