@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import time
 
 import pytest
 from pyspark.sql import Row
@@ -252,6 +253,30 @@ def test_records_are_cleaned_before_validation(spark):
     assert got == {"Acme": [("Beta", "x"), ("Gamma", None)], "Solo": []}
 
 
+def test_long_lists_of_organizations(spark):
+    n = 6000
+    orgs = [(f" Org {i % (n // 2)}" if i % 2 else f"ORG {i % (n // 2)} ", str(i)) for i in range(n)]
+    rows = spark.createDataFrame([("org 7", orgs), ("None", [])], "entity_name string, related_organizations array<struct<name string, role string>>")
+    begun = time.monotonic()
+    got = {r.entity_name: [(o.name, o.role) for o in r.related_organizations] for r in validate.normalize_records(rows).collect()}
+    # Each name held against all before it took minutes.
+    assert time.monotonic() - begun < 30
+    assert got == {"org 7": [(f"Org {i}" if i % 2 else f"ORG {i}", str(i)) for i in range(n // 2) if i != 7], "None": []}
+
+
+def test_organizations_of_a_shared_list(spark):
+    kinds = "related_organizations array<struct<name string, role string>>"
+    lists = {1: [("Beta ", "x"), ("beta", "y"), (None, "z"), ("  ", "n"), ("ACME", "a"), ("Straße", "s")], 2: [("Gamma", "g"), None, (" gamma", "h")]}
+    own = [(" Acme ", 1, [("STRASSE", "o"), ("", "p")]), ("Beta", 1, []), ("Delta", 2, [("delta", "q"), ("Beta", "r")]), ("Delta 2", 2, None), ("Solo", 3, [("gamma", "t")]), ("None", None, [("x", "u")])]
+    rows = spark.createDataFrame(own, f"entity_name string, k long, {kinds}")
+    shared = spark.createDataFrame(list(lists.items()), f"k long, {kinds}")
+    names = lambda found: {r.entity_name: [(o.name, o.role) for o in r.related_organizations] for r in found.collect()}
+    whole = spark.createDataFrame([(n, k, (o or []) + lists.get(k, [])) for n, k, o in own], rows.schema)
+    got = names(validate.with_shared_organizations(rows, shared, "k"))
+    assert got == names(validate.normalize_records(whole))
+    assert got["Acme"] == [("STRASSE", "o"), ("Beta", "x")] and got["Delta"] == [("Beta", "r"), ("Gamma", "g")]
+
+
 def test_failures_of_all_kinds(spark):
     rows = [(0, "p", "u", "A", "e", [], "passed"), (1, "p", "u", "a", "e", [], "passed"), (2, "p", "u", "b", "x", ["r"], "failed")]
     done = spark.createDataFrame(rows, "_ord long, page_id string, source_url string, entity_name string, evidence_text string, rejection_reasons array<string>, validation_status string")
