@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import random
 from collections import Counter
 
+import pandas as pd
 import pytest
 
+from lorebed.functions import fuzzy
 from lorebed.plans.queries import QUERIES
 
 PAGES = {
@@ -89,3 +92,31 @@ def test_counts_and_totals(spark, data, unsupported):
 
 def test_demotion(spark, data):
     assert {r.canonical_name: (r.kept, r.notes) for r in QUERIES["entity_demotion"](spark, data).collect()} == {"Entity 1": (True, ""), "Entity 2": (True, "")}
+
+
+def test_few_claims_are_compared(monkeypatch):
+    rnd = random.Random(7)
+    words = ["".join(rnd.choices("etaoinshrdluéß", k=rnd.randint(2, 9))) for _ in range(300)]
+    prose = lambda n: " ".join(rnd.choices(words, k=n))
+    pages, claims = [prose(rnd.choice([20, 200, 900])) for _ in range(60)], []
+    for k in range(480):
+        page = pages[k % 60]
+        at, claim = rnd.randrange(len(page)), list(prose(rnd.choice([8, 30, 60])))
+        if k % 6 == 0:
+            # Close to the page, on either side of the threshold, and also over its ends.
+            claim = list(page[at : at + rnd.choice([40, 64, 65, 200])])
+            for _ in range(int(len(claim) * rnd.choice([0.05, 0.12, 0.15, 0.2, 0.3]))):
+                i = rnd.randrange(len(claim))
+                claim[i : i + rnd.choice([0, 1])] = rnd.choice(["", "x", "qz"])
+                claim = claim or ["x"]
+        claims.append("".join(claim))
+    claims[1], claims[2] = None, pages[2] * 2
+    pages = [pages[k % 60] for k in range(480)]
+    want = [a is not None and fuzzy.partial_ratio(a, b, 85) >= 85 for a, b in zip(claims, pages)]
+    compared, exact = [], fuzzy.partial_ratio
+    monkeypatch.setattr(fuzzy, "partial_ratio", lambda a, b, cutoff: compared.append(a) or exact(a, b, cutoff))
+    got = fuzzy.partial_at_least(85).func(pd.Series(claims), pd.Series(pages))
+    assert got.tolist() == want and sum(want) > 20
+    # All 479 were compared before.
+    assert len(compared) < 120
+    assert fuzzy.partial_at_least(40).func(pd.Series(["ab", None]), pd.Series(["b", "c"])).tolist() == [True, False] and fuzzy.partial_at_least(85).func(pd.Series([], dtype=object), pd.Series([], dtype=object)).empty
