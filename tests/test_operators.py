@@ -592,6 +592,21 @@ def test_languages_by_profiles_held_out(spark):
     assert languages.detect(odd.limit(0), known).collect() == []
 
 
+def test_grams_of_a_text_are_ranked_where_it_lies(spark):
+    from compare import SMALL
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").where("doc_id % 4 = 0").select("doc_id", "text")
+    odd = [(-1, None), (-2, ""), (-3, "1 2"), (-4, "x" * 100 + " É𝒜b𝒜 日本 a"), (-5, "abab bab " * 40), (-6, "Straße straẞe ΣΑΣ İi")]
+    docs = docs.unionByName(spark.createDataFrame(odd, "doc_id long, text string"))
+    for size in (5, 300):
+        want = languages._ranked(docs, "doc_id", "text", size)
+        assert sorted(map(tuple, languages._ranked_alone(docs, "doc_id", "text", size).where("gram <> ''").collect())) == sorted(map(tuple, want.collect()))
+    known = languages.profiles(docs.withColumn("lang", F.lit("en")))
+    plan = languages.detect(docs, known)._jdf.queryExecution().executedPlan().toString()
+    # Each text's words and grams went through three exchanges before, several times the text.
+    assert "Window" not in plan and not any("Exchange" in line and ("word#" in line or "gram#" in line) for line in plan.splitlines() if "Broadcast" not in line)
+
+
 def test_language_by_words(spark):
     from lorebed.functions.language import detect_language
 
