@@ -239,6 +239,22 @@ def test_profiles_have_places_and_overview(spark):
     assert (got["b"].locations, got["b"].overview) == ([], "")
 
 
+def test_sizes_of_profiles(spark):
+    rows = [
+        (0, "A", "t1", "u", "e", ["f", "g"]), (1, "A", "t2", "u", "e", ["g", None, ""]), (2, "B", "t3", "u", None, None), (3, "B", "t3", "u", "", [None]),
+        (4, "B", "t3", None, "u", []), (5, "C", None, "u|1:e", "", ["f"]), (6, "C", "t4", "u", "1:e|0:", ["f", "f"]), (7, "D", "t5", "x", "y", ["z"]),
+    ]
+    kinds = "_ord long, entity_name string, entity_type string, source_url string, evidence_text string, key_facts array<string>"
+    records = spark.createDataFrame([(*r, "logistics", 0.5, "") for r in rows], f"{kinds}, supply_chain_category string, confidence_score double, publication_date string")
+    names = spark.createDataFrame([("A", "A"), ("B", "A"), ("C", "C")], "name string, cluster string")
+    whole = {r.canonical_name: (r.aliases, r.entity_type, len(r.sources), len(r.key_facts)) for r in entities.profiles(records, names).collect()}
+    sizes = entities.profile_sizes(records, names)
+    assert {r.canonical_name: (r.aliases, r.entity_type, r.n_sources, r.n_facts) for r in sizes.collect()} == whole == {"A": (["A", "B"], "t1", 4, 4), "C": (["C"], None, 2, 1)}
+    # The lists of a whole cluster were in one task before.
+    plan = sizes._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("collect_set(") == 1 and "collect_list(" not in plan
+
+
 def test_dates_from_a_side_table(spark):
     rows = spark.createDataFrame([("p1", ""), ("p2", "2024"), ("p3", None)], "page_id string, publication_date string")
     dates = spark.createDataFrame([("p1", "2023-05-01"), ("p1", ""), ("p2", "1999-01-01")], "page_id string, publication_date string")
